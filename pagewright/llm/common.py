@@ -7,7 +7,9 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 _OPENED: list[tuple[SparkSession, str]] = []
@@ -67,3 +69,46 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, list] | pa
             yield out
 
     return df.mapInArrow(run, schema)
+
+
+class WordFilter:
+    """A Bloom filter of fixed size in a broadcast: it never misses a member, so an exact join may follow on
+    what passes.  Its size doesn't depend on the data; only its selectivity does."""
+
+    def __init__(self, broadcast, bits: int) -> None:
+        self.broadcast, self.bits = broadcast, bits
+
+    def test(self) -> Callable[[str], bool]:
+        raw, bits, memo = self.broadcast.value, self.bits, {}
+
+        def may(word: str) -> bool:
+            hit = memo.get(word)
+            if hit is None:
+                a, b = _places(word, bits)
+                hit = bool(raw[a >> 3] & (128 >> (a & 7)) and raw[b >> 3] & (128 >> (b & 7)))
+                if len(memo) < 200_000:
+                    memo[word] = hit
+            return hit
+
+        return may
+
+
+def _places(word: str, bits: int) -> tuple[int, int]:
+    h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+    return h % bits, (h >> 32) % bits
+
+
+def word_filter(words: DataFrame, bits: int) -> WordFilter:
+    """The filter of the one string column of words.  Each of at most four tasks returns bits / 8 bytes."""
+
+    def run(batches):
+        own = np.zeros(bits, dtype=bool)
+        for b in batches:
+            for w in b.column(0).to_pylist():
+                own[list(_places(w, bits))] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(own).tobytes()])], names=["bits"])
+
+    out = np.zeros(bits // 8, dtype=np.uint8)
+    for row in words.coalesce(4).mapInArrow(run, "bits binary").collect():
+        out |= np.frombuffer(row["bits"], dtype=np.uint8)
+    return WordFilter(words.sparkSession.sparkContext.broadcast(out.tobytes()), bits)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import canonical, mojibake
+from . import canonical, mojibake, ocr
 from .common import table
 
 
@@ -33,6 +33,14 @@ def p3_texts(spark: SparkSession, d: str) -> DataFrame:
     return mojibake.restored_texts(_page_texts(spark, d))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return ocr.noise(table(spark, d, "page_results"))
+
+
+def p5_texts(spark: SparkSession, d: str) -> DataFrame:
+    return ocr.repaired(table(spark, d, "page_results"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("p") and k[1].isdigit() and callable(v)}
 
