@@ -5,7 +5,9 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -54,11 +56,30 @@ def _remove_all() -> None:
             return
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once an application, so that workers can import it wherever the
+    driver runs."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[1]
+    out = Path(tempfile.mkdtemp(prefix="pagewright-")) / "pagewright.zip"
+    with zipfile.ZipFile(out, "w") as z:
+        for f in root.rglob("*.py"):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(out))
+    _SHIPPED.add(sc.applicationId)
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, list] | pa.RecordBatch], schema: str) -> DataFrame:
     """mapInArrow where fn gives the columns of one batch as lists in the order of the schema."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
+    ship(df.sparkSession)
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,8 +10,8 @@ headers: lines above or below the body, equal up to confusable shapes, on three
 item.  Page numbers: edge lines that hold the page's own number, confusions undone.
 
 Scale: counts come from all rows, pre-aggregated per batch before the shuffle.  Candidates, bigrams and
-occurrences meet in hash joins.  A Bloom filter of fixed size (BLOOM_BITS) keeps words without candidates
-out of the occurrence join; it only saves work, the join decides.  No vocabulary is collected or broadcast.
+occurrences meet in hash joins.  Bloom filters of fixed size keep words out of the joins that
+cannot meet there; they only save work, the joins decide.  No vocabulary is collected or broadcast.
 
 Defined results: null, empty or blank texts and rows whose source is not ocr have no noise and no repair.
 Rows delivered twice count once.  Null confidence, page or item: no page number or header is claimed
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from .canonical import canonical
 from .common import arrow_map, cut, word_filter
 
+JOINT = "\ue0f9"  # stands between the parts of a word that was broken across lines
 # Shapes a reader of scans confuses, (on the page, read as).
 CONFUSIONS = (
     ("e", "c"), ("c", "e"), ("l", "1"), ("l", "I"), ("I", "l"), ("i", "1"), ("i", "l"), ("o", "0"), ("O", "0"), ("g", "9"), ("q", "9"),
@@ -45,15 +46,19 @@ CONFUSIONS = (
 PAGE_WORDS = ("seite", "s", "blatt", "bl", "page", "p", "pg", "pag", "página", "pág", "pagina", "hoja", "folio", "feuille", "blz", "bladzijde", "страница", "стр", "с", "лист", "sheet", "no", "nr")
 # Marks that show a break.
 BREAK_MARKS = "-‐‑­¬=⸗~\x02\x1f"
-JOINT = "\ue0f9"  # stands between the parts of a word that was broken across lines
 START_P = 1e-3  # channel probability of each confusion before it is estimated
 MAX_ERRORS = 3  # misread places within one word
-BLOOM_BITS = 1 << 22  # half a megabyte
+MAX_WORD = 60  # a longer string is no word
+WORD_BITS, BLOOM_BITS = 1 << 24, 1 << 22  # filters of 2 MB and 0.5 MB
 INTERPOLATION = 0.7  # weight of the bigram against the unigram
 
 _PAIRS = tuple(dict.fromkeys(p for p in CONFUSIONS if p[0] != p[1]))
 _WORD = re.compile(r"[^\W_]+(?:[-’'][^\W_]+)*")
-_BREAK = re.compile(rf"([^\W\d_]+(?:[-’'][^\W\d_]+)*|[^\W_]*[^\W\d_][^\W_]*)[{re.escape(BREAK_MARKS)}][ \t]*\n[ \t]*([^\W_]+(?:[-’'][^\W_]+)*)")
+_TOKEN = re.compile(rf"[^\W_]+(?:[-’'{JOINT}][^\W_]+)*")
+_MARKED_END = re.compile(rf"[{re.escape(BREAK_MARKS)}][ \t]*\n[ \t]*(?=[^\W_])")
+_TAIL = re.compile(r"[^\W_]+(?:[-’'][^\W_]+)*$")
+_HEAD = re.compile(r"[^\W_]+(?:[-’'][^\W_]+)*")
+_CODE = re.compile(r"^[A-Z]{1,3}\d*$")
 _LETTER = re.compile(r"[^\W\d_]")
 _SENTENCE_END = re.compile(r"[.!?…][\"”“»’)\]]*$")
 _INNER_END = re.compile(r"[^\W\d_]{2}[.!?][\"”“»)]* ")
@@ -161,67 +166,76 @@ def _stands_alone(lines: list[str], i: int, nxt: int, width: int, apart: bool) -
 
 
 def _prepared(raw: str) -> tuple[str, list[tuple[str, str]]]:
-    """Text in its consistent form with broken words joined, and the breaks as (left, right)."""
+    """Text in its consistent form with JOINT where a word was broken, and the breaks as (left, right)."""
     breaks: list[tuple[str, str]] = []
-    marked = []
-    done = 0
-    for m in _BREAK.finditer(raw):
-        if m.start() < done:
-            continue
-        left, right = canonical(m[1]), canonical(m[2])
-        if not _LETTER.search(right[:1]) and not re.search(r"[^\W\d_]", right):
-            continue
-        breaks.append((left, right))
-        marked.append(raw[done : m.start()] + m[1] + JOINT + m[2])
-        done = m.end()
-    return canonical("".join(marked) + raw[done:]), breaks
+    parts, done = [], 0
+    for m in _MARKED_END.finditer(raw):
+        line = canonical(raw[raw.rfind("\n", 0, m.start()) + 1 : m.start()])
+        left, right = _TAIL.search(line), _HEAD.match(canonical(raw[m.end() : m.end() + 80]))
+        if left and right and _LETTER.search(left[0]) and _LETTER.search(right[0]) and not _CODE.match(left[0]):
+            breaks.append((left[0], right[0]))
+            parts += [raw[done : m.start()], JOINT]
+            done = m.end()
+    return canonical("".join(parts) + raw[done:]), breaks
 
 
 # --------------------------------------------------------------------------------------------- counts
 
 
-def bigram_counts(df: DataFrame) -> DataFrame:
-    """(prev, word, n, n_ocr): occurrences over all rows, and those in body sentences of scanned pages.
+def facts(df: DataFrame) -> DataFrame:
+    """All that one pass over the texts finds, told apart by kind:
+    bigram: a before b, n times in all rows and m times in body sentences of scanned pages, counted per batch;
+    break: a and b parted at a line end of result_id; page_number, edge: such a line with the digest of its shape.
     A word joined from a break counts as no evidence (n 0), it is only a word to judge."""
 
     def run(batch):
         total: Counter = Counter()
         scanned: Counter = Counter()
-        for source, page, raw in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            text, _ = _prepared(raw)
+        out: dict[str, list] = {k: [] for k in _FACTS}
+
+        def add(kind, a=None, b=None, n=None, m=None, result_id=None, item_id=None, line=None, key=None):
+            for k, v in zip(_FACTS, (kind, a, b, n, m, result_id, item_id, line, key), strict=True):
+                out[k].append(v)
+
+        for rid, item, source, page, raw in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            text, broken = _prepared(raw)
+            groups = [(text, False)]
             if source == "ocr":
-                lines, _, _, blocks = layout(text, page)
+                for left, right in dict.fromkeys(broken):
+                    add("break", left, right, result_id=rid)
+                lines, numbers, edges, blocks = layout(text, page)
+                for i, kind in [*((i, "page_number") for i in numbers), *((i, "edge") for i in edges)]:
+                    shape = _shape(" ".join(lines[i].split())).encode("utf-8", "surrogatepass")
+                    add(kind, result_id=rid, item_id=item, line=i, key=hashlib.blake2b(shape, digest_size=16).digest())
                 body = {i for b in blocks for i in b}
                 groups = [(" ".join(lines[i] for i in b), True) for b in blocks]
                 groups.append(("\n".join(x for i, x in enumerate(lines) if i not in body), False))
-            else:
-                groups = [(text.replace("\n", " "), False)]
             for part, judged in groups:
                 words = _TOKEN.findall(part)
-                prev = ""
-                for w in words:
-                    if len(w) > 40:
-                        prev = ""
-                        continue
-                    if JOINT in w:
-                        w = w.replace(JOINT, "")
-                        if judged:
-                            scanned[prev, w] += 1
-                        prev = ""
-                        continue
-                    total[prev, w] += 1
+                pairs = list(zip(["", *words], words, strict=False))
+                if JOINT in part:
                     if judged:
-                        scanned[prev, w] += 1
-                    prev = w
-        keys = list(total | scanned)
-        return {"prev": [k[0] for k in keys], "word": [k[1] for k in keys], "n": [total[k] for k in keys], "n_ocr": [scanned[k] for k in keys]}
+                        scanned.update((u.replace(JOINT, ""), v.replace(JOINT, "")) for u, v in pairs if JOINT in u or JOINT in v)
+                    pairs = [(u, v) for u, v in pairs if JOINT not in u and JOINT not in v]
+                total.update(pairs)
+                if judged:
+                    scanned.update(pairs)
+        for k in total | scanned:
+            if len(k[0]) <= MAX_WORD and len(k[1]) <= MAX_WORD:
+                add("bigram", k[0], k[1], total[k], scanned[k])
+        return out
+
+    src = df.where(F.col("text").isNotNull()).select("result_id", "item_id", "source", "page", "text")
+    return arrow_map(src, run, "kind string, a string, b string, n bigint, m bigint, result_id bigint, item_id bigint, line int, key binary")
+
 
-    src = df.where(F.col("text").isNotNull()).select("source", "page", "text")
-    part = arrow_map(src, run, "prev string, word string, n bigint, n_ocr bigint")
-    return part.groupBy("prev", "word").agg(F.sum("n").alias("n"), F.sum("n_ocr").alias("n_ocr"))
+_FACTS = ("kind", "a", "b", "n", "m", "result_id", "item_id", "line", "key")
 
 
-_TOKEN = re.compile("[^\\W_]+(?:[-’'][^\\W_]+)*")
+def bigram_counts(found: DataFrame) -> DataFrame:
+    """(prev, word, n, n_ocr) of the corpus."""
+    rows = found.where("kind = 'bigram'").select(F.col("a").alias("prev"), F.col("b").alias("word"), "n", "m")
+    return rows.groupBy("prev", "word").agg(F.sum("n").alias("n"), F.sum("m").alias("n_ocr"))
 
 
 def readings(word: str) -> list[tuple[str, list[int]]]:
@@ -256,10 +270,16 @@ def candidates(bigrams: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(word, options) of words that a more probable word can have become, and the word counts."""
     counts = bigrams.groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_ocr").alias("n_ocr"))
 
+    frequent = counts.where("n > 1")
+    known = word_filter(frequent.select("word"), WORD_BITS)
+
     def run(batch):
+        may = known.test()
         out: dict[str, list] = {"word": [], "n": [], "n_ocr": [], "cand": [], "errors": []}
         for w, n, m in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             for c, errors in readings(w):
+                if not may(c):
+                    continue
                 out["word"].append(w)
                 out["n"].append(n)
                 out["n_ocr"].append(m)
@@ -270,7 +290,7 @@ def candidates(bigrams: DataFrame) -> tuple[DataFrame, DataFrame]:
     # codes (upper case with digits) and bare numbers are no words of a sentence
     asked = counts.where((F.col("n_ocr") > 0) & (F.length("word") >= 2) & F.col("word").rlike(r"\p{L}") & ~F.col("word").rlike(r"^\p{Lu}{1,3}\d|\d{3}"))
     made = arrow_map(asked.select("word", "n", "n_ocr"), run, "word string, n bigint, n_ocr bigint, cand string, errors array<int>")
-    real = counts.where("n > 1").select(F.col("word").alias("cand"), F.col("n").alias("n_cand"))
+    real = frequent.select(F.col("word").alias("cand"), F.col("n").alias("n_cand"))
     met = cut(made.join(real, "cand"), "readings")
     # confusion probabilities: how often each confusion explains a rare word, against what it could have hit
     one = met.where("size(errors) = 1 and n_cand > 20 * (n + 1)")
@@ -416,25 +436,6 @@ def _decode_run(run_: list[dict], total: float) -> list[str]:
 # ------------------------------------------------------------------------------------- the other kinds
 
 
-def edge_lines(df: DataFrame) -> DataFrame:
-    """(result_id, item_id, line, kind, key) of page-number lines and lines that may be headers."""
-
-    def run(batch):
-        out: dict[str, list] = defaultdict(list)
-        for rid, item, page, raw in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            text, _ = _prepared(raw)
-            lines, numbers, edges, _ = layout(text, page)
-            for i, kind in [*((i, "page_number") for i in numbers), *((i, "edge") for i in edges)]:
-                out["result_id"].append(rid)
-                out["item_id"].append(item)
-                out["line"].append(i)
-                out["kind"].append(kind)
-                out["key"].append(hashlib.blake2b(_shape(re.sub(r"\s+", " ", lines[i].strip())).encode("utf-8", "surrogatepass"), digest_size=16).digest())
-        return {k: out[k] for k in ("result_id", "item_id", "line", "kind", "key")}
-
-    return arrow_map(ocr_rows(df).select("result_id", "item_id", "page", "text"), run, "result_id bigint, item_id bigint, line int, kind string, key binary")
-
-
 def headers(lines: DataFrame, least: int = 3) -> DataFrame:
     """Edge lines that recur on at least `least` scanned rows of their item."""
     edge = lines.where("kind = 'edge' and item_id is not null").select("item_id", "key", "result_id", "line").distinct()
@@ -442,23 +443,12 @@ def headers(lines: DataFrame, least: int = 3) -> DataFrame:
     return edge.join(often, ["item_id", "key"])
 
 
-def breaks(df: DataFrame, counts: DataFrame) -> DataFrame:
+def breaks(found: DataFrame, counts: DataFrame) -> DataFrame:
     """(result_id, left, right, joined, broken): words broken at a line end; broken is false where the word
     is spelled with a hyphen.  The spelling the corpus knows better wins; where it knows neither, a part
     in lower case continues the word."""
-
-    def run(batch):
-        out: dict[str, list] = defaultdict(list)
-        for rid, raw in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
-            for left, right in dict.fromkeys(_prepared(raw)[1]):
-                out["result_id"].append(rid)
-                out["left"].append(left)
-                out["right"].append(right)
-                out["joined"].append(left + right)
-                out["spelled"].append(f"{left}-{right}")
-        return {k: out[k] for k in ("result_id", "left", "right", "joined", "spelled")}
-
-    pairs = arrow_map(ocr_rows(df).select("result_id", "text"), run, "result_id bigint, left string, right string, joined string, spelled string")
+    pairs = found.where("kind = 'break'").select("result_id", F.col("a").alias("left"), F.col("b").alias("right"))
+    pairs = pairs.select("*", F.concat("left", "right").alias("joined"), F.concat_ws("-", "left", "right").alias("spelled"))
     c = counts.where("n > 0")
     pairs = pairs.join(c.select(F.col("word").alias("joined"), F.col("n").alias("n_joined")), "joined", "left")
     pairs = pairs.join(c.select(F.col("word").alias("spelled"), F.col("n").alias("n_spelled")), "spelled", "left")
@@ -469,11 +459,12 @@ def breaks(df: DataFrame, counts: DataFrame) -> DataFrame:
 
 def noise(df: DataFrame) -> DataFrame:
     """(result_id, noise) of every scanned row."""
-    bigrams = cut(bigram_counts(df), "bigrams")
+    found = cut(facts(df), "facts")
+    bigrams = cut(bigram_counts(found), "bigrams")
     counts = bigrams.groupBy("word").agg(F.sum("n").alias("n"))
-    lines = cut(edge_lines(df), "edge-lines")
+    lines = found.where("kind in ('page_number', 'edge')").select("result_id", "item_id", "line", "kind", "key")
     parts = [
-        breaks(df, counts).where("broken").select("result_id", F.lit("hyphen").alias("noise")),
+        breaks(found, counts).where("broken").select("result_id", F.lit("hyphen").alias("noise")),
         corrections(df, bigrams).select("result_id", F.lit("misread").alias("noise")),
         headers(lines).select("result_id", F.lit("header").alias("noise")),
         lines.where("kind = 'page_number'").select("result_id", F.lit("page_number").alias("noise")),
@@ -487,13 +478,14 @@ def noise(df: DataFrame) -> DataFrame:
 def repaired(df: DataFrame) -> DataFrame:
     """(result_id, repaired_text): headers and page numbers dropped, breaks undone, misread words replaced,
     lines joined to paragraphs."""
-    bigrams = cut(bigram_counts(df), "bigrams")
+    found = cut(facts(df), "facts")
+    bigrams = cut(bigram_counts(found), "bigrams")
     counts = bigrams.groupBy("word").agg(F.sum("n").alias("n"))
-    lines = cut(edge_lines(df), "edge-lines")
+    lines = found.where("kind in ('page_number', 'edge')").select("result_id", "item_id", "line", "kind", "key")
     drop = headers(lines).select("result_id", "line").unionAll(lines.where("kind = 'page_number'").select("result_id", "line"))
     drops = drop.groupBy("result_id").agg(F.collect_set("line").alias("drops"))
     fixes = corrections(df, bigrams).groupBy("result_id").agg(F.collect_list(F.struct("line", "pos", "corrected")).alias("fixes"))
-    hyphens = breaks(df, counts).where("not broken").groupBy("result_id").agg(F.collect_list(F.struct("left", "right")).alias("spelled"))
+    hyphens = breaks(found, counts).where("not broken").groupBy("result_id").agg(F.collect_list(F.struct("left", "right")).alias("spelled"))
     rows = ocr_rows(df).dropDuplicates(["result_id"]).select("result_id", "text")
     rows = rows.join(drops, "result_id", "left").join(fixes, "result_id", "left").join(hyphens, "result_id", "left")
 
