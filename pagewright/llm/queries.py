@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import canonical, mojibake, ocr
+from . import canonical, language, mojibake, ocr
 from .common import table
 
 
@@ -19,6 +19,19 @@ def p1_texts(spark: SparkSession, d: str) -> DataFrame:
     return canonical.canonical_texts(table(spark, d, "page_results"))
 
 
+def _language_weights(spark: SparkSession, d: str) -> dict:
+    return language.fit(spark, table(spark, d, "page_results"), table(spark, d, "common_words"))
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return language.wrongly_labelled(table(spark, d, "page_results"), _language_weights(spark, d))
+
+
+def p2_labels(spark: SparkSession, d: str) -> DataFrame:
+    rows = language.labelled(table(spark, d, "page_results"), _language_weights(spark, d))
+    return rows.drop("named").dropDuplicates(["result_id"])
+
+
 def _page_texts(spark: SparkSession, d: str) -> DataFrame:
     a = table(spark, d, "page_results").select(F.lit("page_results").alias("tab"), F.col("result_id").alias("row_id"), "text")
     b = table(spark, d, "page_analysis").select(F.lit("page_analysis").alias("tab"), F.col("analysis_id").alias("row_id"), "text")
