@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import canonical, language, mojibake, ocr
+from . import canonical, language, mojibake, ocr, quality
 from .common import table
 
 
@@ -46,6 +46,14 @@ def p3_texts(spark: SparkSession, d: str) -> DataFrame:
     return mojibake.restored_texts(_page_texts(spark, d))
 
 
+def p4_stats(spark: SparkSession, d: str) -> DataFrame:
+    return quality.document_stats(quality.page_stats(table(spark, d, "page_analysis"), table(spark, d, "common_words")))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return p4_stats(spark, d).where("kind in ('list', 'table', 'junk') and item_id is not null").select("item_id", "kind")
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return ocr.noise(table(spark, d, "page_results"))
 
