@@ -74,8 +74,8 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
-def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, list] | pa.RecordBatch], schema: str) -> DataFrame:
-    """mapInArrow where fn gives the columns of one batch as lists in the order of the schema."""
+def arrow_stream(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict[str, list]]], schema: str) -> DataFrame:
+    """mapInArrow where fn gives the batches of a task as columns of the schema, as lists."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
@@ -83,15 +83,17 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, list] | pa
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = fn(batch)
-            if isinstance(out, dict):
-                out = pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
-            yield out
+        for out in fn(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)
 
 
+def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, list]], schema: str) -> DataFrame:
+    """arrow_stream for functions of one batch."""
+    return arrow_stream(df, lambda batches: map(fn, batches), schema)
+
+
 class WordFilter:
     """A Bloom filter of fixed size in a broadcast: it never misses a member, so an exact join may follow on
     what passes.  Its size doesn't depend on the data; only its selectivity does."""

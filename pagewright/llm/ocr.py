@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .canonical import canonical
-from .common import arrow_map, cut, word_filter
+from .common import arrow_map, arrow_stream, cut, word_filter
 
 JOINT = "\ue0f9"  # stands between the parts of a word that was broken across lines
 # Shapes a reader of scans confuses, (on the page, read as).
@@ -48,6 +48,7 @@ PAGE_WORDS = ("seite", "s", "blatt", "bl", "page", "p", "pg", "pag", "página",
 BREAK_MARKS = "-‐‑­¬=⸗~\x02\x1f"
 START_P = 1e-3  # channel probability of each confusion before it is estimated
 MAX_ERRORS = 3  # misread places within one word
+MOST_HELD = 400_000  # bigrams a task holds before it hands them on
 MAX_WORD = 60  # a longer string is no word
 WORD_BITS, BLOOM_BITS = 1 << 24, 1 << 22  # filters of 2 MB and 0.5 MB
 INTERPOLATION = 0.7  # weight of the bigram against the unigram
@@ -55,6 +56,7 @@ INTERPOLATION = 0.7  # weight of the bigram against the unigram
 _PAIRS = tuple(dict.fromkeys(p for p in CONFUSIONS if p[0] != p[1]))
 _WORD = re.compile(r"[^\W_]+(?:[-’'][^\W_]+)*")
 _TOKEN = re.compile(rf"[^\W_]+(?:[-’'{JOINT}][^\W_]+)*")
+_NATIVE_TOKEN = re.compile(r"[^\W\d_]+(?:[-’'][^\W\d_]+)*")
 _MARKED_END = re.compile(rf"[{re.escape(BREAK_MARKS)}][ \t]*\n[ \t]*(?=[^\W_])")
 _TAIL = re.compile(r"[^\W_]+(?:[-’'][^\W_]+)*$")
 _HEAD = re.compile(r"[^\W_]+(?:[-’'][^\W_]+)*")
@@ -137,7 +139,7 @@ def layout(text: str, page: int | None) -> tuple[list[str], list[int], list[int]
         elif block and (i == len(lines) or not lines[i].strip() or i in taken):
             joined = " ".join(lines[j].strip() for j in block)
             words = _WORD.findall(joined)
-            alpha = sum(1 for w in words if len(_LETTER.findall(w)) * 2 > len(w))
+            alpha = sum(1 for w in words if w[-1].isalpha())
             if len(words) >= 4 and alpha * 10 >= 6 * len(words) and (_SENTENCE_END.search(joined) or _INNER_END.search(joined)):
                 blocks.append(block)
             block = []
@@ -184,49 +186,60 @@ def _prepared(raw: str) -> tuple[str, list[tuple[str, str]]]:
 
 def facts(df: DataFrame) -> DataFrame:
     """All that one pass over the texts finds, told apart by kind:
-    bigram: a before b, n times in all rows and m times in body sentences of scanned pages, counted per batch;
+    bigram: a before b, n times in all rows and m times in body sentences of scanned pages, counted within a
+    task as long as MOST_HELD entries hold them;
     break: a and b parted at a line end of result_id; page_number, edge: such a line with the digest of its shape.
     A word joined from a break counts as no evidence (n 0), it is only a word to judge."""
 
-    def run(batch):
+    def flush(total: Counter, scanned: Counter) -> dict[str, list]:
+        keys = [k for k in total.keys() | scanned.keys() if len(k[0]) <= MAX_WORD and len(k[1]) <= MAX_WORD]
+        none = [None] * len(keys)
+        cols = dict.fromkeys(_FACTS, none)
+        return cols | {"kind": ["bigram"] * len(keys), "a": [k[0] for k in keys], "b": [k[1] for k in keys], "n": [total[k] for k in keys], "m": [scanned[k] for k in keys]}
+
+    def run(batches):
         total: Counter = Counter()
         scanned: Counter = Counter()
-        out: dict[str, list] = {k: [] for k in _FACTS}
-
-        def add(kind, a=None, b=None, n=None, m=None, result_id=None, item_id=None, line=None, key=None):
-            for k, v in zip(_FACTS, (kind, a, b, n, m, result_id, item_id, line, key), strict=True):
-                out[k].append(v)
-
-        for rid, item, source, page, raw in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-            text, broken = _prepared(raw)
-            groups = [(text, False)]
-            if source == "ocr":
+        for batch in batches:
+            out: dict[str, list] = {k: [] for k in _FACTS}
+
+            def add(*values):
+                for k, v in zip(_FACTS, values, strict=True):
+                    out[k].append(v)  # noqa: B023
+
+            for rid, item, source, page, raw in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                text, broken = _prepared(raw)
+                if source != "ocr":
+                    words = _NATIVE_TOKEN.findall(text)
+                    total.update(zip(["", *words], words, strict=False))
+                    continue
                 for left, right in dict.fromkeys(broken):
-                    add("break", left, right, result_id=rid)
+                    add("break", left, right, None, None, rid, item, None, None)
                 lines, numbers, edges, blocks = layout(text, page)
                 for i, kind in [*((i, "page_number") for i in numbers), *((i, "edge") for i in edges)]:
                     shape = _shape(" ".join(lines[i].split())).encode("utf-8", "surrogatepass")
-                    add(kind, result_id=rid, item_id=item, line=i, key=hashlib.blake2b(shape, digest_size=16).digest())
+                    add(kind, None, None, None, None, rid, item, i, hashlib.blake2b(shape, digest_size=16).digest())
                 body = {i for b in blocks for i in b}
-                groups = [(" ".join(lines[i] for i in b), True) for b in blocks]
-                groups.append(("\n".join(x for i, x in enumerate(lines) if i not in body), False))
-            for part, judged in groups:
-                words = _TOKEN.findall(part)
-                pairs = list(zip(["", *words], words, strict=False))
-                if JOINT in part:
-                    if judged:
+                words = _NATIVE_TOKEN.findall("\n".join(x for i, x in enumerate(lines) if i not in body).replace(JOINT, "\n"))
+                total.update(zip(["", *words], words, strict=False))
+                for b in blocks:
+                    part = " ".join(lines[i] for i in b)
+                    words = _TOKEN.findall(part)
+                    pairs = list(zip(["", *words], words, strict=False))
+                    if JOINT in part:
                         scanned.update((u.replace(JOINT, ""), v.replace(JOINT, "")) for u, v in pairs if JOINT in u or JOINT in v)
-                    pairs = [(u, v) for u, v in pairs if JOINT not in u and JOINT not in v]
-                total.update(pairs)
-                if judged:
+                        pairs = [(u, v) for u, v in pairs if JOINT not in u and JOINT not in v]
+                    total.update(pairs)
                     scanned.update(pairs)
-        for k in total | scanned:
-            if len(k[0]) <= MAX_WORD and len(k[1]) <= MAX_WORD:
-                add("bigram", k[0], k[1], total[k], scanned[k])
-        return out
+            yield out
+            if len(total) + len(scanned) > MOST_HELD:
+                yield flush(total, scanned)
+                total.clear()
+                scanned.clear()
+        yield flush(total, scanned)
 
     src = df.where(F.col("text").isNotNull()).select("result_id", "item_id", "source", "page", "text")
-    return arrow_map(src, run, "kind string, a string, b string, n bigint, m bigint, result_id bigint, item_id bigint, line int, key binary")
+    return arrow_stream(src, run, "kind string, a string, b string, n bigint, m bigint, result_id bigint, item_id bigint, line int, key binary")
 
 
 _FACTS = ("kind", "a", "b", "n", "m", "result_id", "item_id", "line", "key")
@@ -266,10 +279,12 @@ def _find(word: str, seen: str) -> list[int]:
     return out
 
 
-def candidates(bigrams: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(word, options) of words that a more probable word can have become, and the word counts."""
-    counts = bigrams.groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_ocr").alias("n_ocr"))
+def word_counts(bigrams: DataFrame) -> DataFrame:
+    return bigrams.groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_ocr").alias("n_ocr"))
 
+
+def candidates(counts: DataFrame) -> DataFrame:
+    """(word, n, options) of words that a more probable word can have become."""
     frequent = counts.where("n > 1")
     known = word_filter(frequent.select("word"), WORD_BITS)
 
@@ -303,7 +318,7 @@ def candidates(bigrams: DataFrame) -> tuple[DataFrame, DataFrame]:
     scored = met.select("word", "n", "cand", "n_cand", channel.alias("channel"))
     # plausible: the source alone or with its context could outweigh what was read
     plausible = scored.where(F.log("n_cand") + F.col("channel") > F.log(F.col("n") + 0.1) - 2.0)
-    return plausible.groupBy("word").agg(F.max("n").alias("n"), F.collect_list(F.struct("cand", "n_cand", "channel")).alias("options")), counts
+    return plausible.groupBy("word").agg(F.max("n").alias("n"), F.collect_list(F.struct("cand", "n_cand", "channel")).alias("options"))
 
 
 def contexts(bigrams: DataFrame, options: DataFrame) -> DataFrame:
@@ -354,10 +369,9 @@ def ocr_rows(df: DataFrame) -> DataFrame:
     return df.where((F.col("source") == "ocr") & F.col("text").isNotNull() & (F.trim("text") != "")).select("result_id", "item_id", "page", "text")
 
 
-def corrections(df: DataFrame, bigrams: DataFrame) -> DataFrame:
+def corrections(df: DataFrame, bigrams: DataFrame, counts: DataFrame) -> DataFrame:
     """(result_id, line, pos, word, corrected) of the misread words of body sentences."""
-    options, counts = candidates(bigrams)
-    options = cut(options, "options")
+    options = cut(candidates(counts), "options")
     edges = contexts(bigrams, options)
     total = float(counts.agg(F.sum("n")).first()[0] or 1)
     bloom = word_filter(options.select("word"), BLOOM_BITS)
@@ -370,6 +384,8 @@ def corrections(df: DataFrame, bigrams: DataFrame) -> DataFrame:
             lines, _, _, blocks = layout(text, page)
             for block in blocks:
                 words = [(i, p, w.replace(JOINT, "")) for i in block for p, w in enumerate(_TOKEN.findall(lines[i]))]
+                if not any(map(may, {w for _, _, w in words})):
+                    continue
                 prev = ""
                 for j, (i, p, w) in enumerate(words):
                     if may(w):
@@ -461,11 +477,11 @@ def noise(df: DataFrame) -> DataFrame:
     """(result_id, noise) of every scanned row."""
     found = cut(facts(df), "facts")
     bigrams = cut(bigram_counts(found), "bigrams")
-    counts = bigrams.groupBy("word").agg(F.sum("n").alias("n"))
+    counts = cut(word_counts(bigrams), "word-counts")
     lines = found.where("kind in ('page_number', 'edge')").select("result_id", "item_id", "line", "kind", "key")
     parts = [
         breaks(found, counts).where("broken").select("result_id", F.lit("hyphen").alias("noise")),
-        corrections(df, bigrams).select("result_id", F.lit("misread").alias("noise")),
+        corrections(df, bigrams, counts).select("result_id", F.lit("misread").alias("noise")),
         headers(lines).select("result_id", F.lit("header").alias("noise")),
         lines.where("kind = 'page_number'").select("result_id", F.lit("page_number").alias("noise")),
     ]
@@ -480,11 +496,11 @@ def repaired(df: DataFrame) -> DataFrame:
     lines joined to paragraphs."""
     found = cut(facts(df), "facts")
     bigrams = cut(bigram_counts(found), "bigrams")
-    counts = bigrams.groupBy("word").agg(F.sum("n").alias("n"))
+    counts = cut(word_counts(bigrams), "word-counts")
     lines = found.where("kind in ('page_number', 'edge')").select("result_id", "item_id", "line", "kind", "key")
     drop = headers(lines).select("result_id", "line").unionAll(lines.where("kind = 'page_number'").select("result_id", "line"))
     drops = drop.groupBy("result_id").agg(F.collect_set("line").alias("drops"))
-    fixes = corrections(df, bigrams).groupBy("result_id").agg(F.collect_list(F.struct("line", "pos", "corrected")).alias("fixes"))
+    fixes = corrections(df, bigrams, counts).groupBy("result_id").agg(F.collect_list(F.struct("line", "pos", "corrected")).alias("fixes"))
     hyphens = breaks(found, counts).where("not broken").groupBy("result_id").agg(F.collect_list(F.struct("left", "right")).alias("spelled"))
     rows = ocr_rows(df).dropDuplicates(["result_id"]).select("result_id", "text")
     rows = rows.join(drops, "result_id", "left").join(fixes, "result_id", "left").join(hyphens, "result_id", "left")
