@@ -218,7 +218,10 @@ def sentences(block: str) -> list[tuple[str, bool]]:
 def training_rows(spark: SparkSession, pages: DataFrame, rows: int = SAMPLE_ROWS) -> list[tuple[str, str]]:
     """(language claimed, text) of a bounded sample of rows that claim exactly one language."""
     one = pages.where(F.col("text").isNotNull() & F.col("lang_label").isNotNull()).select("result_id", named(F.col("lang_label")).alias("l"), "text").where("size(l) = 1")
-    picked = one.orderBy(F.xxhash64("result_id"), "text").limit(rows).select(F.col("l")[0].alias("lang"), "text").collect()
+    # a share of the rows by hash comes to about twice the sample, so that tasks don't each offer a whole one
+    share = min(1.0, 2 * rows / max(1, one.select(F.count(F.lit(1))).first()[0]))
+    mark = F.pmod(F.xxhash64("result_id"), F.lit(1 << 30))
+    picked = one.where(mark < int(share * (1 << 30))).orderBy(mark, "result_id", "text").limit(rows).select(F.col("l")[0].alias("lang"), "text").collect()
     return [(r["lang"], r["text"]) for r in picked]
 
 

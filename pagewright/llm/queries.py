@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import canonical, language, mojibake, ocr, quality
-from .common import table
+from . import canonical, language, mixing, mojibake, ocr, quality, tokens
+from .common import cut, table
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -62,6 +62,18 @@ def p5_texts(spark: SparkSession, d: str) -> DataFrame:
     return ocr.repaired(table(spark, d, "page_results"))
 
 
+def p6_ids(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.encoded(table(spark, d, "documents"))
+
+
+def p7_mixed(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mixed(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+def p7_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.shares(cut(p7_mixed(spark, d), "mixed"), table(spark, d, "mix_targets"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("p") and k[1].isdigit() and callable(v)}
 
