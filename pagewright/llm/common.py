@@ -34,16 +34,17 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends there, so a lost executor costs no
-    recomputation of what came before, and two consumers don't evaluate it twice."""
+    recomputation of what came before, and two consumers don't evaluate it twice.  Columns named in `by` become folders, so readers of one value skip the
+    rest."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/pagewright-{uuid.uuid4().hex[:12]}-{name}"
     if not _OPENED:
         atexit.register(_remove_all)
     _OPENED.append((spark, path))
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def _remove_all() -> None:

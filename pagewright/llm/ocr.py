@@ -475,7 +475,7 @@ def breaks(found: DataFrame, counts: DataFrame) -> DataFrame:
 
 def noise(df: DataFrame) -> DataFrame:
     """(result_id, noise) of every scanned row."""
-    found = cut(facts(df), "facts")
+    found = cut(facts(df), "facts", by=("kind",))
     bigrams = cut(bigram_counts(found), "bigrams")
     counts = cut(word_counts(bigrams), "word-counts")
     lines = found.where("kind in ('page_number', 'edge')").select("result_id", "item_id", "line", "kind", "key")
@@ -494,7 +494,7 @@ def noise(df: DataFrame) -> DataFrame:
 def repaired(df: DataFrame) -> DataFrame:
     """(result_id, repaired_text): headers and page numbers dropped, breaks undone, misread words replaced,
     lines joined to paragraphs."""
-    found = cut(facts(df), "facts")
+    found = cut(facts(df), "facts", by=("kind",))
     bigrams = cut(bigram_counts(found), "bigrams")
     counts = cut(word_counts(bigrams), "word-counts")
     lines = found.where("kind in ('page_number', 'edge')").select("result_id", "item_id", "line", "kind", "key")

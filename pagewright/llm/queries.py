@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import canonical, language, mixing, mojibake, ocr, quality, tokens
+from . import canonical, language, mixing, mojibake, ocr, quality, residue, tokens
 from .common import cut, table
 
 
@@ -74,6 +74,19 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(cut(p7_mixed(spark, d), "mixed"), table(spark, d, "mix_targets"))
 
 
+def _judged(spark: SparkSession, d: str) -> DataFrame:
+    return residue.judged(table(spark, d, "documents"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return _judged(spark, d).where("is_case").select("doc_id").distinct()
+
+
+def p8_kept(spark: SparkSession, d: str) -> DataFrame:
+    cases = _judged(spark, d).where("is_case").select("doc_id")
+    return table(spark, d, "documents").join(cases, "doc_id", "left_anti").select("doc_id", "text", "source")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("p") and k[1].isdigit() and callable(v)}
 
