@@ -105,7 +105,8 @@ def _number(s: str) -> int | None:
 def layout(text: str, page: int | None) -> tuple[list[str], list[int], list[int], list[list[int]]]:
     """Lines of a text, then indexes: page-number lines, edge lines that may be headers, body sentences by block."""
     lines = text.split("\n")
-    full = [i for i, x in enumerate(lines) if x.strip()]
+    full = [i for i, x in enumerate(lines) if x and not x.isspace()]
+    filled = set(full)
     numbers = [i for i in {*full[:2], *full[-2:]} if page_number(lines[i], page)]
     rest = [i for i in full if i not in numbers]
     width = max((len(lines[i]) for i in rest), default=0)
@@ -134,13 +135,13 @@ def layout(text: str, page: int | None) -> tuple[list[str], list[int], list[int]
     blocks: list[list[int]] = []
     block: list[int] = []
     for i in range(len(lines) + 1):
-        if i < len(lines) and lines[i].strip() and i not in taken:
+        inside = i in filled and i not in taken
+        if inside:
             block.append(i)
-        elif block and (i == len(lines) or not lines[i].strip() or i in taken):
-            joined = " ".join(lines[j].strip() for j in block)
-            words = _WORD.findall(joined)
-            alpha = sum(1 for w in words if w[-1].isalpha())
-            if len(words) >= 4 and alpha * 10 >= 6 * len(words) and (_SENTENCE_END.search(joined) or _INNER_END.search(joined)):
+        elif block:
+            joined = " ".join([lines[j].strip() for j in block])
+            words = joined.split(" ")
+            if len(words) >= 4 and sum([w[:1].isalpha() for w in words]) * 10 >= 6 * len(words) and (_SENTENCE_END.search(joined) or _INNER_END.search(joined)):
                 blocks.append(block)
             block = []
     return lines, numbers, edges, blocks
@@ -381,11 +382,11 @@ def corrections(df: DataFrame, bigrams: DataFrame, counts: DataFrame) -> DataFra
         out: dict[str, list] = defaultdict(list)
         for rid, page, raw in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             text, _ = _prepared(raw)
+            if not any(map(may, set(_TOKEN.findall(text.replace(JOINT, ""))))):
+                continue
             lines, _, _, blocks = layout(text, page)
             for block in blocks:
                 words = [(i, p, w.replace(JOINT, "")) for i in block for p, w in enumerate(_TOKEN.findall(lines[i]))]
-                if not any(map(may, {w for _, _, w in words})):
-                    continue
                 prev = ""
                 for j, (i, p, w) in enumerate(words):
                     if may(w):
