@@ -278,43 +278,57 @@ def classify(w: dict[str, np.ndarray], texts: list[str | None]) -> list[tuple[st
     """(language, confidence, paragraphs) of each text; a paragraph has its language, confidence, and the
     languages of its full sentences with their number."""
     seqs: list[bytes] = []
-    plan: list[list[tuple[int, int, list[tuple[int, int, bool]]]]] = []
+    starts: list[int] = []  # of paragraphs, then of full sentences, in patches over all sequences
+    ends: list[int] = []
+    owner: list[int] = []  # paragraph of each sentence
+    begin: list[int] = []
+    finish: list[int] = []
+    plan: list[int] = []  # paragraphs of each text
+    at = 0
     for t in texts:
-        rows = []
+        n = 0
         for block in blocks(canonical(t)) if t else []:
-            raw, spans, at = block.encode("utf-8", "surrogatepass"), [], 0
+            raw, here = block.encode("utf-8", "surrogatepass"), 0
+            plain = len(raw) == len(block)
             for s, whole in sentences(block):
-                size = len(s.encode("utf-8", "surrogatepass"))
-                spans.append((at, at + size, whole))
-                at += size
-            first = len(seqs)
+                size = len(s) if plain else len(s.encode("utf-8", "surrogatepass"))
+                if whole:
+                    owner.append(len(starts))
+                    begin.append(at + here // PATCH)
+                    finish.append(at + max(here // PATCH + 1, (here + size) // PATCH))
+                here += size
             seqs += [raw[i : i + WINDOW] for i in range(0, len(raw), WINDOW)]
-            rows.append((first, len(seqs), spans))
-        plan.append(rows)
-    probs = probabilities(w, seqs)
+            starts.append(at)
+            at += -(-len(raw) // PATCH)
+            ends.append(at)
+            n += 1
+        plan.append(n)
+    if not starts:
+        return [(None, 0.0, []) for _ in texts]
+    sums = np.zeros((at + 1, NONE + 1))
+    np.cumsum(np.concatenate(probabilities(w, seqs)), axis=0, dtype=np.float64, out=sums[1:])
+    pooled = sums[ends] - sums[starts]
+    means = pooled / (np.array(ends) - np.array(starts))[:, None]
+    best = means.argmax(1)
+    found: list[dict[str, int]] = [{} for _ in starts]
+    if owner:
+        each = (sums[finish] - sums[begin]) / (np.array(finish) - np.array(begin))[:, None]
+        which = each.argmax(1)
+        sure = (which != NONE) & (each.max(1) >= LEAST_SHARE)
+        for k in np.flatnonzero(sure).tolist():
+            lang = LANGS[which[k]]
+            found[owner[k]][lang] = found[owner[k]].get(lang, 0) + 1
     out: list[tuple[str | None, float, list[dict]]] = []
-    for rows in plan:
-        whole = np.zeros(NONE + 1)
-        paragraphs = []
-        for k, (a, b, spans) in enumerate(rows):
-            p = probs[a] if b == a + 1 else np.concatenate(probs[a:b])
-            mean = p.mean(0)
-            whole += p.sum(0)
-            found: dict[str, int] = {}
-            for i, j, full in spans:
-                if full:
-                    q = p[i // PATCH : max(i // PATCH + 1, j // PATCH)].mean(0)
-                    best = int(q.argmax())
-                    if best != NONE and q[best] >= LEAST_SHARE:
-                        found[LANGS[best]] = found.get(LANGS[best], 0) + 1
-            best = int(mean.argmax())
-            paragraphs.append({"paragraph": k, "lang": LANGS[best] if best != NONE else None, "confidence": float(mean[best]), "sentences": found})
-        total = whole.sum()
-        if total == 0:
+    at = 0
+    for n in plan:
+        if not n:
             out.append((None, 0.0, []))
             continue
-        best = int(whole[:NONE].argmax())  # a text of lists alone still gets the nearest language, with little confidence
-        out.append((LANGS[best], float(whole[best] / total), paragraphs))
+        whole = pooled[at : at + n].sum(0)
+        paragraphs = [{"paragraph": i, "lang": LANGS[best[k]] if best[k] != NONE else None, "confidence": float(means[k, best[k]]), "sentences": found[k]} for i, k in enumerate(range(at, at + n))]
+        top = int(whole[:NONE].argmax())  # a text of lists alone still gets the nearest language, with little confidence
+        out.append((LANGS[top], float(whole[top] / whole.sum()), paragraphs))
+        at += n
     return out
 
 

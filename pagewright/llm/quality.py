@@ -33,10 +33,12 @@ _SENTENCE_END = re.compile(r"(?<=[^\s.])(?:\.\.\.|[.!?…])[\"”“»’)\]]*(?
 _LINE_END = re.compile(r"[^\s.][.!?…][\"”“»’)\]]*$")
 _BULLET = re.compile(r"^(?:[-*•–·—+]|\d{1,3}[.)]|[a-zA-Z][.)]) ")
 _LEADER = re.compile(r"\.{4,} *\d+$")
+_PLAIN = re.compile(r"[^\W_]+| +")
 _CID = re.compile(r"\(cid:\d+\)")
 _HEX = re.compile(r"^(?=.*\d)(?=.*[a-f])[0-9a-f]{6,}$|^\d{8}$")
 _VOWEL = re.compile("[aeiouyàáâãäåæèéêëìíîïòóôõöøùúûüýÿœаеёиоуыэюяіїє]", re.IGNORECASE)
 _LETTER = re.compile(r"[^\W\d_]")
+_LAST = set(".!?…\"”“»’)]")
 _EDGE = ".,;:()[]„“”\"'’!?«»…"
 _STROKES = set("il1|")
 _DEBRIS = set("«»°¦¬·*§")
@@ -83,16 +85,12 @@ class PageStats:
     def __init__(self, common: frozenset[str]) -> None:
         self.common, self.memo = common, {}
 
-    def classes(self, tokens: list[str]) -> list[int]:
-        memo, out = self.memo, []
-        for t in tokens:
-            c = memo.get(t)
-            if c is None:
-                c = token_class(t)
-                if len(memo) < 300_000:
-                    memo[t] = c
-            out.append(c)
-        return out
+    def know(self, token: str) -> tuple[int, str]:
+        """Class and plain form of a token."""
+        known = (token_class(token), token.strip(_EDGE).lower())
+        if len(self.memo) < 300_000:
+            self.memo[token] = known
+        return known
 
     def __call__(self, text: str) -> tuple[str | None, dict]:
         chars = len("".join(text.split()))
@@ -101,26 +99,30 @@ class PageStats:
         tokens: list[str] = []
         size = [0, 0, 0, 0]
         number = [0, 0, 0, 0]
-        rows = entries = 0
+        words: list[str] = []
+        rows = entries = ended = 0
         for line in lines:
-            ts = [t for t in _SPLIT.split(line) if t]
-            cs = self.classes(ts)
+            ts = line.split() if "|" not in line and ";" not in line else [t for t in _SPLIT.split(line) if t]
             n = [0, 0, 0, 0]
-            for t, c in zip(ts, cs, strict=True):
+            for t in ts:
+                known = self.memo.get(t) or self.know(t)
+                c = known[0]
                 n[c] += 1
                 size[c] += len(t)
+                words.append(known[1])
+            ends = line[-1] in _LAST and bool(_LINE_END.search(line[-8:]))
+            ended += ends
             for k in range(4):
                 number[k] += n[k]
             tokens += ts
             cells = sum(n) - n[MARK] + (line.count(" - ") if n[FIGURE] > 1 else 0)
-            if n[FIGURE] >= 2 and n[FIGURE] * 2 >= cells and not _LINE_END.search(line):
+            if n[FIGURE] >= 2 and n[FIGURE] * 2 >= cells and not ends:
                 rows += 1
-            elif len(ts) <= 12 and (not _LINE_END.search(line) or _BULLET.match(line)):
+            elif len(ts) <= 12 and (not ends or _BULLET.match(line)):
                 entries += 1
         total = max(1, sum(number) - number[MARK])
         visible = max(1, sum(size))
         unreadable = (size[UNREADABLE] if not cid else max(size[UNREADABLE], cid)) / visible
-        words = [t.strip(_EDGE).lower() for t in tokens]
         joined = " ".join(text.split())
         in_sentences, at, count = 0, 0, 0
         for m in _SENTENCE_END.finditer(joined):
@@ -133,15 +135,16 @@ class PageStats:
         paragraphs = [p.strip() for p in _PARAGRAPH.split(text) if p.strip()]
         several_p = Counter(paragraphs)
         pairs = Counter(zip(words, words[1:], strict=False))
-        top, top_n = max(pairs.items(), key=lambda x: x[1] * (len(x[0][0]) + len(x[0][1]))) if pairs else (("", ""), 0)
-        fives = Counter(zip(words, words[1:], words[2:], words[3:], words[4:], strict=False)) if len(words) > 5 else {}
+        again = [(g, n) for g, n in pairs.items() if n > 1]
+        top, top_n = max(again, key=lambda x: x[1] * (len(x[0][0]) + len(x[0][1]))) if again else (("", ""), 0)
+        fives = Counter(zip(words, words[1:], words[2:], words[3:], words[4:], strict=False)) if len(again) > 3 else {}
         stats = {
             "n_chars": chars,
             "n_words": number[WORD] + number[FIGURE],
             "n_lines": len(lines),
             "mean_word_length": sum(map(len, words)) / max(1, len(words)),
-            "symbol_ratio": sum(1 for c in joined if not c.isalnum() and c != " ") / max(1, chars),
-            "end_mark_share": sum(1 for x in lines if _LINE_END.search(x)) / max(1, len(lines)),
+            "symbol_ratio": len(_PLAIN.sub("", joined)) / max(1, chars),
+            "end_mark_share": ended / max(1, len(lines)),
             "common_share": sum(1 for x in words if x in self.common) / max(1, len(words)),
             "figure_share": number[FIGURE] / total,
             "unreadable_share": unreadable,
