@@ -46,7 +46,7 @@ def document_source(source: Column) -> Column:
 
 def render_size(points: Column, dpi: Column) -> Column:
     """Pixels of a page edge: the scaled length, rounded up."""
-    return F.ceil(points * dpi / 72).cast("int")
+    return F.ceil(points * (dpi / 72)).cast("int")
 
 
 def with_timeout(fn: Callable[[], tuple[str, float]], ms: float) -> tuple[str, float]:
