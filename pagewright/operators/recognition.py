@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.functions import errors, text
+from pagewright.shipping import ship
 
 # Fixed value: the context keys a result never carries over.
 DROPPED = ("pages", "pageCount", "recommendedMode", "nativePageCount", "ocrPageCount", "downloaded_base64", "attachment_base64", "attachments_to_process")
@@ -69,6 +70,8 @@ def ocr_pages(pages: DataFrame, make_backend: Callable[[], OcrBackend], on_error
     names = [f.name for f in kept]
     schema = pages.drop("content").schema.add("ocr_text", "string").add("ocr_confidence", "double").add("ocr_error", "string")
 
+    ship(pages.sparkSession)
+
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_schema

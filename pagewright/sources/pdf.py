@@ -15,11 +15,12 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pagewright.functions.geometry import OPCODES
+from pagewright.shipping import ship
 
 PAGE_SCHEMA = (
     "page int, page_count int, width double, height double, items array<struct<str:string,has_eol:boolean>>, "
@@ -607,6 +608,9 @@ def cut_udf(content: Column, first: Column, last: Column) -> Column:
     from pagewright.functions import errors
     from pagewright.functions import pages as rules
 
+    if (active := SparkSession.getActiveSession()) is not None:
+        ship(active)
+
     def broken(n: int, a: float | None, b: float | None) -> str | None:
         whole = lambda x: x is not None and x == x and abs(x) < 9e15 and int(x) == x and x >= 1
         if not whole(a):
@@ -649,7 +653,9 @@ def pages(df: DataFrame, content: str = "content", keep: tuple[str, ...] = (), w
     schema = StructType([df.schema[k] for k in keep])
     for f in StructType.fromDDL(PAGE_SCHEMA):
         schema = schema.add(f)
+    found = [f.name for f in StructType.fromDDL(PAGE_SCHEMA)]
     schema = schema.add("error", "string")
+    ship(df.sparkSession)
 
     def run(batches):
         import pyarrow as pa
@@ -666,7 +672,7 @@ def pages(df: DataFrame, content: str = "content", keep: tuple[str, ...] = (), w
                 except Exception as e:
                     if on_error == "fail":
                         raise
-                    out = [base | dict.fromkeys((f.name for f in StructType.fromDDL(PAGE_SCHEMA)), None) | {"error": str(e)}]
+                    out = [base | dict.fromkeys(found, None) | {"error": str(e)}]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in out], arrow.field(n).type) for n in arrow.names], schema=arrow)
 
