@@ -1,12 +1,17 @@
+import sys
 import time
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from pagewright.operators import recognition
 from pagewright.operators.concurrency import map_limit
 
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers don't see the tests
+
+
 class Fake:
     """Deterministic stand-in for an OCR engine."""
 
