@@ -37,18 +37,23 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD))
 
 
+def _count(text: Column, kind: str) -> Column:
+    """Number of characters of a class, taken run by run, which needs far fewer matches than one by one."""
+    return F.length(text) - F.length(F.regexp_replace(text, f"{kind}+", ""))
+
+
 def meaningful_chars(text: Column) -> Column:
     """Letters and digits."""
-    return F.regexp_count(text, F.lit(r"[\p{L}\p{N}]"))
+    return _count(text, r"[\p{L}\p{N}]")
 
 
 def valid_chars(text: Column) -> Column:
     """Characters that are neither white space, control nor replacement characters."""
-    return F.regexp_count(text, F.lit(rf"[^{BLANKS}\x00-\x1F\x7F\x{{FFFD}}]"))
+    return _count(text, rf"[^{BLANKS}\x00-\x1F\x7F\x{{FFFD}}]")
 
 
 def invalid_chars(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(r"[\x{FFFD}\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"))
+    return _count(text, r"[\x{FFFD}\x00-\x08\x0B\x0C\x0E-\x1F\x7F]")
 
 
 def invalid_ratio(text: Column) -> Column:

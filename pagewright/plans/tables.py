@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+from pagewright.sources.tables import read_table as table
 
 
 def items(spark: SparkSession, d: str) -> DataFrame:
