@@ -13,14 +13,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 from pagewright.shipping import ship
+from pagewright.sources.tables import read_table as table  # noqa: F401
 
 _OPENED: list[tuple[SparkSession, str]] = []
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors share.  The cluster names it in spark.checkpoint.dir; only where that is
     unset (tests, a single machine) is one of our own chosen."""
