@@ -110,7 +110,7 @@ def skeleton(text: str) -> str:
     return out
 
 
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(r"[^\W_]+")
 _CYRILLIC = re.compile("[Ѐ-ӿ]")
 
 

@@ -33,12 +33,12 @@ from pyspark.sql import functions as F
 from .canonical import canonical
 from .common import arrow_map, arrow_stream, cut, word_filter
 
-JOINT = "\ue0f9"  # stands between the parts of a word that was broken across lines
+JOINT = "\ua78f"  # a rare letter, stands between the parts of a word that was broken across lines
 # Shapes a reader of scans confuses, (on the page, read as).
 CONFUSIONS = (
     ("e", "c"), ("c", "e"), ("l", "1"), ("l", "I"), ("I", "l"), ("i", "1"), ("i", "l"), ("o", "0"), ("O", "0"), ("g", "9"), ("q", "9"),
     ("u", "ii"), ("ü", "ii"), ("d", "cl"), ("cl", "d"), ("h", "b"), ("b", "h"), ("m", "rn"), ("rn", "m"), ("w", "vv"), ("n", "ri"),
-    ("é", "6"), ("ó", "6"), ("b", "6"), ("s", "5"), ("S", "5"), ("z", "2"), ("B", "8"), ("a", "4"), ("ß", "B"), ("t", "f"), ("f", "t"), ("k", "lc"),
+    ("é", "6"), ("ó", "6"), ("b", "6"), ("s", "5"), ("S", "5"), ("z", "2"), ("B", "8"), ("a", "4"), ("ß", "B"), ("fi", "h"), ("t", "f"), ("f", "t"), ("k", "lc"),
     ("н", "и"), ("и", "н"), ("п", "л"), ("л", "п"), ("ч", "4"), ("з", "3"), ("б", "6"), ("о", "0"), ("ш", "щ"), ("ь", "ъ"), ("ц", "ц"),
     ("ä", "a"), ("ö", "o"), ("ü", "u"), ("é", "e"), ("è", "e"), ("à", "a"), ("á", "a"), ("í", "i"), ("ó", "o"), ("ú", "u"), ("ñ", "n"), ("ç", "c"), ("ë", "e"), ("ô", "o"), ("ê", "e"), ("ё", "е"), ("й", "и"),
 )
@@ -46,7 +46,9 @@ CONFUSIONS = (
 PAGE_WORDS = ("seite", "s", "blatt", "bl", "page", "p", "pg", "pag", "página", "pág", "pagina", "hoja", "folio", "feuille", "blz", "bladzijde", "страница", "стр", "с", "лист", "sheet", "no", "nr")
 # Marks that show a break.
 BREAK_MARKS = "-‐‑­¬=⸗~\x02\x1f"
-START_P = 1e-3  # channel probability of each confusion before it is estimated
+SCAN_TRUST = 0.02  # weight of what scanned sentences say against clean text
+UNSEEN = 0.02  # count of a word never seen
+START_P = 3e-3  # channel probability of each confusion before it is estimated
 MAX_ERRORS = 3  # misread places within one word
 MOST_HELD = 400_000  # bigrams a task holds before it hands them on
 MAX_WORD = 60  # a longer string is no word
@@ -88,12 +90,25 @@ def page_number(line: str, page: int | None) -> bool:
     if not m or (m["word"] and _shape(m["word"]) not in _PAGE_SHAPES):
         return False
     n, total = _number(m["n"]), _number(m["total"]) if m["total"] else None
+    if m["n"].translate(_STROKES) == _roman(page).translate(_STROKES):
+        return True
     return n == page and (total is None or total >= page)
 
 
+_STROKES = str.maketrans("l1|", "iii")
+
+
+def _roman(n: int) -> str:
+    out = ""
+    for value, sign in ((100, "c"), (90, "xc"), (50, "l"), (40, "xl"), (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i")):
+        out += sign * (n // value)
+        n %= value
+    return out
+
+
 _PAGE_SHAPES = {_shape(w) for w in PAGE_WORDS}
 _PAGE_LINE = re.compile(
-    r"^[^\w]*(?:(?P<word>[^\W_]{1,10})[.:]?[ ]*?(?:(?<=[.:])|[ ]+))?(?P<n>[0-9liioz|sb]{1,4})(?:\s*(?:/|\||of|0f|von|v0n|de|dc|cle|sur|siir|van|из|nз|\(|,)\s*(?P<total>[0-9lioz|sb]{1,4}))?[^\w]*$"
+    r"^[-–—\[(|·.•* ]{0,4}(?:(?P<word>[^\W_]{1,10})[.:]?[ ]*?(?:(?<=[.:])|[ ]+))?(?P<n>[0-9lioz|sb]{1,4}|[ivxlc1|]{1,8})(?:\s*(?:/|\||of|0f|von|v0n|de|dc|cle|sur|siir|van|из|nз|\(|,)\s*(?P<total>[0-9lioz|sb]{1,4}))?[-–—\])|·.•* ]{0,4}$"
 )
 
 
@@ -157,6 +172,20 @@ def _title(x: str, apart: bool) -> bool:
     return apart or not re.search(r"[,;:!?]$", x) and not (x.endswith(".") and not re.search(r"\b(?:[^\W\d_]\.)+$", x))
 
 
+_MARKED_TITLE = re.compile(r"\d{4}\)?$| [/·|–—] |[^\W\d_] {2,}\S")
+
+
+def _edge_kinds(lines: list[str], numbers: list[int], edges: list[int]) -> list[tuple[int, str]]:
+    """Lines at the edges of the page: 'edge' where form or place says header, 'maybe' where only its
+    recurrence can."""
+    full = [i for i, x in enumerate(lines) if x and not x.isspace() and i not in numbers]
+    out = [(i, "edge") for i in edges]
+    for i in {*full[:2], *full[-2:]} - set(edges):
+        if _title(x := lines[i].strip(), False):
+            out.append((i, "edge" if _MARKED_TITLE.search(x) else "maybe"))
+    return out
+
+
 def _stands_alone(lines: list[str], i: int, nxt: int, width: int, apart: bool) -> bool:
     """A top line that no wrapped sentence runs on from."""
     x, y = lines[i].strip(), lines[nxt].strip()
@@ -173,8 +202,9 @@ def _prepared(raw: str) -> tuple[str, list[tuple[str, str]]]:
     breaks: list[tuple[str, str]] = []
     parts, done = [], 0
     for m in _MARKED_END.finditer(raw):
-        line = canonical(raw[raw.rfind("\n", 0, m.start()) + 1 : m.start()])
-        left, right = _TAIL.search(line), _HEAD.match(canonical(raw[m.end() : m.end() + 80]))
+        both = canonical(raw[raw.rfind("\n", 0, m.start()) + 1 : m.start()] + JOINT + raw[m.end() : m.end() + 80])
+        line, _, rest = both.rpartition(JOINT) if JOINT not in raw else (both, "", "")
+        left, right = _TAIL.search(line), _HEAD.match(rest)
         if left and right and _LETTER.search(left[0]) and _LETTER.search(right[0]) and not _CODE.match(left[0]):
             breaks.append((left[0], right[0]))
             parts += [raw[done : m.start()], JOINT]
@@ -189,7 +219,7 @@ def facts(df: DataFrame) -> DataFrame:
     """All that one pass over the texts finds, told apart by kind:
     bigram: a before b, n times in all rows and m times in body sentences of scanned pages, counted within a
     task as long as MOST_HELD entries hold them;
-    break: a and b parted at a line end of result_id; page_number, edge: such a line with the digest of its shape.
+    break: a and b parted at a line end of result_id; page_number, edge, maybe: such a line with the digest of its shape.
     A word joined from a break counts as no evidence (n 0), it is only a word to judge."""
 
     def flush(total: Counter, scanned: Counter) -> dict[str, list]:
@@ -217,7 +247,7 @@ def facts(df: DataFrame) -> DataFrame:
                 for left, right in dict.fromkeys(broken):
                     add("break", left, right, None, None, rid, item, None, None)
                 lines, numbers, edges, blocks = layout(text, page)
-                for i, kind in [*((i, "page_number") for i in numbers), *((i, "edge") for i in edges)]:
+                for i, kind in [*((i, "page_number") for i in numbers), *_edge_kinds(lines, numbers, edges)]:
                     shape = _shape(" ".join(lines[i].split())).encode("utf-8", "surrogatepass")
                     add(kind, None, None, None, None, rid, item, i, hashlib.blake2b(shape, digest_size=16).digest())
                 body = {i for b in blocks for i in b}
@@ -304,21 +334,23 @@ def candidates(counts: DataFrame) -> DataFrame:
         return out
 
     # codes (upper case with digits) and bare numbers are no words of a sentence
-    asked = counts.where((F.col("n_ocr") > 0) & (F.length("word") >= 2) & F.col("word").rlike(r"\p{L}") & ~F.col("word").rlike(r"^\p{Lu}{1,3}\d|\d{3}"))
-    made = arrow_map(asked.select("word", "n", "n_ocr"), run, "word string, n bigint, n_ocr bigint, cand string, errors array<int>")
-    real = frequent.select(F.col("word").alias("cand"), F.col("n").alias("n_cand"))
+    # a word seen on scanned pages alone is hardly a word of its own right
+    own = F.greatest(F.col("n") - F.col("n_ocr"), F.lit(0)) + SCAN_TRUST * F.col("n_ocr")
+    asked = counts.withColumn("own", own).where((F.col("n_ocr") > 0) & (F.length("word") >= 2) & F.col("word").rlike(r"\p{L}") & ~F.col("word").rlike(r"^\p{Lu}{1,3}\d|\d{3}"))
+    made = arrow_map(asked.select("word", "own", "n_ocr"), run, "word string, n double, n_ocr bigint, cand string, errors array<int>")
+    real = frequent.select(F.col("word").alias("cand"), F.col("n").alias("n_cand"), F.col("n_ocr").alias("n_cand_ocr"))
     met = cut(made.join(real, "cand"), "readings")
     # confusion probabilities: how often each confusion explains a rare word, against what it could have hit
     one = met.where("size(errors) = 1 and n_cand > 20 * (n + 1)")
-    seen = one.groupBy(F.col("errors")[0].alias("k")).agg(F.sum("n_ocr").alias("hits"), F.sum("n_cand").alias("base")).collect()  # at most one row a confusion
+    seen = one.groupBy(F.col("errors")[0].alias("k")).agg(F.sum("n_ocr").alias("hits"), F.sum("n_cand_ocr").alias("base")).collect()  # at most one row a confusion
     p = [START_P] * len(_PAIRS)
     for r in seen:
-        p[r["k"]] = min(0.05, max(START_P / 10, r["hits"] / max(r["base"], 1)))
+        p[r["k"]] = min(0.05, max(START_P / 3, r["hits"] / max(r["base"], 1)))
     logs = F.array(*[F.lit(math.log(x)) for x in p])
     channel = F.aggregate("errors", F.lit(0.0), lambda a, k: a + F.get(logs, k))
     scored = met.select("word", "n", "cand", "n_cand", channel.alias("channel"))
     # plausible: the source alone or with its context could outweigh what was read
-    plausible = scored.where(F.log("n_cand") + F.col("channel") > F.log(F.col("n") + 0.1) - 2.0)
+    plausible = scored.where(F.log("n_cand") + F.col("channel") > F.log(F.col("n") + UNSEEN) - 2.0)
     return plausible.groupBy("word").agg(F.max("n").alias("n"), F.collect_list(F.struct("cand", "n_cand", "channel")).alias("options"))
 
 
@@ -332,14 +364,15 @@ def contexts(bigrams: DataFrame, options: DataFrame) -> DataFrame:
     none = F.array().cast("array<string>")
     wide = both.select("prev", "word", F.explode(F.concat(F.array("prev"), F.coalesce("pc", none))).alias("u"), F.concat(F.array("word"), F.coalesce("wc", none)).alias("vs"))
     wide = wide.select("prev", "word", "u", F.explode("vs").alias("v"))
-    known = bigrams.where("n > 0").select(F.col("prev").alias("u"), F.col("word").alias("v"), "n")
+    own = F.greatest(F.col("n") - F.col("n_ocr"), F.lit(0)) + SCAN_TRUST * F.col("n_ocr")
+    known = bigrams.where("n > 0").select(F.col("prev").alias("u"), F.col("word").alias("v"), own.alias("n"))
     return wide.join(known, ["u", "v"]).groupBy("prev", "word").agg(F.collect_list(F.struct("u", "v", "n")).alias("edges"))
 
 
 # -------------------------------------------------------------------------------------------- decoding
 
 
-def viterbi(tokens: list[str], options: dict[str, tuple[int, list]], edges: dict[tuple[str, str], dict[tuple[str, str], int]], total: float, unigrams: dict[str, int]) -> list[str]:
+def viterbi(tokens: list[str], options: dict[str, tuple[float, list]], edges: dict[tuple[str, str], dict[tuple[str, str], float]], total: float, unigrams: dict[str, float]) -> list[str]:
     """Most probable words of a line given what was read."""
     keep = math.log(1 - 20 * START_P)
     paths: dict[str, tuple[float, list[str]]] = {"": (0.0, [])}
@@ -357,7 +390,7 @@ def viterbi(tokens: list[str], options: dict[str, tuple[int, list]], edges: dict
             best = None
             for u, (score, path) in paths.items():
                 pu = max(unigrams.get(u, 0), 1)
-                lm = INTERPOLATION * known.get((u, v), 0) / pu + (1 - INTERPOLATION) * (n + 0.1) / total
+                lm = INTERPOLATION * known.get((u, v), 0) / pu + (1 - INTERPOLATION) * (n + UNSEEN) / total
                 s = score + channel + math.log(lm)
                 if best is None or s > best[0]:
                     best = (s, path)
@@ -437,7 +470,7 @@ def _decode_run(run_: list[dict], total: float) -> list[str]:
     tokens = [run_[0]["prev"], *(x["word"] for x in run_), run_[-1]["next"]]
     options = {x["word"]: (x["n"], x["options"]) for x in run_}
     unigrams = {run_[0]["prev"]: run_[0]["n_prev"] or 1}
-    edges: dict[tuple[str, str], dict[tuple[str, str], int]] = {}
+    edges: dict[tuple[str, str], dict[tuple[str, str], float]] = {}
     for x in run_:
         unigrams[x["word"]] = x["n"]
         for o in x["options"]:
@@ -454,10 +487,11 @@ def _decode_run(run_: list[dict], total: float) -> list[str]:
 
 
 def headers(lines: DataFrame, least: int = 3) -> DataFrame:
-    """Edge lines that recur on at least `least` scanned rows of their item."""
-    edge = lines.where("kind = 'edge' and item_id is not null").select("item_id", "key", "result_id", "line").distinct()
-    often = edge.groupBy("item_id", "key").agg(F.countDistinct("result_id").alias("n")).where(F.col("n") >= least).drop("n")
-    return edge.join(often, ["item_id", "key"])
+    """Edge lines that recur on at least `least` scanned rows of their item, where one of them at least is
+    told by its form or place."""
+    edge = lines.where("kind in ('edge', 'maybe') and item_id is not null").select("item_id", "key", "result_id", "line", "kind").distinct()
+    often = edge.groupBy("item_id", "key").agg(F.countDistinct("result_id").alias("n"), F.min("kind").alias("told")).where((F.col("n") >= least) & (F.col("told") == "edge"))
+    return edge.drop("kind").join(often.select("item_id", "key"), ["item_id", "key"])
 
 
 def breaks(found: DataFrame, counts: DataFrame) -> DataFrame:
@@ -479,7 +513,7 @@ def noise(df: DataFrame) -> DataFrame:
     found = cut(facts(df), "facts", by=("kind",))
     bigrams = cut(bigram_counts(found), "bigrams")
     counts = cut(word_counts(bigrams), "word-counts")
-    lines = found.where("kind in ('page_number', 'edge')").select("result_id", "item_id", "line", "kind", "key")
+    lines = found.where("kind in ('page_number', 'edge', 'maybe')").select("result_id", "item_id", "line", "kind", "key")
     parts = [
         breaks(found, counts).where("broken").select("result_id", F.lit("hyphen").alias("noise")),
         corrections(df, bigrams, counts).select("result_id", F.lit("misread").alias("noise")),
@@ -498,7 +532,7 @@ def repaired(df: DataFrame) -> DataFrame:
     found = cut(facts(df), "facts", by=("kind",))
     bigrams = cut(bigram_counts(found), "bigrams")
     counts = cut(word_counts(bigrams), "word-counts")
-    lines = found.where("kind in ('page_number', 'edge')").select("result_id", "item_id", "line", "kind", "key")
+    lines = found.where("kind in ('page_number', 'edge', 'maybe')").select("result_id", "item_id", "line", "kind", "key")
     drop = headers(lines).select("result_id", "line").unionAll(lines.where("kind = 'page_number'").select("result_id", "line"))
     drops = drop.groupBy("result_id").agg(F.collect_set("line").alias("drops"))
     fixes = corrections(df, bigrams, counts).groupBy("result_id").agg(F.collect_list(F.struct("line", "pos", "corrected")).alias("fixes"))

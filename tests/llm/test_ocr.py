@@ -64,7 +64,7 @@ def test_empty(spark, found):
 
 @pytest.mark.parametrize(
     ("line", "page", "expected"),
-    [("- 3 -", 3, True), ("Page l sur l8", 1, True), ("Seite 4 von 9", 4, True), ("p. 12", 12, True), ("[5]", 5, True), ("2 | 4", 2, True), ("12", 11, False), ("896,70 €", 8, False), ("Страница 3 из 10", 3, True), ("3. Garantie", 3, False), ("Anlage 3", 3, False), ("5", None, False)],
+    [("- 3 -", 3, True), ("Page l sur l8", 1, True), ("Seite 4 von 9", 4, True), ("p. 12", 12, True), ("[5]", 5, True), ("2 | 4", 2, True), ("12", 11, False), ("896,70 €", 8, False), ("Страница 3 из 10", 3, True), ("3. Garantie", 3, False), ("Anlage 3", 3, False), ("5", None, False), ("iv", 4, True), ("- lx -", 9, True), ("vi", 5, False), ("¦ i »«", 1, False)],
 )
 def test_number_lines(line, page, expected):
     assert O.page_number(line, page) is expected
