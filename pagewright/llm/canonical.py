@@ -111,6 +111,7 @@ def skeleton(text: str) -> str:
 
 
 _WORD = re.compile(r"[^\W_]+")
+_BACK = str.maketrans(CYRILLIC_BACK)
 _CYRILLIC = re.compile("[Ѐ-ӿ]")
 
 
@@ -123,7 +124,7 @@ def canonical(text: str | None) -> str | None:
     out = skeleton(text)
     if not _CYRILLIC.search(out):
         return out
-    return _WORD.sub(lambda m: "".join(CYRILLIC_BACK.get(c, c) for c in w) if _CYRILLIC.search(w := m.group()) else w, out)
+    return _WORD.sub(lambda m: w.translate(_BACK) if _CYRILLIC.search(w := m.group()) else w, out)
 
 
 def _digest(s: str) -> bytes:

@@ -70,7 +70,8 @@ _INNER_END = re.compile(r"[^\W\d_]{2}[.!?][\"”“»)]* ")
 
 def _shape(s: str) -> str:
     """Equal for strings that differ only by confusable shapes."""
-    s = "".join(c for c in ud.normalize("NFD", s) if not ud.combining(c))
+    if not s.isascii():
+        s = "".join([c for c in ud.normalize("NFD", s) if not ud.combining(c)])
     for a, b in (("m", "rn"), ("d", "cl"), ("w", "vv"), ("u", "ii"), ("ß", "B")):
         s = s.replace(a, b)
     return s.translate(_SHAPES)
