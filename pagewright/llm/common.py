@@ -74,6 +74,19 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, list]], sc
     return arrow_stream(df, lambda batches: map(fn, batches), schema)
 
 
+def portions(texts: list[str | None], most: int) -> Iterator[slice]:
+    """Slices of a batch of about `most` characters, so that long texts don't multiply a task's memory."""
+    at, held = 0, 0
+    for i, t in enumerate(texts):
+        n = len(t or "")
+        if i > at and held + n > most:
+            yield slice(at, i)
+            at, held = i, 0
+        held += n
+    if at < len(texts):
+        yield slice(at, len(texts))
+
+
 class WordFilter:
     """A Bloom filter of fixed size in a broadcast: it never misses a member, so an exact join may follow on
     what passes.  Its size doesn't depend on the data; only its selectivity does."""

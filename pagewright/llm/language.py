@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .canonical import canonical
-from .common import arrow_map, ship
+from .common import arrow_map, portions, ship
 from .mojibake import garbled_forms
 
 # The languages, and how senders spell them.
@@ -39,6 +39,7 @@ SPELLINGS = {
 NONE = len(LANGS)
 SAMPLE_ROWS = 5000  # labelled rows the classifier is fitted on, at most
 PATCH, HIDDEN, WINDOW = 4, 16, 512
+PORTION = 4_000_000  # characters labelled at a time
 LEAST_SHARE = 0.5  # pooled probability a sentence needs to count for its language
 
 _BLOCK = re.compile(r"\n[ \t]*\n\s*")
@@ -340,7 +341,7 @@ def labelled(df: DataFrame, w: dict[str, np.ndarray], id_col: str = "result_id")
 
     def run(batch):
         ids, names, texts = (batch.column(i).to_pylist() for i in range(3))
-        got = classify(shared.value, texts)
+        got = [g for part in portions(texts, PORTION) for g in classify(shared.value, texts[part])]
         return {
             id_col: ids,
             "named": names,
