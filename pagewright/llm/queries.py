@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import canonical, language, mixing, mojibake, ocr, quality, residue, tokens
+from . import canonical, language, mixing, mojibake, ocr, oracle, quality, residue, tokens
 from .common import cut, table
 
 
@@ -92,4 +92,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
