@@ -8,8 +8,8 @@ _TO_WIDE = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F))
 _BLANKS = "".join(map(chr, (0xA0, 0x1680, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000)))
 _HYPHENS = "".join(map(chr, (0x2010, 0x2011, 0xFE63)))
 _LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st", "ĳ": "ij", "Ĳ": "IJ"}
-_FROM_LOOK = "АВЕКМНОРСТУХаеорсухЅІЈѕіј" + "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧο" + "ЁёЇїЀѐ" + "ΆΈΊΌΎόΪΫ"
-_TO_LOOK = "ABEKMHOPCTYXaeopcyxSIJsij" + "ABEZHIKMNOPTYXo" + "ËëÏïÈè" + "ÁÉÍÓÝóÏŸ"
+_FROM_LOOK = "АВЕКМНОРСТУХаеорсухЅІЈѕіј" + "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧο" + "ЁёЇїЀѐӒӓӐӑӖӗӦӧӰӱ" + "ΆΈΊΌΎόΪΫ"
+_TO_LOOK = "ABEKMHOPCTYXaeopcyxSIJsij" + "ABEZHIKMNOPTYXo" + "ËëÏïÈèÄäĂăĔĕÖöŸÿ" + "ÁÉÍÓÝóÏŸ"
 _INVISIBLE = r"[\x{AD}\x{34F}\x{61C}\x{180E}\x{200B}-\x{200F}\x{2060}-\x{2064}\x{FEFF}\x{FE00}-\x{FE0F}]"
 
 
