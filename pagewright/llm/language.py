@@ -40,6 +40,7 @@ NONE = len(LANGS)
 SAMPLE_ROWS = 5000  # labelled rows the classifier is fitted on, at most
 PATCH, HIDDEN, WINDOW = 4, 16, 512
 PORTION = 4_000_000  # characters labelled at a time
+PARAGRAPH_WEIGHT = 0.6  # of the paragraph's probabilities against those of a sentence itself
 LEAST_SHARE = 0.5  # pooled probability a sentence needs to count for its language
 
 _BLOCK = re.compile(r"\n[ \t]*\n\s*")
@@ -159,7 +160,7 @@ def gradients(w: dict[str, np.ndarray], idx: np.ndarray, n: np.ndarray, labels:
     return loss, g
 
 
-def train(seqs: list[bytes], labels: list[int], epochs: int = 5, batch: int = 256, rate: float = 0.012, seed: int = 7) -> dict[str, np.ndarray]:
+def train(seqs: list[bytes], labels: list[int], epochs: int = 7, batch: int = 256, rate: float = 0.012, seed: int = 7) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
     w = new_weights(seed)
     m = {k: np.zeros_like(v) for k, v in w.items()}
@@ -226,7 +227,7 @@ def training_rows(spark: SparkSession, pages: DataFrame, rows: int = SAMPLE_ROWS
     return [(r["lang"], r["text"]) for r in picked]
 
 
-def training_set(rows: list[tuple[str, str]], common: dict[str, set[str]], per_class: int = 1500, seed: int = 7) -> tuple[list[bytes], list[int]]:
+def training_set(rows: list[tuple[str, str]], common: dict[str, set[str]], per_class: int = 2000, seed: int = 7) -> tuple[list[bytes], list[int]]:
     """Windows of bytes with their class."""
     rng = np.random.default_rng(seed)
     by: dict[int, list[str]] = {i: [] for i in range(NONE + 1)}
@@ -249,11 +250,11 @@ def training_set(rows: list[tuple[str, str]], common: dict[str, set[str]], per_c
             kind = rng.random()
             if kind < 0.07:
                 s = s.upper()
-            elif kind < 0.24 and label != NONE:
+            elif kind < 0.32 and label != NONE:
                 s = _garbled(s, rng)
-            elif kind < 0.29:
+            elif kind < 0.37:
                 s = "".join("�" if ord(c) > 127 and rng.random() < 0.6 else c for c in s)
-            elif kind < 0.36:
+            elif kind < 0.44:
                 s = re.sub(r"[eolghu]", lambda m: "c019bv"["eolghu".index(m[0])] if rng.random() < 0.12 else m[0], s)
             raw = s.encode("utf-8", "surrogatepass")
             at = int(rng.integers(max(1, len(raw) - 60))) if len(raw) > 160 else 0
@@ -314,6 +315,7 @@ def classify(w: dict[str, np.ndarray], texts: list[str | None]) -> list[tuple[st
     found: list[dict[str, int]] = [{} for _ in starts]
     if owner:
         each = (sums[finish] - sums[begin]) / (np.array(finish) - np.array(begin))[:, None]
+        each = (each + PARAGRAPH_WEIGHT * means[owner]) / (1 + PARAGRAPH_WEIGHT)  # neighbours speak the same, mostly
         which = each.argmax(1)
         sure = (which != NONE) & (each.max(1) >= LEAST_SHARE)
         for k in np.flatnonzero(sure).tolist():
