@@ -112,6 +112,7 @@ def skeleton(text: str) -> str:
 
 _WORD = re.compile(r"[^\W_]+")
 _BACK = str.maketrans(CYRILLIC_BACK)
+_OTHER_SCRIPT = re.compile("[Ͱ-ӿἀ-῿K]")
 _CYRILLIC = re.compile("[Ѐ-ӿ]")
 
 
@@ -121,12 +122,35 @@ def canonical(text: str | None) -> str | None:
     is written in Latin."""
     if text is None:
         return None
-    out = skeleton(text)
+    out = stabilise(text)
+    if out.isascii() or not _OTHER_SCRIPT.search(out):
+        return out
+    if not _mixed().search(out):  # words of one script each: only those of look-alikes alone change
+        return _alone().sub(lambda m: m[0].translate(tables()[3]), out)
+    return _by_word(skeleton(out))
+
+
+def _by_word(out: str) -> str:
     if not _CYRILLIC.search(out):
         return out
     return _WORD.sub(lambda m: w.translate(_BACK) if _CYRILLIC.search(w := m.group()) else w, out)
 
 
+@lru_cache(maxsize=1)
+def _mixed() -> re.Pattern:
+    """Letters of two scripts side by side, also over digits; other alphabets, look-alikes Russian doesn't
+    know and loose accents."""
+    other = "".join(sorted(set(map(chr, tables()[3])) - set(CYRILLIC_BACK.values())))
+    return re.compile(f"[A-Za-zÀ-ɏ][0-9]*[Ѐ-ӿ]|[Ѐ-ӿ][0-9]*[A-Za-zÀ-ɏ]|[{other}Ͱ-Ͽἀ-῿̀-ͯ]|[^\\W_\\x00-ɏЀ-ӿ]")
+
+
+@lru_cache(maxsize=1)
+def _alone() -> re.Pattern:
+    """Words of look-alike letters and digits."""
+    keys = "".join(map(chr, tables()[3]))
+    return re.compile(f"(?<![^\\W_])[{keys}0-9]*[{keys}][{keys}0-9]*(?![^\\W_])")
+
+
 def _digest(s: str) -> bytes:
     return hashlib.blake2b(s.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 

@@ -45,6 +45,12 @@ def test_canonical_form_is_stable(s):
     assert C.canonical(once) == once
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet=st.sampled_from("аеоруАВСЁёйщЯ их12-.\nabceoüë́Αο")))
+def test_short_and_long_way_agree(s):
+    assert C.canonical(s) == C._by_word(C.skeleton(s))
+
+
 def pairs_by_force(rows):
     ids = {i: t for i, t in rows if t and C.skeleton(t).strip()}
     return {(a, b) for a in ids for b in ids if a < b and ids[a] != ids[b] and C.skeleton(ids[a]) == C.skeleton(ids[b])}
