@@ -112,7 +112,7 @@ def skeleton(text: str) -> str:
 
 _WORD = re.compile(r"[^\W_]+")
 _BACK = str.maketrans(CYRILLIC_BACK)
-_OTHER_SCRIPT = re.compile("[Ͱ-ӿἀ-῿K]")
+_OTHER_SCRIPT = re.compile(b"[\xcd-\xd3\xe1]")  # first bytes of Greek and Cyrillic letters
 _CYRILLIC = re.compile("[Ѐ-ӿ]")
 
 
@@ -123,7 +123,7 @@ def canonical(text: str | None) -> str | None:
     if text is None:
         return None
     out = stabilise(text)
-    if out.isascii() or not _OTHER_SCRIPT.search(out):
+    if out.isascii() or not _OTHER_SCRIPT.search(out.encode("utf-8", "surrogatepass")):
         return out
     if not _mixed().search(out):  # words of one script each: only those of look-alikes alone change
         return _alone().sub(lambda m: m[0].translate(tables()[3]), out)
