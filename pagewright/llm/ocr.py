@@ -435,12 +435,12 @@ def corrections(df: DataFrame, bigrams: DataFrame, counts: DataFrame) -> DataFra
 
     src = ocr_rows(df).select("result_id", "page", "text")
     met = arrow_map(src, run, "result_id bigint, line int, pos int, prev string, word string, next string").distinct()
-    a = met.join(options, "word")
+    # narrow joins first, so that the arrays of options and edges travel as little as can be
+    n_prev = counts.select(F.col("word").alias("prev"), F.col("n").alias("n_prev"))
     e1 = edges.select("prev", "word", F.col("edges").alias("before"))
     e2 = edges.select(F.col("prev").alias("word"), F.col("word").alias("next"), F.col("edges").alias("after"))
-    a = a.join(e1, ["prev", "word"], "left").join(e2, ["word", "next"], "left")
-    n_prev = counts.select(F.col("word").alias("prev"), F.col("n").alias("n_prev"))
-    a = a.join(n_prev, "prev", "left")
+    a = met.join(options.select("word"), "word", "left_semi").join(n_prev, "prev", "left")
+    a = a.join(e1, ["prev", "word"], "left").join(e2, ["word", "next"], "left").join(options, "word")
     per_line = a.groupBy("result_id", "line").agg(F.collect_list(F.struct("pos", "prev", "word", "next", "n", "n_prev", "options", "before", "after")).alias("words"))
 
     def decode(batch):
