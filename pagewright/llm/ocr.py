@@ -50,7 +50,7 @@ SCAN_TRUST = 0.02  # weight of what scanned sentences say against clean text
 UNSEEN = 0.02  # count of a word never seen
 START_P = 3e-3  # channel probability of each confusion before it is estimated
 MAX_ERRORS = 3  # misread places within one word
-MOST_HELD = 400_000  # bigrams a task holds before it hands them on
+MOST_HELD = 250_000  # bigrams a task holds before it hands them on
 MAX_WORD = 60  # a longer string is no word
 WORD_BITS, BLOOM_BITS = 1 << 24, 1 << 22  # filters of 2 MB and 0.5 MB
 INTERPOLATION = 0.7  # weight of the bigram against the unigram
