@@ -133,3 +133,82 @@ def document_results(results: DataFrame, key: str, page_count: str, selection: s
             "pages",
         ).alias("recognition_result"),
     )
+
+
+# Parameters of a document and what they default to.
+DEFAULTS = {"recognition_mode": "auto", "page_selection": "range", "page_from": 1.0, "page_to": 0.0, "specific_pages": "", "ocr_language": "deu", "dpi": 300, "timeout_ms": 120000.0}
+
+
+def recognize(documents: DataFrame, make_backend: Callable[[], OcrBackend], key: str = "item_id", content: str = "data", on_error: str = "fail") -> DataFrame:
+    """Documents with a unique key, a PDF and optional parameter columns (see DEFAULTS, resolved per row) to
+    their context columns and one recognition_result each.
+
+    The page selection is checked before any page is read; native mode reads no operators, and only documents
+    with pages to recognise are read again, by key, with the list of those pages.  on_error 'collect' keeps
+    every document, with `error` set where something failed and a null result."""
+    from pagewright.functions import pages as rules
+    from pagewright.operators import preflight
+    from pagewright.sources import pdf
+
+    binary = errors.binary_field(documents, content)
+    types = {"page_from": "double", "page_to": "double", "dpi": "int", "timeout_ms": "double"}
+    given = {k: F.coalesce(F.col(k), F.lit(v)) if k in documents.columns else F.lit(v) for k, v in DEFAULTS.items()}
+    params = documents.select(key, binary.alias("_content"), *[c.cast(types.get(k, "string")).alias(k) for k, c in given.items()])
+    counted = params.withColumn("_n", pdf.count_udf(F.col("_content")))
+    n = F.col("_n.page_count")
+    rule = rules.selection_error(F.col("page_selection"), n, F.col("page_from"), F.col("page_to"), F.col("specific_pages"))
+    missing = F.when(F.col("_content").isNull(), errors.BINARY_MISSING % content)
+    asked = rules.selected_pages(F.col("page_selection"), n, F.col("page_from"), F.col("page_to"), F.col("specific_pages"))
+    checked = counted.select(key, "_content", *DEFAULTS, n.alias("page_count"), F.coalesce(missing, F.col("_n.error"), rule).alias("error"), asked.alias("asked"))
+    if on_error == "fail":
+        checked = checked.withColumn("asked", F.when(F.col("error").isNotNull(), F.raise_error(F.col("error"))).otherwise(F.col("asked")))
+    good = checked.where(F.col("asked").isNotNull())
+    keep = (key, "page_count", "page_selection", "recognition_mode", "asked")
+    read = pdf.pages(good.where("recognition_mode <> 'ocr'"), "_content", (key, "recognition_mode"), wanted="asked", on_error=on_error)
+    routed = preflight.analyze_pages(read.where("error is null"), [key, "recognition_mode"]).select(key, "page", "text", F.when(F.col("recognition_mode") == "native", "native").otherwise(F.col("recommended_mode")).alias("mode"))
+    forced = good.where("recognition_mode = 'ocr'").select(key, F.explode("asked").alias("page"), F.lit(None).cast("string").alias("text"), F.lit("ocr").alias("mode"))
+    plan = routed.unionByName(forced)
+    todo = plan.where("mode = 'ocr'").groupBy(key).agg(F.array_sort(F.collect_list("page")).alias("_todo"))
+    seen = ocr_documents(good.select(key, "_content", "dpi", "ocr_language", "timeout_ms").join(todo, key), key, make_backend, on_error)
+    results = page_results(plan.join(seen, [key, "page"], "left").join(good.select(*keep), key))
+    done = document_results(results, key, "page_count", "page_selection", "asked")
+    out = context(documents, (content, "recognition_result")).join(done, key, "left" if on_error == "collect" else "inner")
+    if on_error == "fail":
+        return out
+    broken = checked.select(key, F.col("error").alias("_e1")).join(read.where("error is not null").select(key, F.col("error").alias("_e2")), key, "left")
+    late = seen.where("ocr_error is not null").groupBy(key).agg(F.min_by("ocr_error", "page").alias("_e3"))
+    out = out.join(broken, key, "left").join(late, key, "left").withColumn("error", F.coalesce("_e1", "_e2", "_e3")).drop("_e1", "_e2", "_e3")
+    return out.withColumn("recognition_result", F.when(F.col("error").isNull(), F.col("recognition_result")))
+
+
+def ocr_documents(documents: DataFrame, key: str, make_backend: Callable[[], OcrBackend], on_error: str = "fail") -> DataFrame:
+    """(key, page, ocr_text, ocr_confidence, ocr_error) of the pages in `_todo` of each document.  A document's
+    bytes exist once, however many of its pages are recognised."""
+    schema = f"{key} {dict(documents.dtypes)[key]}, page int, ocr_text string, ocr_confidence double, ocr_error string"
+    ship(documents.sparkSession)
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        backend: OcrBackend | None = None
+        try:
+            for batch in batches:
+                out: list[tuple] = []
+                for k, raw, dpi, language, ms, pages in zip(*(batch.column(c).to_pylist() for c in (key, "_content", "dpi", "ocr_language", "timeout_ms", "_todo")), strict=True):
+                    for page in pages:
+                        backend = backend or make_backend()
+                        try:
+                            out.append((k, page, *with_timeout(lambda a=(raw, page, dpi, language): backend.recognize(*a), ms), None))
+                        except Exception as e:
+                            message = errors.OCR_FAILED % (page, e)
+                            if on_error == "fail":
+                                raise RuntimeError(message) from e
+                            out.append((k, page, None, None, message))
+                kinds = (batch.column(key).type, pa.int32(), pa.string(), pa.float64(), pa.string())
+                names = (key, "page", "ocr_text", "ocr_confidence", "ocr_error")
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=list(names))
+        finally:
+            if backend is not None:
+                backend.close()
+
+    return documents.mapInArrow(run, schema)

@@ -643,6 +643,24 @@ def cut_udf(content: Column, first: Column, last: Column) -> Column:
     return run(content, first, last)
 
 
+def count_udf(content: Column) -> Column:
+    """struct(page_count, error) of a document, from its page tree alone."""
+    if (active := SparkSession.getActiveSession()) is not None:
+        ship(active)
+
+    @F.pandas_udf("page_count int, error string")
+    def run(data: pd.Series) -> pd.DataFrame:
+        rows = []
+        for raw in data:
+            try:
+                rows.append((None if raw is None else page_count(raw), None))
+            except Exception as e:  # the document is unreadable; the row says so
+                rows.append((None, str(e)))
+        return pd.DataFrame(rows, columns=["page_count", "error"]).astype({"page_count": "Int32"})
+
+    return run(content)
+
+
 def pages(df: DataFrame, content: str = "content", keep: tuple[str, ...] = (), wanted: str | None = None, want_text: bool = True, want_ops: bool = True, on_error: str = "fail") -> DataFrame:
     """keep columns plus PAGE_SCHEMA, one row per page of each document.  `wanted` names an array<int>
     column of pages; a null there means all.  on_error 'collect' gives an unreadable document one row with

@@ -79,3 +79,30 @@ def test_bounded_map():
         return 2 * x
 
     assert map_limit([1, 2, 3, 4, 5, 6], 1, fn) == [2, 4, 6, 8, 10, 12] and most == 1
+
+
+def test_documents_end_to_end(spark):
+    from pagewright.sources import samples
+
+    words = b"BT " + b" ".join(b"(word%d) Tj" % i for i in range(25)) + b" ET"
+    scan = b"q 100 0 0 100 0 0 cm /Im1 Do Q"
+    doc = samples.make_pdf([(100, 100, words), (100, 100, scan), (100, 100, words)])
+    rows = [
+        (1, doc, "auto", "range", 1.0, 0.0, None, "a"), (2, doc, "native", "specific", None, None, "3,1", "b"), (3, doc, "ocr", "range", 2.0, 3.0, None, "c"),
+        (4, doc, "auto", "range", 1.0, 9.0, None, "d"), (5, b"junk", "auto", "range", 1.0, 0.0, None, "e"), (6, None, "auto", "range", 1.0, 0.0, None, "f"), (7, samples.make_pdf([(10, 10, b"")] * 13), "ocr", "range", 13.0, 13.0, None, "g"),
+    ]
+    df = spark.createDataFrame(rows, "item_id int, data binary, recognition_mode string, page_selection string, page_from double, page_to double, specific_pages string, pageCount string")
+    got = {r["item_id"]: r for r in recognition.recognize(df, Fake, on_error="collect").collect()}
+    one = got[1]["recognition_result"].asDict(True)
+    assert one["source"] == "mixed" and one["pageCount"] == 3 and one["range"] == {"from": 1, "to": 3} and [p["source"] for p in one["pages"]] == ["native", "ocr", "native"]
+    assert one["pages"][1]["text"] == "deu page 2 at 300" and one["pages"][0]["text"].startswith("word0 word1") and "pageCount" not in got[1].asDict()
+    two = got[2]["recognition_result"].asDict(True)
+    assert two["selectedPages"] == [1, 3] and two["source"] == "native" and two["range"] is None
+    assert [p["page"] for p in got[3]["recognition_result"]["pages"]] == [2, 3] and got[3]["recognition_result"]["source"] == "ocr"
+    assert got[4]["error"] == "Page To cannot exceed the document page count (3)" and got[4]["recognition_result"] is None
+    assert "Invalid PDF" in got[5]["error"] and got[6]["error"] == 'Binary field "data" is missing'
+    assert got[7]["error"] == "Failed to OCR PDF page 13: smudged"
+    strict = recognition.recognize(df.where("item_id < 4"), Fake).collect()
+    assert {r["item_id"] for r in strict} == {1, 2, 3}
+    with pytest.raises(Exception, match="cannot exceed the document page count"):
+        recognition.recognize(df.where("item_id = 4"), Fake).collect()
