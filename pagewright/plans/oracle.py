@@ -150,5 +150,11 @@ def oracle_sql() -> dict[str, str]:
         "render_dimensions": f"SELECT p.item_id, p.page, ceil(p.width * (coalesce(i.dpi, 300)::DOUBLE / 72))::BIGINT AS width_px, ceil(p.height * (coalesce(i.dpi, 300)::DOUBLE / 72))::BIGINT AS height_px FROM page_operators p JOIN ({_ITEMS}) i USING (item_id)",
         "pdf_pages": f"SELECT item_id, page, page_count::BIGINT AS page_count, (199 + page)::DOUBLE AS width, (299 + page)::DOUBLE AS height, 'Item ' || item_id || ' page ' || page AS text, {_FIXED4.format(x='(15000.0::DOUBLE / ((199 + page) * (299 + page)))')} AS coverage FROM (SELECT item_id, page_count, unnest(range(1, page_count + 1)) AS page FROM ({_ITEMS}) WHERE page_count > 0)",
         "pdf_slice": f"SELECT item_id, (page_count - 1)::BIGINT AS slice_pages, page_count::BIGINT AS source_pages, (page_count - 1)::BIGINT AS n_pages, 201.0::DOUBLE AS min_width, (199 + page_count)::DOUBLE AS max_width FROM ({_ITEMS}) WHERE page_count >= 2",
+        "recognize_documents": f"""WITH i AS (SELECT *, {_PARTS} AS parts FROM ({_ITEMS}) WHERE page_count > 0),
+            e AS (SELECT *, CASE WHEN page_selection = 'specific' THEN {_LIST} ELSE {_RANGE} END AS error FROM (SELECT * REPLACE (coalesce(page_from, 1) AS page_from, coalesce(page_to, 0) AS page_to, coalesce(page_selection, 'range') AS page_selection, coalesce(recognition_mode, 'auto') AS recognition_mode) FROM i)),
+            p AS (SELECT *, CASE WHEN error IS NULL THEN CASE WHEN page_selection = 'specific' THEN list_sort({_PICK}) ELSE range(page_from::BIGINT, {_END}::BIGINT + 1) END END AS asked FROM e),
+            t AS (SELECT item_id, error, CASE WHEN error IS NULL THEN CASE WHEN recognition_mode = 'ocr' THEN 'ocr' ELSE 'native' END END AS source, asked, coalesce(ocr_language, 'deu') AS l, coalesce(dpi, 300) AS r FROM p)
+            SELECT item_id, error, source, len(asked)::BIGINT AS n_pages, CASE WHEN source = 'ocr' THEN l || ' page ' || asked[1] || ' at ' || r WHEN source = 'native' THEN 'Item ' || item_id || ' page ' || asked[1] END AS first_text,
+            CASE WHEN source = 'ocr' THEN l || ' page ' || asked[len(asked)] || ' at ' || r WHEN source = 'native' THEN 'Item ' || item_id || ' page ' || asked[len(asked)] END AS last_text FROM t""",
     }
     return sql

@@ -181,6 +181,14 @@ def pdf_slice(spark: SparkSession, d: str) -> DataFrame:
     return again.groupBy("item_id").agg(F.max("pdf_slice_page_count").cast("bigint").alias("slice_pages"), F.max("pdf_source_page_count").cast("bigint").alias("source_pages"), F.count(F.lit(1)).alias("n_pages"), F.min("width").alias("min_width"), F.max("width").alias("max_width"))
 
 
+def recognize_documents(spark: SparkSession, d: str) -> DataFrame:
+    params = items(spark, d).select("item_id", "recognition_mode", "page_selection", "page_from", "page_to", "specific_pages", "ocr_language", "dpi")
+    docs = _documents(spark, d).select("item_id", F.col("content").alias("data")).join(params, "item_id")
+    r = recognition.recognize(docs, samples.EchoOcr, on_error="collect")
+    pages_ = F.col("recognition_result.pages")
+    return r.select("item_id", "error", F.col("recognition_result.source").alias("source"), F.when(pages_.isNotNull(), F.size(pages_)).cast("bigint").alias("n_pages"), F.element_at(pages_, 1)["text"].alias("first_text"), F.element_at(pages_, -1)["text"].alias("last_text"))
+
+
 def queries() -> dict[str, Query]:
-    names = (word_count, char_classes, normalize_text, assemble_page_text, recommend_mode, rule_breakdown, rect_clip, union_area, matrix_fold, image_coverage, page_range, specific_pages, selected_pages, slice_validate, preflight_pages, preflight_document, route_auto, recognition_result, context_projection, render_dimensions, pdf_pages, pdf_slice)
+    names = (word_count, char_classes, normalize_text, assemble_page_text, recommend_mode, rule_breakdown, rect_clip, union_area, matrix_fold, image_coverage, page_range, specific_pages, selected_pages, slice_validate, preflight_pages, preflight_document, route_auto, recognition_result, context_projection, render_dimensions, pdf_pages, pdf_slice, recognize_documents)
     return {f.__name__: f for f in names}

@@ -1,10 +1,20 @@
-"""Small PDFs for tests and demonstrations."""
+"""Small PDFs and a stand-in OCR engine for tests and demonstrations."""
 
 from __future__ import annotations
 
 import zlib
 
 
+class EchoOcr:
+    """Stands in for an OCR engine: says what it was asked for."""
+
+    def recognize(self, content: bytes, page: int, dpi: int, language: str) -> tuple[str, float]:
+        return f"{language} page {page} at {dpi}", 50.0 + page
+
+    def close(self) -> None:
+        pass
+
+
 def make_pdf(pages: list[tuple[float, float, bytes]], compressed: bool = False) -> bytes:
     """A PDF of pages (width, height, content); each may use font F1 and image Im1."""
     objects = [b"<</Type /Catalog /Pages 2 0 R>>", b"", b"<</Type /Font /Subtype /Type1 /BaseFont /Helvetica>>", b"<</Type /XObject /Subtype /Image /Width 1 /Height 1 /BitsPerComponent 8 /ColorSpace /DeviceGray /Length 1>>\nstream\n\xff\nendstream"]
