@@ -240,11 +240,11 @@ def facts(df: DataFrame) -> DataFrame:
                     out[k].append(v)  # noqa: B023
 
             for rid, item, source, page, raw in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                text, broken = _prepared(raw)
                 if source != "ocr":
-                    words = _NATIVE_TOKEN.findall(text)
+                    words = _NATIVE_TOKEN.findall(canonical(raw))
                     total.update(zip(["", *words], words, strict=False))
                     continue
+                text, broken = _prepared(raw)
                 for left, right in dict.fromkeys(broken):
                     add("break", left, right, None, None, rid, item, None, None)
                 lines, numbers, edges, blocks = layout(text, page)
