@@ -56,6 +56,7 @@ WORD_BITS, BLOOM_BITS = 1 << 24, 1 << 22  # filters of 2 MB and 0.5 MB
 INTERPOLATION = 0.7  # weight of the bigram against the unigram
 
 _PAIRS = tuple(dict.fromkeys(p for p in CONFUSIONS if p[0] != p[1]))
+_NO_SHAPE = "".join(d for d in "0123456789" if not any(d in seen for _, seen in _PAIRS))  # digits no letter is read as
 _WORD = re.compile(r"[^\W_]+(?:[-’'][^\W_]+)*")
 _TOKEN = re.compile(rf"[^\W_]+(?:[-’'{JOINT}][^\W_]+)*")
 _NATIVE_TOKEN = re.compile(r"[^\W\d_]+(?:[-’'][^\W\d_]+)*")
@@ -334,10 +335,12 @@ def candidates(counts: DataFrame) -> DataFrame:
                 out["errors"].append(errors)
         return out
 
-    # codes (upper case with digits) and bare numbers are no words of a sentence
+    # what looks like a code is asked only where every digit of it can be undone: a known word has none
     # a word seen on scanned pages alone is hardly a word of its own right
     own = F.greatest(F.col("n") - F.col("n_ocr"), F.lit(0)) + SCAN_TRUST * F.col("n_ocr")
-    asked = counts.withColumn("own", own).where((F.col("n_ocr") > 0) & (F.length("word") >= 2) & F.col("word").rlike(r"\p{L}") & ~F.col("word").rlike(r"^\p{Lu}{1,3}\d|\d{3}"))
+    word = F.col("word")
+    undone = (F.length(F.regexp_replace("word", r"\D", "")) <= MAX_ERRORS) & ~word.rlike(rf"[{_NO_SHAPE}]")
+    asked = counts.withColumn("own", own).where((F.col("n_ocr") > 0) & (F.length("word") >= 2) & word.rlike(r"\p{L}") & (~word.rlike(r"^\p{Lu}{1,3}\d|\d{3}") | undone))
     made = arrow_map(asked.select("word", "own", "n_ocr"), run, "word string, n double, n_ocr bigint, cand string, errors array<int>")
     real = frequent.select(F.col("word").alias("cand"), F.col("n").alias("n_cand"), F.col("n_ocr").alias("n_cand_ocr"))
     met = cut(made.join(real, "cand"), "readings")

@@ -76,3 +76,13 @@ def test_viterbi_prefers_the_context():
     assert O.viterbi(["er", "bat", "das"], options, edges, 1000.0, {"er": 50, "das": 80, "hat": 50, "bat": 5}) == ["er", "hat", "das"]
     edges = {("er", "bat"): {("er", "bat"): 4}, ("bat", "um"): {("bat", "um"): 5}}
     assert O.viterbi(["er", "bat", "um"], options, edges, 1000.0, {"er": 50, "um": 80, "hat": 50, "bat": 5}) == ["er", "bat", "um"]
+
+
+def test_misread_after_the_first_letters(spark):
+    clean = "Der Vorgang ist dem Gutachter bekannt. Please check the sum. Die Kosten trägt die Brenz GmbH & Co. Handels KG nach Abrechnung."
+    read = {1: ("Vorgang", "V0rgang"), 2: ("Please", "P1ease"), 3: ("Kosten", "K0sten"), 4: ("Co.", "C0."), 5: ("Kosten", "K0stcn"), 6: ("Gutachter", "Gerät A12"), 7: ("Gutachter", "Gerät AB700")}
+    rows = [page(i, i, 1, clean, "native") for i in range(100, 160)] + [page(i, i, 1, clean.replace(*r)) for i, r in read.items()]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert {tuple(r) for r in O.noise(df).collect()} == {(i, "misread") for i in range(1, 6)}
+    got = {r["result_id"]: r["repaired_text"] for r in O.repaired(df).collect()}
+    assert all(got[i] == clean for i in range(1, 6)) and "A12" in got[6] and "AB700" in got[7]
