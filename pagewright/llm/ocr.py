@@ -69,16 +69,49 @@ _SENTENCE_END = re.compile(r"[.!?…][\"”“»’)\]]*$")
 _INNER_END = re.compile(r"[^\W\d_]{2}[.!?][\"”“»)]* ")
 
 
+def _shape_table() -> dict[int, str]:
+    """Each character to the first of its class, or of several where it is confused with several."""
+    same: dict[str, str] = {}
+    plain = lambda s: "".join(c for c in ud.normalize("NFD", s) if not ud.combining(c))
+
+    def top(c: str) -> str:
+        while same.setdefault(c, c) != c:
+            c = same[c]
+        return c
+
+    pairs = [(plain(a), plain(b)) for a, b in (*CONFUSIONS, *CASES)]
+    for a, b in pairs:
+        if len(a) == len(b) == 1:
+            same[top(a)] = top(b)
+    spelled = {top(min(p, key=len)): max(p, key=len) for p in pairs if len(p[0]) != len(p[1])}
+
+    def whole(c: str) -> str:
+        return "".join(map(whole, spelled[top(c)])) if top(c) in spelled else top(c)
+
+    return {ord(c): whole(c) for c in list(same)}
+
+
+CASES = (("l", "L"), ("z", "Z"))  # further shapes that are equal in a header
+_SHAPES = _shape_table()
+
+
 def _shape(s: str) -> str:
-    """Equal for strings that differ only by confusable shapes."""
+    """Equal for strings that differ only by confusions, any number of them."""
+    if not s.isascii():
+        s = "".join([c for c in ud.normalize("NFD", s) if not ud.combining(c)])
+    return s.translate(_SHAPES)
+
+
+def _word_shape(s: str) -> str:
+    """A narrower shape for the few short words that announce a page number."""
     if not s.isascii():
         s = "".join([c for c in ud.normalize("NFD", s) if not ud.combining(c)])
     for a, b in (("m", "rn"), ("d", "cl"), ("w", "vv"), ("u", "ii"), ("ß", "B")):
         s = s.replace(a, b)
-    return s.translate(_SHAPES)
+    return s.translate(_WORD_SHAPES)
 
 
-_SHAPES = str.maketrans("ce0O6óé1IiLg9qhbBS5Z2лн4з", "oooooooLLLLgggbbBsszzпичзз"[:25])
+_WORD_SHAPES = str.maketrans("ce0O6óé1IilLg9qhbBS5Z2лн4з", "oooooooLLLLLgggbbBsszzпичз")
 
 
 # ---------------------------------------------------------------------------------------------- lines
@@ -89,7 +122,7 @@ def page_number(line: str, page: int | None) -> bool:
     if page is None or len(line) > 40:
         return False
     m = _PAGE_LINE.match(line.strip().lower())
-    if not m or (m["word"] and _shape(m["word"]) not in _PAGE_SHAPES):
+    if not m or (m["word"] and _word_shape(m["word"]) not in _PAGE_SHAPES):
         return False
     n, total = _number(m["n"]), _number(m["total"]) if m["total"] else None
     if m["n"].translate(_STROKES) == _roman(page).translate(_STROKES):
@@ -108,7 +141,7 @@ def _roman(n: int) -> str:
     return out
 
 
-_PAGE_SHAPES = {_shape(w) for w in PAGE_WORDS}
+_PAGE_SHAPES = {_word_shape(w) for w in PAGE_WORDS}
 _PAGE_LINE = re.compile(
     r"^[-–—\[(|·.•* ]{0,4}(?:(?P<word>[^\W_]{1,10})[.:]?[ ]*?(?:(?<=[.:])|[ ]+))?(?P<n>[0-9lioz|sb]{1,4}|[ivxlc1|]{1,8})(?:\s*(?:/|\||of|0f|von|v0n|de|dc|cle|sur|siir|van|из|nз|\(|,)\s*(?P<total>[0-9lioz|sb]{1,4}))?[-–—\])|·.•* ]{0,4}$"
 )

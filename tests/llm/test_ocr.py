@@ -86,3 +86,16 @@ def test_misread_after_the_first_letters(spark):
     assert {tuple(r) for r in O.noise(df).collect()} == {(i, "misread") for i in range(1, 6)}
     got = {r["result_id"]: r["repaired_text"] for r in O.repaired(df).collect()}
     assert all(got[i] == clean for i in range(1, 6)) and "A12" in got[6] and "AB700" in got[7]
+
+
+def test_header_on_three_rows_with_one_misread(spark):
+    read = {"Fenilde B.V. · Haftung": "Feni1de B.V. · Haftung", "Schlussbestimmungen 28. August 2018": "Sch1ussbestimmungen 28. August 2018", "Kommentar · Rahmen": "Kornrnentar · R4hmen", "Dekan Fink · Hof": "Delcan Firilc · Hot"}
+    rows = [page(10 * i + k, i, k, f"{b if k == 2 else a}\n\n{CLEAN}") for i, (a, b) in enumerate(read.items(), 1) for k in (1, 2, 3)]
+    got = {r["result_id"] for r in O.noise(spark.createDataFrame(rows, SCHEMA)).where("noise = 'header'").collect()}
+    assert got == {r[0] for r in rows}
+
+
+def test_shapes_follow_the_confusions():
+    assert all(O._shape(f"x{a}y") == O._shape(f"x{b}y") for a, b in O.CONFUSIONS)
+    assert len({O._shape(x) for x in ("Anlage 1", "Anlage 2", "Anlage 3", "Anlage 4", "Anlage 5", "Anlage 7", "Anlage 8", "Anlage 9", "Haftung", "Vergütung")}) == 10
+    assert O.page_number("B1att 3", 3) and not O.page_number("el 3", 3)
