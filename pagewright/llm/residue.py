@@ -7,8 +7,10 @@ are learned.  In every text, likelihood-ratio windows localise the residue.  Fil
 run is long enough, a notice where it covers most of the text, a slot where an exact check of the
 localised window finds a placeholder that isn't quoted.
 
-Fitting sees at most SAMPLE_ROWS texts (chosen by a hash of the id); the models (about 65 MB, independent of
-the data) are broadcast, and every text is judged whole in one map without a shuffle.
+Fitting sees every text: words and n-grams are counted in tasks, summed by a shuffle and put into tables of
+fixed size, once a round; only the usual words (bounded by their share of the texts) and the tables reach the
+driver.  The models (about 65 MB at most, independent of the data) are broadcast, and every text is judged whole
+in one map without a shuffle.
 
 Defined results: null, empty and blank texts are no case.  Bracketed words, prices, tags and quoted mentions
 are no slots.
@@ -20,16 +22,18 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .canonical import canonical
-from .common import arrow_map, portions, ship
+from .common import arrow_map, arrow_stream, cut, portions, ship
 
 ORDER = 6
 LEAST_P = 1e-4  # so that one strange character decides nothing
 BITS = (20, 17, 17, 17)  # of the table of each class: natural prose has the most n-grams
-SAMPLE_ROWS = 20_000
+MOST_HELD = 250_000  # words a task counts before it hands them on
+COUNTED = 1_000_000  # characters whose n-grams are counted at a time
 ROUNDS = 3
 PORTION = 300_000  # characters judged at a time
 PRIOR = 16.0  # nats in favour of natural prose
@@ -178,6 +182,19 @@ class Models:
         self.kinds = [np.zeros((ORDER, 1 << bits), np.uint8) for bits in BITS]
         self.owner = [np.zeros((ORDER, 1 << bits), np.uint16) for bits in BITS]
 
+    def packed(self) -> list[tuple]:
+        """The places taken: a broadcast of these is as small as what was learned."""
+        at = [np.flatnonzero(n.ravel()) for n in self.n]
+        return [(i, *(x[k].ravel()[i] for x in (self.n, self.kinds, self.owner))) for k, i in enumerate(at)]
+
+    @classmethod
+    def unpacked(cls, packed: list[tuple]) -> Models:
+        m = cls()
+        for k, (i, *values) in enumerate(packed):
+            for x, v in zip((m.n, m.kinds, m.owner), values, strict=True):
+                x[k].ravel()[i] = v
+        return m
+
     def count(self, k: int, texts: list[str]) -> None:
         """The n-grams of a class, and how many kinds of characters follow each.  An n-gram has two
         places, which the more frequent ones take first, told by check bits; who finds none counts as unseen."""
@@ -244,58 +261,236 @@ def _seed(s: str) -> str:
     return folded(re.sub(r"\b0\b", "000", s))
 
 
+def _words(s: str) -> list[str]:
+    return re.findall(r"[^\W\d_]+", s)
+
+
+FILL_WORDS = frozenset(w for x in FILLER_SEEDS for w in _words(x))
+NAMED = tuple([" ".join(f % n for n in SLOT_NAMES) for f in SLOT_FORMS] + [f"a {b} b. the {b} is {b}, {b} of" for b in BARE_SLOTS])
+SEEDS = {NATURAL: MENTION_SEEDS, FILLER: tuple(map(_seed, FILLER_SEEDS)), NOTICE: tuple(map(_seed, NOTICE_SEEDS)), SLOT: tuple(map(folded, NAMED))}
+
+
+class Labels:
+    """Segments of some texts with their classes: first by the seeds, then by the models before.  At first
+    natural are segments of usual words with little in common with the seeds; what stands in texts next to
+    natural segments is no notice, however alike (a review that mentions one)."""
+
+    def __init__(self, docs: list[list[str]]) -> None:
+        self.n = len(docs)
+        self.flat = [s for d in docs for s in d]
+        self.of = np.repeat(np.arange(self.n), [len(d) for d in docs])
+        self.size = np.array([len(s) for s in self.flat], np.float64)
+
+    def first(self, fill: set[str], usual: set[str]) -> Labels:
+        grams = _overlap(NOTICE_SEEDS, 6)
+        label = np.full(len(self.flat), NATURAL)
+        for i, s in enumerate(self.flat):
+            near = sum(s[j : j + 6] in grams for j in range(len(s) - 5)) / max(1, len(s) - 5)
+            words = _words(s)
+            if len(words) >= 3 and sum(w in fill for w in words) >= 0.6 * len(words):
+                label[i] = FILLER
+            elif near > 0.4 and near * (len(s) - 5) >= 8:
+                label[i] = NOTICE
+            elif len(s) >= 25 and (near > 0.15 or words and sum(w not in usual for w in words) > len(words) // 2):
+                label[i] = -1  # not clear yet
+        self.slots = np.array([bool(_unquoted_slots(s)) for s in self.flat], dtype=bool)
+        self.label = _in_place(label, self.of, self.size, self.n)
+        return self
+
+    def known(self, label: np.ndarray, slots: np.ndarray) -> Labels:
+        self.label, self.slots = label, slots
+        return self
+
+    def again(self, models: Models) -> Labels:
+        if not self.flat:
+            return self
+        score = _segment_scores(models, self.flat)
+        # natural prose is the rule, but not among segments most of which are a notice
+        noticed = np.bincount(self.of, weights=self.size * (self.label == NOTICE), minlength=self.n) / np.maximum(1, np.bincount(self.of, weights=self.size, minlength=self.n))
+        score[NATURAL] += np.where(noticed[self.of] >= NOTICE_COVERAGE, 0, PRIOR)
+        self.label = _in_place(score[:3].argmax(0), self.of, self.size, self.n)
+        return self
+
+    def of_class(self) -> dict[int, list[str]]:
+        """The texts each class learns from; neighbours of one class in a text are learned with the blank
+        between them."""
+        out: dict[int, list[str]] = {NATURAL: [], FILLER: [], NOTICE: []}
+        last = (-1, -1)
+        for i, s in enumerate(self.flat):
+            k = int(self.label[i]) if not self.slots[i] else -1
+            if k in out:
+                if last == (self.of[i], k):
+                    out[k][-1] += " " + s
+                else:
+                    out[k].append(s)
+            last = (self.of[i], k)
+        return out
+
+
+def _limits(n: int) -> tuple[float, float]:
+    """In how many of n texts a usual word stands at least, and a sign of filler at most."""
+    return max(2, USUAL_WORD * n), COMMON_WORD * n
+
+
 def fit(texts: list[str]) -> Models:
-    """Models from the seeds and a sample of texts, refitted with what they claim.  At first natural are
-    segments of usual words with little in common with the seeds; what stands in texts next to natural
-    segments is no notice, however alike (a review that mentions one)."""
+    """Models from the seeds and texts in memory, refitted with what they claim; what fitted() does for
+    a table."""
     docs = [_segments(folded(t)) for t in texts]
-    flat = [s for d in docs for s in d]
-    of = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-    size = np.array([len(s) for s in flat], np.float64)
-    grams = _overlap(NOTICE_SEEDS, 6)
-    fill = {w for x in FILLER_SEEDS for w in re.findall(r"[^\W\d_]+", x)}
-    df = Counter(w for d in docs for w in {w for s in d for w in re.findall(r"[^\W\d_]+", s)})
-    fill = {w for w in fill if df[w] <= COMMON_WORD * len(docs)}
-    usual = max(2, USUAL_WORD * len(docs))
-    label = np.full(len(flat), NATURAL)
-    for i, s in enumerate(flat):
-        near = sum(s[j : j + 6] in grams for j in range(len(s) - 5)) / max(1, len(s) - 5)
-        words = re.findall(r"[^\W\d_]+", s)
-        if len(words) >= 3 and sum(w in fill for w in words) >= 0.6 * len(words):
-            label[i] = FILLER
-        elif near > 0.4 and near * (len(s) - 5) >= 8:
-            label[i] = NOTICE
-        elif len(s) >= 25 and (near > 0.15 or words and sorted(df[w] for w in words)[len(words) // 2] < usual):
-            label[i] = -1  # not clear yet
-    label = _in_place(label, of, size, len(docs))
-    slots = np.array([bool(_unquoted_slots(s)) for s in flat], dtype=bool) if flat else np.zeros(0, bool)
-    named = [" ".join(f % n for n in SLOT_NAMES) for f in SLOT_FORMS] + [f"a {b} b. the {b} is {b}, {b} of" for b in BARE_SLOTS]
-    models = Models()
+    df = Counter(w for d in docs for w in {w for s in d for w in _words(s)})
+    usual, common = _limits(len(docs))
+    labels = Labels(docs).first({w for w in FILL_WORDS if df[w] <= common}, {w for w, n in df.items() if n >= usual})
     for turn in range(ROUNDS + 1):
         models = Models()
-        # neighbours of one class in a text are learned with the blank between them
-        of_class: dict[int, list[str]] = {NATURAL: [], FILLER: [], NOTICE: []}
-        last = (-1, -1)
-        for i, s in enumerate(flat):
-            k = int(label[i]) if not slots[i] else -1
-            if k in of_class:
-                if last == (of[i], k):
-                    of_class[k][-1] += " " + s
-                else:
-                    of_class[k].append(s)
-            last = (of[i], k)
-        models.count(NATURAL, [*MENTION_SEEDS, *of_class[NATURAL]])
-        models.count(FILLER, [_seed(x) for x in FILLER_SEEDS] + of_class[FILLER])
-        models.count(NOTICE, [_seed(x) for x in NOTICE_SEEDS] + of_class[NOTICE])
-        models.count(SLOT, [folded(x) for x in named])
-        if turn == ROUNDS or not flat:
-            break
-        score = _segment_scores(models, flat)
-        # natural prose is the rule, but not among segments most of which are a notice
-        noticed = np.bincount(of, weights=size * (label == NOTICE), minlength=len(docs)) / np.maximum(1, np.bincount(of, weights=size, minlength=len(docs)))
-        score[NATURAL] += np.where(noticed[of] >= NOTICE_COVERAGE, 0, PRIOR)
-        label = score[:3].argmax(0)
-        label = _in_place(label, of, size, len(docs))
+        own = labels.of_class()
+        for k, seeds in SEEDS.items():
+            models.count(k, [*seeds, *own.get(k, [])])
+        if turn < ROUNDS and labels.flat:
+            labels.again(models)
+    return models
+
+
+def fitted(documents: DataFrame) -> Models:
+    """Models from the seeds and all texts, refitted with what they claim."""
+    spark: SparkSession = documents.sparkSession
+    src = documents.where(F.col("text").isNotNull()).select("text")
+    usual, common = _limits(src.count())
+
+    def words(batches):
+        df: Counter = Counter()
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                df.update({w for s in _segments(folded(t)) for w in _words(s)})
+                if len(df) > MOST_HELD:
+                    yield {"word": list(df), "n": list(df.values())}
+                    df.clear()
+        yield {"word": list(df), "n": list(df.values())}
+
+    # at most a thousand usual words for each word a text has: a share of the texts holds each
+    counts = arrow_stream(src, words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    known = {r["word"]: r["n"] for r in counts.where((F.col("n") >= usual) | F.col("word").isin(sorted(FILL_WORDS))).collect()}
+    fill = {w for w in FILL_WORDS if known.get(w, 0) <= common}
+    shared = spark.sparkContext.broadcast({w for w, n in known.items() if n >= usual})
+    seeds = [_counted(k, list(x)) for k, x in SEEDS.items()]
+    seeds = spark.createDataFrame(pa.table({c: np.concatenate([x[c] for x in seeds]) for c in _GRAM}))
+
+    def first(batch):
+        return Labels([_segments(folded(t)) for t in batch.column(0).to_pylist()]).first(fill, shared.value)
+
+    def turned(packed):
+        held: list[Models] = []
+
+        def again(batch):
+            held or held.append(Models.unpacked(packed.value))
+            docs, label, slots = (batch.column(i).to_pylist() for i in range(3))
+            flat = [np.array([x for d in y for x in d], kind) for y, kind in ((label, np.int64), (slots, bool))]
+            return Labels(docs).known(*flat).again(held[0])
+
+        return again
+
+    step, at = first, src
+    for turn in range(ROUNDS + 1):
+        found = cut(arrow_stream(at, _learning(step), "kind string, segments array<string>, labels array<int>, slots array<boolean>, k int, o int, h bigint, before bigint, n bigint"), "learned", by=("kind",))
+        models = _tabled(found.where("kind = 'gram'").select(*_GRAM).unionByName(seeds))
+        shared.destroy()
+        if turn < ROUNDS:
+            shared = spark.sparkContext.broadcast(models.packed())
+            step, at = turned(shared), found.where("kind = 'text'").select("segments", "labels", "slots")
+    return models
+
+
+_GRAM = ("k", "o", "h", "before", "n")
+
+
+def _learning(step):
+    """A task's texts with the labels of a step, and the n-grams of each class."""
+
+    def run(batches):
+        held: dict[int, list[str]] = {NATURAL: [], FILLER: [], NOTICE: []}
+        size = 0
+
+        def flush():
+            for k, texts in held.items():
+                if texts:
+                    grams = _counted(k, texts)
+                    none = [None] * len(grams["h"])
+                    yield {"kind": ["gram"] * len(none), "segments": none, "labels": none, "slots": none} | grams
+                    texts.clear()
+
+        for b in batches:
+            texts = [x if isinstance(x, str) else " ".join(x) for x in b.column(0).to_pylist()]
+            for part in portions(texts, PORTION):
+                x = step(b.slice(part.start, part.stop - part.start))
+                ends = np.searchsorted(x.of, np.arange(x.n + 1))
+                cols = [[list(y[i:j]) for i, j in zip(ends[:-1], ends[1:], strict=True)] for y in (x.flat, x.label.tolist(), x.slots.tolist())]
+                none = [None] * x.n
+                yield {"kind": ["text"] * x.n, "segments": cols[0], "labels": cols[1], "slots": cols[2]} | dict.fromkeys(_GRAM, none)
+                for k, texts in x.of_class().items():
+                    held[k] += texts
+                    size += sum(map(len, texts))
+                if size >= COUNTED:
+                    yield from flush()
+                    size = 0
+        yield from flush()
+
+    return run
+
+
+def _counted(k: int, texts: list[str]) -> dict[str, np.ndarray]:
+    """The distinct n-grams of texts, each with the one before its last character and its count."""
+    hs = _hashes(np.concatenate([_codes(texts), np.full(5, 2, np.uint64)]))
+    cols: dict[str, list] = {c: [] for c in _GRAM}
+    for o in range(ORDER):
+        grams, first, n = np.unique(hs[o][6:], return_index=True, return_counts=True)
+        cols["k"].append(np.full(len(n), k, np.int32))
+        cols["o"].append(np.full(len(n), o, np.int32))
+        cols["h"].append(grams.view(np.int64))
+        cols["before"].append(hs[o - 1][first + 5].view(np.int64) if o else np.zeros(len(n), np.int64))
+        cols["n"].append(n.astype(np.int64))
+    return {c: np.concatenate(x) for c, x in cols.items()}
+
+
+def _tabled(grams: DataFrame) -> Models:
+    """Models of summed n-grams: of those that share a place the most frequent takes it, as in
+    Models.count()."""
+    spark = grams.sparkSession
+    whole = grams.groupBy("k", "o", "h").agg(F.sum("n").alias("n"), F.min("before").alias("before"))
+    longer = whole.where("o > 0").select("k", (F.col("o") - 1).alias("o"), F.col("before").alias("h"), F.lit(0).cast("bigint").alias("n"), F.lit(1).alias("kinds"))
+    both = whole.select("k", "o", "h", "n", F.lit(0).alias("kinds")).unionByName(longer)
+    both = cut(both.groupBy("k", "o", "h").agg(F.sum("n").alias("n"), F.sum("kinds").cast("bigint").alias("kinds")).where("n > 0"), "grams")
+    models = Models()
+
+    def settle(df):
+        unsigned = F.col("h").bitwiseXOR(F.lit(-(1 << 63)))
+        top = df.groupBy("k", "o", "slot").agg(F.max(F.struct("n", unsigned.alias("u"), "kinds")).alias("top"))
+        check = F.col("top.u").bitwiseAND(F.lit(0xFFFF)).cast("int")
+        got = top.select("k", "o", F.col("slot").cast("int"), F.col("top.n").cast("float").alias("n"), F.least("top.kinds", F.lit(255)).cast("int").alias("kinds"), check.alias("check")).toArrow()
+        k, o, slot, n, kinds, check = (got.column(i).to_numpy() for i in range(6))
+        for c in range(len(BITS)):
+            mine = k == c
+            models.n[c][o[mine], slot[mine]] = n[mine]
+            models.kinds[c][o[mine], slot[mine]] = kinds[mine]
+            models.owner[c][o[mine], slot[mine]] = check[mine]
+
+    settle(both.withColumn("slot", F.coalesce(*[F.when(F.col("k") == k, F.shiftrightunsigned("h", 64 - bits)) for k, bits in enumerate(BITS)])))
+    taken = spark.sparkContext.broadcast(models.packed())
+    held: list[Models] = []
+
+    def second(batch):
+        held or held.append(Models.unpacked(taken.value))
+        k, o, h, n, kinds = (batch.column(i).to_numpy() for i in range(5))
+        out = []
+        for c in range(len(BITS)):
+            i = np.flatnonzero(k == c)
+            u = h[i].view(np.uint64)
+            i, u = (x[held[0].owner[c][o[i], _bin(u, c)] != _check(u)] for x in (i, u))
+            at = _bin(u, c, 1)
+            free = held[0].n[c][o[i], at] == 0
+            out.append((i[free], at[free]))
+        i, at = (np.concatenate(x) for x in zip(*out, strict=True))
+        return {"k": k[i], "o": o[i], "h": h[i], "n": n[i], "kinds": kinds[i], "slot": at}
+
+    settle(arrow_map(both, second, "k int, o int, h bigint, n bigint, kinds bigint, slot bigint"))
+    taken.destroy()
     return models
 
 
@@ -394,23 +589,17 @@ def _longest_run(mark: np.ndarray) -> int:
     return int((edges[1::2] - edges[::2]).max()) if len(edges) else 0
 
 
-def sample(documents: DataFrame, rows: int = SAMPLE_ROWS) -> list[str]:
-    some = documents.where(F.col("text").isNotNull())
-    share = min(1.0, 2 * rows / max(1, some.select(F.count(F.lit(1))).first()[0]))
-    mark = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    return [r["text"] for r in some.where(mark < int(share * (1 << 30))).orderBy(mark, "doc_id").limit(rows).select("text").collect()]
-
-
 def judged(documents: DataFrame, models: Models | None = None) -> DataFrame:
     """(doc_id, is_case, filler_run, filler_coverage, notice_coverage, slots) of each document."""
     spark: SparkSession = documents.sparkSession
     ship(spark)
-    models = models or fit(sample(documents))
-    shared = spark.sparkContext.broadcast((models.n, models.kinds, models.owner))
+    models = models or fitted(documents)
+    shared = spark.sparkContext.broadcast(models.packed())
+    held: list[Models] = []
 
     def run(batch):
-        m = Models.__new__(Models)
-        m.n, m.kinds, m.owner = shared.value
+        held or held.append(Models.unpacked(shared.value))
+        m = held[0]
         texts = batch.column(1).to_pylist()
         got = [g for part in portions(texts, PORTION) for g in judge(m, texts[part])]
         return {

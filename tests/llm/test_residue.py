@@ -59,3 +59,20 @@ def test_probabilities_sum_to_about_one(models):
     letters = [chr(c) for c in range(97, 123)] + [" ", ".", ","]
     total = sum(float(np.exp(models.log_probs(R._codes([context + c]))[0][6 + len(context)])) for c in letters)
     assert 0.85 < total < 1.05
+
+
+def test_fit_counts_every_document(spark):
+    rows = [(i, "zq" if i % 2 else "The lid is fine.", "x", False) for i in range(24_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, slots string, is_case boolean")
+    models = R.fitted(df)
+    h = R._hashes(R._codes(["zq"]))
+    n, _ = models._look(R.NATURAL, 1, h[1][7:8])
+    assert n[0] == 12_000
+
+
+def test_table_and_memory_fit_alike(spark, sf):
+    df = spark.read.parquet(f"{sf.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    texts = [r["text"] for r in df.where("text is not null").select("text").collect()]
+    a, b = R.fitted(df), R.fit(texts)
+    assert sum(int((x != y).sum()) for x, y in zip(a.n, b.n, strict=True)) < 200  # of the blanks at the ends of a part
+    assert cases(a, texts) == cases(b, texts)
