@@ -137,7 +137,7 @@ class PageStats:
         pairs = Counter(zip(words, words[1:], strict=False))
         again = [(g, n) for g, n in pairs.items() if n > 1]
         top, top_n = max(again, key=lambda x: x[1] * (len(x[0][0]) + len(x[0][1]))) if again else (("", ""), 0)
-        fives = Counter(zip(words, words[1:], words[2:], words[3:], words[4:], strict=False)) if len(again) > 3 else {}
+        fives = Counter(zip(words, words[1:], words[2:], words[3:], words[4:], strict=False)) if again else {}
         stats = {
             "n_chars": chars,
             "n_words": number[WORD] + number[FIGURE],

@@ -27,6 +27,11 @@ def test_repetition():
     assert s["repeated_5gram_coverage"] > 0.5 and 0 < s["top_bigram_coverage"] < 1
 
 
+@pytest.mark.parametrize("text", ["n/a " * 30, "no data " * 30, "see next page " * 20])
+def test_few_words_in_a_cycle(text):
+    assert Q.PageStats(frozenset())(text)[1]["repeated_5gram_coverage"] > 0.85
+
+
 def test_long_text():
     assert Q.PageStats(frozenset())(PROSE * 2000)[0] == "prose"
 
