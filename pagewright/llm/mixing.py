@@ -157,20 +157,32 @@ def slots(rows: list[dict], documents: DataFrame, seed: int = 11) -> DataFrame:
     return out.where("block >= 0")
 
 
+def planned(documents: DataFrame, targets: DataFrame, path: str | None = None, total_tokens: int | None = None) -> tuple[DataFrame, list[dict]]:
+    """The mix, and the plan it was drawn by."""
+    pieces = cut(packed(documents, targets, path), "pieces")
+    rows = plan(pieces, targets, total_tokens)
+    mix = slots(rows, documents).join(pieces, ["source", "block"])
+    return mix.select("mix_name", "shard", "source", "slot", "turn", "block", "doc_id", "first", "last"), rows
+
+
 def mixed(documents: DataFrame, targets: DataFrame, path: str | None = None, total_tokens: int | None = None) -> DataFrame:
     """(mix_name, shard, source, slot, turn, block, doc_id, first, last): the tokens [first, last) of doc_id
     fill part of a slot of a shard."""
-    pieces = cut(packed(documents, targets, path), "pieces")
-    rows = plan(pieces, targets, total_tokens)
-    return slots(rows, documents).join(pieces, ["source", "block"]).select("mix_name", "shard", "source", "slot", "turn", "block", "doc_id", "first", "last")
+    return planned(documents, targets, path, total_tokens)[0]
 
 
-def shares(mix: DataFrame, targets: DataFrame) -> DataFrame:
+def shares(mix: DataFrame, targets: DataFrame, rows: list[dict] | None = None) -> DataFrame:
     """(mix_name, source, target_share, actual_share, tokens, most_uses): what each mix is made of.
-    target_share is among the sources that have tokens."""
+    target_share is among the sources that have tokens.  With the rows of the plan, a source that drew no
+    slot is reported with 0; without them only what the mix holds is known."""
     uses = mix.groupBy("mix_name", "source", "doc_id", "first").agg(F.count(F.lit(1)).alias("uses"), F.sum(F.col("last") - F.col("first")).alias("n"))
     got = uses.groupBy("mix_name", "source").agg(F.sum("n").alias("tokens"), F.max("uses").alias("most_uses"))
-    t = targets.where("target_weight > 0").groupBy("mix_name", "source").agg(F.sum("target_weight").alias("weight"))
-    both = t.join(got, ["mix_name", "source"])
+    if rows is None:
+        t = targets.where("target_weight > 0").groupBy("mix_name", "source").agg(F.sum("target_weight").alias("weight"))
+        both = t.join(got, ["mix_name", "source"])
+    else:
+        t = mix.sparkSession.createDataFrame([(x["mix_name"], x["source"], float(x["weight"])) for x in rows], "mix_name string, source string, weight double")
+        both = t.join(got, ["mix_name", "source"], "left").fillna(0, ["tokens", "most_uses"])
     whole = W.partitionBy("mix_name")
-    return both.select("mix_name", "source", (F.col("weight") / F.sum("weight").over(whole)).alias("target_share"), (F.col("tokens") / F.sum("tokens").over(whole)).alias("actual_share"), "tokens", "most_uses")
+    actual = F.coalesce(F.try_divide("tokens", F.sum("tokens").over(whole)), F.lit(0.0))
+    return both.select("mix_name", "source", (F.col("weight") / F.sum("weight").over(whole)).alias("target_share"), actual.alias("actual_share"), "tokens", "most_uses")

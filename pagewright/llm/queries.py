@@ -71,7 +71,9 @@ def p7_mixed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_shares(spark: SparkSession, d: str) -> DataFrame:
-    return mixing.shares(cut(p7_mixed(spark, d), "mixed"), table(spark, d, "mix_targets"))
+    targets = table(spark, d, "mix_targets")
+    mix, rows = mixing.planned(table(spark, d, "documents"), targets)
+    return mixing.shares(cut(mix, "mixed"), targets, rows)
 
 
 def _judged(spark: SparkSession, d: str) -> DataFrame:

@@ -55,6 +55,16 @@ def test_shares_and_caps(tables):
     assert sorted(map(tuple, mix.collect())) == sorted(map(tuple, X.mixed(docs, targets).collect()))  # the same every time
 
 
+def test_sources_that_drew_no_slot_are_reported(spark, tables):
+    docs, _ = tables
+    targets = spark.createDataFrame([("tiny", "big", 1e6, 1), ("tiny", "small", 1.0, 1), ("tiny", "absent", 1.0, 1)], "mix_name string, source string, target_weight double, max_repeats int")
+    mix, rows = X.planned(docs, targets, total_tokens=10 * X.BLOCK_TOKENS)
+    got = {r["source"]: r for r in X.shares(mix, targets, rows).collect()}
+    assert set(got) == {"big", "small"}
+    assert got["small"]["target_share"] == pytest.approx(1 / (1e6 + 1)) and got["small"]["actual_share"] == 0 and got["small"]["tokens"] == 0 == got["small"]["most_uses"]
+    assert got["big"]["target_share"] == pytest.approx(1e6 / (1e6 + 1)) and got["big"]["actual_share"] == 1
+
+
 def test_empty(tables):
     docs, targets = tables
     assert X.mixed(docs.limit(0), targets).count() == 0
