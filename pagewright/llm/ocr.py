@@ -61,6 +61,7 @@ _WORD = re.compile(r"[^\W_]+(?:[-’'][^\W_]+)*")
 _TOKEN = re.compile(rf"[^\W_]+(?:[-’'{JOINT}][^\W_]+)*")
 _NATIVE_TOKEN = re.compile(r"[^\W\d_]+(?:[-’'][^\W\d_]+)*")
 _MARKED_END = re.compile(rf"[{re.escape(BREAK_MARKS)}][ \t]*\n[ \t]*(?=[^\W_])")
+_BROKEN = re.compile(rf"\S*{JOINT}\S*")
 _TAIL = re.compile(r"[^\W_]+(?:[-’'][^\W_]+)*$")
 _HEAD = re.compile(r"[^\W_]+(?:[-’'][^\W_]+)*")
 _CODE = re.compile(r"^[A-Z]{1,3}\d*$")
@@ -275,8 +276,10 @@ def facts(df: DataFrame) -> DataFrame:
 
             for rid, item, source, page, raw in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 if source != "ocr":
-                    words = _NATIVE_TOKEN.findall(canonical(raw))
-                    total.update(zip(["", *words], words, strict=False))
+                    # the parts of a broken word are no evidence, nor is what stands beside them
+                    for part in _BROKEN.split(_prepared(raw)[0]) if _MARKED_END.search(raw) else (canonical(raw),):
+                        words = _NATIVE_TOKEN.findall(part)
+                        total.update(zip(["", *words], words, strict=False))
                     continue
                 text, broken = _prepared(raw)
                 for left, right in dict.fromkeys(broken):

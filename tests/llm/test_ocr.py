@@ -99,3 +99,9 @@ def test_shapes_follow_the_confusions():
     assert all(O._shape(f"x{a}y") == O._shape(f"x{b}y") for a, b in O.CONFUSIONS)
     assert len({O._shape(x) for x in ("Anlage 1", "Anlage 2", "Anlage 3", "Anlage 4", "Anlage 5", "Anlage 7", "Anlage 8", "Anlage 9", "Haftung", "Vergütung")}) == 10
     assert O.page_number("B1att 3", 3) and not O.page_number("el 3", 3)
+
+
+def test_parts_of_words_broken_on_native_pages_are_not_counted(spark):
+    df = spark.createDataFrame([page(1, 1, 1, "Der Antrag ist unab-\nhängige Sache", "native")], SCHEMA)
+    words = {r["word"] for r in O.word_counts(O.bigram_counts(O.facts(df))).where("n > 0").collect()}
+    assert words == {"Der", "Antrag", "ist", "Sache"}
