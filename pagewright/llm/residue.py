@@ -1,16 +1,22 @@
 """Problem 8: template residue and messages of a site in place of text.
 
-Character n-gram models (orders 1 to ORDER, hashed into tables of fixed size) are fitted for filler, for
-notices (error messages, script notices), for unfilled slots and for natural prose.  The seeds below start
-them; on a bounded sample of texts they are refitted with the segments they claim, so that new wordings
-are learned.  In every text, likelihood-ratio windows localise the residue.  Filler counts where a window
-run is long enough, a notice where it covers most of the text, a slot where an exact check of the
-localised window finds a placeholder that isn't quoted.
-
-Fitting sees every text: words and n-grams are counted in tasks, summed by a shuffle and put into tables of
-fixed size, once a round; only the usual words (bounded by their share of the texts) and the tables reach the
-driver.  The models (about 65 MB at most, independent of the data) are broadcast, and every text is judged whole
-in one map without a shuffle.
+Character n-gram models (orders 1, 2, 4 and 6, hashed into tables of fixed size) are fitted for filler, for
+notices (error messages, script notices), for unfilled slots and for natural prose; in every text,
+likelihood-ratio windows localise what is likelier under one of the first three.  Filler counts where a run of
+windows is long enough, a notice where windows cover most of the text, a slot where the ratio summed over it
+(the best window that ends at a character) is high enough; a following check can only reject a slot (quoted, or
+a tag, an aside, a word in brackets), none is found by it.
+
+The seeds below are general wordings (of web servers, browsers, programming languages, page layout programs);
+the wordings of the data are learned.  Every distinct segment of all texts is counted once, with the company it
+keeps: a segment that stands among segments near the seeds of notices is a notice, one that stands among others
+is natural, what always stands alone is left open at first.  Models fitted on these labels label the segments
+anew, and models fitted on those judge.  An n-gram of one or two natural segments only counts as unseen (absolute
+discounting), so no wording vouches for itself.
+
+Scale: texts are read twice (segments, judging); segments are counted in tasks and summed by one shuffle;
+n-grams are summed by bin, and at most one row a bin, of the tables' fixed number, reaches the driver.  The models
+(about 20 MB, independent of the data) are broadcast, and every text is judged whole in one map without a shuffle.
 
 Defined results: null, empty and blank texts are no case.  Bracketed words, prices, tags and quoted mentions
 are no slots.
@@ -19,7 +25,8 @@ are no slots.
 from __future__ import annotations
 
 import re
-from collections import Counter
+import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,84 +36,82 @@ from pyspark.sql import functions as F
 from .canonical import canonical
 from .common import arrow_map, arrow_stream, cut, portions, ship
 
-ORDER = 6
+ORDERS = (1, 2, 4, 6)
+BITS = (12, 15, 18, 20)  # of the table of each order
 LEAST_P = 1e-4  # so that one strange character decides nothing
-BITS = (20, 17, 17, 17)  # of the table of each class: natural prose has the most n-grams
-MOST_HELD = 250_000  # words a task counts before it hands them on
+PAD = 40  # characters of no class between texts that are read together: twice WINDOW, so that windows never meet
+DISCOUNT = 2  # natural segments that may hold an n-gram by chance
+TRUST = (4.0, 1.0, 1.0, 0.5)  # of each class: how often a context must be seen to outweigh the shorter one
+MOST_HELD = 150_000  # segments a task counts before it hands them on
 COUNTED = 1_000_000  # characters whose n-grams are counted at a time
-ROUNDS = 3
+ROUNDS = 2
 PORTION = 300_000  # characters judged at a time
-PRIOR = 16.0  # nats in favour of natural prose
-COMMON_WORD = 0.05  # share of the texts beyond which a word is no sign of filler
-USUAL_WORD = 0.001  # share of the texts a usual word stands in
-MARGIN = 0.6  # nats a character
+NEAR = 0.3  # share of the n-grams of a segment that stand in seeds of notices
+ALONE = 0.6  # that share of a segment that has no company
+FAR = 0.15  # that share of a segment which may be natural
+ANCHORED = 0.2  # share of the company of a segment that is near the seeds
+SURE, SURE_ALONE = 0.25, 1.0  # nats a character for a label when segments are labelled anew; without company
+MARGIN = (0.0, 0.6, 0.8)  # nats a character, of each class
 WINDOW = 20  # characters of a likelihood-ratio window
 FILLER_RUN = 22  # characters of filler that take up room
 LEAST_RUN = 12  # characters of filler that make a short text
 NOTICE_COVERAGE = 0.6
+SLOT_NATS = 6.0  # summed over a slot
+MAYBE_SLOT_NATS = 4.0  # summed over what natural prose isn't learned from
+PRIOR = 16.0  # nats in favour of natural prose when segments are labelled
+VOUCHED = 8  # different companions that make a segment natural beyond chance
+COMPANION = 12  # characters of a segment that counts as company
 NATURAL, FILLER, NOTICE, SLOT = range(4)
 
 # What the models start from.
+LATIN_SEEDS = (
+    "lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore et dolore magna aliqua. ut enim ad minim veniam, quis nostrud exercitation ullamco laboris nisi ut aliquip ex ea commodo consequat. duis aute irure dolor in reprehenderit in voluptate velit esse cillum dolore eu fugiat nulla pariatur. excepteur sint occaecat cupidatat non proident, sunt in culpa qui officia deserunt mollit anim id est laborum.",
+    "sed ut perspiciatis unde omnis iste natus error sit voluptatem accusantium doloremque laudantium, totam rem aperiam, eaque ipsa quae ab illo inventore veritatis et quasi architecto beatae vitae dicta sunt explicabo. nemo enim ipsam voluptatem quia voluptas sit aspernatur aut odit aut fugit, sed quia consequuntur magni dolores eos qui ratione voluptatem sequi nesciunt.",
+    "at vero eos et accusamus et iusto odio dignissimos ducimus qui blanditiis praesentium voluptatum deleniti atque corrupti quos dolores et quas molestias excepturi sint occaecati cupiditate non provident, similique sunt in culpa qui officia deserunt mollitia animi. temporibus autem quibusdam et aut officiis debitis aut rerum necessitatibus saepe eveniet.",
+    "pellentesque habitant morbi tristique senectus et netus et malesuada fames ac turpis egestas. vestibulum ante ipsum primis in faucibus orci luctus et ultrices posuere cubilia curae. curabitur pretium tincidunt lacus, nulla gravida orci a odio, nullam varius turpis et commodo pharetra. cum sociis natoque penatibus et magnis dis parturient montes, nascetur ridiculus mus.",
+    "nullam quis risus eget urna mollis ornare vel eu leo. duis mollis est non commodo luctus, nisi erat porttitor ligula, eget lacinia odio sem nec elit. fusce dapibus, tellus ac cursus commodo, tortor mauris condimentum nibh, ut fermentum massa justo sit amet risus. etiam porta sem malesuada magna mollis euismod. morbi leo risus, porta ac consectetur ac, vestibulum at eros. praesent commodo cursus magna, vel scelerisque nisl consectetur et. aenean eu leo quam, sed felis arcu facilisis.",
+)
 FILLER_SEEDS = (
-    "lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore et dolore magna aliqua.",
-    "ut enim ad minim veniam, quis nostrud exercitation ullamco laboris nisi ut aliquip ex ea commodo consequat.",
-    "duis aute irure dolor in reprehenderit in voluptate velit esse cillum dolore eu fugiat nulla pariatur.",
-    "excepteur sint occaecat cupidatat non proident, sunt in culpa qui officia deserunt mollit anim id est laborum.",
-    "lorem ipsum vitae felis justo ligula tempor quam urna nisl massa porta orci arcu amet facil sedum velit",
-    "orci ventum tisit movenor liusven tumsit pulven exmotum raextum situs caetum orlivenra motili tiexus",
-    "this is sample text. sample text sample text sample text.",
-    "placeholder text, please replace. placeholder copy to be replaced before launch.",
-    "your text goes here. review text goes here. insert text here.",
-    "todo: add text. todo: write review body. tbd tbd tbd. test test test 0 0 0.",
-    "hier steht später der text. platzhaltertext für die vorschau, bitte ersetzen. platzhalter ersetzen. mustertext mustertext. beispieltext, beispieltext. blindtext blindtext.",
-    "texte à compléter ultérieurement. texte d’exemple, texte d’exemple. faux texte à remplacer.",
-    "texto de ejemplo, texto de ejemplo. texto de relleno, sustituir antes de publicar. aquí va el texto.",
-    "voorbeeldtekst, voorbeeldtekst. hier komt later de tekst. opvultekst, nog te vervangen. proeftekst proeftekst.",
-    "пример текста, пример текста. здесь будет текст. текст-заполнитель, заменить перед публикацией.",
-    "asdf asdf asdf qwerty qwerty xxx xxx xxx abc abc abc foo bar baz foo bar",
+    "this is a sample text. sample text only. dummy text. dummy copy. filler text, replace me. placeholder. this is a placeholder, change it later. insert your text here. enter text. write something here. content goes here. copy goes here. body copy. your review here. text to follow. coming soon. to be written. to do: write copy. todo write. tbd. tbc. n.n.",
+    "dies ist ein blindtext. nur ein platzhalter. ein mustertext. beispieltext einfügen. bitte text einsetzen. hier text eingeben. text folgt. text wird noch ergänzt. fülltext. dummytext. inhalt folgt in kürze. ihre bewertung hier. noch zu ersetzen.",
+    "ceci est un faux texte. texte factice. texte de remplissage. exemple de texte. insérez votre texte ici. saisir le texte. texte à venir. à compléter. à remplacer. contenu à insérer. votre avis ici.",
+    "este es un texto simulado. texto provisional. ejemplo de texto. un texto de muestra. inserte su texto. escriba aquí. texto por completar. contenido de relleno. pendiente de sustituir. su reseña aquí.",
+    "dit is een proeftekst. een voorbeeld van tekst. plaatshouder. vul hier uw tekst in. tekst volgt. nog in te vullen. nog vervangen. opvulling. dummytekst. uw beoordeling hier.",
+    "это образец текста. рыба текст. текст заглушка. вставьте текст сюда. введите текст. текст появится позже. заполнитель. временный текст. нужно заменить. ваш отзыв здесь. пример.",
+    "asdf qwer zxcv yxcv jkl uiop qwerty qwertz azerty asdfgh фыва йцукен ячсм foo bar baz qux foobar bla bla blah xxx test test testing abc abc 000",
 )
 NOTICE_SEEDS = (
-    "error 0. page not found. the page you requested could not be found. 0 not found. the requested url no longer exists.",
-    "internal server error. bad gateway. service unavailable. gateway timeout. forbidden. access denied. too many requests. unauthorized.",
-    "something went wrong. please try again later. an unexpected error occurred. request failed. contact the administrator. whoops, that went wrong. oops!",
-    "the server took too long to respond. the connection was reset. retry after 0 seconds. refresh the page. reload the page. back to home. this area is off limits.",
-    "traceback (most recent call last): file \"app.py\", line 0, in load keyerror: 'body' valueerror typeerror: undefined is not a function",
-    "fatal error: uncaught typeerror in /srv/app/render.php on line 0. nullpointerexception at app.loader.read(loader.java:0). segmentation fault. stack trace: request id 0abc0 trace=0a0b0c",
-    "http 0 – upstream did not answer in time. the record 0abc0 has been removed. content is not available. the review could not be loaded.",
-    "please enable javascript to view this content. scripting is disabled – reviews cannot be displayed. turn it on and reload. noscript mode. this site needs scripts to show up. without them this area stays blank. your browser blocks scripts.",
-    "your session has expired. sign in to continue. please log in again. this page works only with cookies and scripts switched on. loading… bad gateway ---- proxy 0abc0. maintenance in progress. you do not have permission to view this resource. ref 0a0bc0.",
-    "ihre sitzung ist abgelaufen. bitte melden sie sich an. votre session a expiré. veuillez vous connecter. su sesión ha caducado. inicie sesión. uw sessie is verlopen. meld u opnieuw aan. ваша сессия истекла. войдите снова.",
-    "home | shop | login",
-    "fehler 0. seite nicht gefunden. die angeforderte adresse existiert nicht mehr (fehler 0). zugriff verweigert. anfrage fehlgeschlagen. interner serverfehler.",
-    "der server hat nicht rechtzeitig geantwortet. bitte versuchen sie es später erneut. versuchen sie es in 0 sekunden noch einmal. bitte laden sie die seite neu. zurück zur startseite. ein unerwarteter fehler ist aufgetreten. die verbindung wurde unterbrochen. der datensatz wurde entfernt. inhalt nicht verfügbar.",
-    "bitte aktivieren sie javascript, um diese bewertung anzuzeigen. skripte sind in ihrem browser deaktiviert. ohne sie bleibt dieser bereich leer. diese seite benötigt skripte.",
-    "erreur 0 : l’adresse demandée n’existe plus. page introuvable. accès refusé. échec de la requête. le serveur n’a pas répondu à temps. la connexion a été interrompue. retour à l’accueil. veuillez réessayer plus tard. une erreur inattendue s’est produite. rechargez la page. contenu indisponible. service temporairement indisponible.",
-    "veuillez activer javascript pour afficher cet avis. votre navigateur bloque les scripts ; le contenu ne peut pas être chargé. les scripts sont désactivés.",
-    "página no encontrada (error 0). acceso denegado. la solicitud ha fallado. se perdió la conexión. volver al inicio. se ha producido un error inesperado. inténtelo de nuevo más tarde. recargue la página. el servidor no respondió a tiempo. contenido no disponible. código 0a0b",
-    "active javascript para ver esta reseña. los scripts están desactivados en su navegador. actívelos y recargue. esta página necesita scripts.",
-    "pagina niet gevonden – fout 0. toegang geweigerd. het verzoek is mislukt. de server reageerde niet op tijd. de verbinding is verbroken. terug naar de startpagina. probeer het later opnieuw. er is een onverwachte fout opgetreden. ververs de pagina. inhoud niet beschikbaar.",
-    "schakel javascript in om deze beoordeling te bekijken. scripts zijn uitgeschakeld in uw browser. deze pagina heeft scripts nodig.",
-    "ошибка 0. страница не найдена. доступ запрещён. запрос не выполнен. сервер не ответил вовремя. соединение прервано. вернуться на главную. повторите попытку позже. произошла непредвиденная ошибка. обновите страницу. содержимое недоступно. сервис временно недоступен. не удалось загрузить отзыв. код 0abc0",
-    "включите javascript, чтобы увидеть этот отзыв. скрипты отключены в браузере: включите их и обновите страницу. для работы страницы необходимы скрипты.",
-)
-MENTION_SEEDS = (  # prose that mentions such things
-    "setup only worked once i had enabled javascript on my old tablet. the screen showed an error 000 until i restarted it. the shop page was not found twice, yet the order arrived.",
-    "für die einrichtung musste ich javascript im browser einschalten, danach ging es. nach dem update zeigte das gerät den fehler 000 an, ein neustart half.",
-    "il a fallu activer javascript pour le réglage, ensuite tout allait bien. l’écran affichait l’erreur 000 avant le redémarrage.",
-    "para configurarlo tuve que activar javascript en la tableta. la pantalla mostraba el error 000 hasta que lo reinicié.",
-    "voor de installatie moest ik javascript inschakelen. het scherm gaf steeds fout 000 tot ik het herstartte.",
-    "для настройки пришлось включить javascript в браузере. экран показывал ошибку 000, помог только сброс.",
+    "000 bad request. 000 unauthorized. 000 forbidden. 000 request timeout. 000 gone. 000 gateway timeout. http status 000. http error code 000. error code: 000.",
+    "the requested url was not found on this server. the page cannot be found. this page does not exist. no such page. the page you are looking for might have been moved or deleted. check the url and try again.",
+    "the server encountered an error and was unable to complete your request. the server is temporarily unable to service your request due to maintenance downtime or capacity problems. please try again in a few minutes. an error has occurred. sorry for the inconvenience. we will be back soon. contact the site administrator.",
+    "access to this page has been denied. you are not authorized to access this page. permission denied. too many attempts. rate limit exceeded. your request was blocked.",
+    "this site cannot be reached. unable to connect. the connection has timed out. the proxy server is refusing connections. upstream timed out. gateway error. no response from server. the network connection was interrupted. check your internet connection. click here to retry.",
+    "javascript is required. this site requires javascript. you need to enable javascript to run this app. javascript is turned off. your browser does not support javascript. enable javascript and cookies to continue. please turn javascript on. scripts are blocked by your browser. allow scripts and refresh. noscript.",
+    "failed to load content. failed to load reviews. unable to display this item. this item is no longer available. loading, please wait. cannot be shown.",
+    "your session timed out. please log in. you have been logged out. login required. sign up | log in | help | contact. home | products | sign in. main page.",
+    "uncaught exception. unhandled exception. exception in thread \"main\" java.lang.illegalargumentexception at org.example.main.run(main.java:000). caused by: java.io.ioexception. parse error: syntax error in /var/www/index.php on line 000. undefined variable. warning: include failed. traceback: file \"main.py\", line 000, in module. indexerror: list index out of range. typeerror: cannot read properties of undefined. syntaxerror: unexpected token in json. segfault. core dumped. request-id: 000. trace id 000. reference number 000.",
+    "die seite wurde nicht gefunden. diese seite gibt es nicht. die adresse wurde nicht gefunden. der server ist derzeit nicht erreichbar. ein fehler ist aufgetreten. fehlercode 000. interner fehler. zeitüberschreitung der anfrage. keine verbindung zum server. verbindung unterbrochen. wartung: der dienst ist vorübergehend nicht verfügbar. versuchen sie es später noch einmal. seite neu laden. sie haben keine berechtigung. zugriff gesperrt. kein zugriff. dieser inhalt ist nicht mehr verfügbar. laden fehlgeschlagen. startseite.",
+    "javascript ist deaktiviert. bitte schalten sie javascript ein. ihr browser blockiert skripte. für diese seite wird javascript benötigt. aktivieren sie skripte im browser und laden dann neu. ihre anmeldung ist abgelaufen, bitte neu anmelden. bitte einloggen.",
+    "la page est introuvable. cette page n’existe pas. l’adresse n’a pas été trouvée. le serveur est actuellement indisponible. une erreur est survenue. code d’erreur 000. erreur interne. délai d’attente dépassé. impossible de se connecter au serveur. connexion perdue. maintenance en cours. réessayez ultérieurement. actualisez la page. vous n’avez pas l’autorisation. accès interdit. ce contenu n’est plus disponible. échec du chargement. requête échouée. page d’accueil.",
+    "javascript est désactivé. merci d’activer javascript. les scripts sont bloqués par votre navigateur. cette page nécessite javascript. activez les scripts et rechargez. votre session est terminée. connectez-vous.",
+    "no se encuentra la página. esta página no existe. no se encontró la dirección. el servidor no está disponible. ha ocurrido un error. código de error 000. error interno. tiempo de espera agotado. no se puede conectar con el servidor. conexión interrumpida. en mantenimiento. vuelva a intentarlo. actualice la página. no tiene permiso. acceso prohibido. este contenido ya no está disponible. no se pudo cargar. solicitud fallida. ir al inicio.",
+    "javascript está desactivado. habilite javascript. su navegador bloquea los scripts. esta página requiere javascript. active los scripts y vuelva a cargar. la sesión ha terminado. iniciar sesión.",
+    "de pagina kan niet worden gevonden. deze pagina bestaat niet. het adres is niet gevonden. de server is niet bereikbaar. er ging iets mis. foutcode 000. interne fout. time-out van het verzoek. geen verbinding met de server. verbinding verloren. onderhoud. probeer het opnieuw. vernieuw de pagina. u heeft geen toestemming. geen toegang. deze inhoud is niet meer beschikbaar. kan niet worden geladen. naar de homepage.",
+    "javascript staat uit. zet javascript aan. uw browser blokkeert scripts. deze pagina vereist javascript. sta scripts toe en laad opnieuw. uw sessie is beëindigd. log in.",
+    "такой страницы нет. адрес не найден. сервер недоступен. возникла ошибка. код ошибки 000. внутренняя ошибка. время ожидания истекло. нет соединения с сервером. соединение потеряно. технические работы. попробуйте ещё раз. перезагрузите страницу. нет прав доступа. доступ закрыт. этот материал больше не доступен. не удалось загрузить. ошибка запроса. на главную страницу.",
+    "javascript отключён. javascript не работает. ваш браузер блокирует скрипты. для этой страницы нужен javascript. разрешите скрипты и перезагрузите. сеанс завершён. войдите в систему.",
 )
-# Names of slots, and how templates mark them.
-SLOT_NAMES = ("first_name", "name", "product_name", "product", "order_id", "order", "store", "shop", "city", "date", "review_text", "insert_text_here", "days", "vorname", "produktname", "bestellnummer", "stadt", "text hier einfügen", "prénom", "nom_du_produit", "ville", "numéro_de_commande", "nombre", "producto", "tienda", "ciudad", "número_de_pedido", "voornaam", "productnaam", "winkel", "plaats", "имя", "товар", "магазин", "номер_заказа", "город", "0")
+# Names of slots, and how template languages mark them.
+SLOT_NAMES = ("name", "user_name", "first name", "customer", "title", "address", "email", "price", "link", "company", "number", "item_id", "value", "field", "text here", "insert here", "kunde", "anrede", "betreff", "wert einsetzen", "nom", "client", "adresse", "valeur", "apellido", "cliente", "correo", "valor", "naam", "klant", "adres", "waarde", "клиент", "адрес", "имя", "число", "0")
 SLOT_FORMS = ("{{%s}}", "{{ %s }}", "{%s}", "${%s}", "%%%s%%", "<%%= %s %%>", "<%s>", "[%s]", "[[%s]]", "[%s ...]", "__%s__", "#%s#", "@@%s@@", "«%s»")
-BARE_SLOTS = ("%s", "xxxx", "%d", "%0$s")
+BARE_SLOTS = ("xxxx", "%s", "%d", "%0$s")
 
 # Tags and bracketed words that are no slots.
 TAGS = "a|abbr|b|big|blockquote|body|br|center|code|div|em|font|form|h[0-6]|head|hr|html|i|img|input|li|link|meta|ol|p|pre|s|script|small|span|strike|strong|style|sub|sup|table|tbody|td|th|title|tr|u|ul"
 ASIDES = "sic|edit|update|note|ok|lol|spoiler|link|deleted|removed|video|foto|photo|image|img|bild|ad|anzeige|hier|here"
 
 _NAME = r"[^\W_](?:[\w.\- ]*\w)?(?: ?\.\.\.)?"
+# The check behind the windows: what is no placeholder by its form is rejected.
 _SLOT = re.compile(
     "|".join(
         (
@@ -132,299 +137,356 @@ _SLOT = re.compile(
 _QUOTED = re.compile(r"“[^“”„\n]{1,200}[”“]|„[^„“”\n]{1,200}[“”]|« [^«»\n]{1,200} »|«(?=[^»\n]* )[^«»\n]{1,200}»|\"[^\"\n]{1,200}\"|‘[^‘’\n]{1,200}’|`[^`\n]{1,200}`")
 _TAG = re.compile(rf"</?(?:{TAGS})\b[^<>]*>", re.IGNORECASE)
 _ID = re.compile(r"\b(?=[a-f]*0)[0a-f]{5,}\b")  # record and request ids
-_SEGMENT = re.compile(r"(?<=[.!?])\s+|\n+|\s[|]\s")
+_DIGIT = re.compile(r"\d")
+_SEGMENT = re.compile(r"(?<=[.!?…])\s+|\n+|\s[|–—-]\s")
+_WORD = re.compile(r"[^\W\d_]+")
 
 
 def folded(text: str) -> str:
     """What the models read: consistent characters, lower case, digits as 0, tags as blanks; as long as the
     consistent form of the text."""
-    out = _TAG.sub(lambda m: " " * len(m[0]), canonical(text))
+    out = canonical(text)
+    if "<" in out:
+        out = _TAG.sub(lambda m: " " * len(m[0]), out)
     low = out.lower()
-    low = re.sub(r"\d", "0", low if len(low) == len(out) else "".join(c.lower()[:1] for c in out))
-    return _ID.sub(lambda m: "0" * len(m[0]), low)
+    if len(low) != len(out):
+        low = "".join(c.lower()[:1] for c in out)
+    low = _DIGIT.sub("0", low)
+    return _ID.sub(lambda m: "0" * len(m[0]), low) if "0" in low else low
+
+
+def segments(text: str) -> list[str]:
+    """Sentences, lines and cells of a folded text without the marks at their ends."""
+    return [x for s in _SEGMENT.split(text) if s and (x := s.strip().rstrip(" .!?…,"))]
 
 
 # ------------------------------------------------------------------------------------------- the models
 
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD], np.uint64)
+_MARK = 2  # code of the padding
+_ALPHA = np.array([chr(c).isalpha() for c in range(0x3000)])
+_OPENING = np.array([chr(c) in "“„«‘" for c in range(0x3000)])
+
+
+def _joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of the texts with padding around each; where each begins, and its length."""
+    pad = chr(_MARK) * PAD
+    codes = np.frombuffer((pad + pad.join(texts) + pad).encode("utf-32-le", "surrogatepass"), np.uint32)
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    return codes, PAD + np.cumsum(size + PAD) - size - PAD, size
+
 
 def _hashes(codes: np.ndarray) -> list[np.ndarray]:
-    """For each order the hash of the n-gram that ends at each place."""
-    out, h = [], np.zeros(len(codes), np.uint64)
-    for n in range(ORDER):
-        shifted = np.zeros(len(codes), np.uint64)
-        shifted[n:] = codes[: len(codes) - n] if n else codes
-        h = (h ^ (shifted + np.uint64(0x632BE5AB * (n + 1)))) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(29)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-        h ^= h >> np.uint64(32)
-        out.append(h * np.uint64(0x94D049BB133111EB))
+    """For each order the hash of the n-gram that ends at each place: a sum of products, so that the context
+    of an n-gram is its hash without the last product."""
+    c = codes.astype(np.uint64) + np.uint64(1)
+    h = c * _FACTORS[0]
+    out = [h]
+    for i in range(1, ORDERS[-1]):
+        h = h.copy()
+        h[i:] += c[:-i] * _FACTORS[i]
+        if i + 1 in ORDERS:
+            out.append(h)
     return out
 
 
-def _bin(h: np.ndarray, k: int, spin: int = 0) -> np.ndarray:
-    return ((h if not spin else h * np.uint64(0xD6E8FEB86659FD93) ^ h) >> np.uint64(64 - BITS[k])).astype(np.int64)
+def _bins(h: np.ndarray, o: int) -> np.ndarray:
+    return (h >> np.uint64(64 - BITS[o])).astype(np.int64)
 
 
-def _check(h: np.ndarray) -> np.ndarray:
-    return (h & np.uint64(0xFFFF)).astype(np.uint16)
+_GRAM = ("o", "bin", "context", "shorter", "k", "n")
 
 
-def _codes(texts: list[str]) -> np.ndarray:
-    return np.frombuffer(("\x02\x02\x02\x02\x02\x02" + "\x02\x02\x02\x02\x02\x02".join(texts) + "\x02").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+def _counted(k: int, texts: list[str]) -> dict[str, np.ndarray]:
+    """The n-grams of texts of a class by bin: order, bin, hash of the context, bin of the n-gram shorter by
+    an order, class and count."""
+    codes, _, _ = _joined(texts)
+    own = np.flatnonzero(codes != _MARK)
+    hs = _hashes(codes)
+    cols: dict[str, list] = {c: [] for c in _GRAM}
+    for o in range(len(ORDERS)):
+        b = _bins(hs[o][own], o)
+        n = np.bincount(b, minlength=1 << BITS[o])
+        at = np.flatnonzero(n)
+        one = np.zeros(1 << BITS[o], np.int64)
+        one[b] = own  # an example of each
+        one = one[at]
+        context = hs[o][one] - (codes[one].astype(np.uint64) + np.uint64(1)) * _FACTORS[0]
+        cols["o"].append(np.full(len(at), o, np.int32))
+        cols["bin"].append(at.astype(np.int32))
+        cols["context"].append((context >> np.uint64(33)).astype(np.int32))
+        cols["shorter"].append((_bins(hs[o - 1][one], o - 1) if o else np.zeros(len(at))).astype(np.int32))
+        cols["k"].append(np.full(len(at), k, np.int32))
+        cols["n"].append(n[at].astype(np.int64))
+    return {c: np.concatenate(x) for c, x in cols.items()}
 
 
 class Models:
-    """Hashed n-gram counts of each class; the probability of a character given those before it is
-    interpolated from order 1 up, an order weighing by how often and before how many kinds of characters its context was seen."""
+    """Log probabilities of a character after those before it, of every class, for each n-gram seen: each
+    order is interpolated with the shorter one by how often a class saw the context.  An n-gram no class has seen
+    takes the value of the shorter one, for all classes alike and unscaled.  Single characters are no evidence: all
+    classes share their frequencies."""
 
-    def __init__(self) -> None:
-        self.n = [np.zeros((ORDER, 1 << bits), np.float32) for bits in BITS]
-        self.kinds = [np.zeros((ORDER, 1 << bits), np.uint8) for bits in BITS]
-        self.owner = [np.zeros((ORDER, 1 << bits), np.uint16) for bits in BITS]
+    def __init__(self, tables: list[np.ndarray]) -> None:
+        self.tables = tables  # four half floats as one number, 0 where no class has the n-gram
 
-    def packed(self) -> list[tuple]:
+    @classmethod
+    def of(cls, o: np.ndarray, bins: np.ndarray, context: np.ndarray, shorter: np.ndarray, n: np.ndarray) -> Models:
+        """n: [classes, rows]."""
+        tables, lower = [], np.zeros((1, 4))
+        for i, bits in enumerate(BITS):
+            mine = np.flatnonzero(o == i)
+            at, few = bins[mine], n[:, mine].astype(np.float64)
+            if i == 0:
+                p = np.repeat(((few.sum(0) + 0.5) / (few.sum() + 500))[None], 4, axis=0)
+            else:
+                kept = few.copy()
+                if ORDERS[i] > 2:  # once most bins are taken, what falls into a bin by chance counts as unseen too
+                    load = np.zeros(1 << bits)
+                    load[at] = few[NATURAL]
+                    kept[NATURAL] = np.maximum(few[NATURAL] - DISCOUNT - np.median(load), 0)
+                _, of = np.unique(context[mine], return_inverse=True)
+                p = np.empty_like(few)
+                for k in range(4):  # what is discounted goes to the shorter context
+                    seen, held = np.bincount(of, few[k])[of], np.bincount(of, kept[k])[of]
+                    p[k] = (kept[k] + (seen - held + TRUST[k]) * lower[shorter[mine], k]) / (seen + TRUST[k])
+            lower = np.zeros((1 << bits, 4))
+            lower[at] = p.T
+            table = np.zeros((1 << bits, 4), np.float16)
+            table[at] = np.log(np.clip(p.T, LEAST_P, 0.999))
+            tables.append(table.view(np.uint64).ravel())
+        return cls(tables)
+
+    def packed(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """The places taken: a broadcast of these is as small as what was learned."""
-        at = [np.flatnonzero(n.ravel()) for n in self.n]
-        return [(i, *(x[k].ravel()[i] for x in (self.n, self.kinds, self.owner))) for k, i in enumerate(at)]
+        return [((i := np.flatnonzero(t)).astype(np.int32), t[i]) for t in self.tables]
 
     @classmethod
-    def unpacked(cls, packed: list[tuple]) -> Models:
-        m = cls()
-        for k, (i, *values) in enumerate(packed):
-            for x, v in zip((m.n, m.kinds, m.owner), values, strict=True):
-                x[k].ravel()[i] = v
-        return m
-
-    def count(self, k: int, texts: list[str]) -> None:
-        """The n-grams of a class, and how many kinds of characters follow each.  An n-gram has two
-        places, which the more frequent ones take first, told by check bits; who finds none counts as unseen."""
-        if not texts:
-            return
-        hs = _hashes(_codes(texts))
-        followed: np.ndarray | None = None
-        for o in range(ORDER - 1, -1, -1):
-            grams, first, n = np.unique(hs[o], return_index=True, return_counts=True)
-            kinds = np.zeros(len(grams), np.float32)
-            if followed is not None:  # contexts of the distinct longer n-grams
-                np.add.at(kinds, np.searchsorted(grams, followed), 1)
-            order = np.argsort(n, kind="stable")
-            for spin in (0, 1):  # who finds the first place taken tries a second
-                if spin:
-                    lost = self.owner[k][o][at] != _check(grams[order])
-                    order = order[lost]
-                    at = _bin(grams[order], k, spin)
-                    free = self.n[k][o][at] == 0
-                    order, at = order[free], at[free]
-                else:
-                    at = _bin(grams[order], k)
-                self.n[k][o][at] = n[order]
-                self.kinds[k][o][at] = np.minimum(kinds[order], 255)
-                self.owner[k][o][at] = _check(grams[order])
-            if o:
-                first = first[first > 0]
-                followed = hs[o - 1][first - 1]
-
-    def _look(self, k: int, o: int, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        check, at = _check(h), _bin(h, k)
-        missed = np.flatnonzero(self.owner[k][o][at] != check)
-        at[missed] = _bin(h[missed], k, 1)
-        mine = self.owner[k][o][at] == check
-        return self.n[k][o][at] * mine, self.kinds[k][o][at] * mine.astype(np.float32)
-
-    def log_probs(self, codes: np.ndarray) -> np.ndarray:
-        """[classes, characters]."""
+    def unpacked(cls, packed: list[tuple[np.ndarray, np.ndarray]]) -> Models:
+        tables = [np.zeros(1 << bits, np.uint64) for bits in BITS]
+        for t, (i, values) in zip(tables, packed, strict=True):
+            t[i] = values
+        return cls(tables)
+
+    def log_probs(self, codes: np.ndarray, orders: int = len(ORDERS)) -> np.ndarray:
+        """[classes, characters]: of the longest n-gram, among the first orders, that any class has; 0 in the padding."""
         hs = _hashes(codes)
-        out = []
-        # single characters are no evidence: all classes share their frequencies, so unseen contexts weigh nothing
-        found = [[self._look(k, o, h) for o, h in enumerate(hs)] for k in range(len(self.n))]
-        base = (sum(f[0][0] for f in found) + 0.5) / (sum(float(n[0].sum()) for n in self.n) + 500)
-        for f in found:
-            p = base
-            for o in range(1, ORDER):
-                c, t = np.zeros(len(codes), np.float32), np.ones(len(codes), np.float32)
-                c[1:] = f[o - 1][0][:-1]
-                t[1:] = np.maximum(f[o - 1][1][:-1], 1)
-                p = (np.minimum(f[o][0], c) + t * p) / (c + t)
-            out.append(np.log(np.maximum(p, LEAST_P)))
-        return np.stack(out)
-
-
-def _segments(text: str) -> list[str]:
-    return [s.strip() for s in _SEGMENT.split(text) if s and s.strip()]
-
-
-def _overlap(seeds: tuple[str, ...], n: int) -> set[str]:
-    return {s[i : i + n] for s in map(_seed, seeds) for i in range(len(s) - n + 1)}
-
-
-def _seed(s: str) -> str:
-    return folded(re.sub(r"\b0\b", "000", s))
-
-
-def _words(s: str) -> list[str]:
-    return re.findall(r"[^\W\d_]+", s)
-
-
-FILL_WORDS = frozenset(w for x in FILLER_SEEDS for w in _words(x))
-NAMED = tuple([" ".join(f % n for n in SLOT_NAMES) for f in SLOT_FORMS] + [f"a {b} b. the {b} is {b}, {b} of" for b in BARE_SLOTS])
-SEEDS = {NATURAL: MENTION_SEEDS, FILLER: tuple(map(_seed, FILLER_SEEDS)), NOTICE: tuple(map(_seed, NOTICE_SEEDS)), SLOT: tuple(map(folded, NAMED))}
-
-
-class Labels:
-    """Segments of some texts with their classes: first by the seeds, then by the models before.  At first
-    natural are segments of usual words with little in common with the seeds; what stands in texts next to
-    natural segments is no notice, however alike (a review that mentions one)."""
-
-    def __init__(self, docs: list[list[str]]) -> None:
-        self.n = len(docs)
-        self.flat = [s for d in docs for s in d]
-        self.of = np.repeat(np.arange(self.n), [len(d) for d in docs])
-        self.size = np.array([len(s) for s in self.flat], np.float64)
-
-    def first(self, fill: set[str], usual: set[str]) -> Labels:
-        grams = _overlap(NOTICE_SEEDS, 6)
-        label = np.full(len(self.flat), NATURAL)
-        for i, s in enumerate(self.flat):
-            near = sum(s[j : j + 6] in grams for j in range(len(s) - 5)) / max(1, len(s) - 5)
-            words = _words(s)
-            if len(words) >= 3 and sum(w in fill for w in words) >= 0.6 * len(words):
-                label[i] = FILLER
-            elif near > 0.4 and near * (len(s) - 5) >= 8:
-                label[i] = NOTICE
-            elif len(s) >= 25 and (near > 0.15 or words and sum(w not in usual for w in words) > len(words) // 2):
-                label[i] = -1  # not clear yet
-        self.slots = np.array([bool(_unquoted_slots(s)) for s in self.flat], dtype=bool)
-        self.label = _in_place(label, self.of, self.size, self.n)
-        return self
-
-    def known(self, label: np.ndarray, slots: np.ndarray) -> Labels:
-        self.label, self.slots = label, slots
-        return self
-
-    def again(self, models: Models) -> Labels:
-        if not self.flat:
-            return self
-        score = _segment_scores(models, self.flat)
-        # natural prose is the rule, but not among segments most of which are a notice
-        noticed = np.bincount(self.of, weights=self.size * (self.label == NOTICE), minlength=self.n) / np.maximum(1, np.bincount(self.of, weights=self.size, minlength=self.n))
-        score[NATURAL] += np.where(noticed[self.of] >= NOTICE_COVERAGE, 0, PRIOR)
-        self.label = _in_place(score[:3].argmax(0), self.of, self.size, self.n)
-        return self
-
-    def of_class(self) -> dict[int, list[str]]:
-        """The texts each class learns from; neighbours of one class in a text are learned with the blank
-        between them."""
-        out: dict[int, list[str]] = {NATURAL: [], FILLER: [], NOTICE: []}
-        last = (-1, -1)
-        for i, s in enumerate(self.flat):
-            k = int(self.label[i]) if not self.slots[i] else -1
-            if k in out:
-                if last == (self.of[i], k):
-                    out[k][-1] += " " + s
-                else:
-                    out[k].append(s)
-            last = (self.of[i], k)
-        return out
+        out = self.tables[orders - 1][_bins(hs[orders - 1], orders - 1)]
+        for o in range(orders - 2, -1, -1):
+            open_ = np.flatnonzero(out == 0)
+            out[open_] = self.tables[o][_bins(hs[o][open_], o)]
+        out[codes == _MARK] = 0
+        return np.ascontiguousarray(out.view(np.float16).reshape(-1, 4).T).astype(np.float32)
+
 
+# ---------------------------------------------------------------------------------- labels of segments
 
-def _limits(n: int) -> tuple[float, float]:
-    """In how many of n texts a usual word stands at least, and a sign of filler at most."""
-    return max(2, USUAL_WORD * n), COMMON_WORD * n
+
+def _seed_bins(seeds: tuple[str, ...]) -> np.ndarray:
+    out = np.zeros(1 << BITS[-1], bool)
+    codes, _, _ = _joined([s for x in seeds for s in segments(folded(x))])
+    out[_bins(_hashes(codes)[-1], len(ORDERS) - 1)[_inside(codes)]] = True
+    return out
+
+
+def _inside(codes: np.ndarray) -> np.ndarray:
+    """Where a whole n-gram of the longest order ends."""
+    own = (codes != _MARK).astype(np.int32)
+    run = np.cumsum(own)
+    out = np.zeros(len(codes), bool)
+    out[6:] = run[6:] - run[:-6] == 6
+    return out
+
+
+_NOTICE_BINS = _seed_bins(NOTICE_SEEDS)
+FILL_WORDS = frozenset(w for x in (*LATIN_SEEDS, *FILLER_SEEDS) for w in _WORD.findall(x) if len(w) > 3)
+NAMED = tuple([" ".join(f % n for n in SLOT_NAMES) for f in SLOT_FORMS] + [" ".join(f"{w} {b}{m} {w}" for w in "aeionrst" for m in (",", ":", "", ".", "!")) for b in BARE_SLOTS])
+SEEDS = {FILLER: (*LATIN_SEEDS, *FILLER_SEEDS), NOTICE: NOTICE_SEEDS, SLOT: NAMED}
+
+
+def near_notices(parts: list[str]) -> np.ndarray:
+    """Share of the n-grams of each segment that stand in seeds of notices; 0 for shorter segments."""
+    if not parts:
+        return np.zeros(0)
+    codes, start, size = _joined(parts)
+    full = _inside(codes)
+    hit = np.r_[0, np.cumsum(full & _NOTICE_BINS[_bins(_hashes(codes)[-1], len(ORDERS) - 1)])]
+    return (hit[start + size] - hit[start]) / np.maximum(1, size - 5)
+
+
+def _fills(s: str) -> bool:
+    """Words of the seeds of filler, or words said over and over."""
+    words = _WORD.findall(s)
+    if len(words) < 2:
+        return False
+    size = sum(map(len, words))
+    return sum(len(w) for w in words if w in FILL_WORDS) >= 0.6 * size or len(words) >= 4 and size >= 12 and len(set(words)) * 2 <= len(words)
+
+
+def company(docs: list[list[str]]) -> Iterator[tuple[str, int, float, int]]:
+    """(segment, 1 where it stands with others, share of the others' characters near the seeds of notices, bits
+    of the hashes of the others) of each text."""
+    near = near_notices([s for d in docs for s in d])
+    at = 0
+    for d in docs:
+        own = near[at : at + len(d)]
+        at += len(d)
+        sizes = {s: (n := len(s) * (len(s) >= COMPANION), n * bool(v >= NEAR), 1 << (zlib.crc32(s.encode("utf-8", "surrogatepass")) & 63) if n else 0) for s, v in zip(d, own, strict=True)}
+        whole, told = (sum(x[i] for x in sizes.values()) for i in (0, 1))
+        for s, (n, t, own_bit) in sizes.items():
+            others = 0
+            for x in sizes.values():
+                others |= x[2]
+            yield s, int(whole > n), (told - t) / (whole - n) if whole > n else 0.0, others & ~own_bit
+
+
+def first_labels(parts: list[str], others: np.ndarray, told: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Classes of distinct segments by the seeds and their company; -1 where it isn't clear yet.  others: texts in
+    which a segment has company; told: sum of the shares of that company near the seeds of notices; kinds: number
+    of different companions, up to 64."""
+    near = near_notices(parts)
+    share = told / np.maximum(others, 1)
+    label = np.where((others > 0) & (share < ANCHORED / 2) & (near < FAR), NATURAL, -1)
+    label[(near >= NEAR) & (share >= ANCHORED / 2)] = NOTICE
+    size = np.fromiter(map(len, parts), np.int64, len(parts))
+    label[(others == 0) & (near >= ALONE) & (size >= COMPANION)] = NOTICE
+    label[(others > 0) & (share >= ANCHORED)] = NOTICE
+    label[_vouched(others, told, kinds)] = NATURAL
+    label[[i for i, s in enumerate(parts) if _fills(s)]] = FILLER
+    return label
+
+
+def next_labels(models: Models, parts: list[str], others: np.ndarray, told: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, list[str]]:
+    """Classes of segments by the models, and the segments without the slots found in them."""
+    codes, start, size = _joined(parts)
+    lp = models.log_probs(codes)
+    total = np.concatenate([np.zeros((4, 1)), np.cumsum(lp, axis=1, dtype=np.float64)], axis=1)
+    score = (total[:, start + size] - total[:, start])[:3]
+    share = told / np.maximum(others, 1)
+    score[NATURAL] += PRIOR * (share < ANCHORED)
+    best = score.argmax(0)
+    score.sort(axis=0)
+    sure = np.where((best == NATURAL) | (others > 0), SURE, SURE_ALONE)
+    label = np.where(score[2] - score[1] > sure * size, best, -1)
+    label[(others > 0) & (share >= ANCHORED) & (label != FILLER)] = NOTICE
+    label[_vouched(others, told, kinds) & (label != FILLER)] = NATURAL  # such as a review that mentions one
+    rest = list(parts)
+    # told by the shortest context alone, as slots follow a greeting more often than other words do
+    for i, a, b in zip(*_slot_windows(models.log_probs(codes, 2), start, size, MAYBE_SLOT_NATS), strict=True):
+        rest[i] = rest[i][:a] + chr(_MARK) * (b - a) + rest[i][b:] if len(rest[i]) == len(parts[i]) else rest[i]
+    return label, rest
+
+
+def _vouched(others: np.ndarray, told: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Segments that stand in several reviews, none of their company near a notice."""
+    return (kinds >= VOUCHED) & (told < 0.02 * others)
+
+
+def _by_class(label: np.ndarray, parts: list[str], sure: np.ndarray) -> dict[int, list[str]]:
+    """The segments each class learns from; natural ones that are vouched for outweigh the discount."""
+    out = {k: [parts[i] for i in np.flatnonzero(label == k)] for k in (NATURAL, FILLER, NOTICE)}
+    out[NATURAL] += [parts[i] for i in np.flatnonzero((label == NATURAL) & sure)] * DISCOUNT
+    return out
+
+
+def _summed(cols: list[dict[str, np.ndarray]]) -> Models:
+    """Models of counted n-grams in memory."""
+    x = {c: np.concatenate([y[c] for y in cols]) for c in _GRAM}
+    key = x["o"].astype(np.int64) << 32 | x["bin"]
+    keys, first, of = np.unique(key, return_index=True, return_inverse=True)
+    n = np.stack([np.bincount(of, x["n"] * (x["k"] == k), minlength=len(keys)) for k in range(4)])
+    return Models.of(*(x[c][first] for c in ("o", "bin", "context", "shorter")), n)
+
+
+def _seed_counts() -> list[dict[str, np.ndarray]]:
+    return [_counted(k, [p for s in x for p in (segments(folded(s)) if k != SLOT else [s])]) for k, x in SEEDS.items()]
 
 
 def fit(texts: list[str]) -> Models:
-    """Models from the seeds and texts in memory, refitted with what they claim; what fitted() does for
-    a table."""
-    docs = [_segments(folded(t)) for t in texts]
-    df = Counter(w for d in docs for w in {w for s in d for w in _words(s)})
-    usual, common = _limits(len(docs))
-    labels = Labels(docs).first({w for w in FILL_WORDS if df[w] <= common}, {w for w, n in df.items() if n >= usual})
+    """Models from the seeds and texts in memory; what fitted() does for a table."""
+    known: dict[str, list] = {}
+    for s, c, t, bits in company([segments(folded(x)) for x in texts]):
+        got = known.setdefault(s, [0, 0.0, 0])
+        got[0] += c
+        got[1] += t
+        got[2] |= bits
+    parts = list(known)
+    others, told = (np.array([x[i] for x in known.values()], np.float64) for i in (0, 1))
+    kinds = np.array([x[2].bit_count() for x in known.values()], np.int64)
+    label, rest = first_labels(parts, others, told, kinds), parts
     for turn in range(ROUNDS + 1):
-        models = Models()
-        own = labels.of_class()
-        for k, seeds in SEEDS.items():
-            models.count(k, [*seeds, *own.get(k, [])])
-        if turn < ROUNDS and labels.flat:
-            labels.again(models)
+        models = _summed([*_seed_counts(), *(_counted(k, x) for k, x in _by_class(label, rest, _vouched(others, told, kinds)).items() if x)])
+        if turn < ROUNDS and parts:
+            label, rest = next_labels(models, parts, others, told, kinds)
     return models
 
 
 def fitted(documents: DataFrame) -> Models:
-    """Models from the seeds and all texts, refitted with what they claim."""
+    """Models from the seeds and all texts of a table."""
     spark: SparkSession = documents.sparkSession
-    src = documents.where(F.col("text").isNotNull()).select("text")
-    usual, common = _limits(src.count())
+    ship(spark)
+
+    def read(batches):
+        held: dict[str, list] = {}
+
+        def flush():
+            out = {"s": list(held)} | {k: [x[i] for x in held.values()] for i, k in enumerate("ct")} | {"b": [x[2] - (1 << 64 if x[2] >> 63 else 0) for x in held.values()]}
+            held.clear()
+            return out
 
-    def words(batches):
-        df: Counter = Counter()
         for b in batches:
-            for t in b.column(0).to_pylist():
-                df.update({w for s in _segments(folded(t)) for w in _words(s)})
-                if len(df) > MOST_HELD:
-                    yield {"word": list(df), "n": list(df.values())}
-                    df.clear()
-        yield {"word": list(df), "n": list(df.values())}
-
-    # at most a thousand usual words for each word a text has: a share of the texts holds each
-    counts = arrow_stream(src, words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    known = {r["word"]: r["n"] for r in counts.where((F.col("n") >= usual) | F.col("word").isin(sorted(FILL_WORDS))).collect()}
-    fill = {w for w in FILL_WORDS if known.get(w, 0) <= common}
-    shared = spark.sparkContext.broadcast({w for w, n in known.items() if n >= usual})
-    seeds = [_counted(k, list(x)) for k, x in SEEDS.items()]
-    seeds = spark.createDataFrame(pa.table({c: np.concatenate([x[c] for x in seeds]) for c in _GRAM}))
-
-    def first(batch):
-        return Labels([_segments(folded(t)) for t in batch.column(0).to_pylist()]).first(fill, shared.value)
-
-    def turned(packed):
-        held: list[Models] = []
-
-        def again(batch):
-            held or held.append(Models.unpacked(packed.value))
-            docs, label, slots = (batch.column(i).to_pylist() for i in range(3))
-            flat = [np.array([x for d in y for x in d], kind) for y, kind in ((label, np.int64), (slots, bool))]
-            return Labels(docs).known(*flat).again(held[0])
-
-        return again
-
-    step, at = first, src
-    for turn in range(ROUNDS + 1):
-        found = cut(arrow_stream(at, _learning(step), "kind string, segments array<string>, labels array<int>, slots array<boolean>, k int, o int, h bigint, before bigint, n bigint"), "learned", by=("kind",))
-        models = _tabled(found.where("kind = 'gram'").select(*_GRAM).unionByName(seeds))
+            texts = b.column(0).to_pylist()
+            for part in portions(texts, PORTION):
+                for s, c, t, bits in company([segments(folded(x)) for x in texts[part]]):
+                    got = held.setdefault(s, [0, 0.0, 0])
+                    got[0] += c
+                    got[1] += t
+                    got[2] |= bits
+                if len(held) > MOST_HELD:
+                    yield flush()
+        yield flush()
+
+    counted = arrow_stream(documents.where("text is not null").select("text"), read, "s string, c bigint, t double, b bigint")
+    types = cut(counted.groupBy("s").agg(F.sum("c").alias("c"), F.sum("t").alias("t"), F.bit_count(F.bit_or("b")).alias("kinds")), "segments")
+    models: Models | None = None
+    for _ in range(ROUNDS + 1):
+        shared = spark.sparkContext.broadcast(models.packed() if models else None)
+        grams = arrow_stream(types, _learning(shared), "o int, bin int, context int, shorter int, k int, n bigint")
+        grams = grams.unionByName(spark.createDataFrame(pa.table(_merged(_seed_counts()))))
+        sums = [F.sum(F.when(F.col("k") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(4)]
+        whole = grams.groupBy("o", "bin").agg(F.min(F.struct("context", "shorter")).alias("of"), *sums)
+        # at most one row for each bin of the tables
+        t = whole.select("o", "bin", "of.context", "of.shorter", *[f"n{k}" for k in range(4)]).toArrow()
+        cols = [t.column(i).to_numpy() for i in range(8)]
+        models = Models.of(*cols[:4], np.stack(cols[4:]))
         shared.destroy()
-        if turn < ROUNDS:
-            shared = spark.sparkContext.broadcast(models.packed())
-            step, at = turned(shared), found.where("kind = 'text'").select("segments", "labels", "slots")
     return models
 
 
-_GRAM = ("k", "o", "h", "before", "n")
+def _merged(cols: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    return {c: np.concatenate([x[c] for x in cols]) for c in _GRAM}
 
 
-def _learning(step):
-    """A task's texts with the labels of a step, and the n-grams of each class."""
+def _learning(shared):
+    """The n-grams of each class of a task's segments, labelled by the models or, without any, by the seeds."""
 
     def run(batches):
+        models = Models.unpacked(shared.value) if shared.value else None
         held: dict[int, list[str]] = {NATURAL: [], FILLER: [], NOTICE: []}
         size = 0
 
         def flush():
             for k, texts in held.items():
                 if texts:
-                    grams = _counted(k, texts)
-                    none = [None] * len(grams["h"])
-                    yield {"kind": ["gram"] * len(none), "segments": none, "labels": none, "slots": none} | grams
+                    yield _counted(k, texts)
                     texts.clear()
 
         for b in batches:
-            texts = [x if isinstance(x, str) else " ".join(x) for x in b.column(0).to_pylist()]
-            for part in portions(texts, PORTION):
-                x = step(b.slice(part.start, part.stop - part.start))
-                ends = np.searchsorted(x.of, np.arange(x.n + 1))
-                cols = [[list(y[i:j]) for i, j in zip(ends[:-1], ends[1:], strict=True)] for y in (x.flat, x.label.tolist(), x.slots.tolist())]
-                none = [None] * x.n
-                yield {"kind": ["text"] * x.n, "segments": cols[0], "labels": cols[1], "slots": cols[2]} | dict.fromkeys(_GRAM, none)
-                for k, texts in x.of_class().items():
+            parts, cols = b.column(0).to_pylist(), [b.column(i).to_numpy() for i in (1, 2, 3)]
+            for part in portions(parts, PORTION):
+                x = (parts[part], *(c[part] for c in cols))
+                label, rest = next_labels(models, *x) if models else (first_labels(*x), x[0])
+                for k, texts in _by_class(label, rest, _vouched(*x[1:])).items():
                     held[k] += texts
                     size += sum(map(len, texts))
                 if size >= COUNTED:
@@ -435,160 +497,106 @@ def _learning(step):
     return run
 
 
-def _counted(k: int, texts: list[str]) -> dict[str, np.ndarray]:
-    """The distinct n-grams of texts, each with the one before its last character and its count."""
-    hs = _hashes(np.concatenate([_codes(texts), np.full(5, 2, np.uint64)]))
-    cols: dict[str, list] = {c: [] for c in _GRAM}
-    for o in range(ORDER):
-        grams, first, n = np.unique(hs[o][6:], return_index=True, return_counts=True)
-        cols["k"].append(np.full(len(n), k, np.int32))
-        cols["o"].append(np.full(len(n), o, np.int32))
-        cols["h"].append(grams.view(np.int64))
-        cols["before"].append(hs[o - 1][first + 5].view(np.int64) if o else np.zeros(len(n), np.int64))
-        cols["n"].append(n.astype(np.int64))
-    return {c: np.concatenate(x) for c, x in cols.items()}
-
-
-def _tabled(grams: DataFrame) -> Models:
-    """Models of summed n-grams: of those that share a place the most frequent takes it, as in
-    Models.count()."""
-    spark = grams.sparkSession
-    whole = grams.groupBy("k", "o", "h").agg(F.sum("n").alias("n"), F.min("before").alias("before"))
-    longer = whole.where("o > 0").select("k", (F.col("o") - 1).alias("o"), F.col("before").alias("h"), F.lit(0).cast("bigint").alias("n"), F.lit(1).alias("kinds"))
-    both = whole.select("k", "o", "h", "n", F.lit(0).alias("kinds")).unionByName(longer)
-    both = cut(both.groupBy("k", "o", "h").agg(F.sum("n").alias("n"), F.sum("kinds").cast("bigint").alias("kinds")).where("n > 0"), "grams")
-    models = Models()
-
-    def settle(df):
-        unsigned = F.col("h").bitwiseXOR(F.lit(-(1 << 63)))
-        top = df.groupBy("k", "o", "slot").agg(F.max(F.struct("n", unsigned.alias("u"), "kinds")).alias("top"))
-        check = F.col("top.u").bitwiseAND(F.lit(0xFFFF)).cast("int")
-        got = top.select("k", "o", F.col("slot").cast("int"), F.col("top.n").cast("float").alias("n"), F.least("top.kinds", F.lit(255)).cast("int").alias("kinds"), check.alias("check")).toArrow()
-        k, o, slot, n, kinds, check = (got.column(i).to_numpy() for i in range(6))
-        for c in range(len(BITS)):
-            mine = k == c
-            models.n[c][o[mine], slot[mine]] = n[mine]
-            models.kinds[c][o[mine], slot[mine]] = kinds[mine]
-            models.owner[c][o[mine], slot[mine]] = check[mine]
-
-    settle(both.withColumn("slot", F.coalesce(*[F.when(F.col("k") == k, F.shiftrightunsigned("h", 64 - bits)) for k, bits in enumerate(BITS)])))
-    taken = spark.sparkContext.broadcast(models.packed())
-    held: list[Models] = []
-
-    def second(batch):
-        held or held.append(Models.unpacked(taken.value))
-        k, o, h, n, kinds = (batch.column(i).to_numpy() for i in range(5))
-        out = []
-        for c in range(len(BITS)):
-            i = np.flatnonzero(k == c)
-            u = h[i].view(np.uint64)
-            i, u = (x[held[0].owner[c][o[i], _bin(u, c)] != _check(u)] for x in (i, u))
-            at = _bin(u, c, 1)
-            free = held[0].n[c][o[i], at] == 0
-            out.append((i[free], at[free]))
-        i, at = (np.concatenate(x) for x in zip(*out, strict=True))
-        return {"k": k[i], "o": o[i], "h": h[i], "n": n[i], "kinds": kinds[i], "slot": at}
-
-    settle(arrow_map(both, second, "k int, o int, h bigint, n bigint, kinds bigint, slot bigint"))
-    taken.destroy()
-    return models
-
-
-def _in_place(label: np.ndarray, of: np.ndarray, size: np.ndarray, n: int) -> np.ndarray:
-    """A notice stands in place of a text: unless notices fill most of it, its segments are natural."""
-    noticed = np.bincount(of, weights=size * (label == NOTICE), minlength=n) / np.maximum(1, np.bincount(of, weights=size, minlength=n))
-    return np.where((label == NOTICE) & (noticed[of] < NOTICE_COVERAGE), np.where(np.bincount(of, weights=size * (label == NATURAL), minlength=n)[of] > 0, NATURAL, -1), label)
-
-
-def _segment_scores(models: Models, segments: list[str]) -> np.ndarray:
-    """[classes, segments]: summed log probabilities."""
-    out = np.zeros((len(models.n), len(segments)))
-    for at in range(0, len(segments), 20_000):
-        part = segments[at : at + 20_000]
-        lp = models.log_probs(_codes(part))
-        starts = np.cumsum([6] + [len(s) + 6 for s in part[:-1]])
-        ends = starts + [len(s) for s in part]
-        total = np.concatenate([np.zeros((len(lp), 1)), np.cumsum(lp.astype(np.float64), axis=1)], axis=1)
-        out[:, at : at + len(part)] = total[:, ends] - total[:, starts]
-    return out
-
-
 # --------------------------------------------------------------------------------------------- judging
 
 
 def judge(models: Models, texts: list[str | None]) -> list[dict]:
     """For each text the share of letters filler and notices cover, the longest run of filler, the slots
     found, and whether it is a case."""
-    clean = [folded(t) if t else "" for t in texts]
     out = [{"filler_run": 0, "filler_coverage": 0.0, "notice_coverage": 0.0, "slots": [], "case": False} for _ in texts]
-    full = [i for i, t in enumerate(clean) if t.strip()]
+    clean = [folded(t) if t else "" for t in texts]
+    full = [i for i, t in enumerate(clean) if t and not t.isspace()]
     if not full:
         return out
-    lp = models.log_probs(_codes([clean[i] for i in full]))
-    at = 6
-    for i in full:
-        t = clean[i]
-        part = lp[:, at : at + len(t)]
-        at += len(t) + 6
-        quoted = np.zeros(len(t), bool)
-        for m in _QUOTED.finditer(t):
-            quoted[m.start() : m.end()] = True
-        visible = np.array([c.isalpha() for c in t])
-        seen = max(1, int(visible.sum()))
-        filler = _windows(part, FILLER, (NATURAL, NOTICE)) & ~quoted
-        notice = _windows(part, NOTICE, (NATURAL, FILLER))
+    codes, start, size = _joined([clean[i] for i in full])
+    lp = models.log_probs(codes)
+    end = start + size
+    # what a review quotes says nothing for filler and notices
+    for j in np.unique(np.searchsorted(start, np.flatnonzero(_OPENING[np.minimum(codes, 0x2FFF)]), "right") - 1).tolist():
+        for m in _QUOTED.finditer(clean[full[j]]):
+            if m[0][0] not in "\"`":
+                a, b = start[j] + m.start(), start[j] + m.end()
+                lp[FILLER, a:b] = lp[NOTICE, a:b] = lp[NATURAL, a:b]
+    visible = _ALPHA[np.minimum(codes, 0x2FFF)]
+    sums = np.cumsum(lp, axis=1, dtype=np.float64)
+    sums = np.concatenate([sums[:, WINDOW - 1 : WINDOW], sums[:, WINDOW:] - sums[:, :-WINDOW]], axis=1)
+    filler = _windows(lp, sums, FILLER, (NATURAL, NOTICE))
+    notice = _windows(lp, sums, NOTICE, (NATURAL, FILLER))
+    spans = {k: [] for k in range(len(full))}
+    for i, a, b in zip(*_slot_windows(lp, start, size), strict=True):
+        spans[i].append((a, b))
+    # mentions in quotes are no filler
+    for j in np.unique(np.searchsorted(start, np.flatnonzero(filler), "right") - 1).tolist():
+        for m in _QUOTED.finditer(clean[full[j]]):
+            filler[start[j] + m.start() : start[j] + m.end()] = False
+    count = lambda x: (lambda s: s[end] - s[start])(np.r_[0, np.cumsum(x)])
+    letters = np.maximum(1, count(visible))
+    covered, told, any_notice = count(filler & visible) / letters, count((notice | filler) & visible) / letters, count(notice)
+    run = np.zeros(len(full), np.int64)
+    edges = np.flatnonzero(np.diff(np.r_[False, filler, False].astype(np.int8)))
+    np.maximum.at(run, np.searchsorted(start, edges[::2], "right") - 1, edges[1::2] - edges[::2])
+    for j, i in enumerate(full):
         r = out[i]
-        r["filler_run"] = _longest_run(filler)
-        r["filler_coverage"] = float((filler & visible).sum()) / seen
-        r["notice_coverage"] = float(((notice | filler) & visible).sum()) / seen if notice.any() else 0.0
-        near = _windows(part, SLOT, (NATURAL,), 4, 4) | _windows(part, SLOT, (NATURAL,), 8, 8) | (part[SLOT] - part[NATURAL] > 1)
-        raw = canonical(texts[i])
-        r["slots"] = [m.group() for m in _unquoted_slots(raw) if near[m.start() : m.end()].any()]
+        r["filler_run"], r["filler_coverage"] = int(run[j]), float(covered[j])
+        r["notice_coverage"] = float(told[j]) if any_notice[j] else 0.0
+        if spans[j]:
+            r["slots"] = confirmed(canonical(texts[i]), spans[j])
         r["case"] = bool(r["slots"]) or r["filler_run"] >= FILLER_RUN or r["filler_coverage"] >= NOTICE_COVERAGE and r["filler_run"] >= LEAST_RUN or r["notice_coverage"] >= NOTICE_COVERAGE
     return out
 
 
-def _unquoted_slots(text: str) -> list[re.Match]:
-    """Placeholders that aren't part of a longer quotation."""
-    found = list(_SLOT.finditer(text))
-    if not found:
-        return []
+def confirmed(text: str, spans: list[tuple[int, int]]) -> list[str]:
+    """Of the windows found, the placeholders that have the form of one and aren't part of a longer quotation."""
     quotes = [m.span() for m in _QUOTED.finditer(text)]
-    return [m for m in found if not any(a <= m.start() and m.end() <= b and b - a > m.end() - m.start() for a, b in quotes)]
+    out = []
+    for m in _SLOT.finditer(text):
+        if any(a < m.end() and m.start() < b for a, b in spans) and not any(a <= m.start() and m.end() <= b and b - a > m.end() - m.start() for a, b in quotes):
+            out.append(m.group())
+    return out
 
 
-def _windows(lp: np.ndarray, k: int, others: tuple[int, ...], width: int = WINDOW, least: int = WINDOW) -> np.ndarray:
+def _slot_windows(lp: np.ndarray, start: np.ndarray, size: np.ndarray, nats: float = SLOT_NATS) -> tuple[list[int], list[int], list[int]]:
+    """(text, from, to) of the windows of any width whose likelihood as a slot beats natural prose by `nats`:
+    the ratio is summed from where it was lowest before."""
+    ratio = lp[SLOT] - lp[NATURAL]
+    away = np.zeros(len(ratio))
+    away[start - 1] = -1e6  # sums begin anew in each text
+    total = np.cumsum(ratio.astype(np.float64) + away)
+    low = np.minimum.accumulate(total)
+    hit = total - low > nats
+    hit &= lp[SLOT] != 0
+    edges = np.flatnonzero(np.diff(np.r_[False, hit, False].astype(np.int8)))
+    a, b = edges[::2], edges[1::2]
+    # a window begins behind the lowest sum
+    at = np.flatnonzero(np.r_[True, np.diff(low) < 0])
+    begin = at[np.searchsorted(at, a, "right") - 1] + 1
+    text = np.searchsorted(start, a, "right") - 1
+    begin = np.maximum(begin, start[text])
+    return text.tolist(), (begin - start[text]).tolist(), (np.minimum(b, start[text] + size[text]) - start[text]).tolist()
+
+
+def _windows(lp: np.ndarray, sums: np.ndarray, k: int, others: tuple[int, ...]) -> np.ndarray:
     """Characters that lie in a window whose likelihood under class k beats every other class by MARGIN nats
-    a character (of `least` characters at least), from its first to its last character in favour."""
+    a character, from its first to its last character in favour.  The padding lets texts shorter than a window
+    count with all they have."""
     n = lp.shape[1]
-    width = min(width, n)
-    sums = np.concatenate([np.zeros((len(lp), 1)), np.cumsum(lp, axis=1, dtype=np.float64)], axis=1)
-    sums = sums[:, width:] - sums[:, :-width]
-    rest = sums[list(others)].max(0)
-    hit = sums[k] - rest > MARGIN * max(width, least)
-    ratio = lp[k] - lp[list(others)].max(0)
+    hit = sums[k] - sums[list(others)].max(0) > MARGIN[k] * WINDOW
     out = np.zeros(n, bool)
     if hit.any():
-        edge = np.zeros(n + 1, np.int64)
-        np.add.at(edge, np.flatnonzero(hit), 1)
-        np.add.at(edge, np.flatnonzero(hit) + width, -1)
-        out = np.cumsum(edge[:-1]) > 0
-        good = ratio > 0
-        # shrink each run to characters in favour
-        idx = np.flatnonzero(np.diff(np.r_[False, out, False].astype(np.int8)))
-        for a, b in zip(idx[::2], idx[1::2], strict=True):
-            inside = np.flatnonzero(good[a:b])
-            out[a:b] = False
-            if len(inside):
-                out[a + inside[0] : a + inside[-1] + 1] = True
+        edge = np.zeros(n + 1, np.int32)
+        edge[: len(hit)] += hit
+        edge[WINDOW : WINDOW + len(hit)] -= hit
+        runs = np.flatnonzero(np.diff(np.r_[False, np.cumsum(edge[:-1]) > 0, False].astype(np.int8)))
+        good = np.flatnonzero(lp[k] > lp[list(others)].max(0))
+        first, last = np.searchsorted(good, runs[::2]), np.searchsorted(good, runs[1::2]) - 1
+        ok = first <= last
+        mark = np.zeros(n + 1, np.int32)
+        np.add.at(mark, good[first[ok]], 1)
+        np.add.at(mark, good[last[ok]] + 1, -1)
+        out = np.cumsum(mark[:-1]) > 0
     return out
 
 
-def _longest_run(mark: np.ndarray) -> int:
-    edges = np.flatnonzero(np.diff(np.r_[False, mark, False].astype(np.int8)))
-    return int((edges[1::2] - edges[::2]).max()) if len(edges) else 0
-
-
 def judged(documents: DataFrame, models: Models | None = None) -> DataFrame:
     """(doc_id, is_case, filler_run, filler_coverage, notice_coverage, slots) of each document."""
     spark: SparkSession = documents.sparkSession

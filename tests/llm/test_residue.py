@@ -15,7 +15,7 @@ NOTICE = ["Error 404 – Page not found – Retry after 30 seconds.", "Please en
 def models(sf):
     import pyarrow.parquet as pq
 
-    texts = [t for t in pq.read_table(f"{sf.replace('sf0.001', 'sf0.01')}/documents.parquet", columns=["text"]).column(0).to_pylist() if t]
+    texts = [t for t in pq.read_table(f"{sf.replace('sf0.001', 'sf0.1')}/documents.parquet", columns=["text"]).column(0).to_pylist() if t]
     return R.fit(texts)
 
 
@@ -52,27 +52,62 @@ def test_rows(spark, models):
     assert R.judged(df.limit(0)).collect() == []
 
 
-def test_probabilities_sum_to_about_one(models):
+def test_windows_alone_find_the_slots(models):
+    """The check behind the windows only rejects: without it every slot is still found."""
+
+    def windows(texts):
+        codes, start, size = R._joined([R.folded(t) for t in texts])
+        return set(R._slot_windows(models.log_probs(codes), start, size)[0])
+
+    assert windows(SLOTS) == set(range(len(SLOTS)))
+    assert not windows(["The handle feels really sturdy.", "It took 10 days to arrive.", "Top"])
+
+
+HELD_OUT = [  # wordings of no seed and no table
+    "Oops, 404! We searched everywhere but this page is gone. Error code 404.", "HTTP error 500. The application server refused the request.", "You must have JavaScript enabled in your browser to read this site.", "Die gesuchte Seite ist leider nicht vorhanden. Fehlercode 404.", "Ihr Browser unterstützt kein JavaScript. Bitte JavaScript einschalten.",
+    "Erreur 500 : le serveur ne répond pas. Réessayez ultérieurement.", "Este sitio requiere JavaScript. Active JavaScript en su navegador.", "De server kan de pagina niet vinden. Foutcode 404.", "Сервер не отвечает. Код ошибки 502. Попробуйте обновить страницу.", "Unhandled exception in thread main: IndexError: list index out of range",
+    "Database connection failed. Please contact your administrator.", "Session expired. Please log in again.", "Der Server antwortet nicht. Bitte versuchen Sie es noch einmal.", "Zugriff nicht erlaubt. Bitte melden Sie sich an.", "Service indisponible. Veuillez actualiser la page.", "Acceso no autorizado. Código de error 403.", "Toegang niet toegestaan. Log in om verder te gaan.", "Страница удалена или не существует. Ошибка 404.", "SyntaxError: unexpected end of JSON input at line 3", "This request was blocked by the server. Request-id: 0a1b2c3d4e",
+    "Dummy text, dummy text, dummy text.", "Insert your review text here.", "Bitte hier Ihren Text einfügen.", "Votre texte ici. Texte à remplacer.", "Inserte aquí su texto de ejemplo.", "Vul hier uw tekst in.", "Вставьте сюда ваш текст.", "Vestibulum ante ipsum primis in faucibus orci luctus et ultrices.", "Dolor tempor arcu venenatis lacinia mauris bibendum elit.", "qwerty asdf qwerty asdf qwerty",
+]
+
+
+def test_held_out_wordings(models):
+    assert sum(cases(models, HELD_OUT)) >= 0.9 * len(HELD_OUT)
+
+
+def test_seeds_are_not_taken_from_the_tables(sf):
+    import pyarrow.parquet as pq
+
+    texts = [t for t in pq.read_table(f"{sf.replace('sf0.001', 'sf0.1')}/documents.parquet", columns=["text"]).column(0).to_pylist() if t]
+    pool = "\n".join({R.folded(t) for t in texts})
+    seeds = [s for k in (R.FILLER, R.NOTICE) for x in R.SEEDS[k] for s in R.segments(R.folded(x)) if len(s) >= 14]
+    assert not [s for s in seeds if s in pool]
+
+
+def test_probabilities_of_what_was_seen_sum_to_at_most_one(models):
     import numpy as np
 
-    context = "the hand"
     letters = [chr(c) for c in range(97, 123)] + [" ", ".", ","]
-    total = sum(float(np.exp(models.log_probs(R._codes([context + c]))[0][6 + len(context)])) for c in letters)
-    assert 0.85 < total < 1.05
+    codes, start, size = R._joined(["the hand" + c for c in letters])
+    last = start + size - 1
+    seen = models.tables[-1][R._bins(R._hashes(codes)[-1][last], len(R.ORDERS) - 1)] != 0
+    p = np.exp(models.log_probs(codes)[:, last[seen]])
+    assert 0.6 < p[R.NATURAL].sum() < 1.1  # bins are shared by chance
 
 
-def test_fit_counts_every_document(spark):
-    rows = [(i, "zq" if i % 2 else "The lid is fine.", "x", False) for i in range(24_000)]
+def test_every_text_is_counted(spark):
+    """A wording of the last texts alone is learned, whatever their number."""
+    notice = "the zorbix gate is shut"
+    rows = [(i, f"The lid {i} is fine. It took {i} days. So {i} nice lids here." if i < 23_990 else f"Page cannot be found. Error code 40{i % 10}. {notice}.", "x", False) for i in range(24_000)]
     df = spark.createDataFrame(rows, "doc_id long, text string, slots string, is_case boolean")
     models = R.fitted(df)
-    h = R._hashes(R._codes(["zq"]))
-    n, _ = models._look(R.NATURAL, 1, h[1][7:8])
-    assert n[0] == 12_000
+    assert cases(models, [notice, "So nice lids here."]) == [True, False]
 
 
 def test_table_and_memory_fit_alike(spark, sf):
     df = spark.read.parquet(f"{sf.replace('sf0.001', 'sf0.01')}/documents.parquet")
     texts = [r["text"] for r in df.where("text is not null").select("text").collect()]
     a, b = R.fitted(df), R.fit(texts)
-    assert sum(int((x != y).sum()) for x, y in zip(a.n, b.n, strict=True)) < 200  # of the blanks at the ends of a part
-    assert cases(a, texts) == cases(b, texts)
+    assert all(((x == 0) == (y == 0)).all() for x, y in zip(a.tables, b.tables, strict=True))  # bins that two n-grams share may remember the context of either
+    x, y = cases(a, texts), cases(b, texts)
+    assert sum(u != v for u, v in zip(x, y, strict=True)) <= 1 and sum(x) > 30
