@@ -108,6 +108,5 @@ def test_table_and_memory_fit_alike(spark, sf):
     df = spark.read.parquet(f"{sf.replace('sf0.001', 'sf0.01')}/documents.parquet")
     texts = [r["text"] for r in df.where("text is not null").select("text").collect()]
     a, b = R.fitted(df), R.fit(texts)
-    assert all(((x == 0) == (y == 0)).all() for x, y in zip(a.tables, b.tables, strict=True))  # bins that two n-grams share may remember the context of either
     x, y = cases(a, texts), cases(b, texts)
     assert sum(u != v for u, v in zip(x, y, strict=True)) <= 1 and sum(x) > 30
