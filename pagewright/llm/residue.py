@@ -62,6 +62,7 @@ PRIOR = 16.0  # nats in favour of natural prose when segments are labelled
 VOUCHED = 8  # different companions that make a segment natural beyond chance
 COMPANION = 12  # characters of a segment that counts as company
 NATURAL, FILLER, NOTICE, SLOT = range(4)
+ENDS = (". ", "! ", ". ", "... ", ". ", ", ", ". ", "? ", ". ", ": ", "")  # put behind segments, which are known without their marks
 
 # What the models start from.
 LATIN_SEEDS = (
@@ -101,8 +102,7 @@ NOTICE_SEEDS = (
     "такой страницы нет. адрес не найден. сервер недоступен. возникла ошибка. код ошибки 000. внутренняя ошибка. время ожидания истекло. нет соединения с сервером. соединение потеряно. технические работы. попробуйте ещё раз. перезагрузите страницу. нет прав доступа. доступ закрыт. этот материал больше не доступен. не удалось загрузить. ошибка запроса. на главную страницу.",
     "javascript отключён. javascript не работает. ваш браузер блокирует скрипты. для этой страницы нужен javascript. разрешите скрипты и перезагрузите. сеанс завершён. войдите в систему.",
 )
-# Names of slots, and how template languages mark them.
-SLOT_NAMES = ("name", "user_name", "first name", "customer", "title", "address", "email", "price", "link", "company", "number", "item_id", "value", "field", "text here", "insert here", "kunde", "anrede", "betreff", "wert einsetzen", "nom", "client", "adresse", "valeur", "apellido", "cliente", "correo", "valor", "naam", "klant", "adres", "waarde", "клиент", "адрес", "имя", "число", "0")
+# How template languages mark slots.
 SLOT_FORMS = ("{{%s}}", "{{ %s }}", "{%s}", "${%s}", "%%%s%%", "<%%= %s %%>", "<%s>", "[%s]", "[[%s]]", "[%s ...]", "__%s__", "#%s#", "@@%s@@", "«%s»")
 BARE_SLOTS = ("xxxx", "%s", "%d", "%0$s")
 
@@ -300,7 +300,17 @@ def _inside(codes: np.ndarray) -> np.ndarray:
 
 _NOTICE_BINS = _seed_bins(NOTICE_SEEDS)
 FILL_WORDS = frozenset(w for x in (*LATIN_SEEDS, *FILLER_SEEDS) for w in _WORD.findall(x) if len(w) > 3)
-NAMED = tuple([" ".join(f % n for n in SLOT_NAMES) for f in SLOT_FORMS] + [" ".join(f"{w} {b}{m} {w}" for w in "aeionrst" for m in (",", ":", "", ".", "!")) for b in BARE_SLOTS])
+
+
+def _names(n: int = 60, seed: int = 5) -> list[str]:
+    """Names of slots made of letters drawn alike, so that the marks tell a slot and not the words in it."""
+    rng = np.random.default_rng(seed)
+    letters = "abcdefghijklmnopqrstuvwxyzäéñабвгдежзиклмнопрстуя"
+    word = lambda: "".join(letters[i] for i in rng.integers(0, len(letters), rng.integers(2, 9)))
+    return [str(rng.integers(10)) if i % 12 == 0 else "_ "[i % 2].join(word() for _ in range(rng.integers(1, 4))) for i in range(n)]
+
+
+NAMED = tuple([" ".join(f % n for n in _names()) for f in SLOT_FORMS] + [" ".join(f"{w} {b}{m} {w}" for w in "aeionrst" for m in (",", ":", "", ".", "!")) for b in BARE_SLOTS])
 SEEDS = {FILLER: (*LATIN_SEEDS, *FILLER_SEEDS), NOTICE: NOTICE_SEEDS, SLOT: NAMED}
 
 
@@ -371,7 +381,6 @@ def next_labels(models: Models, parts: list[str], others: np.ndarray, told: np.n
     label[(others > 0) & (share >= ANCHORED) & (label != FILLER)] = NOTICE
     label[_vouched(others, told, kinds) & (label != FILLER)] = NATURAL  # such as a review that mentions one
     rest = list(parts)
-    # told by the shortest context alone, as slots follow a greeting more often than other words do
     for i, a, b in zip(*_slot_windows(models.log_probs(codes, 2), start, size, MAYBE_SLOT_NATS), strict=True):
         rest[i] = rest[i][:a] + chr(_MARK) * (b - a) + rest[i][b:] if len(rest[i]) == len(parts[i]) else rest[i]
     return label, rest
@@ -384,8 +393,9 @@ def _vouched(others: np.ndarray, told: np.ndarray, kinds: np.ndarray) -> np.ndar
 
 def _by_class(label: np.ndarray, parts: list[str], sure: np.ndarray) -> dict[int, list[str]]:
     """The segments each class learns from; natural ones that are vouched for outweigh the discount."""
-    out = {k: [parts[i] for i in np.flatnonzero(label == k)] for k in (NATURAL, FILLER, NOTICE)}
-    out[NATURAL] += [parts[i] for i in np.flatnonzero((label == NATURAL) & sure)] * DISCOUNT
+    ended = [s + ENDS[zlib.crc32(s.encode("utf-8", "surrogatepass")) % len(ENDS)] for s in parts]
+    out = {k: [ended[i] for i in np.flatnonzero(label == k)] for k in (NATURAL, FILLER, NOTICE)}
+    out[NATURAL] += [ended[i] for i in np.flatnonzero((label == NATURAL) & sure)] * DISCOUNT
     return out
 
 
@@ -523,7 +533,7 @@ def judge(models: Models, texts: list[str | None]) -> list[dict]:
     filler = _windows(lp, sums, FILLER, (NATURAL, NOTICE))
     notice = _windows(lp, sums, NOTICE, (NATURAL, FILLER))
     spans = {k: [] for k in range(len(full))}
-    for i, a, b in zip(*_slot_windows(lp, start, size), strict=True):
+    for i, a, b in zip(*_slot_windows(models.log_probs(codes, 2), start, size), strict=True):
         spans[i].append((a, b))
     # mentions in quotes are no filler
     for j in np.unique(np.searchsorted(start, np.flatnonzero(filler), "right") - 1).tolist():
@@ -557,7 +567,8 @@ def confirmed(text: str, spans: list[tuple[int, int]]) -> list[str]:
 
 def _slot_windows(lp: np.ndarray, start: np.ndarray, size: np.ndarray, nats: float = SLOT_NATS) -> tuple[list[int], list[int], list[int]]:
     """(text, from, to) of the windows of any width whose likelihood as a slot beats natural prose by `nats`:
-    the ratio is summed from where it was lowest before."""
+    the ratio is summed from where it was lowest before.  lp is of the shortest contexts: longer ones tell names
+    and greetings, which stand in any text, from others."""
     ratio = lp[SLOT] - lp[NATURAL]
     away = np.zeros(len(ratio))
     away[start - 1] = -1e6  # sums begin anew in each text
