@@ -3,6 +3,9 @@ page's native text is usable or the page needs OCR.  All are Column expressions.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,24 +63,20 @@ def invalid_ratio(text: Column) -> Column:
     return invalid_chars(text) / F.greatest(utf16_length(text), F.lit(1))
 
 
-def text_is_broken(text: Column) -> Column:
-    return (meaningful_chars(text) >= LEAST_TEXT_FOR_RATIO) & (invalid_ratio(text) > MOST_INVALID_RATIO)
-
-
-def has_no_valid_chars(text: Column) -> Column:
-    return valid_chars(text) == 0
-
-
-def no_words_on_image(text: Column, coverage: Column) -> Column:
-    return (word_count(text) == 0) & (coverage > RELEVANT_COVERAGE)
-
-
-def looks_scanned(text: Column, coverage: Column) -> Column:
-    return (coverage >= LARGE_COVERAGE) & (word_count(text) < LEAST_WORDS_ON_IMAGE)
+def reasons_for_ocr(text: Column, coverage: Column) -> dict[str, Column]:
+    """Why the native text of a page is of no use: the page shows none, its words are missing where an image lies,
+    or what is there can't be read.  Any one is enough."""
+    words, letters, shown = word_count(text), meaningful_chars(text), valid_chars(text)
+    large, relevant = coverage >= LARGE_COVERAGE, coverage > RELEVANT_COVERAGE
+    return {
+        "no_valid": shown == 0,
+        "no_words": relevant & (words == 0),
+        "scanned": large & (words < LEAST_WORDS_ON_IMAGE),
+        "broken": (invalid_ratio(text) > MOST_INVALID_RATIO) & (letters >= LEAST_TEXT_FOR_RATIO),
+    }
 
 
 def recommended_mode(text: Column, coverage: Column) -> Column:
     """'ocr' or 'native'.  A null text counts as empty, a null coverage as 0."""
-    text, coverage = F.coalesce(text, F.lit("")), F.coalesce(coverage, F.lit(0.0))
-    ocr = text_is_broken(text) | has_no_valid_chars(text) | no_words_on_image(text, coverage) | looks_scanned(text, coverage)
-    return F.when(ocr, "ocr").otherwise("native")
+    reasons = reasons_for_ocr(F.coalesce(text, F.lit("")), F.coalesce(coverage, F.lit(0.0)))
+    return F.when(reduce(or_, reasons.values()), "ocr").otherwise("native")

@@ -1,12 +1,12 @@
 """Recognition: text of the selected pages, from the native layer or by OCR, one result per document.
 
-Pages are routed in one pass: a nullable OCR column is filled only for the pages that need it, so the page
-source is read once and no branch is evaluated twice.  The OCR backend is created lazily per partition, on
-the first page that needs it."""
+A document stays in its row from the scan to the result: it is counted, its wanted pages are read, routed by
+expressions on the row, the pages that need it are rendered and recognised, and the result is assembled.  All
+steps are narrow, so no document's bytes and no page are ever shuffled, and each branch is evaluated once."""
 
 from __future__ import annotations
 
-import concurrent.futures
+import multiprocessing
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -22,14 +22,19 @@ DROPPED = ("pages", "pageCount", "recommendedMode", "nativePageCount", "ocrPageC
 ENGINE = {"oem": "lstm_only", "psm": "auto", "preserve_interword_spaces": "1"}
 
 
-class OcrBackend(Protocol):
-    """Turns a rendered page into (text, confidence)."""
+class OcrEngine(Protocol):
+    """Turns the image of a page into (text, confidence)."""
 
-    def recognize(self, content: bytes, page: int, dpi: int, language: str) -> tuple[str, float]: ...
+    def recognize(self, image: bytes, language: str, settings: dict[str, str]) -> tuple[str, float]: ...
 
     def close(self) -> None: ...
 
 
+def engine_settings(dpi: int) -> dict[str, str]:
+    """What an engine is told about each image."""
+    return ENGINE | {"user_defined_dpi": str(dpi)}
+
+
 def context(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Context columns without the keys of an earlier preflight and of attachments."""
     return df.drop(*DROPPED, *extra)
@@ -50,54 +55,62 @@ def render_size(points: Column, dpi: Column) -> Column:
     return F.ceil(points * (dpi / 72)).cast("int")
 
 
-def with_timeout(fn: Callable[[], tuple[str, float]], ms: float) -> tuple[str, float]:
-    """fn() within ms milliseconds; no limit for 0 and below."""
-    if ms is None or ms <= 0:
-        return fn()
-    pool = concurrent.futures.ThreadPoolExecutor(1)
-    try:
-        return pool.submit(fn).result(timeout=ms / 1000)
-    except concurrent.futures.TimeoutError:
-        raise TimeoutError(errors.OCR_TIMEOUT % f"{ms:g}") from None
-    finally:
-        pool.shutdown(wait=False)
-
+class EngineProcess:
+    """An engine in a process of its own, started with the first image.  A call that takes longer than its
+    limit ends with the process, so it can't hold up or disturb the next page, which gets a new engine."""
 
-def ocr_pages(pages: DataFrame, make_backend: Callable[[], OcrBackend], on_error: str = "fail") -> DataFrame:
-    """pages (with content, page, mode, dpi, ocr_language, timeout_ms) plus ocr_text, ocr_confidence and
-    ocr_error of the pages whose mode is 'ocr'.  content is dropped."""
-    kept = [f for f in pages.schema if f.name != "content"]
-    names = [f.name for f in kept]
-    schema = pages.drop("content").schema.add("ocr_text", "string").add("ocr_confidence", "double").add("ocr_error", "string")
-
-    ship(pages.sparkSession)
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-        from pyspark.sql.pandas.types import to_arrow_schema
+    def __init__(self, make_engine: Callable[[], OcrEngine]) -> None:
+        self.make_engine, self.process, self.pipe = make_engine, None, None
 
-        arrow = to_arrow_schema(schema)
-        backend: OcrBackend | None = None
+    def _serve(self, pipe, other) -> None:
+        other.close()
+        engine = None
         try:
-            for batch in batches:
-                rows = batch.to_pylist()
-                for r in rows:
-                    r |= {"ocr_text": None, "ocr_confidence": None, "ocr_error": None}
-                    if r["mode"] == "ocr":
-                        backend = backend or make_backend()
-                        try:
-                            r["ocr_text"], r["ocr_confidence"] = with_timeout(lambda r=r: backend.recognize(r["content"], r["page"], r["dpi"], r["ocr_language"]), r["timeout_ms"])
-                        except Exception as e:
-                            message = errors.OCR_FAILED % (r["page"], e)
-                            if on_error == "fail":
-                                raise RuntimeError(message) from e
-                            r["ocr_error"] = message
-                yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], arrow.field(n).type) for n in [*names, "ocr_text", "ocr_confidence", "ocr_error"]], schema=arrow)
+            while (job := pipe.recv()) is not None:
+                try:
+                    engine = engine or self.make_engine()
+                    pipe.send((True, tuple(engine.recognize(*job))))
+                except Exception as e:  # the caller words and raises it
+                    pipe.send((False, str(e)))
+        except EOFError:  # the caller is gone
+            pass
         finally:
-            if backend is not None:
-                backend.close()
-
-    return pages.mapInArrow(run, schema)
+            if engine is not None:
+                engine.close()
+
+    def recognize(self, image: bytes, language: str, settings: dict[str, str], ms: float | None) -> tuple[str, float]:
+        """Within ms milliseconds; no limit for null, 0 and below."""
+        if self.process is None:
+            fork = multiprocessing.get_context("fork")
+            self.pipe, theirs = fork.Pipe()
+            self.process = fork.Process(target=self._serve, args=(theirs, self.pipe), daemon=True)
+            self.process.start()
+            theirs.close()
+        self.pipe.send((image, language, settings))
+        if not self.pipe.poll(ms / 1000 if ms is not None and ms > 0 else None):
+            self._end(kill=True)
+            raise TimeoutError(errors.OCR_TIMEOUT % f"{ms:g}")
+        try:
+            ok, got = self.pipe.recv()
+        except EOFError:
+            self._end(kill=True)
+            raise RuntimeError("the OCR engine ended") from None
+        if not ok:
+            raise RuntimeError(got)
+        return got
+
+    def _end(self, kill: bool) -> None:
+        if self.process is not None:
+            if kill:
+                self.process.kill()
+            else:
+                self.pipe.send(None)
+            self.process.join()
+            self.pipe.close()
+            self.process = self.pipe = None
+
+    def close(self) -> None:
+        self._end(kill=False)
 
 
 def page_results(pages: DataFrame) -> DataFrame:
@@ -139,76 +152,111 @@ def document_results(results: DataFrame, key: str, page_count: str, selection: s
 DEFAULTS = {"recognition_mode": "auto", "page_selection": "range", "page_from": 1.0, "page_to": 0.0, "specific_pages": "", "ocr_language": "deu", "dpi": 300, "timeout_ms": 120000.0}
 
 
-def recognize(documents: DataFrame, make_backend: Callable[[], OcrBackend], key: str = "item_id", content: str = "data", on_error: str = "fail") -> DataFrame:
-    """Documents with a unique key, a PDF and optional parameter columns (see DEFAULTS, resolved per row) to
-    their context columns and one recognition_result each.
+_FOUND = "array<struct<page:int,source:string,text:string,confidence:double>>"
 
-    The page selection is checked before any page is read; native mode reads no operators, and only documents
-    with pages to recognise are read again, by key, with the list of those pages.  on_error 'collect' keeps
-    every document, with `error` set where something failed and a null result."""
+
+def recognize(documents: DataFrame, make_engine: Callable[[], OcrEngine], key: str = "item_id", content: str = "data", on_error: str = "fail", renderer=None) -> DataFrame:
+    """Documents with a PDF and optional parameter columns (see DEFAULTS, resolved per row) to their context
+    columns and one recognition_result each.
+
+    The page selection is checked before any page is read; native mode reads no operators, ocr mode reads no page.
+    Only pages that need it are rendered (by `renderer`, draw() of the sources by default) and recognised.  on_error
+    'collect' keeps every document, with `error` set where something failed and a null result."""
+    from pagewright.functions import geometry
     from pagewright.functions import pages as rules
-    from pagewright.operators import preflight
     from pagewright.sources import pdf
 
     binary = errors.binary_field(documents, content)
     types = {"page_from": "double", "page_to": "double", "dpi": "int", "timeout_ms": "double"}
     given = {k: F.coalesce(F.col(k), F.lit(v)) if k in documents.columns else F.lit(v) for k, v in DEFAULTS.items()}
-    params = documents.select(key, binary.alias("_content"), *[c.cast(types.get(k, "string")).alias(k) for k, c in given.items()])
-    counted = params.withColumn("_n", pdf.count_udf(F.col("_content")))
+    p = {k: F.col(f"_p.{k}") for k in DEFAULTS}
     n = F.col("_n.page_count")
-    rule = rules.selection_error(F.col("page_selection"), n, F.col("page_from"), F.col("page_to"), F.col("specific_pages"))
-    missing = F.when(F.col("_content").isNull(), errors.BINARY_MISSING % content)
-    asked = rules.selected_pages(F.col("page_selection"), n, F.col("page_from"), F.col("page_to"), F.col("specific_pages"))
-    checked = counted.select(key, "_content", *DEFAULTS, n.alias("page_count"), F.coalesce(missing, F.col("_n.error"), rule).alias("error"), asked.alias("asked"))
-    if on_error == "fail":
-        checked = checked.withColumn("asked", F.when(F.col("error").isNotNull(), F.raise_error(F.col("error"))).otherwise(F.col("asked")))
-    good = checked.where(F.col("asked").isNotNull())
-    keep = (key, "page_count", "page_selection", "recognition_mode", "asked")
-    read = pdf.pages(good.where("recognition_mode <> 'ocr'"), "_content", (key, "recognition_mode"), wanted="asked", on_error=on_error)
-    routed = preflight.analyze_pages(read.where("error is null"), [key, "recognition_mode"]).select(key, "page", "text", F.when(F.col("recognition_mode") == "native", "native").otherwise(F.col("recommended_mode")).alias("mode"))
-    forced = good.where("recognition_mode = 'ocr'").select(key, F.explode("asked").alias("page"), F.lit(None).cast("string").alias("text"), F.lit("ocr").alias("mode"))
-    plan = routed.unionByName(forced)
-    todo = plan.where("mode = 'ocr'").groupBy(key).agg(F.array_sort(F.collect_list("page")).alias("_todo"))
-    seen = ocr_documents(good.select(key, "_content", "dpi", "ocr_language", "timeout_ms").join(todo, key), key, make_backend, on_error)
-    results = page_results(plan.join(seen, [key, "page"], "left").join(good.select(*keep), key))
-    done = document_results(results, key, "page_count", "page_selection", "asked")
-    out = context(documents, (content, "recognition_result")).join(done, key, "left" if on_error == "collect" else "inner")
+    outer = [c for c in context(documents, (content, "recognition_result")).columns if c != "error" or on_error != "collect"]
+    rows = documents.select(*outer, binary.alias("_content"), F.struct(*[c.cast(types.get(k, "string")).alias(k) for k, c in given.items()]).alias("_p"))
+    rows = rows.withColumn("_n", pdf.count_udf(F.col("_content")))
+    rule = rules.selection_error(p["page_selection"], n, p["page_from"], p["page_to"], p["specific_pages"])
+    error = F.coalesce(F.when(F.col("_content").isNull(), errors.BINARY_MISSING % content), F.col("_n.error"), rule)
+    asked = rules.selected_pages(p["page_selection"], n, p["page_from"], p["page_to"], p["specific_pages"])
     if on_error == "fail":
-        return out
-    broken = checked.select(key, F.col("error").alias("_e1")).join(read.where("error is not null").select(key, F.col("error").alias("_e2")), key, "left")
-    late = seen.where("ocr_error is not null").groupBy(key).agg(F.min_by("ocr_error", "page").alias("_e3"))
-    out = out.join(broken, key, "left").join(late, key, "left").withColumn("error", F.coalesce("_e1", "_e2", "_e3")).drop("_e1", "_e2", "_e3")
-    return out.withColumn("recognition_result", F.when(F.col("error").isNull(), F.col("recognition_result")))
+        asked = F.when(error.isNotNull(), F.raise_error(error)).otherwise(asked)
+    rows = rows.withColumns({"_error": error, "_asked": asked})
+    mode = p["recognition_mode"]
+    read = F.when(F.col("_error").isNull() & (mode != "ocr"), F.col("_asked"))
+    rows = pdf.document_pages(rows.withColumns({"_read": read, "_native": mode == "native"}), "_content", "_read", "_native", on_error)
+    none, native = F.lit(None), F.lit("native")
+
+    def seen(x: Column) -> Column:
+        share = F.when(mode == "native", F.lit(0.0)).otherwise(F.coalesce(geometry.image_coverage(x["width"], x["height"], x["ops"]), F.lit(0.0)))
+        return F.struct(x["page"].alias("page"), text.assemble(x["items"]).alias("text"), share.alias("share"))
+
+    def routed(x: Column) -> Column:
+        source = F.when(mode == "native", native).otherwise(text.recommended_mode(x["text"], x["share"]))
+        return F.struct(x["page"].alias("page"), source.alias("source"), F.when(source == "native", x["text"]).alias("text"), none.cast("double").alias("confidence"))
+
+    forced = F.transform("_asked", lambda x: F.struct(x.alias("page"), F.lit("ocr").alias("source"), none.cast("string").alias("text"), none.cast("double").alias("confidence")))
+    rows = rows.withColumn("_seen", F.transform("_pages", seen))
+    plan = F.when(F.col("_error").isNull() & F.col("_read_error").isNull(), F.when(mode == "ocr", forced).otherwise(F.transform("_seen", routed)))
+    rows = rows.select(*outer, "_content", "_asked", F.col("_n.page_count").alias("_count"), F.coalesce("_error", "_read_error").alias("_error"), plan.alias("_plan"), *[p[k].alias(f"_{k}") for k in ("page_selection", "ocr_language", "dpi", "timeout_ms")])
+    rows = _recognized(rows, make_engine, renderer, on_error)
+    done = F.array_sort("_found")
+    sources = F.array_distinct(F.transform("_found", lambda x: x["source"]))
+    span = F.struct(F.array_min("_asked").alias("from"), F.array_max("_asked").alias("to"))
+    result = F.struct(
+        F.when(F.size(sources) == 1, F.get(sources, F.lit(0))).otherwise("mixed").alias("source"),
+        F.col("_count").alias("pageCount"),
+        F.when(F.col("_page_selection") != "specific", span).alias("range"),
+        F.when(F.col("_page_selection") == "specific", F.col("_asked")).alias("selectedPages"),
+        done.alias("pages"),
+    )
+    failed = F.coalesce("_error", "_late")
+    ok = failed.isNull() & F.col("_asked").isNotNull()
+    out = rows.select(*outer, F.when(ok, result).alias("recognition_result"), *([failed.alias("error")] if on_error == "collect" else []), ok.alias("_ok"))
+    return (out if on_error == "collect" else out.where("_ok")).drop("_ok")
+
+
+def _recognized(rows: DataFrame, make_engine: Callable[[], OcrEngine], renderer, on_error: str) -> DataFrame:
+    """rows without _content, with _found, the pages of _plan with what OCR read, and _late, the first error of a
+    document.  Columns of the context pass as they are; an engine is started by the first page a task needs it for."""
+    from pyspark.sql.types import StructType
 
+    from pagewright.sources import render
 
-def ocr_documents(documents: DataFrame, key: str, make_backend: Callable[[], OcrBackend], on_error: str = "fail") -> DataFrame:
-    """(key, page, ocr_text, ocr_confidence, ocr_error) of the pages in `_todo` of each document.  A document's
-    bytes exist once, however many of its pages are recognised."""
-    schema = f"{key} {dict(documents.dtypes)[key]}, page int, ocr_text string, ocr_confidence double, ocr_error string"
-    ship(documents.sparkSession)
+    schema = StructType([f for f in rows.schema if f.name not in ("_content", "_plan")]).add("_found", StructType.fromDDL(f"x {_FOUND}")["x"].dataType).add("_late", "string")
+    draw = renderer or render.draw
+    ship(rows.sparkSession)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
 
-        backend: OcrBackend | None = None
+        arrow = to_arrow_schema(schema)
+        engine = EngineProcess(make_engine)
         try:
             for batch in batches:
-                out: list[tuple] = []
-                for k, raw, dpi, language, ms, pages in zip(*(batch.column(c).to_pylist() for c in (key, "_content", "dpi", "ocr_language", "timeout_ms", "_todo")), strict=True):
-                    for page in pages:
-                        backend = backend or make_backend()
+                found, late = [], []
+                at = {k: batch.column(f"_{k}") for k in ("content", "ocr_language", "dpi", "timeout_ms")}
+                for i, plan in enumerate(batch.column("_plan").to_pylist()):
+                    wrong = None
+                    if plan and any(x["source"] == "ocr" for x in plan):
+                        language, dpi, ms = (at[k][i].as_py() for k in ("ocr_language", "dpi", "timeout_ms"))
                         try:
-                            out.append((k, page, *with_timeout(lambda a=(raw, page, dpi, language): backend.recognize(*a), ms), None))
+                            with render.PageRenderer(at["content"][i].as_py(), 1, draw) as images:
+                                for x in plan:
+                                    if x["source"] == "ocr":
+                                        image = images.render(x["page"], dpi)
+                                        try:
+                                            x["text"], x["confidence"] = engine.recognize(image, language, engine_settings(dpi), ms)
+                                        except Exception as e:
+                                            raise RuntimeError(errors.OCR_FAILED % (x["page"], e)) from e
                         except Exception as e:
-                            message = errors.OCR_FAILED % (page, e)
                             if on_error == "fail":
-                                raise RuntimeError(message) from e
-                            out.append((k, page, None, None, message))
-                kinds = (batch.column(key).type, pa.int32(), pa.string(), pa.float64(), pa.string())
-                names = (key, "page", "ocr_text", "ocr_confidence", "ocr_error")
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=list(names))
+                                raise
+                            wrong = str(e)
+                    found.append(plan if wrong is None else None)
+                    late.append(wrong)
+                made = {"_found": pa.array(found, arrow.field("_found").type), "_late": pa.array(late, pa.string())}
+                yield pa.RecordBatch.from_arrays([made[f.name] if f.name in made else batch.column(f.name).cast(f.type) for f in arrow], schema=arrow)
         finally:
-            if backend is not None:
-                backend.close()
+            engine.close()
 
-    return documents.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)

@@ -46,14 +46,16 @@ def slice_documents(df: DataFrame, input_field: str = "data", output_field: str
     first, last = F.col("page_from"), F.col("page_to")
     most = F.col("max_output_bytes") if "max_output_bytes" in df.columns else F.lit(0)
     name = F.col("file_name") if "file_name" in df.columns else F.lit(None).cast("string")
-    made = df.withColumn("_cut", cut_udf(content, first.cast("double"), last.cast("double")))
-    size = F.octet_length(F.col("_cut.bytes"))
+    made = df.withColumn("_cut", cut_udf(content, first, last))
+    n, size = F.col("_cut.page_count"), F.octet_length(F.col("_cut.bytes"))
+    shown = [F.when(pages.whole_number(x.cast("double"), 0), x).otherwise(0).cast("bigint") for x in (first, last)]
+    wrong = F.coalesce(F.col("_cut.error"), pages.slice_error(n, first.cast("double"), last.cast("double")))
     missing = F.when(content.isNull(), errors.BINARY_MISSING % input_field)
-    error = F.coalesce(missing, F.col("_cut.error"), size_error(size, most))
+    error = F.coalesce(missing, F.when(wrong.isNotNull(), F.format_string(errors.SLICE_FAILED, *shown, wrong)), size_error(size, most))
     binary = [f.name for f in df.schema if f.dataType.typeName() == "binary"]
     out = made.select(
         *[c for c in df.columns if c not in (*binary, output_field)],
-        *metadata(first, last, F.col("_cut.page_count"), size),
+        *metadata(first, last, n, size),
         F.when(error.isNull(), F.struct(F.col("_cut.bytes").alias("data"), output_name(name, first, last).alias("file_name"), F.lit("application/pdf").alias("mime_type"))).alias(output_field),
         error.alias("_error"),
     )

@@ -148,13 +148,23 @@ def oracle_sql() -> dict[str, str]:
             SELECT item_id, source, n::BIGINT AS page_count, CASE WHEN kind <> 'specific' THEN asked[1]::BIGINT END AS range_from, CASE WHEN kind <> 'specific' THEN asked[len(asked)]::BIGINT END AS range_to, CASE WHEN kind = 'specific' THEN array_to_string(asked, ',') END AS selected, c::BIGINT AS n_pages, asked[1]::BIGINT AS first_page FROM d""",
         "context_projection": f"SELECT item_id, file_name, 3::BIGINT AS \"analyzedPageCount\" FROM ({_ITEMS})",
         "render_dimensions": f"SELECT p.item_id, p.page, ceil(p.width * (coalesce(i.dpi, 300)::DOUBLE / 72))::BIGINT AS width_px, ceil(p.height * (coalesce(i.dpi, 300)::DOUBLE / 72))::BIGINT AS height_px FROM page_operators p JOIN ({_ITEMS}) i USING (item_id)",
-        "pdf_pages": f"SELECT item_id, page, page_count::BIGINT AS page_count, (199 + page)::DOUBLE AS width, (299 + page)::DOUBLE AS height, 'Item ' || item_id || ' page ' || page AS text, {_FIXED4.format(x='(15000.0::DOUBLE / ((199 + page) * (299 + page)))')} AS coverage FROM (SELECT item_id, page_count, unnest(range(1, page_count + 1)) AS page FROM ({_ITEMS}) WHERE page_count > 0)",
-        "pdf_slice": f"SELECT item_id, (page_count - 1)::BIGINT AS slice_pages, page_count::BIGINT AS source_pages, (page_count - 1)::BIGINT AS n_pages, 201.0::DOUBLE AS min_width, (199 + page_count)::DOUBLE AS max_width FROM ({_ITEMS}) WHERE page_count >= 2",
+        "pdf_pages": f"SELECT item_id, page, page_count::BIGINT AS page_count, (199 + page)::DOUBLE AS width, (299 + page)::DOUBLE AS height, CASE WHEN (item_id + page) % 3 = 0 THEN '' ELSE 'Item ' || item_id || ' page ' || page END AS text, {_FIXED4.format(x='(15000.0::DOUBLE / ((199 + page) * (299 + page)))')} AS coverage FROM (SELECT item_id, page_count, unnest(range(1, page_count + 1)) AS page FROM ({_ITEMS}) WHERE page_count > 0)",
+        "pdf_slice": f"""SELECT item_id, (page_count - 1)::BIGINT AS slice_pages, page_count::BIGINT AS source_pages, (page_count - 1)::BIGINT AS n_pages,
+            md5(array_to_string([(p - 1) || ' ' || (199 + p) || ' ' || CASE WHEN (item_id + p) % 3 = 0 THEN '' ELSE 'Item ' || item_id || ' page ' || p END FOR p IN range(2, page_count + 1)], '|')) AS pages FROM ({_ITEMS}) WHERE page_count >= 2""",
+        "slice_binaries": f"""WITH i AS (SELECT item_id, CASE WHEN coalesce(file_name, '') = '' THEN 'document.pdf' ELSE file_name END AS f, page_count, least(item_id % 4, page_count)::BIGINT AS b FROM ({_ITEMS}) WHERE page_count > 0),
+            e AS (SELECT *, CASE WHEN item_id % 5 = 0 THEN 'Binary field "data" is missing' WHEN b = 0 THEN 'Failed to slice PDF pages 1-0: Page To must be an integer greater than 0' END AS error FROM i)
+            SELECT item_id, error, CASE WHEN error IS NULL THEN regexp_replace(f, '(?i)\\.pdf\\z', '') || '-pages-1-' || b || '.pdf' END AS output_name, CASE WHEN error IS NULL THEN 'application/pdf' END AS mime_type, b AS n_pages, 0::BIGINT AS binaries_left, error IS NULL AS has_slice FROM e""",
+        "preflight_context": _SCANNED
+        + """, d AS (SELECT item_id, count(*) AS a, sum(CASE WHEN mode = 'ocr' THEN 1 ELSE 0 END) AS o, max(page) AS last, max(k) AS k, min(mode) AS lo, max(mode) AS hi FROM s GROUP BY item_id)
+            SELECT i.item_id, i.file_name, i.page_count::BIGINT AS page_count, coalesce(o, 0)::BIGINT AS ocr_pages, CASE WHEN coalesce(k > 0 AND o >= k AND last < i.page_count, false) OR lo IS NULL OR lo <> hi THEN 'auto' ELSE lo END AS recommended_mode, coalesce(a, 0)::BIGINT AS n_pages FROM i LEFT JOIN d USING (item_id)""",
+        "map_limit": "SELECT (row_number() OVER (ORDER BY mix_name) - 1)::BIGINT AS place, upper(mix_name) AS name FROM (SELECT DISTINCT mix_name FROM mix_targets WHERE mix_name IS NOT NULL)",
         "recognize_documents": f"""WITH i AS (SELECT *, {_PARTS} AS parts FROM ({_ITEMS}) WHERE page_count > 0),
             e AS (SELECT *, CASE WHEN page_selection = 'specific' THEN {_LIST} ELSE {_RANGE} END AS error FROM (SELECT * REPLACE (coalesce(page_from, 1) AS page_from, coalesce(page_to, 0) AS page_to, coalesce(page_selection, 'range') AS page_selection, coalesce(recognition_mode, 'auto') AS recognition_mode) FROM i)),
             p AS (SELECT *, CASE WHEN error IS NULL THEN CASE WHEN page_selection = 'specific' THEN list_sort({_PICK}) ELSE range(page_from::BIGINT, {_END}::BIGINT + 1) END END AS asked FROM e),
-            t AS (SELECT item_id, error, CASE WHEN error IS NULL THEN CASE WHEN recognition_mode = 'ocr' THEN 'ocr' ELSE 'native' END END AS source, asked, coalesce(ocr_language, 'deu') AS l, coalesce(dpi, 300) AS r FROM p)
-            SELECT item_id, error, source, len(asked)::BIGINT AS n_pages, CASE WHEN source = 'ocr' THEN l || ' page ' || asked[1] || ' at ' || r WHEN source = 'native' THEN 'Item ' || item_id || ' page ' || asked[1] END AS first_text,
-            CASE WHEN source = 'ocr' THEN l || ' page ' || asked[len(asked)] || ' at ' || r WHEN source = 'native' THEN 'Item ' || item_id || ' page ' || asked[len(asked)] END AS last_text FROM t""",
+            u AS (SELECT item_id, recognition_mode AS m, coalesce(ocr_language, 'deu') AS l, coalesce(dpi, 300) AS r, unnest(asked) AS g FROM p WHERE error IS NULL),
+            w AS (SELECT *, CASE WHEN m IN ('native', 'ocr') THEN m WHEN (item_id + g) % 3 = 0 THEN 'ocr' ELSE 'native' END AS source, ceil((199 + g) * (r::DOUBLE / 72))::BIGINT AS x, ceil((299 + g) * (r::DOUBLE / 72))::BIGINT AS y FROM u),
+            z AS (SELECT item_id, CASE WHEN min(source) = max(source) THEN min(source) ELSE 'mixed' END AS source, count(*) AS n,
+              md5(string_agg(g || ' ' || source || ' ' || CASE WHEN source = 'ocr' THEN l || ' ' || x || 'x' || y || ' at ' || r || ' ' || (50 + x % 50) WHEN (item_id + g) % 3 = 0 THEN '' ELSE 'Item ' || item_id || ' page ' || g END, '|' ORDER BY g)) AS pages FROM w GROUP BY item_id)
+            SELECT p.item_id, p.error, z.source, CASE WHEN p.error IS NULL THEN p.page_count::BIGINT END AS page_count, z.n::BIGINT AS n_pages, z.pages FROM p LEFT JOIN z USING (item_id)""",
     }
     return sql

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.functions import geometry, pages, rounding, text
-from pagewright.operators import preflight, recognition, slicing
+from pagewright.operators import concurrency, preflight, recognition, slicing
 from pagewright.plans.tables import analysis, items, table
+from pagewright.shipping import ship
 from pagewright.sources import pdf, samples
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,7 +54,7 @@ def recommend_mode(spark: SparkSession, d: str) -> DataFrame:
 
 def rule_breakdown(spark: SparkSession, d: str) -> DataFrame:
     c, s = F.coalesce("text", F.lit("")), F.coalesce("image_coverage", F.lit(0.0))
-    rules = {"broken": text.text_is_broken(c), "no_valid": text.has_no_valid_chars(c), "no_words": text.no_words_on_image(c, s), "scanned": text.looks_scanned(c, s)}
+    rules = text.reasons_for_ocr(c, s)
     t = table(spark, d, "page_analysis").select("analysis_id", "recommended_mode", *[v.cast("bigint").alias(k) for k, v in rules.items()]).dropDuplicates(["analysis_id"])
     return t.groupBy(F.coalesce("recommended_mode", F.lit("none")).alias("stored_mode")).agg(F.count(F.lit(1)).alias("pages"), *[F.sum(k).alias(k) for k in rules])
 
@@ -159,14 +161,20 @@ def render_dimensions(spark: SparkSession, d: str) -> DataFrame:
     return t.select("item_id", "page", *[recognition.render_size(F.col(c), dpi).cast("bigint").alias(f"{c}_px") for c in ("width", "height")])
 
 
-def _documents(spark: SparkSession, d: str) -> DataFrame:
-    """A PDF of every item that has a page count, with one line of text and one image on each page."""
+def _documents(spark: SparkSession, d: str, *params: str) -> DataFrame:
+    """A PDF of every item that has a page count, with one image on each page and one line of text on two pages
+    out of three, so that every document of some length has pages to recognise."""
+    ship(spark)
 
-    @F.udf("binary")
-    def made(item, n):
-        return samples.make_pdf([(200 + i, 300 + i, b"BT /F1 12 Tf 10 100 Td (Item %d page %d) Tj ET q 100 0 0 150 0 0 cm /Im1 Do Q" % (item, i + 1)) for i in range(n)], compressed=True)
+    @F.pandas_udf("binary")
+    def made(item: pd.Series, n: pd.Series) -> pd.Series:
+        line = lambda k, i: b"" if (k + i) % 3 == 0 else b"BT /F1 12 Tf 10 100 Td (Item %d page %d) Tj ET " % (k, i)
+        image = b"q 100 0 0 150 0 0 cm /Im1 Do Q"
+        return pd.Series([samples.make_pdf([(199 + i, 299 + i, line(k, i) + image) for i in range(1, count + 1)], compressed=True) for k, count in zip(item, n, strict=True)])
 
-    return items(spark, d).where("page_count > 0").select("item_id", "file_name", "page_count", made("item_id", "page_count").alias("content"))
+    # few bytes a row but much work: over all cores before the documents exist
+    rows = items(spark, d).where("page_count > 0").select("item_id", "file_name", "page_count", *params).repartition(spark.sparkContext.defaultParallelism)
+    return rows.select("*", made("item_id", "page_count").alias("content"))
 
 
 def pdf_pages(spark: SparkSession, d: str) -> DataFrame:
@@ -178,17 +186,43 @@ def pdf_slice(spark: SparkSession, d: str) -> DataFrame:
     docs = _documents(spark, d).where("page_count >= 2").select("item_id", "file_name", F.col("content").alias("data"), F.lit(2.0).alias("page_from"), F.col("page_count").cast("double").alias("page_to"))
     out = slicing.slice_documents(docs)
     again = pdf.pages(out.select("item_id", "pdf_slice_page_count", "pdf_source_page_count", F.col("data.data").alias("content")), keep=("item_id", "pdf_slice_page_count", "pdf_source_page_count"), want_ops=False)
-    return again.groupBy("item_id").agg(F.max("pdf_slice_page_count").cast("bigint").alias("slice_pages"), F.max("pdf_source_page_count").cast("bigint").alias("source_pages"), F.count(F.lit(1)).alias("n_pages"), F.min("width").alias("min_width"), F.max("width").alias("max_width"))
+    shown = F.concat_ws(" ", F.col("page").cast("string"), F.col("width").cast("int").cast("string"), text.assemble(F.col("items")))
+    pages_ = F.transform(F.array_sort(F.collect_list(F.struct("page", shown.alias("s")))), lambda x: x["s"])
+    return again.groupBy("item_id").agg(F.max("pdf_slice_page_count").cast("bigint").alias("slice_pages"), F.max("pdf_source_page_count").cast("bigint").alias("source_pages"), F.count(F.lit(1)).alias("n_pages"), F.md5(F.array_join(pages_, "|").cast("binary")).alias("pages"))
+
+
+def slice_binaries(spark: SparkSession, d: str) -> DataFrame:
+    """What is left of a row with several binary columns, some of them missing."""
+    docs = _documents(spark, d).select("item_id", "file_name", F.when(F.col("item_id") % 5 > 0, F.col("content")).alias("data"), F.col("content").alias("other"), F.lit(1.0).alias("page_from"), F.least(F.col("item_id") % 4, F.col("page_count")).cast("double").alias("page_to"))
+    out = slicing.slice_documents(docs, output_field="slice", on_error="collect")
+    binary = [f.name for f in out.schema if f.dataType.typeName() == "binary"]
+    return out.select("item_id", "error", F.col("slice.file_name").alias("output_name"), F.col("slice.mime_type").alias("mime_type"), F.col("pdf_slice_page_count").cast("bigint").alias("n_pages"), F.lit(len(binary)).cast("bigint").alias("binaries_left"), F.col("slice").isNotNull().alias("has_slice"))
+
+
+def preflight_context(spark: SparkSession, d: str) -> DataFrame:
+    """Preflight keeps the columns of a document; computed ones replace those of that name."""
+    docs = items(spark, d).select("item_id", "file_name", "page_count", "stop_after_ocr_pages", F.lit(-1).alias("ocrPageCount"), F.lit("x").alias("recommendedMode"))
+    pages_ = table(spark, d, "page_analysis").dropDuplicates(["analysis_id"]).where("item_id is not null").select("item_id", "page", "text", "image_coverage")
+    r = preflight.preflight(docs, pages_, stop_after="stop_after_ocr_pages")
+    return r.select("item_id", "file_name", F.col("pageCount").cast("bigint").alias("page_count"), F.col("ocrPageCount").cast("bigint").alias("ocr_pages"), F.col("recommendedMode").alias("recommended_mode"), F.size("pages").cast("bigint").alias("n_pages"))
+
+
+def map_limit(spark: SparkSession, d: str) -> DataFrame:
+    """The bounded map over the names of the mixes, a list of fixed length."""
+    names = [r["mix_name"] for r in table(spark, d, "mix_targets").where("mix_name is not null").select("mix_name").distinct().orderBy("mix_name").collect()]
+    made = concurrency.map_limit(list(enumerate(names)), 3, lambda x: (x[0], x[1].upper()))
+    return spark.createDataFrame(made, "place bigint, name string")
 
 
 def recognize_documents(spark: SparkSession, d: str) -> DataFrame:
-    params = items(spark, d).select("item_id", "recognition_mode", "page_selection", "page_from", "page_to", "specific_pages", "ocr_language", "dpi")
-    docs = _documents(spark, d).select("item_id", F.col("content").alias("data")).join(params, "item_id")
+    params = ("recognition_mode", "page_selection", "page_from", "page_to", "specific_pages", "ocr_language", "dpi")
+    docs = _documents(spark, d, *params).select("item_id", F.col("content").alias("data"), *params)
     r = recognition.recognize(docs, samples.EchoOcr, on_error="collect")
     pages_ = F.col("recognition_result.pages")
-    return r.select("item_id", "error", F.col("recognition_result.source").alias("source"), F.when(pages_.isNotNull(), F.size(pages_)).cast("bigint").alias("n_pages"), F.element_at(pages_, 1)["text"].alias("first_text"), F.element_at(pages_, -1)["text"].alias("last_text"))
+    said = F.transform(pages_, lambda x: F.concat_ws(" ", x["page"].cast("string"), x["source"], x["text"], x["confidence"].cast("int").cast("string")))
+    return r.select("item_id", "error", F.col("recognition_result.source").alias("source"), F.col("recognition_result.pageCount").cast("bigint").alias("page_count"), F.when(pages_.isNotNull(), F.size(pages_)).cast("bigint").alias("n_pages"), F.md5(F.array_join(said, "|").cast("binary")).alias("pages"))
 
 
 def queries() -> dict[str, Query]:
-    names = (word_count, char_classes, normalize_text, assemble_page_text, recommend_mode, rule_breakdown, rect_clip, union_area, matrix_fold, image_coverage, page_range, specific_pages, selected_pages, slice_validate, preflight_pages, preflight_document, route_auto, recognition_result, context_projection, render_dimensions, pdf_pages, pdf_slice, recognize_documents)
+    names = (word_count, char_classes, normalize_text, assemble_page_text, recommend_mode, rule_breakdown, rect_clip, union_area, matrix_fold, image_coverage, page_range, specific_pages, selected_pages, slice_validate, preflight_pages, preflight_document, route_auto, recognition_result, context_projection, render_dimensions, pdf_pages, pdf_slice, slice_binaries, preflight_context, map_limit, recognize_documents)
     return {f.__name__: f for f in names}

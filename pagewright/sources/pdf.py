@@ -26,6 +26,7 @@ PAGE_SCHEMA = (
     "page int, page_count int, width double, height double, items array<struct<str:string,has_eol:boolean>>, "
     "ops array<struct<fn:int,matrix:array<double>,scale_x:double,scale_y:double,positions:array<double>,placements:array<array<double>>>>"
 )
+ROWS_AT_ONCE = 500  # pages handed on together
 CUT_SCHEMA = "bytes binary, page_count int, error string"
 
 
@@ -56,6 +57,11 @@ class Word(bytes):
 
 _SPACE = b"\0\t\n\f\r "
 _TOKEN = re.compile(rb"[^\0\t\n\f\r ()<>\[\]{}/%]+")
+_BLANK = re.compile(rb"(?:[\0\t\n\f\r ]+|%[^\r\n]*)*")
+_REF = re.compile(rb"[\0\t\n\f\r ]+(\d+)[\0\t\n\f\r ]+R(?![^\0\t\n\f\r ()<>\[\]{}/%])")
+_PLAIN_LITERAL = re.compile(rb"\(([^()\\\r]*)\)")
+_HEX_NAME = re.compile(rb"#([0-9A-Fa-f]{2})")
+_XREF_ROW = re.compile(rb"[\0\t\n\f\r ]*(\d+)[\0\t\n\f\r ]+(\d+)[\0\t\n\f\r ]+([nf])(?=[\0\t\n\f\r ]|$)")
 _ESCAPES = {ord("n"): b"\n", ord("r"): b"\r", ord("t"): b"\t", ord("b"): b"\b", ord("f"): b"\f"}
 
 
@@ -66,16 +72,7 @@ class Lexer:
         self.data, self.at = data, at
 
     def skip(self) -> None:
-        d, i, n = self.data, self.at, len(self.data)
-        while i < n:
-            if d[i] in _SPACE:
-                i += 1
-            elif d[i] == 0x25:
-                while i < n and d[i] not in b"\r\n":
-                    i += 1
-            else:
-                break
-        self.at = i
+        self.at = _BLANK.match(self.data, self.at).end()
 
     def next(self, refs: bool = True):
         """The next object, or None at the end."""
@@ -88,7 +85,9 @@ class Lexer:
             m = _TOKEN.match(d, i + 1)
             self.at = m.end() if m else i + 1
             raw = m[0] if m else b""
-            return Name(re.sub(rb"#([0-9A-Fa-f]{2})", lambda x: bytes([int(x[1], 16)]), raw).decode("latin-1"))
+            if b"#" in raw:
+                raw = _HEX_NAME.sub(lambda x: bytes([int(x[1], 16)]), raw)
+            return Name(raw.decode("latin-1"))
         if c == b"(":
             return self._literal()
         if d[i : i + 2] == b"<<":
@@ -123,7 +122,7 @@ class Lexer:
         self.at = m.end()
         token = m[0]
         if token[0] in b"+-.0123456789":
-            if refs and token.isdigit() and (r := re.compile(rb"[\0\t\n\f\r ]+(\d+)[\0\t\n\f\r ]+R(?![^\0\t\n\f\r ()<>\[\]{}/%])").match(d, self.at)):
+            if refs and token.isdigit() and (r := _REF.match(d, self.at)):
                 self.at = r.end()
                 return Ref((int(token), int(r[1])))
             try:
@@ -133,6 +132,9 @@ class Lexer:
         return {b"true": True, b"false": False, b"null": None}.get(token, Word(token))
 
     def _literal(self) -> bytes:
+        if m := _PLAIN_LITERAL.match(self.data, self.at):
+            self.at = m.end()
+            return m[1]
         d, i, depth, out = self.data, self.at + 1, 1, bytearray()
         while i < len(d):
             c = d[i]
@@ -192,7 +194,10 @@ class Document:
                 lex.at += 4
                 while isinstance(start := lex.next(False), int):
                     for k in range(lex.next(False)):
-                        off, _, kind = lex.next(False), lex.next(False), lex.next(False)
+                        if m := _XREF_ROW.match(self.data, lex.at):
+                            lex.at, off, kind = m.end(), int(m[1]), m[3]
+                        else:
+                            off, _, kind = lex.next(False), lex.next(False), lex.next(False)
                         if kind == b"n":
                             self.places.setdefault(start + k, (1, off))
                 d = lex.next()
@@ -537,10 +542,9 @@ def _written(o, renumber) -> bytes:
     raise PdfError(f"cannot write {type(o).__name__}")
 
 
-def cut(content: bytes, first: int, last: int) -> tuple[bytes, int]:
-    """A document of pages first..last and the page count of the source.  Objects are packed into compressed
-    object streams; shared ones are copied once."""
-    doc = Document(bytes(content))
+def cut(doc: Document, first: int, last: int) -> bytes:
+    """A document of pages first..last of an open one.  Objects are packed into compressed object streams;
+    shared ones are copied once."""
     pages = doc.page_list()
     numbers: dict[int, int] = {}
     todo: list[int] = []
@@ -597,50 +601,35 @@ def cut(content: bytes, first: int, last: int) -> tuple[bytes, int]:
     raw = zlib.compress(table)
     start = len(out)
     out += b"%d 0 obj\n<</Type /XRef /Size %d /W [1 5 3] /Root 1 0 R /Filter /FlateDecode /Length %d>>\nstream\n%s\nendstream\nendobj\nstartxref\n%d\n%%%%EOF\n" % (top, top + 1, len(raw), raw, start)
-    return bytes(out), len(pages)
+    return bytes(out)
 
 
 # ------------------------------------------------------------------------------------------ DataFrames
 
 
 def cut_udf(content: Column, first: Column, last: Column) -> Column:
-    """struct(bytes, page_count, error) of a cut; a rule broken or an unreadable document is an error text."""
-    from pagewright.functions import errors
-    from pagewright.functions import pages as rules
-
+    """struct(bytes, page_count, error) of a cut: bytes where first..last are pages of the document, error
+    where it is unreadable.  A document is opened once."""
     if (active := SparkSession.getActiveSession()) is not None:
         ship(active)
 
-    def broken(n: int, a: float | None, b: float | None) -> str | None:
-        whole = lambda x: x is not None and x == x and abs(x) < 9e15 and int(x) == x and x >= 1
-        if not whole(a):
-            return rules.FROM_POSITIVE
-        if not whole(b):
-            return rules.TO_POSITIVE
-        if b < a:
-            return rules.TO_NOT_BEFORE
-        if a > n or b > n:
-            return f"{rules.FROM_BEYOND if a > n else rules.TO_BEYOND}{n})"
-        return None
-
     @F.pandas_udf(CUT_SCHEMA)
     def run(data: pd.Series, a: pd.Series, b: pd.Series) -> pd.DataFrame:
         rows = []
         for raw, x, y in zip(data, a, b, strict=True):
-            if raw is None:
-                rows.append((None, None, None))
-                continue
-            try:
-                n = page_count(raw)
-                error = broken(n, x, y)
-                made = cut(raw, int(x), int(y))[0] if error is None else None
-            except Exception as e:  # the document is unreadable; the row says so
-                n, made, error = None, None, str(e)
-            shown = [int(v) if v is not None and v == v and abs(v) < 9e15 else 0 for v in (x, y)]
-            rows.append((made, n, None if error is None else errors.SLICE_FAILED % (*shown, error)))
+            made = n = error = None
+            if raw is not None:
+                try:
+                    doc = Document(bytes(raw))
+                    n = len(doc.page_list())
+                    if 1 <= x <= y <= n and x % 1 == y % 1 == 0:  # false for NaN
+                        made = cut(doc, int(x), int(y))
+                except Exception as e:  # the document is unreadable; the row says so
+                    n, made, error = None, None, str(e)
+            rows.append((made, n, error))
         return pd.DataFrame(rows, columns=["bytes", "page_count", "error"]).astype({"page_count": "Int32"})
 
-    return run(content, first, last)
+    return run(content, first.cast("double"), last.cast("double"))
 
 
 def count_udf(content: Column) -> Column:
@@ -680,23 +669,69 @@ def pages(df: DataFrame, content: str = "content", keep: tuple[str, ...] = (), w
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(schema)
+        held: list[dict] = []
+
+        def made():
+            out = pa.RecordBatch.from_arrays([pa.array([r[n] for r in held], arrow.field(n).type) for n in arrow.names], schema=arrow)
+            held.clear()
+            return out
+
         for batch in batches:
-            for row in batch.to_pylist():
-                base = {k: row[k] for k in keep}
+            cols = {n: batch.column(n).to_pylist() for n in batch.schema.names}
+            for i, raw in enumerate(cols[content]):
+                base = {k: cols[k][i] for k in keep}
+                at = len(held)
                 try:
-                    if row[content] is None:
+                    if raw is None:
                         raise PdfError(errors.BINARY_MISSING % content)
-                    out = [base | p | {"error": None} for p in read_pages(row[content], row.get(wanted) if wanted else None, want_text, want_ops)]
+                    for p in read_pages(raw, cols[wanted][i] if wanted else None, want_text, want_ops):
+                        held.append(base | p | {"error": None})
                 except Exception as e:
                     if on_error == "fail":
                         raise
-                    out = [base | dict.fromkeys(found, None) | {"error": str(e)}]
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in out], arrow.field(n).type) for n in arrow.names], schema=arrow)
+                    del held[at:]
+                    held.append(base | dict.fromkeys(found, None) | {"error": str(e)})
+                if len(held) >= ROWS_AT_ONCE:
+                    yield made()
+        if held:
+            yield made()
 
     return df.select(*dict.fromkeys([*keep, content, *([wanted] if wanted else [])])).mapInArrow(run, schema)
 
 
+def document_pages(df: DataFrame, content: str, wanted: str, native: str, on_error: str = "fail") -> DataFrame:
+    """df with _pages, array<struct<page, width, height, items, ops>> of the pages named in the array column
+    `wanted` (null reads none), and _read_error.  Rows where the boolean column `native` is true get no operators.
+    Other columns pass as they are; a document stays one row."""
+    ship(df.sparkSession)
+    page = "array<struct<" + PAGE_SCHEMA.replace("page_count int, ", "").replace("page int", "page:int").replace("width double", "width:double").replace("height double", "height:double").replace("items array", "items:array").replace("ops array", "ops:array") + ">>"
+    schema = StructType(list(df.schema.fields)).add("_pages", StructType.fromDDL(f"x {page}")["x"].dataType).add("_read_error", "string")
+    kinds = StructType(schema.fields[-2:])
+
+    def run(batches):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        pages_type = to_arrow_schema(kinds).field(0).type
+        for batch in batches:
+            found, wrong = [], []
+            for raw, asked, plain in zip(*(batch.column(n).to_pylist() for n in (content, wanted, native)), strict=True):
+                got, error = None, None
+                if asked is not None:
+                    try:
+                        got = list(read_pages(raw, asked, True, not plain))
+                    except Exception as e:
+                        if on_error == "fail":
+                            raise
+                        error = str(e)
+                found.append(got)
+                wrong.append(error)
+            arrays = [*batch.columns, pa.array(found, pages_type), pa.array(wrong, pa.string())]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, "_pages", "_read_error"])
+
+    return df.mapInArrow(run, schema)
+
+
 def read(spark, path: str) -> DataFrame:
     """PDF files under a path as rows of path, content and length."""
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(path).select("path", "content", "length")

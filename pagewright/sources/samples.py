@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import struct
 import zlib
 
 
 class EchoOcr:
-    """Stands in for an OCR engine: says what it was asked for."""
+    """Stands in for an OCR engine: says what it was shown and told."""
 
-    def recognize(self, content: bytes, page: int, dpi: int, language: str) -> tuple[str, float]:
-        return f"{language} page {page} at {dpi}", 50.0 + page
+    def recognize(self, image: bytes, language: str, settings: dict[str, str]) -> tuple[str, float]:
+        width, height = struct.unpack(">II", image[16:24])
+        return f"{language} {width}x{height} at {settings['user_defined_dpi']}", 50.0 + width % 50
 
     def close(self) -> None:
         pass

@@ -24,11 +24,15 @@ FULL = [100, 0, 0, 100, 0, 0]
 @pytest.mark.parametrize(
     ("ops", "expected"),
     [
-        ([op("transform", FULL), op("image")], 1.0),
-        ([op("transform", [20, 0, 0, 10, 0, 0]), op("image")], 0.02),
-        ([op("save"), op("transform", [200, 0, 0, 100, -100, 0]), op("image"), op("restore"), op("transform", [50, 0, 0, 100, 50, 0]), op("image")], 1.0),
-        ([op("image_repeat", sx=50.0, sy=100.0, positions=[0.0, 0.0, 50.0, 0.0])], 1.0),
-        ([op("image_group", placements=[[50.0, 0.0, 0.0, 100.0, 0.0, 0.0], [50.0, 0.0, 0.0, 100.0, 50.0, 0.0]])], 1.0),
+        # a logo in a corner, a scan turned by ninety degrees, a banner half beyond the edge
+        ([op("transform", [30, 0, 0, 25, 60, 70]), op("image")], 0.075),
+        ([op("transform", [0, 80, -40, 0, 90, 10]), op("image")], 0.32),
+        ([op("transform", [60, 0, 0, 10, 80, 40]), op("image")], 0.02),
+        # two photos that overlap, one of them in a saved state
+        ([op("save"), op("transform", [40, 0, 0, 40, 10, 10]), op("image"), op("restore"), op("transform", [40, 0, 0, 40, 30, 30]), op("image")], 0.28),
+        # tiles of a contact sheet, repeated and grouped under a scaled page
+        ([op("transform", [2, 0, 0, 2, 0, 0]), op("image_repeat", sx=10.0, sy=5.0, positions=[0.0, 0.0, 20.0, 0.0, 40.0, 0.0])], 0.06),
+        ([op("transform", [1, 0, 0, 1, 5, 5]), op("image_group", placements=[[10.0, 0.0, 0.0, 10.0, 0.0, 0.0], [10.0, 0.0, 0.0, 10.0, 5.0, 0.0], [20.0, 0.0, 0.0, 10.0, 70.0, 80.0]])], 0.035),
         ([op("image_repeat", sx=50.0, sy=100.0, positions=[0.0, 0.0, 50.0])], 0.5),
         ([op("image_repeat", sx=50.0, sy=None, positions=[0.0, 0.0])], 0.0),
         ([op("transform", [50, 0, 0, 50, 0, 0]), op("restore"), op("image")], 0.25),

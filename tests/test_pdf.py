@@ -13,16 +13,17 @@ def sized(n, compressed=False):
 @pytest.mark.parametrize("compressed", [False, True])
 @pytest.mark.parametrize(("n", "a", "b"), [(10, 4, 10), (10, 1, 3), (5, 3, 3), (6, 2, 4)])
 def test_cut_keeps_the_pages(n, a, b, compressed):
-    made, count = pdf.cut(sized(n, compressed), a, b)
-    assert count == n and made.startswith(b"%PDF-")
+    made = pdf.cut(pdf.Document(sized(n, compressed)), a, b)
+    assert made.startswith(b"%PDF-")
     got = list(pdf.read_pages(made))
     assert [(p["width"], p["height"]) for p in got] == [(199 + k, 299 + k) for k in range(a, b + 1)]
     assert [p["items"][0]["str"] for p in got] == [f"Page {k} (x)" for k in range(a, b + 1)]
 
 
 def test_cut_of_a_cut_reads_object_and_xref_streams():
-    again, count = pdf.cut(pdf.cut(sized(8), 2, 7)[0], 3, 4)
-    assert count == 6 and [p["width"] for p in pdf.read_pages(again)] == [203, 204]
+    once = pdf.cut(pdf.Document(sized(8)), 2, 7)
+    again = pdf.cut(pdf.Document(once), 3, 4)
+    assert pdf.page_count(once) == 6 and [p["width"] for p in pdf.read_pages(again)] == [203, 204]
 
 
 def test_broken_cross_reference_is_scanned():

@@ -13,40 +13,48 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers don't see
 
 
 class Fake:
-    """Deterministic stand-in for an OCR engine."""
+    """Deterministic stand-in for an OCR engine; images as wide as 13 fail, as wide as 14 take long."""
 
-    def recognize(self, content, page, dpi, language):
-        if page == 13:
+    def __init__(self):
+        self.calls = 0
+
+    def recognize(self, image, language, settings):
+        width = int.from_bytes(image[16:20], "big")
+        self.calls += 1
+        if width == 13:
             raise ValueError("smudged")
-        if page == 14:
-            time.sleep(0.5)
-        return f"{language} page {page} at {dpi}", 90.0 + page
+        if width == 14:
+            time.sleep(30)
+        return f"{language} {width} at {settings['user_defined_dpi']} {settings['psm']}", float(self.calls)
 
     def close(self):
         pass
 
 
-SCHEMA = "item_id int, page int, page_count int, mode string, text string, content binary, dpi int, ocr_language string, timeout_ms double"
-
-
-def routed(spark, rows):
-    return spark.createDataFrame([(1, p, 20, m, t, b"x", 300, "deu", 100.0) for p, m, t in rows], SCHEMA)
-
-
-def test_one_pass_fills_only_what_needs_ocr(spark):
-    got = recognition.page_results(recognition.ocr_pages(routed(spark, [(1, "native", "abc"), (2, "ocr", "junk"), (3, "native", None)]), Fake)).orderBy("page").collect()
-    assert [(r["source"], r["text"], r["confidence"]) for r in got] == [("native", "abc", None), ("ocr", "deu page 2 at 300", 92.0), ("native", "", None)]
+def png(width):
+    return b"\x89PNG" + b"\0" * 12 + width.to_bytes(4, "big") + (1).to_bytes(4, "big")
 
 
-def test_errors_name_the_page(spark):
-    kept = recognition.ocr_pages(routed(spark, [(13, "ocr", None), (14, "ocr", None)]), Fake, on_error="collect").orderBy("page").collect()
-    assert [r["ocr_error"] for r in kept] == ["Failed to OCR PDF page 13: smudged", "Failed to OCR PDF page 14: OCR timed out after 100 ms"]
-    with pytest.raises(Exception, match="Failed to OCR PDF page 13: smudged"):
-        recognition.ocr_pages(routed(spark, [(13, "ocr", None)]), Fake).collect()
+def test_settings_reach_the_engine():
+    assert recognition.engine_settings(300) == {"oem": "lstm_only", "psm": "auto", "preserve_interword_spaces": "1", "user_defined_dpi": "300"}
+    e = recognition.EngineProcess(Fake)
+    assert e.recognize(png(7), "deu", recognition.engine_settings(150), 5000) == ("deu 7 at 150 auto", 1.0)
+    e.close()
 
 
-def test_no_limit_for_zero():
-    assert recognition.with_timeout(lambda: ("a", 1.0), 0) == ("a", 1.0)
+def test_a_late_engine_ends_with_its_process():
+    e = recognition.EngineProcess(Fake)
+    assert e.recognize(png(1), "deu", recognition.engine_settings(72), 0)[1] == 1.0
+    late = e.process
+    began = time.time()
+    with pytest.raises(TimeoutError, match="OCR timed out after 200 ms"):
+        e.recognize(png(14), "deu", recognition.engine_settings(72), 200)
+    assert time.time() - began < 5 and not late.is_alive()
+    assert e.recognize(png(2), "deu", recognition.engine_settings(72), None) == ("deu 2 at 72 auto", 1.0)  # a new engine
+    with pytest.raises(RuntimeError, match="smudged"):
+        e.recognize(png(13), "deu", recognition.engine_settings(72), 200)
+    e.close()
+    e.close()
 
 
 def test_results(spark):
@@ -88,21 +96,63 @@ def test_documents_end_to_end(spark):
     scan = b"q 100 0 0 100 0 0 cm /Im1 Do Q"
     doc = samples.make_pdf([(100, 100, words), (100, 100, scan), (100, 100, words)])
     rows = [
-        (1, doc, "auto", "range", 1.0, 0.0, None, "a"), (2, doc, "native", "specific", None, None, "3,1", "b"), (3, doc, "ocr", "range", 2.0, 3.0, None, "c"),
-        (4, doc, "auto", "range", 1.0, 9.0, None, "d"), (5, b"junk", "auto", "range", 1.0, 0.0, None, "e"), (6, None, "auto", "range", 1.0, 0.0, None, "f"), (7, samples.make_pdf([(10, 10, b"")] * 13), "ocr", "range", 13.0, 13.0, None, "g"),
+        (1, doc, "auto", "range", 1.0, 0.0, None, "a", 72, None), (2, doc, "native", "specific", None, None, "3,1", "b", 72, None), (3, doc, "ocr", "range", 2.0, 3.0, None, "c", None, None),
+        (4, doc, "auto", "range", 1.0, 9.0, None, "d", 72, None), (5, b"junk", "auto", "range", 1.0, 0.0, None, "e", 72, None), (6, None, "auto", "range", 1.0, 0.0, None, "f", 72, None),
+        (7, samples.make_pdf([(10, 10, b""), (13, 10, b"")]), "ocr", "range", 1.0, 0.0, None, "g", 72, None), (8, samples.make_pdf([(14, 10, b""), (10, 10, b"")]), "ocr", "range", 1.0, 0.0, None, "h", 72, 300.0),
+        (None, doc, None, None, None, None, None, None, 72, None), (1, doc, "auto", "range", 3.0, 3.0, None, "again", 72, None),
     ]
-    df = spark.createDataFrame(rows, "item_id int, data binary, recognition_mode string, page_selection string, page_from double, page_to double, specific_pages string, pageCount string")
-    got = {r["item_id"]: r for r in recognition.recognize(df, Fake, on_error="collect").collect()}
+    schema = "item_id int, data binary, recognition_mode string, page_selection string, page_from double, page_to double, specific_pages string, pageCount string, dpi int, timeout_ms double"
+    df = spark.createDataFrame(rows, schema).withColumn("_content_", F.lit(1))
+    all_ = recognition.recognize(df, Fake, on_error="collect").collect()
+    got = {r["item_id"]: r for r in all_[::-1]}
     one = got[1]["recognition_result"].asDict(True)
     assert one["source"] == "mixed" and one["pageCount"] == 3 and one["range"] == {"from": 1, "to": 3} and [p["source"] for p in one["pages"]] == ["native", "ocr", "native"]
-    assert one["pages"][1]["text"] == "deu page 2 at 300" and one["pages"][0]["text"].startswith("word0 word1") and "pageCount" not in got[1].asDict()
+    assert one["pages"][1]["text"] == "deu 100 at 72 auto" and one["pages"][0]["text"].startswith("word0 word1") and "pageCount" not in got[1].asDict()
     two = got[2]["recognition_result"].asDict(True)
     assert two["selectedPages"] == [1, 3] and two["source"] == "native" and two["range"] is None
     assert [p["page"] for p in got[3]["recognition_result"]["pages"]] == [2, 3] and got[3]["recognition_result"]["source"] == "ocr"
+    assert got[3]["recognition_result"]["pages"][0]["text"] == "deu 417 at 300 auto"
     assert got[4]["error"] == "Page To cannot exceed the document page count (3)" and got[4]["recognition_result"] is None
     assert "Invalid PDF" in got[5]["error"] and got[6]["error"] == 'Binary field "data" is missing'
-    assert got[7]["error"] == "Failed to OCR PDF page 13: smudged"
-    strict = recognition.recognize(df.where("item_id < 4"), Fake).collect()
-    assert {r["item_id"] for r in strict} == {1, 2, 3}
+    assert got[7]["error"] == "Failed to OCR PDF page 2: smudged" and got[8]["error"] == "Failed to OCR PDF page 1: OCR timed out after 300 ms"
+    assert got[None]["recognition_result"]["source"] == "mixed" and len(all_) == len(rows)  # keys may be null or stand twice
+    strict = recognition.recognize(df.where("item_id < 4"), Fake)
+    assert sorted(r["item_id"] for r in strict.collect()) == [1, 1, 2, 3]
+    plan = strict._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan  # no document is shuffled
+    assert recognition.recognize(df.limit(0), Fake).collect() == []
     with pytest.raises(Exception, match="cannot exceed the document page count"):
         recognition.recognize(df.where("item_id = 4"), Fake).collect()
+    with pytest.raises(Exception, match="Failed to OCR PDF page 2: smudged"):
+        recognition.recognize(df.where("item_id = 7"), Fake).collect()
+
+
+def broken_renderer(doc, page, dpi):
+    raise ValueError("no fonts")
+
+
+def test_render_errors_are_named(spark):
+    from pagewright.functions import errors
+    from pagewright.sources import render, samples
+
+    doc = samples.make_pdf([(10, 10, b"")])
+    for n in (0, -1, 1.5, True):
+        with pytest.raises(ValueError, match=errors.WORKERS_POSITIVE):
+            render.PageRenderer(doc, n)
+    images = render.PageRenderer(doc, 2)
+    assert images.render(1, 72).startswith(b"\x89PNG")
+    with pytest.raises(RuntimeError, match="Failed to render PDF page 2 in isolated renderer: Page 2 does not exist"):
+        images.render(2, 72)
+    images.close()
+    images.close()
+    with pytest.raises(RuntimeError, match=errors.RENDERER_CLOSED):
+        images.render(1, 72)
+    df = spark.createDataFrame([(1, doc, "ocr")], "item_id int, data binary, recognition_mode string")
+    r = recognition.recognize(df, Fake, on_error="collect", renderer=broken_renderer).first()
+    assert r["error"] == "Failed to render PDF page 1 in isolated renderer: no fonts"
+    rows = spark.createDataFrame([(1, 1, 72.0, doc), (1, 5, 72.0, doc), (2, 1, 72.0, b"junk")], "item_id int, page int, dpi double, content binary")
+    kept = render.render_pages(rows, lambda k, page, image: (len(image),), "size int", on_error="collect").collect()
+    assert [(x["item_id"], x["page"], (x["size"] or 0) > 50) for x in kept] == [(1, 1, True), (1, 5, False), (2, 1, False)]
+    assert "Page 5 does not exist" in kept[1]["error"] and "isolated renderer" in kept[2]["error"] and kept[0]["error"] is None
+    with pytest.raises(Exception, match="isolated renderer"):
+        render.render_pages(rows, lambda k, page, image: (len(image),), "size int").collect()

@@ -3,8 +3,9 @@ import zlib
 
 import numpy as np
 
-from pagewright.functions import sql
-from pagewright.operators import recognition
+from pyspark.sql import functions as F
+
+from pagewright.functions import sql, text
 from pagewright.sources import pdf, render, samples
 from pagewright.streaming import files
 
@@ -30,13 +31,15 @@ def test_rendering_rows(spark):
     df = spark.createDataFrame([(1, 1, 72.0, CONTENT)], "item_id int, page int, dpi double, content binary")
     out = render.render_pages(df, lambda k, page, png: (k, page, len(png)), "item_id int, page int, size int").first()
     assert out["size"] > 100
-    assert recognition.ENGINE["psm"] == "auto"
 
 
 def test_sql_functions(spark):
     assert sql.register(spark) == ["count_words", "recommend_page_mode"]
     rows = spark.sql("select count_words(\"a-b c’d e\"), recommend_page_mode('---', 0.2D), recommend_page_mode('---', 0.201D), recommend_page_mode('', 0D)").first()
     assert list(rows) == [3, "native", "ocr", "ocr"]
+    texts = [(None, None), (None, 0.9), ("word " * 25, None), ("word", 0.9), ("a" * 30 + "\ufffd" * 3, 0.0), ("", 0.1)]
+    df = spark.createDataFrame(texts, "t string, c double")
+    assert [a == b for a, b in df.select(F.expr("recommend_page_mode(t, c)"), text.recommended_mode(F.col("t"), F.col("c"))).collect()] == [True] * len(texts)
 
 
 def test_stream(spark, tmp_path):
