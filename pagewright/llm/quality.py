@@ -2,9 +2,11 @@
 
 Of each page: counts of words, lines, symbols, line ends, frequent words; and repetition: shares of
 duplicate lines and paragraphs, share of characters in the dominant word bigram and in repeated word
-5-grams.  Combined rules give a kind: junk has mostly unreadable characters, a table mostly rows of cells
-with figures, a list mostly short entries that form no sentences, the rest is prose, also in short lines.
-Pages roll up to documents in one aggregation by item.
+5-grams, share of lines that begin or end with the same mark (a bullet, a number, a leader with its page).
+Combined rules give a kind: junk has mostly unreadable characters, boilerplate says mostly the same again, a
+table has mostly rows of cells with figures, a list is made of entries that form no sentences (short entries,
+marks that recur and lines that recur add up), the rest is prose, also in short lines.  Pages roll up to
+documents in one aggregation by item.
 
 Garbled letters (problem 3) count as letters and keep sentence ends, so a garbled page keeps the kind of
 its original.
@@ -25,14 +27,18 @@ from pyspark.sql import functions as F
 from .common import arrow_map
 
 LEAST_CHARS = 40
-KINDS = ("prose", "list", "table", "junk")
+KINDS = ("prose", "list", "table", "junk", "boilerplate")
+MOST_REPEATED = 0.5  # share of the characters in repetitions beyond which a page is boilerplate
+LIST_SCORE = 0.5
 
 _SPLIT = re.compile(r"[\s|;]+")
 _PARAGRAPH = re.compile(r"\n[ \t]*\n")
 _SENTENCE_END = re.compile(r"(?<=[^\s.])(?:\.\.\.|[.!?…])[\"”“»’)\]]*(?= |$)")
 _LINE_END = re.compile(r"[^\s.][.!?…][\"”“»’)\]]*$")
 _BULLET = re.compile(r"^(?:[-*•–·—+]|\d{1,3}[.)]|[a-zA-Z][.)]) ")
-_LEADER = re.compile(r"\.{4,} *\d+$")
+_TWO_LETTERS = re.compile(r"[^\W\d_]{2}")
+_FORM = re.compile(r"[^\W_]")
+_RUN = re.compile(r"(.)\1+")
 _PLAIN = re.compile(r"[^\W_]+| +")
 _CID = re.compile(r"\(cid:\d+\)")
 _HEX = re.compile(r"^(?=.*\d)(?=.*[a-f])[0-9a-f]{6,}$|^\d{8}$")
@@ -80,10 +86,10 @@ def token_class(t: str) -> int:
 class PageStats:
     """Statistics of one page after another; classes of tokens are remembered."""
 
-    FIELDS = ("n_chars", "n_words", "n_lines", "mean_word_length", "symbol_ratio", "end_mark_share", "common_share", "figure_share", "unreadable_share", "sentence_share", "short_line_share", "duplicate_line_share", "duplicate_paragraph_share", "top_bigram_coverage", "repeated_5gram_coverage")
+    FIELDS = ("n_chars", "n_words", "n_lines", "mean_word_length", "symbol_ratio", "end_mark_share", "common_share", "figure_share", "unreadable_share", "sentence_share", "short_line_share", "duplicate_line_share", "duplicate_paragraph_share", "top_bigram_coverage", "repeated_5gram_coverage", "repeated_mark_share")
 
     def __init__(self, common: frozenset[str]) -> None:
-        self.common, self.memo = common, {}
+        self.common, self.memo, self.marks = common, {}, {}
 
     def know(self, token: str) -> tuple[int, str]:
         """Class and plain form of a token."""
@@ -92,6 +98,15 @@ class PageStats:
             self.memo[token] = known
         return known
 
+    def mark(self, token: str) -> str:
+        """The form of a bullet, a number or a leader; empty for words."""
+        known = self.marks.get(token)
+        if known is None:
+            known = "" if _TWO_LETTERS.search(token) else _RUN.sub(r"\1", _FORM.sub(lambda m: "0" if m[0].isdigit() else "a", token))
+            if len(self.marks) < 100_000:
+                self.marks[token] = known
+        return known
+
     def __call__(self, text: str) -> tuple[str | None, dict]:
         chars = len("".join(text.split()))
         lines = [x.strip() for x in text.split("\n") if x.strip()]
@@ -101,6 +116,8 @@ class PageStats:
         number = [0, 0, 0, 0]
         words: list[str] = []
         rows = entries = ended = 0
+        heads: Counter = Counter()
+        tails: Counter = Counter()
         for line in lines:
             ts = line.split() if "|" not in line and ";" not in line else [t for t in _SPLIT.split(line) if t]
             n = [0, 0, 0, 0]
@@ -115,6 +132,9 @@ class PageStats:
             for k in range(4):
                 number[k] += n[k]
             tokens += ts
+            if ts:
+                heads[self.mark(ts[0])] += 1
+                tails[self.mark(ts[-1])] += 1
             cells = sum(n) - n[MARK] + (line.count(" - ") if n[FIGURE] > 1 else 0)
             if n[FIGURE] >= 2 and n[FIGURE] * 2 >= cells and not ends:
                 rows += 1
@@ -131,6 +151,7 @@ class PageStats:
                 in_sentences += n_words + (at == 0)
                 count += 1
                 at = m.end()
+        marks = max((c for m in (heads, tails) for k, c in m.items() if k and c > 1), default=0)
         several = Counter(lines)
         paragraphs = [p.strip() for p in _PARAGRAPH.split(text) if p.strip()]
         several_p = Counter(paragraphs)
@@ -153,24 +174,36 @@ class PageStats:
             "duplicate_line_share": sum(n - 1 for n in several.values()) / max(1, len(lines)),
             "duplicate_paragraph_share": sum(n - 1 for n in several_p.values()) / max(1, len(paragraphs)),
             "top_bigram_coverage": min(1.0, top_n * (len(top[0]) + len(top[1])) / max(1, chars)) if top_n > 1 else 0.0,
-            "repeated_5gram_coverage": min(1.0, sum(n * sum(map(len, g)) for g, n in fives.items() if n > 1) / 5 / max(1, chars)),
+            "repeated_5gram_coverage": _covered(words, fives) / max(1, sum(map(len, words))) if again and max(fives.values(), default=1) > 1 else 0.0,
+            "repeated_mark_share": marks / max(1, len(lines)),
         }
         if chars < LEAST_CHARS:
             return None, stats
-        marked = sum(1 for x in lines if _BULLET.match(x) or _LEADER.search(x))
+        # entries that form no sentences: short ones, marks that recur and lines that recur add up
+        of_list = 0.5 * stats["short_line_share"] + 0.5 * stats["repeated_mark_share"] + stats["duplicate_line_share"] + 0.5 * stats["top_bigram_coverage"]
         if unreadable > 0.5:
             kind = "junk"
+        elif max(stats["repeated_5gram_coverage"], stats["duplicate_paragraph_share"], stats["top_bigram_coverage"]) > MOST_REPEATED:
+            kind = "boilerplate"
         elif rows * 2 > len(lines):
             kind = "table"
-        elif stats["sentence_share"] >= 0.5:
-            kind = "prose"
-        elif marked * 2 > len(lines) or len(lines) >= 3 and entries * 2 > len(lines) or stats["duplicate_line_share"] > 0.3:
+        elif stats["sentence_share"] < 0.5 and (of_list > LIST_SCORE or len(lines) >= 3 and entries * 2 > len(lines)):
             kind = "list"
         else:
             kind = "prose"
         return kind, stats
 
 
+def _covered(words: list[str], fives: Counter) -> int:
+    """Characters of the words that lie in a word 5-gram said more than once."""
+    total = end = 0
+    for i, g in enumerate(zip(words, words[1:], words[2:], words[3:], words[4:], strict=False)):
+        if fives[g] > 1:
+            total += sum(map(len, words[max(i, end) : i + 5]))
+            end = i + 5
+    return total
+
+
 def _short_stop(s: str, at: int) -> bool:
     """A full stop after an initial or an ordinal ends no sentence."""
     start = s.rfind(" ", 0, at) + 1
@@ -180,7 +213,7 @@ def _short_stop(s: str, at: int) -> bool:
 
 def page_stats(df: DataFrame, common_words: DataFrame) -> DataFrame:
     """(analysis_id, item_id, kind, word_count, image_coverage, statistics) of each analysed page."""
-    common = frozenset(r["word"].lower() for r in common_words.where("word is not null").select("word").limit(10_000).collect())
+    common = frozenset(r["word"].lower() for r in common_words.where("word is not null").select("word").distinct().collect())
     keep = ("analysis_id", "item_id", "word_count", "image_coverage")
 
     def run(batch):

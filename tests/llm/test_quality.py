@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from pagewright.llm import quality as Q
@@ -32,8 +34,25 @@ def test_few_words_in_a_cycle(text):
     assert Q.PageStats(frozenset())(text)[1]["repeated_5gram_coverage"] > 0.85
 
 
+@pytest.mark.parametrize("text", ["test " * 40, "foo bar " * 40, "lorem ipsum dolor " * 40, "Please sign here and return this form. " * 20, (PROSE + "\n\n") * 6])
+def test_what_says_the_same_again_is_boilerplate(text):
+    assert Q.PageStats(frozenset())(text)[0] == "boilerplate"
+
+
+def test_repetition_tells_lists():
+    """Long entries are a list by the marks that recur, not by their length."""
+    long_ = "the supplier of the northern plant and all of its present and former branches without exception"
+    page = "\n".join(f"{m} {long_.replace('northern', w)}" for m, w in zip("*" * 5, ("northern", "old", "new", "large", "small"), strict=True))
+    kind, s = Q.PageStats(frozenset())(page)
+    assert kind in ("list", "boilerplate") and s["repeated_mark_share"] == 1.0
+    _, plain = Q.PageStats(frozenset())(page.replace("* ", ""))
+    assert plain["repeated_mark_share"] == 0.0
+
+
 def test_long_text():
-    assert Q.PageStats(frozenset())(PROSE * 2000)[0] == "prose"
+    rng = random.Random(1)
+    varied = " ".join(" ".join(rng.choice(PROSE.replace(".", "").split()).lower() for _ in range(12)).capitalize() + "." for _ in range(3000))
+    assert Q.PageStats(frozenset())(varied)[0] == "prose"
 
 
 def test_documents(spark):
