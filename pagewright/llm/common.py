@@ -88,8 +88,7 @@ def portions(texts: list[str | None], most: int) -> Iterator[slice]:
 
 
 class WordFilter:
-    """A Bloom filter of fixed size in a broadcast: it never misses a member, so an exact join may follow on
-    what passes.  Its size doesn't depend on the data; only its selectivity does."""
+    """A Bloom filter in a broadcast: it never misses a member, so an exact join may follow on what passes."""
 
     def __init__(self, broadcast, bits: int) -> None:
         self.broadcast, self.bits = broadcast, bits
@@ -109,22 +108,42 @@ class WordFilter:
         return may
 
 
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28  # 128 KB to 32 MB
+BITS_A_WORD = 16
+PARTS = 64  # of a filter, merged each on its own
+
+
 def _places(word: str, bits: int) -> tuple[int, int]:
     h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
     return h % bits, (h >> 32) % bits
 
 
-def word_filter(words: DataFrame, bits: int) -> WordFilter:
-    """The filter of the one string column of words.  Each of at most four tasks returns bits / 8 bytes."""
+def word_filter(words: DataFrame) -> WordFilter:
+    """The filter of the one string column of words, a table.  It has BITS_A_WORD bits a word within LEAST_BITS and
+    MOST_BITS; beyond 16 million words it grows no more and lets more pass, never less.  Every task sets the bits of
+    its own words; the parts of the filter are then merged by as many tasks, and only the filter reaches the driver."""
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_A_WORD * max(1, words.count()) - 1).bit_length()))
+    size = bits // 8 // PARTS
 
-    def run(batches):
-        own = np.zeros(bits, dtype=bool)
+    def own(batches):
+        marks = np.zeros(bits, dtype=bool)
         for b in batches:
-            for w in b.column(0).to_pylist():
-                own[list(_places(w, bits))] = True
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(own).tobytes()])], names=["bits"])
-
-    out = np.zeros(bits // 8, dtype=np.uint8)
-    for row in words.coalesce(4).mapInArrow(run, "bits binary").collect():
-        out |= np.frombuffer(row["bits"], dtype=np.uint8)
+            at = [p for w in b.column(0).to_pylist() for p in _places(w, bits)]
+            marks[at] = True
+        packed = np.packbits(marks).reshape(PARTS, size)
+        full = np.flatnonzero(packed.any(axis=1))
+        yield {"part": full.tolist(), "bits": [packed[k].tobytes() for k in full]}
+
+    def merged(batches):
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            for part, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                held.setdefault(part, np.zeros(size, np.uint8))
+                held[part] |= np.frombuffer(raw, np.uint8)
+        yield {"part": list(held), "bits": [x.tobytes() for x in held.values()]}
+
+    parts = arrow_stream(words, own, "part int, bits binary").repartition(min(PARTS, 8 if bits == LEAST_BITS else PARTS), "part")
+    out = np.zeros((PARTS, size), np.uint8)
+    for row in arrow_stream(parts, merged, "part int, bits binary").collect():
+        out[row["part"]] = np.frombuffer(row["bits"], np.uint8)
     return WordFilter(words.sparkSession.sparkContext.broadcast(out.tobytes()), bits)

@@ -32,7 +32,6 @@ TWICE = (("cp1252", "cp1252"), ("latin-1", "latin-1"), ("cp1252", "latin-1"), ("
 _EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _MASK = str.maketrans("123456789", "000000000")
 DEBRIS = "�{3,}"
-FORM_BITS, WORD_BITS = 1 << 24, 1 << 22  # filters of 2 MB and 0.5 MB before the joins
 MAX_WORD = 80  # a longer string without blanks is no word
 
 _CYR = re.compile("[Ѐ-ӿ]")
@@ -117,7 +116,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 def originals(counts: DataFrame) -> DataFrame:
     """(garbled, original, chain): the verified original of each garbled word of the corpus."""
 
-    known = word_filter(counts.select("word"), FORM_BITS)
+    known = word_filter(counts.select("word"))
 
     def forms(batch):
         may = known.test()
@@ -151,7 +150,7 @@ def affected_words(texts: DataFrame) -> DataFrame:
     """(tab, row_id, garbled, original, chain): each affected word of each row, once."""
     some = texts.where(F.col("text").isNotNull())
     table = cut(originals(cut(word_counts(some), "word-counts")), "originals")
-    garbled = word_filter(table.select("garbled"), WORD_BITS)
+    garbled = word_filter(table.select("garbled"))
 
     def run(batch):
         may = garbled.test()

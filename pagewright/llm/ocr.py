@@ -3,15 +3,17 @@
 Words broken across lines, misread characters, running headers and page numbers are found and undone.
 
 Misread words: noisy-channel correction.  A word of a body sentence is what the page said, sent through a
-channel that confuses character shapes; the channel probabilities are estimated from the corpus, the
-source is the corpus' word and bigram counts, and Viterbi decodes the candidates of all words of a line
+channel that confuses character shapes, any number of them; the channel probabilities are estimated from the
+corpus, the source is the corpus' word and bigram counts, and Viterbi decodes the candidates of adjacent words
 together.  Broken words: the joined form and the hyphenated form compete by their corpus counts.  Running
 headers: lines above or below the body, equal up to confusable shapes, on three or more scanned pages of an
 item.  Page numbers: edge lines that hold the page's own number, confusions undone.
 
-Scale: counts come from all rows, pre-aggregated per batch before the shuffle.  Candidates, bigrams and
-occurrences meet in hash joins.  Bloom filters of fixed size keep words out of the joins that
-cannot meet there; they only save work, the joins decide.  No vocabulary is collected or broadcast.
+Scale: texts are read once; counts come from all rows, pre-aggregated per task before the shuffle.  Words and
+what they may have been meet in a join on a key that is equal for all confusions of a word.  Runs of adjacent words
+to judge are made distinct before they meet options and bigrams, so a frequent word or phrase is decoded once however
+often it stands in the texts, and only runs that change go back to their places.  A Bloom filter keeps other words out
+of the joins; it only saves work, the joins decide.  No vocabulary is collected or broadcast.
 
 Defined results: null, empty or blank texts and rows whose source is not ocr have no noise and no repair.
 Rows delivered twice count once.  Null confidence, page or item: no page number or header is claimed
@@ -24,8 +26,7 @@ import hashlib
 import math
 import re
 import unicodedata as ud
-from collections import Counter, defaultdict
-from itertools import combinations
+from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,11 +49,9 @@ PAGE_WORDS = ("seite", "s", "blatt", "bl", "page", "p", "pg", "pag", "página",
 BREAK_MARKS = "-‐‑­¬=⸗~\x02\x1f"
 SCAN_TRUST = 0.02  # weight of what scanned sentences say against clean text
 UNSEEN = 0.02  # count of a word never seen
+LONG_WORD, LONG_RATE = 8, 0.25  # each further character makes a word nobody knows less probable by this rate
 START_P = 3e-3  # channel probability of each confusion before it is estimated
-MAX_ERRORS = 3  # misread places within one word
 MOST_HELD = 250_000  # bigrams a task holds before it hands them on
-MAX_WORD = 60  # a longer string is no word
-WORD_BITS, BLOOM_BITS = 1 << 24, 1 << 22  # filters of 2 MB and 0.5 MB
 INTERPOLATION = 0.7  # weight of the bigram against the unigram
 
 _PAIRS = tuple(dict.fromkeys(p for p in CONFUSIONS if p[0] != p[1]))
@@ -61,7 +60,9 @@ _WORD = re.compile(r"[^\W_]+(?:[-’'][^\W_]+)*")
 _TOKEN = re.compile(rf"[^\W_]+(?:[-’'{JOINT}][^\W_]+)*")
 _NATIVE_TOKEN = re.compile(r"[^\W\d_]+(?:[-’'][^\W\d_]+)*")
 _MARKED_END = re.compile(rf"[{re.escape(BREAK_MARKS)}][ \t]*\n[ \t]*(?=[^\W_])")
+_SMALL_RIGHT = re.compile(rf"{JOINT}([a-zà-öø-ÿœа-яё])")
 _BROKEN = re.compile(rf"\S*{JOINT}\S*")
+_NEXT = re.compile(r"\S*")
 _TAIL = re.compile(r"[^\W_]+(?:[-’'][^\W_]+)*$")
 _HEAD = re.compile(r"[^\W_]+(?:[-’'][^\W_]+)*")
 _CODE = re.compile(r"^[A-Z]{1,3}\d*$")
@@ -120,7 +121,7 @@ _WORD_SHAPES = str.maketrans("ce0O6óé1IilLg9qhbBS5Z2лн4з", "oooooooLLLLLggg
 
 def page_number(line: str, page: int | None) -> bool:
     """The line holds only this page's number, or its number and the count, with or without word or marks."""
-    if page is None or len(line) > 40:
+    if page is None:
         return False
     m = _PAGE_LINE.match(line.strip().lower())
     if not m or (m["word"] and _word_shape(m["word"]) not in _PAGE_SHAPES):
@@ -199,7 +200,7 @@ def layout(text: str, page: int | None) -> tuple[list[str], list[int], list[int]
 
 
 def _title(x: str, apart: bool) -> bool:
-    if len(x) > 90 or x[:1] in "-*•–·—" and x[1:2] == " " or re.match(r"^(?:\d{1,2}|[a-z])[.)] ", x) or not _LETTER.search(x):
+    if x[:1] in "-*•–·—" and x[1:2] == " " or re.match(r"^(?:\d{1,2}|[a-z])[.)] ", x) or not _LETTER.search(x):
         return False
     if re.match(r"^[^\w]*[\d.,  ]+ ?(?:€|EUR|USD|£|\$)$|^(?:€|EUR|USD|£|\$) ?[\d.,  ]+$", x):
         return False
@@ -238,7 +239,7 @@ def _prepared(raw: str) -> tuple[str, list[tuple[str, str]]]:
     breaks: list[tuple[str, str]] = []
     parts, done = [], 0
     for m in _MARKED_END.finditer(raw):
-        both = canonical(raw[raw.rfind("\n", 0, m.start()) + 1 : m.start()] + JOINT + raw[m.end() : m.end() + 80])
+        both = canonical(raw[raw.rfind("\n", 0, m.start()) + 1 : m.start()] + JOINT + _NEXT.match(raw, m.end())[0])
         line, _, rest = both.rpartition(JOINT) if JOINT not in raw else (both, "", "")
         left, right = _TAIL.search(line), _HEAD.match(rest)
         if left and right and _LETTER.search(left[0]) and _LETTER.search(right[0]) and not _CODE.match(left[0]):
@@ -255,11 +256,12 @@ def facts(df: DataFrame) -> DataFrame:
     """All that one pass over the texts finds, told apart by kind:
     bigram: a before b, n times in all rows and m times in body sentences of scanned pages, counted within a
     task as long as MOST_HELD entries hold them;
-    break: a and b parted at a line end of result_id; page_number, edge, maybe: such a line with the digest of its shape.
+    break: a and b parted at a line end of result_id; page_number, edge, maybe: such a line with the digest of its shape;
+    body: the words of the body sentences of result_id, each line behind its number, blocks behind an empty line.
     A word joined from a break counts as no evidence (n 0), it is only a word to judge."""
 
     def flush(total: Counter, scanned: Counter) -> dict[str, list]:
-        keys = [k for k in total.keys() | scanned.keys() if len(k[0]) <= MAX_WORD and len(k[1]) <= MAX_WORD]
+        keys = list(total.keys() | scanned.keys())
         none = [None] * len(keys)
         cols = dict.fromkeys(_FACTS, none)
         return cols | {"kind": ["bigram"] * len(keys), "a": [k[0] for k in keys], "b": [k[1] for k in keys], "n": [total[k] for k in keys], "m": [scanned[k] for k in keys]}
@@ -276,30 +278,35 @@ def facts(df: DataFrame) -> DataFrame:
 
             for rid, item, source, page, raw in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 if source != "ocr":
-                    # the parts of a broken word are no evidence, nor is what stands beside them
-                    for part in _BROKEN.split(_prepared(raw)[0]) if _MARKED_END.search(raw) else (canonical(raw),):
+                    # a word broken before a small letter counts as one; other parts are no evidence, nor what stands beside them
+                    for part in _BROKEN.split(_SMALL_RIGHT.sub(r"\1", _prepared(raw)[0])) if _MARKED_END.search(raw) else (canonical(raw),):
                         words = _NATIVE_TOKEN.findall(part)
                         total.update(zip(["", *words], words, strict=False))
                     continue
                 text, broken = _prepared(raw)
                 for left, right in dict.fromkeys(broken):
-                    add("break", left, right, None, None, rid, item, None, None)
+                    add("break", left, right, None, None, rid, item, None, None, None)
                 lines, numbers, edges, blocks = layout(text, page)
                 for i, kind in [*((i, "page_number") for i in numbers), *_edge_kinds(lines, numbers, edges)]:
                     shape = _shape(" ".join(lines[i].split())).encode("utf-8", "surrogatepass")
-                    add(kind, None, None, None, None, rid, item, i, hashlib.blake2b(shape, digest_size=16).digest())
+                    add(kind, None, None, None, None, rid, item, i, hashlib.blake2b(shape, digest_size=16).digest(), None)
                 body = {i for b in blocks for i in b}
                 words = _NATIVE_TOKEN.findall("\n".join(x for i, x in enumerate(lines) if i not in body).replace(JOINT, "\n"))
                 total.update(zip(["", *words], words, strict=False))
+                kept = []
                 for b in blocks:
                     part = " ".join(lines[i] for i in b)
-                    words = _TOKEN.findall(part)
+                    by_line = [_TOKEN.findall(lines[i]) for i in b]
+                    words = [w for ws in by_line for w in ws]
+                    kept.append("\n".join(f"{i}\t{' '.join(ws)}" for i, ws in zip(b, by_line, strict=True)))
                     pairs = list(zip(["", *words], words, strict=False))
                     if JOINT in part:
                         scanned.update((u.replace(JOINT, ""), v.replace(JOINT, "")) for u, v in pairs if JOINT in u or JOINT in v)
                         pairs = [(u, v) for u, v in pairs if JOINT not in u and JOINT not in v]
                     total.update(pairs)
                     scanned.update(pairs)
+                if kept:
+                    add("body", None, None, None, None, rid, item, None, None, "\n\n".join(kept))
             yield out
             if len(total) + len(scanned) > MOST_HELD:
                 yield flush(total, scanned)
@@ -308,10 +315,10 @@ def facts(df: DataFrame) -> DataFrame:
         yield flush(total, scanned)
 
     src = df.where(F.col("text").isNotNull()).select("result_id", "item_id", "source", "page", "text")
-    return arrow_stream(src, run, "kind string, a string, b string, n bigint, m bigint, result_id bigint, item_id bigint, line int, key binary")
+    return arrow_stream(src, run, "kind string, a string, b string, n bigint, m bigint, result_id bigint, item_id bigint, line int, key binary, body string")
 
 
-_FACTS = ("kind", "a", "b", "n", "m", "result_id", "item_id", "line", "key")
+_FACTS = ("kind", "a", "b", "n", "m", "result_id", "item_id", "line", "key", "body")
 
 
 def bigram_counts(found: DataFrame) -> DataFrame:
@@ -320,32 +327,29 @@ def bigram_counts(found: DataFrame) -> DataFrame:
     return rows.groupBy("prev", "word").agg(F.sum("n").alias("n"), F.sum("m").alias("n_ocr"))
 
 
-def readings(word: str) -> list[tuple[str, list[int]]]:
-    """What the page may have said for a word read: each with the confusions undone."""
-    sites = [(i, k) for k, (_, seen) in enumerate(_PAIRS) for i in _find(word, seen)]
-    out: dict[str, list[int]] = {}
-    most = MAX_ERRORS if len(sites) <= 14 else 2
-    for r in range(1, most + 1):
-        for chosen in combinations(sorted(sites), r):
-            at, parts = 0, []
-            for i, k in chosen:
-                if i < at:
-                    break
-                parts.append(word[at:i] + _PAIRS[k][0])
-                at = i + len(_PAIRS[k][1])
-            else:
-                made = "".join(parts) + word[at:]
-                if made not in out and made != word:
-                    out[made] = [k for _, k in chosen]
-    return list(out.items())
-
-
-def _find(word: str, seen: str) -> list[int]:
-    out, i = [], word.find(seen)
-    while i >= 0:
-        out.append(i)
-        i = word.find(seen, i + 1)
-    return out
+def undone(source: str, read: str) -> list[int] | None:
+    """The fewest confusions that turn what the page said into what was read; None where none do."""
+    n, m = len(source), len(read)
+    best: list[dict[int, list[int]]] = [{} for _ in range(n + 1)]
+    best[0][0] = []
+    for i in range(n):
+        starts = _BY_FIRST.get(source[i], ())
+        for j, path in best[i].items():
+            if j < m and source[i] == read[j]:
+                known = best[i + 1].get(j + 1)
+                if known is None or len(known) > len(path):
+                    best[i + 1][j + 1] = path
+            for k, a, b in starts:
+                if read.startswith(b, j) and source.startswith(a, i):
+                    known = best[i + len(a)].get(j + len(b))
+                    if known is None or len(known) > len(path) + 1:
+                        best[i + len(a)][j + len(b)] = [*path, k]
+    return best[n].get(m)
+
+
+_BY_FIRST: dict[str, list[tuple[int, str, str]]] = {}
+for _k, (_a, _b) in enumerate(_PAIRS):
+    _BY_FIRST.setdefault(_a[0], []).append((_k, _a, _b))
 
 
 def word_counts(bigrams: DataFrame) -> DataFrame:
@@ -354,32 +358,27 @@ def word_counts(bigrams: DataFrame) -> DataFrame:
 
 def candidates(counts: DataFrame) -> DataFrame:
     """(word, n, options) of words that a more probable word can have become."""
-    frequent = counts.where("n > 1")
-    known = word_filter(frequent.select("word"), WORD_BITS)
+    # a word seen on scanned pages alone is hardly a word of its own right; a known word has no digit no letter is read as
+    rare = F.exp(-LONG_RATE * F.greatest(F.length("word") - LONG_WORD, F.lit(0)))
+    own = F.greatest(F.col("n") - F.col("n_ocr"), F.lit(0)) + SCAN_TRUST * F.col("n_ocr") * rare
 
-    def run(batch):
-        may = known.test()
-        out: dict[str, list] = {"word": [], "n": [], "n_ocr": [], "cand": [], "errors": []}
-        for w, n, m in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            for c, errors in readings(w):
-                if not may(c):
-                    continue
-                out["word"].append(w)
-                out["n"].append(n)
-                out["n_ocr"].append(m)
-                out["cand"].append(c)
-                out["errors"].append(errors)
-        return out
+    def keys(batch):
+        ws = batch.column(0).to_pylist()
+        return {"word": ws, "n": batch.column(1).to_pylist(), "n_ocr": batch.column(2).to_pylist(), "own": batch.column(3).to_pylist(), "shape": [_shape(w) for w in ws]}
 
-    # what looks like a code is asked only where every digit of it can be undone: a known word has none
-    # a word seen on scanned pages alone is hardly a word of its own right
-    own = F.greatest(F.col("n") - F.col("n_ocr"), F.lit(0)) + SCAN_TRUST * F.col("n_ocr")
+    shaped = cut(arrow_map(counts.select("word", "n", "n_ocr", own.alias("own")), keys, "word string, n bigint, n_ocr bigint, own double, shape string"), "shapes")
     word = F.col("word")
-    undone = (F.length(F.regexp_replace("word", r"\D", "")) <= MAX_ERRORS) & ~word.rlike(rf"[{_NO_SHAPE}]")
-    asked = counts.withColumn("own", own).where((F.col("n_ocr") > 0) & (F.length("word") >= 2) & word.rlike(r"\p{L}") & (~word.rlike(r"^\p{Lu}{1,3}\d|\d{3}") | undone))
-    made = arrow_map(asked.select("word", "own", "n_ocr"), run, "word string, n double, n_ocr bigint, cand string, errors array<int>")
-    real = frequent.select(F.col("word").alias("cand"), F.col("n").alias("n_cand"), F.col("n_ocr").alias("n_cand_ocr"))
-    met = cut(made.join(real, "cand"), "readings")
+    asked = shaped.where((F.col("n_ocr") > 0) & (F.length("word") >= 2) & word.rlike(r"\p{L}") & ~word.rlike(rf"[{_NO_SHAPE}]"))
+    real = shaped.where("n > 1").select("shape", F.col("word").alias("cand"), F.col("n").alias("n_cand"), F.col("n_ocr").alias("n_cand_ocr"))
+    both = asked.select("shape", "word", F.col("own").alias("n"), "n_ocr").join(real, "shape").where("word <> cand").drop("shape")
+
+    def run(batch):
+        cols = {c: batch.column(i).to_pylist() for i, c in enumerate(("word", "n", "n_ocr", "cand", "n_cand", "n_cand_ocr"))}
+        errors = [undone(c, w) for c, w in zip(cols["cand"], cols["word"], strict=True)]
+        return cols | {"errors": errors}
+
+    met = arrow_map(both, run, "word string, n double, n_ocr bigint, cand string, n_cand bigint, n_cand_ocr bigint, errors array<int>")
+    met = cut(met.where("errors is not null"), "readings")
     # confusion probabilities: how often each confusion explains a rare word, against what it could have hit
     one = met.where("size(errors) = 1 and n_cand > 20 * (n + 1)")
     seen = one.groupBy(F.col("errors")[0].alias("k")).agg(F.sum("n_ocr").alias("hits"), F.sum("n_cand_ocr").alias("base")).collect()  # at most one row a confusion
@@ -390,7 +389,7 @@ def candidates(counts: DataFrame) -> DataFrame:
     channel = F.aggregate("errors", F.lit(0.0), lambda a, k: a + F.get(logs, k))
     scored = met.select("word", "n", "cand", "n_cand", channel.alias("channel"))
     # plausible: the source alone or with its context could outweigh what was read
-    plausible = scored.where(F.log("n_cand") + F.col("channel") > F.log(F.col("n") + UNSEEN) - 2.0)
+    plausible = scored.where(F.log("n_cand") + F.col("channel") > F.log(F.col("n") + UNSEEN * rare) - 2.0)
     return plausible.groupBy("word").agg(F.max("n").alias("n"), F.collect_list(F.struct("cand", "n_cand", "channel")).alias("options"))
 
 
@@ -427,10 +426,11 @@ def viterbi(tokens: list[str], options: dict[str, tuple[float, list]], edges: di
             paths = {w: (score, [*path, w])}
             continue
         for v, channel, n in states:
+            unseen = UNSEEN * math.exp(-LONG_RATE * max(0, len(v) - LONG_WORD))
             best = None
             for u, (score, path) in paths.items():
                 pu = max(unigrams.get(u, 0), 1)
-                lm = INTERPOLATION * known.get((u, v), 0) / pu + (1 - INTERPOLATION) * (n + UNSEEN) / total
+                lm = INTERPOLATION * known.get((u, v), 0) / pu + (1 - INTERPOLATION) * (n + unseen) / total
                 s = score + channel + math.log(lm)
                 if best is None or s > best[0]:
                     best = (s, path)
@@ -443,77 +443,79 @@ def ocr_rows(df: DataFrame) -> DataFrame:
     return df.where((F.col("source") == "ocr") & F.col("text").isNotNull() & (F.trim("text") != "")).select("result_id", "item_id", "page", "text")
 
 
-def corrections(df: DataFrame, bigrams: DataFrame, counts: DataFrame) -> DataFrame:
+def corrections(found: DataFrame, bigrams: DataFrame, counts: DataFrame) -> DataFrame:
     """(result_id, line, pos, word, corrected) of the misread words of body sentences."""
     options = cut(candidates(counts), "options")
     edges = contexts(bigrams, options)
     total = float(counts.agg(F.sum("n")).first()[0] or 1)
-    bloom = word_filter(options.select("word"), BLOOM_BITS)
+    bloom = word_filter(options.select("word"))
 
-    def run(batch):
+    def runs(batch):
         may = bloom.test()
-        out: dict[str, list] = defaultdict(list)
-        for rid, page, raw in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            text, _ = _prepared(raw)
-            if not any(map(may, set(_TOKEN.findall(text.replace(JOINT, ""))))):
-                continue
-            lines, _, _, blocks = layout(text, page)
-            for block in blocks:
-                words = [(i, p, w.replace(JOINT, "")) for i in block for p, w in enumerate(_TOKEN.findall(lines[i]))]
-                prev = ""
-                for j, (i, p, w) in enumerate(words):
-                    if may(w):
-                        out["result_id"].append(rid)
-                        out["line"].append(i)
-                        out["pos"].append(p)
-                        out["prev"].append(prev)
-                        out["word"].append(w)
-                        out["next"].append(words[j + 1][2] if j + 1 < len(words) else "")
-                    prev = w
-        return {k: out[k] for k in ("result_id", "line", "pos", "prev", "word", "next")}
-
-    src = ocr_rows(df).select("result_id", "page", "text")
-    met = arrow_map(src, run, "result_id bigint, line int, pos int, prev string, word string, next string").distinct()
+        out: dict[str, list] = {k: [] for k in ("result_id", "lines", "places", "tokens", "run")}
+        for rid, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for block in body.replace(JOINT, "").split("\n\n"):
+                words: list[str] = [""]
+                at: list[tuple[int, int]] = [(0, 0)]
+                for line in block.split("\n"):
+                    i, _, ws = line.partition("\t")
+                    if ws:
+                        ws = ws.split(" ")
+                        words += ws
+                        at += [(int(i), p) for p in range(len(ws))]
+                words.append("")
+                j = 1
+                while j < len(words) - 1:
+                    if not may(words[j]):
+                        j += 1
+                        continue
+                    first = j
+                    while j < len(words) - 1 and may(words[j]):
+                        j += 1
+                    tokens = words[first - 1 : j + 1]
+                    out["result_id"].append(rid)
+                    out["lines"].append([x[0] for x in at[first:j]])
+                    out["places"].append([x[1] for x in at[first:j]])
+                    out["tokens"].append(tokens)
+                    out["run"].append(hashlib.blake2b("\0".join(tokens).encode("utf-8", "surrogatepass"), digest_size=16).digest())
+        return out
+
+    met = arrow_map(found.where("kind = 'body'").select("result_id", "body"), runs, "result_id bigint, lines array<int>, places array<int>, tokens array<string>, run binary")
+    met = cut(met, "runs")
+    around = F.transform(F.sequence(F.lit(1), F.size("tokens") - 2), lambda i: F.struct(F.get("tokens", i - 1).alias("prev"), F.get("tokens", i).alias("word"), F.get("tokens", i + 1).alias("next")))
+    each = met.groupBy("run").agg(F.first("tokens").alias("tokens")).select("run", F.posexplode(around).alias("pos", "w")).select("run", "pos", "w.*")
     # narrow joins first, so that the arrays of options and edges travel as little as can be
     n_prev = counts.select(F.col("word").alias("prev"), F.col("n").alias("n_prev"))
     e1 = edges.select("prev", "word", F.col("edges").alias("before"))
     e2 = edges.select(F.col("prev").alias("word"), F.col("word").alias("next"), F.col("edges").alias("after"))
-    a = met.join(options.select("word"), "word", "left_semi").join(n_prev, "prev", "left")
-    a = a.join(e1, ["prev", "word"], "left").join(e2, ["word", "next"], "left").join(options, "word")
-    per_line = a.groupBy("result_id", "line").agg(F.collect_list(F.struct("pos", "prev", "word", "next", "n", "n_prev", "options", "before", "after")).alias("words"))
+    a = each.join(n_prev, "prev", "left").join(e1, ["prev", "word"], "left").join(e2, ["word", "next"], "left").join(options, "word", "left")
+    per_run = a.groupBy("run").agg(F.collect_list(F.struct("pos", "prev", "word", "next", "n", "n_prev", "options", "before", "after")).alias("words"))
 
     def decode(batch):
-        out: dict[str, list] = {"result_id": [], "line": [], "pos": [], "word": [], "corrected": []}
-        for rid, line, words in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+        out: dict[str, list] = {"run": [], "pos": [], "corrected": []}
+        for run, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             words.sort(key=lambda x: x["pos"])
-            run_: list[dict] = []
-            for x in [*words, None]:
-                if x is not None and (not run_ or x["pos"] == run_[-1]["pos"] + 1):
-                    run_.append(x)
-                    continue
-                if run_:
-                    for y, c in zip(run_, _decode_run(run_, total), strict=True):
-                        if c != y["word"]:
-                            out["result_id"].append(rid)
-                            out["line"].append(line)
-                            out["pos"].append(y["pos"])
-                            out["word"].append(y["word"])
-                            out["corrected"].append(c)
-                run_ = [x] if x is not None else []
+            for x, c in zip(words, _decode_run(words, total), strict=True):
+                if c != x["word"]:
+                    out["run"].append(run)
+                    out["pos"].append(x["pos"])
+                    out["corrected"].append(c)
         return out
 
-    return arrow_map(per_line, decode, "result_id bigint, line int, pos int, word string, corrected string")
+    changed = arrow_map(per_run, decode, "run binary, pos int, corrected string")
+    hit = met.join(changed, "run")
+    return hit.select("result_id", F.get("lines", F.col("pos")).alias("line"), F.get("places", F.col("pos")).alias("pos"), F.get("tokens", F.col("pos") + 1).alias("word"), "corrected")
 
 
 def _decode_run(run_: list[dict], total: float) -> list[str]:
     """Viterbi over adjacent words with options, between the fixed words around them."""
     tokens = [run_[0]["prev"], *(x["word"] for x in run_), run_[-1]["next"]]
-    options = {x["word"]: (x["n"], x["options"]) for x in run_}
+    options = {x["word"]: (x["n"], x["options"]) for x in run_ if x["options"]}
     unigrams = {run_[0]["prev"]: run_[0]["n_prev"] or 1}
     edges: dict[tuple[str, str], dict[tuple[str, str], float]] = {}
     for x in run_:
-        unigrams[x["word"]] = x["n"]
-        for o in x["options"]:
+        unigrams[x["word"]] = x["n"] or 1
+        for o in x["options"] or []:
             unigrams[o["cand"]] = o["n_cand"]
         for key, es in (((x["prev"], x["word"]), x["before"]), ((x["word"], x["next"]), x["after"])):
             edges[key] = {(e["u"], e["v"]): e["n"] for e in es or []}
@@ -556,7 +558,7 @@ def noise(df: DataFrame) -> DataFrame:
     lines = found.where("kind in ('page_number', 'edge', 'maybe')").select("result_id", "item_id", "line", "kind", "key")
     parts = [
         breaks(found, counts).where("broken").select("result_id", F.lit("hyphen").alias("noise")),
-        corrections(df, bigrams, counts).select("result_id", F.lit("misread").alias("noise")),
+        corrections(found, bigrams, counts).select("result_id", F.lit("misread").alias("noise")),
         headers(lines).select("result_id", F.lit("header").alias("noise")),
         lines.where("kind = 'page_number'").select("result_id", F.lit("page_number").alias("noise")),
     ]
@@ -575,7 +577,7 @@ def repaired(df: DataFrame) -> DataFrame:
     lines = found.where("kind in ('page_number', 'edge', 'maybe')").select("result_id", "item_id", "line", "kind", "key")
     drop = headers(lines).select("result_id", "line").unionAll(lines.where("kind = 'page_number'").select("result_id", "line"))
     drops = drop.groupBy("result_id").agg(F.collect_set("line").alias("drops"))
-    fixes = corrections(df, bigrams, counts).groupBy("result_id").agg(F.collect_list(F.struct("line", "pos", "corrected")).alias("fixes"))
+    fixes = corrections(found, bigrams, counts).groupBy("result_id").agg(F.collect_list(F.struct("line", "pos", "corrected")).alias("fixes"))
     hyphens = breaks(found, counts).where("not broken").groupBy("result_id").agg(F.collect_list(F.struct("left", "right")).alias("spelled"))
     rows = ocr_rows(df).dropDuplicates(["result_id"]).select("result_id", "text")
     rows = rows.join(drops, "result_id", "left").join(fixes, "result_id", "left").join(hyphens, "result_id", "left")

@@ -101,7 +101,17 @@ def test_shapes_follow_the_confusions():
     assert O.page_number("B1att 3", 3) and not O.page_number("el 3", 3)
 
 
-def test_parts_of_words_broken_on_native_pages_are_not_counted(spark):
-    df = spark.createDataFrame([page(1, 1, 1, "Der Antrag ist unab-\nhängige Sache", "native")], SCHEMA)
+def test_words_broken_on_native_pages_count_whole(spark):
+    df = spark.createDataFrame([page(1, 1, 1, "Der Antrag ist unab-\nhängige Sache im Nord-\nSüd-Streit", "native")], SCHEMA)
     words = {r["word"] for r in O.word_counts(O.bigram_counts(O.facts(df))).where("n > 0").collect()}
-    assert words == {"Der", "Antrag", "ist", "Sache"}
+    assert words == {"Der", "Antrag", "ist", "unabhängige", "Sache", "im"}  # of Nord-Süd-Streit it isn't known how it is spelled
+
+
+def test_misreads_of_long_words(spark):
+    word = "Selbsteinschätzungsbescheinigungen"
+    clean = CLEAN + f" Die Behörde sammelt alle {word} des Jahres."
+    rows = [page(i, i, 1, clean, "native") for i in range(100, 200)] + [page(1, 1, 1, clean.replace(word, "Sclbsteinschätzungsbeschcinigungen")), page(2, 2, 1, clean)]
+    rows += [page(3, 3, 1, f"Die Behörde sammelt {'x' * 5000} alle Akten des Jahres. Das ist so.")]
+    assert {tuple(r) for r in O.noise(spark.createDataFrame(rows, SCHEMA)).collect()} == {(1, "misread")}
+    assert [O._PAIRS[k] for k in O.undone("sollen", "so1lcn")] == [("l", "1"), ("e", "c")] and O.undone("sollen", "solen") is None
+    assert O.undone("Kommandant", "Kornmandarit") is not None and O.undone("abc", "abc") == [] and len(O.undone("Selbsteinschätzungsbescheinigungen", "Sclbstcinschätzungsbeschcinigungcn")) == 4
