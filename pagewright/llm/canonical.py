@@ -24,13 +24,14 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut
+from .common import arrow_map, cut, once
 
-# Letters that look like a Latin letter.
+# Letters of other scripts that look like a Latin letter (Cyrillic, Greek, Armenian, Cherokee).  Styled
+# letters (mathematical alphabets, circled and full-width forms aside) come from the Unicode database.
 LOOKALIKE = dict(
     zip(
-        "АВЕКМНОРСТУХаеорсухЅІЈѕіј" + "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧο",
-        "ABEKMHOPCTYXaeopcyxSIJsij" + "ABEZHIKMNOPTYXo",
+        "АВЕКМНОРСТУХаеорсухЅІЈѕіј" + "ԁԛԝһӏԚԜҮ" + "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοϲϳϹͿ" + "օ" + "ᎪᏴᏟᎠᎬᎻᎫᏦᏞᎷᏢᏒᏚᎢᏙᎳᏃ",
+        "ABEKMHOPCTYXaeopcyxSIJsij" + "dqwhlQWY" + "ABEZHIKMNOPTYXocjCJ" + "o" + "ABCDEHJKLMPRSTVWZ",
         strict=True,
     )
 )
@@ -38,7 +39,10 @@ LOOKALIKE = dict(
 CYRILLIC_BACK = dict(zip("ABEKMHOPCTYXaeopcyxëË", "АВЕКМНОРСТУХаеорсухёЁ", strict=True))
 # Hyphens other than hyphen-minus, and format characters that show nothing.
 HYPHENS = "‐‑﹣－"
-INVISIBLE = "­͏؜᠎​‌‍‎‏⁠⁡⁢⁣⁤﻿"
+INVISIBLE = "\u00ad\u034f\u061c\u180e\u200b\u200e\u200f\u2060\u2061\u2062\u2063\u2064\ufeff"
+# Joiners show where a joining script or an emoji stands beside them, else not.
+JOINERS = "\u200c\u200d"
+JOINED = "\u0600-\u08ff\u0900-\u0dff\u1800-\u18af\u2600-\u27bf\ufb50-\ufdff\ufe0f\ufe70-\ufefc\U0001f000-\U0001faff"
 LINE_ENDS = "\r  "
 
 
@@ -57,7 +61,7 @@ def tables() -> tuple[dict[int, str], re.Pattern, re.Pattern, dict[int, str]]:
         tag = tag.lstrip("<")
         if ud.category(c) == "Zs":
             folds[cp] = " "
-        elif tag in ("wide", "narrow"):
+        elif tag in ("wide", "narrow") or tag == "font" and 0x1D400 <= cp < 0x1D800:
             folds[cp] = ud.normalize("NFKC", c)
         elif tag == "compat" and len(parts.split()) > 1 and (full := ud.normalize("NFKD", c)).isalpha() and ud.category(c) in ("Ll", "Lu", "Lt"):
             folds[cp] = full
@@ -83,11 +87,16 @@ def tables() -> tuple[dict[int, str], re.Pattern, re.Pattern, dict[int, str]]:
     return folds, re.compile(f"[{klass}]+"), looks, {ord(k): v for k, v in script.items()}
 
 
+_LOOSE_JOINER = re.compile(f"(?<![{JOINED}])[{JOINERS}]+(?![{JOINED}])")
+
+
 def stabilise(text: str) -> str:
     """Fold and compose the unstable segments of a text."""
     folds, segment, _, _ = tables()
     if "\r" in text:
         text = text.replace("\r\n", "\n")
+    if JOINERS[0] in text or JOINERS[1] in text:
+        text = _LOOSE_JOINER.sub("", text)
     parts, done = [], 0
     for m in segment.finditer(text):
         at = max(m.start() - 1, done)  # the boundary context: a base that accents may join
@@ -105,14 +114,20 @@ def skeleton(text: str) -> str:
     _, _, looks, script = tables()
     out = stabilise(text)
     if looks.search(out):
-        # a Latin base may now stand before accents that composed with nothing in its own script
-        out = ud.normalize("NFC", out.translate(script))
+        # only where a letter replaced stands before accents can these compose with it
+        out = _accented().sub(lambda m: ud.normalize("NFC", m[0].translate(script)), out).translate(script)
     return out
 
 
+@lru_cache(maxsize=1)
+def _accented() -> re.Pattern:
+    marks = "".join(chr(cp) for cp in range(0x300, 0x10000) if ud.combining(chr(cp)))
+    return re.compile(f"{tables()[2].pattern}[{marks}]+")
+
+
 _WORD = re.compile(r"[^\W_]+")
 _BACK = str.maketrans(CYRILLIC_BACK)
-_OTHER_SCRIPT = re.compile(b"[\xcd-\xd3\xe1]")  # first bytes of Greek and Cyrillic letters
+_OTHER_SCRIPT = re.compile(b"[\xcd-\xd6\xe1]")  # first bytes of Greek, Cyrillic, Armenian and Cherokee letters
 _CYRILLIC = re.compile("[Ѐ-ӿ]")
 
 
@@ -182,24 +197,54 @@ def canonical_texts(df: DataFrame, id_col: str = "result_id", text_col: str = "t
         cs = [canonical(t) for t in ts]
         return {id_col: batch.column(0).to_pylist(), "canonical_text": cs, "changed": [None if t is None else c != t for t, c in zip(ts, cs, strict=True)]}
 
-    out = arrow_map(df.select(F.col(id_col).cast("bigint").alias(id_col), F.col(text_col).alias("t")), run, f"{id_col} bigint, canonical_text string, changed boolean")
-    return out.dropDuplicates([id_col])
+    rows = once(df.select(F.col(id_col).cast("bigint").alias(id_col), F.col(text_col).alias("t")), id_col)
+    return arrow_map(rows, run, f"{id_col} bigint, canonical_text string, changed boolean")
+
+
+SALTS = 16  # a key with a third of all rows is spread over as many tasks
+
+
+def _text_classes(rows: DataFrame) -> DataFrame:
+    """(key, text_hash, n, first): the different texts of each key, with their rows and the least id."""
+    return rows.groupBy("key", "text_hash").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
+
+
+def _to_rows(rows: DataFrame, classes: DataFrame, by: list[str]) -> DataFrame:
+    """rows joined with their classes; classes are repeated SALTS times, so that no key is one task's."""
+    salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")
+    many = classes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", salt).join(many, [*by, "salt"]).drop("salt")
+
+
+def reading_classes(df: DataFrame, id_col: str = "result_id", text_col: str = "text") -> DataFrame:
+    """(id, class_id, n_texts, links) of each row with a visible character: class_id is the least id that reads the
+    same, n_texts the number of different texts that do, links the number of rows with another text that reads the
+    same.  Linear in the rows, however many copies a class has."""
+    rows = cut(reading_keys(df, id_col, text_col).distinct(), "keys")
+    texts = _text_classes(rows)
+    keys = texts.groupBy("key").agg(F.min("first").alias("class_id"), F.count(F.lit(1)).alias("n_texts"), F.sum("n").alias("all"))
+    both = cut(texts.join(keys, "key"), "text-classes")
+    out = _to_rows(rows, both.select("key", "text_hash", "class_id", "n_texts", (F.col("all") - F.col("n")).alias("links")), ["key", "text_hash"])
+    return out.select(F.col("id").alias(id_col), "class_id", "n_texts", "links")
 
 
-def equal_looking_pairs(df: DataFrame, id_col: str = "result_id", text_col: str = "text", rows_per_salt: int = 2000) -> DataFrame:
-    """Pairs (a < b) of rows with different stored text that reads the same.
+def equal_looking_pairs(df: DataFrame, id_col: str = "result_id", text_col: str = "text", rows_per_cell: int = 2000) -> DataFrame:
+    """Pairs (a < b) of rows with different stored text that reads the same, as the contract of the query wants them.
 
-    Keys are 16-byte digests, so only 40 bytes a row are shuffled.  Classes (key, text) are counted with
-    map-side combine; only keys with two different texts reach the row join, so any number of exact copies
-    of one text costs nothing.  A key with many rows is salted: its left rows are spread over
-    rows / rows_per_salt slices and its right rows repeated once per slice, nothing is dropped.
+    Keys are 16-byte digests, so only 40 bytes a row are shuffled.  Pairs are found between the different texts of a
+    key, by their digests; rows join only to expand them.  A pair of texts of m and n rows is cut into cells of at most
+    rows_per_cell rows a side, which meet each on its own: rows are repeated once per cell of the other side, so what is
+    shuffled is the result divided by rows_per_cell, or the rows where that is more, and nothing is dropped.
     """
-    rows = cut(reading_keys(df, id_col, text_col), "keys")
-    classes = rows.groupBy("key", "text_hash").agg(F.count(F.lit(1)).alias("n"))
-    several = classes.groupBy("key").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("n")).where("texts > 1")
-    several = several.select("key", F.ceil(F.col("n") / rows_per_salt).cast("int").alias("salts"))
-    kept = cut(rows.join(several, "key").distinct(), "equal-keys")
-    left = kept.select("key", F.pmod(F.hash("id"), F.col("salts")).alias("salt"), F.col("id").alias("a"), F.col("text_hash").alias("ha"))
-    right = kept.select("key", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("id").alias("b"), F.col("text_hash").alias("hb"))
-    pairs = left.join(right, ["key", "salt"]).where((F.col("a") < F.col("b")) & (F.col("ha") != F.col("hb")))
-    return pairs.select(F.col("a").alias(f"{id_col}_a"), F.col("b").alias(f"{id_col}_b"))
+    rows = cut(reading_keys(df, id_col, text_col).distinct(), "keys")
+    texts = _text_classes(rows).drop("first")
+    several = texts.groupBy("key").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("key")
+    texts = cut(texts.join(several, "key").withColumn("cells", F.ceil(F.col("n") / rows_per_cell).cast("int")).drop("n"), "texts")
+    members = cut(_to_rows(rows, texts, ["key", "text_hash"]).withColumn("cell", F.pmod(F.hash("id"), F.col("cells"))).drop("cells"), "equal-keys")
+    h = lambda x: [F.col("text_hash").alias(f"h{x}"), F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias(f"cell{x}")]
+    cells = texts.select("key", *h(1)).join(texts.select("key", *h(2)), "key").where("h1 < h2")
+    side = lambda x, name: members.select("key", F.col("text_hash").alias(f"h{x}"), F.col("cell").alias(f"cell{x}"), F.col("id").alias(name))
+    left = cells.join(side(1, "x"), ["key", "h1", "cell1"])
+    right = cells.join(side(2, "y"), ["key", "h2", "cell2"])
+    pairs = left.join(right, ["key", "h1", "h2", "cell1", "cell2"])
+    return pairs.select(F.least("x", "y").alias(f"{id_col}_a"), F.greatest("x", "y").alias(f"{id_col}_b"))

@@ -8,9 +8,11 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pagewright.shipping import ship
 from pagewright.sources.tables import read_table as table  # noqa: F401
@@ -147,3 +149,25 @@ def word_filter(words: DataFrame) -> WordFilter:
     for row in arrow_stream(parts, merged, "part int, bits binary").collect():
         out[row["part"]] = np.frombuffer(row["bits"], np.uint8)
     return WordFilter(words.sparkSession.sparkContext.broadcast(out.tobytes()), bits)
+
+
+def among(ids: DataFrame) -> Callable[..., Column]:
+    """A function of columns that tells, without a shuffle of the rows it is asked for, which of them may stand in a
+    table of ids; those of the table all do, few others (null ids always do).  An exact join may follow."""
+    key = lambda cols: F.concat_ws("\0", *[F.coalesce(F.col(c).cast("string") if isinstance(c, str) else c.cast("string"), F.lit("\1")) for c in cols])
+    known = word_filter(ids.select(key(ids.columns).alias("id")))
+
+    @F.pandas_udf("boolean")
+    def may(x: pd.Series) -> pd.Series:
+        test = known.test()
+        return pd.Series([test(v) or "\1" in v for v in x], dtype=bool)
+
+    return lambda *cols: may(key(cols))
+
+
+def once(df: DataFrame, *ids: str) -> DataFrame:
+    """One row of each id.  Only ids are shuffled to find those delivered again; only their rows are shuffled whole."""
+    ship(df.sparkSession)
+    again = cut(df.groupBy(*ids).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*ids), "again")
+    seen = among(again)(*ids)
+    return df.where(~seen).unionByName(df.where(seen).dropDuplicates(list(ids)))

@@ -1,29 +1,35 @@
 """Problem 2: a language with a confidence for every text and every paragraph.
 
 A bidirectional gated recurrent network over bytes, trained in numpy by backpropagation through time,
-labels every position with one of the languages or none (lists, tables, headings, debris).  One recurrent
-step covers PATCH bytes, each with its own embedding by place in the patch, and its label holds for these
-positions.  Probabilities pool over the positions of a sentence, a paragraph and a text.
+labels every position with one of the languages or none (lists, tables, headings, debris, other languages).
+One recurrent step reads PATCH bytes, each with its own embedding by place, and each of these positions gets a
+label of its own.  Probabilities pool over the positions of a sentence, a segment, a paragraph and a text.
+
+Gates and candidates use v / (1 + |v|) in place of sigmoid and tanh: alike in form, several times cheaper.
 
 Training: a bounded sample of labelled rows (SAMPLE_ROWS, ordered by a hash of the id), kept where the
 frequent words of the claimed language outnumber those of any other; copies garbled as in problem 3 teach
-the network that a garbled text has the language of its original.  The weights (about 0.4 MB, independent
-of the data) are broadcast; every row is then labelled in one map without a shuffle.
+the network that a garbled text has the language of its original, and copies with letters exchanged, vowels for
+vowels, that text can be of no language known here.  The weights (about 0.4 MB, independent of the data) are kept
+by a key of the sample, so queries on the same sample fit once, and broadcast; every row is then labelled in one map without a shuffle.
 
-Defined results: null, empty and blank texts get a null language with confidence 0.  Rows delivered twice
+Defined results: null, empty and blank texts get a null language with confidence 0; where none of the languages
+prevails (lists, other languages) the language is 'other'.  Rows delivered twice
 count once.  Texts of any length are labelled whole, in windows of WINDOW bytes.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .canonical import canonical
-from .common import arrow_map, portions, ship
+from .common import arrow_map, portions, shared_dir, ship
 from .mojibake import garbled_forms
 
 # The languages, and how senders spell them.
@@ -39,7 +45,8 @@ SPELLINGS = {
 NONE = len(LANGS)
 SAMPLE_ROWS = 5000  # labelled rows the classifier is fitted on, at most
 PATCH, HIDDEN, WINDOW = 4, 16, 512
-PORTION = 4_000_000  # characters labelled at a time
+OTHER = "other"  # result where none of the languages prevails
+PORTION = 1_000_000  # characters labelled at a time
 PARAGRAPH_WEIGHT = 0.6  # of the paragraph's probabilities against those of a sentence itself
 LEAST_SHARE = 0.5  # pooled probability a sentence needs to count for its language
 
@@ -64,8 +71,8 @@ def new_weights(seed: int = 7) -> dict[str, np.ndarray]:
     return {
         "tab": g(PATCH * 257, 6 * HIDDEN, scale=0.08),
         "U": g(2, HIDDEN, 3 * HIDDEN, scale=HIDDEN**-0.5),
-        "W": g(2 * HIDDEN, NONE + 1, scale=0.2),
-        "b": np.zeros(NONE + 1, np.float32),
+        "W": g(2 * HIDDEN, PATCH * (NONE + 1), scale=0.2),
+        "b": np.zeros(PATCH * (NONE + 1), np.float32),
     }
 
 
@@ -79,15 +86,17 @@ def patches(seqs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return out.reshape(len(seqs), steps, PATCH) + np.arange(PATCH, dtype=np.int32) * 257, n
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    np.negative(x, out=x)
-    np.exp(x, out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
+def _bent(x: np.ndarray) -> np.ndarray:
+    """v / (1 + |v|)."""
+    d = np.abs(x)
+    d += 1
+    x /= d
+    return x
 
 
 def forward(w: dict[str, np.ndarray], idx: np.ndarray, n: np.ndarray, keep: bool = False):
-    """Log probabilities [batch, steps, classes]; with keep also what the backward pass needs."""
+    """Probabilities [batch, positions, classes], a position for each byte; with keep log probabilities and what
+    the backward pass needs."""
     batch, steps, _ = idx.shape
     h3 = 3 * HIDDEN
     mask = (np.arange(steps)[None, :] < n[:, None]).astype(np.float32)
@@ -106,9 +115,11 @@ def forward(w: dict[str, np.ndarray], idx: np.ndarray, n: np.ndarray, keep: bool
         for t in range(steps) if d == 0 else range(steps - 1, -1, -1):
             a = h @ u
             xt = x[t, :, d * h3 : (d + 1) * h3]
-            zr = _sigmoid(xt[:, : 2 * HIDDEN] + a[:, : 2 * HIDDEN])
+            zr = _bent(xt[:, : 2 * HIDDEN] + a[:, : 2 * HIDDEN])
+            zr *= 0.5
+            zr += 0.5
             z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-            c = np.tanh(xt[:, 2 * HIDDEN :] + r * a[:, 2 * HIDDEN :])
+            c = _bent(xt[:, 2 * HIDDEN :] + r * a[:, 2 * HIDDEN :])
             step = z * (c - h)
             if not ragged[t]:
                 step *= mask[:, t, None]
@@ -116,22 +127,27 @@ def forward(w: dict[str, np.ndarray], idx: np.ndarray, n: np.ndarray, keep: bool
                 saved[d][t] = (h, a[:, 2 * HIDDEN :], z, r, c)
             h = h + step
             states[t, :, d * HIDDEN : (d + 1) * HIDDEN] = h
-    logits = states @ w["W"] + w["b"]
+    logits = (states @ w["W"] + w["b"]).reshape(steps, batch, PATCH, NONE + 1)
     logits -= logits.max(-1, keepdims=True)
-    logp = logits - np.log(np.exp(logits).sum(-1, keepdims=True))
-    logp = logp.transpose(1, 0, 2)
-    return (logp, states, saved, mask) if keep else logp
+    if keep:
+        logits -= np.log(np.exp(logits).sum(-1, keepdims=True))
+    else:
+        np.exp(logits, out=logits)
+        logits /= logits.sum(-1, keepdims=True)
+    out = logits.transpose(1, 0, 2, 3).reshape(batch, steps * PATCH, NONE + 1)
+    return (out, states, saved, mask) if keep else out
 
 
 def gradients(w: dict[str, np.ndarray], idx: np.ndarray, n: np.ndarray, labels: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """Mean cross entropy over positions, and its gradients by backpropagation through time."""
     logp, states, saved, mask = forward(w, idx, n, keep=True)
     batch, steps, _ = idx.shape
-    total = mask.sum()
+    at = (idx.reshape(batch, -1) - np.tile(np.arange(PATCH, dtype=np.int32) * 257, steps) != 256).astype(np.float32)  # bytes, no padding
+    total = max(1.0, float(at.sum()))
     p = np.exp(logp)
-    loss = float(-(np.take_along_axis(logp, np.broadcast_to(labels[:, None, None], (batch, steps, 1)), 2)[..., 0] * mask).sum() / total)
+    loss = float(-(np.take_along_axis(logp, np.broadcast_to(labels[:, None, None], (batch, steps * PATCH, 1)), 2)[..., 0] * at).sum() / total)
     p[np.arange(batch), :, labels] -= 1
-    dl = (p * (mask[..., None] / total)).transpose(1, 0, 2).astype(np.float32)
+    dl = (p * (at[..., None] / total)).reshape(batch, steps, -1).transpose(1, 0, 2).astype(np.float32)
     g = {"W": np.einsum("tbh,tbc->hc", states, dl), "b": dl.sum((0, 1)), "U": np.zeros_like(w["U"])}
     ds = dl @ w["W"].T
     dx = np.empty((steps, batch, 6 * HIDDEN), np.float32)
@@ -141,11 +157,10 @@ def gradients(w: dict[str, np.ndarray], idx: np.ndarray, n: np.ndarray, labels:
         for t in range(steps - 1, -1, -1) if d == 0 else range(steps):
             dh = dh + ds[t, :, d * HIDDEN : (d + 1) * HIDDEN]
             h, ac, z, r, c = saved[d][t]
-            m = mask[:, t, None]
-            dhm = dh * m
-            dz = dhm * (c - h) * z * (1 - z)
-            dc = dhm * z * (1 - c * c)
-            dr = dc * ac * r * (1 - r)
+            dhm = dh * mask[:, t, None]
+            dz = dhm * (c - h) * 0.5 * (1 - np.abs(2 * z - 1)) ** 2
+            dc = dhm * z * (1 - np.abs(c)) ** 2
+            dr = dc * ac * 0.5 * (1 - np.abs(2 * r - 1)) ** 2
             da = np.concatenate([dz, dr, dc * r], 1)
             dx[t, :, d * 3 * HIDDEN : (d + 1) * 3 * HIDDEN] = np.concatenate([dz, dr, dc], 1)
             g["U"][d] += h.T @ da
@@ -183,15 +198,14 @@ def train(seqs: list[bytes], labels: list[int], epochs: int = 7, batch: int = 25
 
 
 def probabilities(w: dict[str, np.ndarray], seqs: list[bytes], batch: int = 1024) -> list[np.ndarray]:
-    """[patches, classes] of each sequence; sequences of like length run together."""
+    """[bytes, classes] of each sequence; sequences of like length run together."""
     out: list[np.ndarray | None] = [None] * len(seqs)
     order = sorted(range(len(seqs)), key=lambda i: len(seqs[i]))
     for at in range(0, len(order), batch):
         pick = order[at : at + batch]
-        idx, n = patches([seqs[i] for i in pick])
-        p = np.exp(forward(w, idx, n))
+        p = forward(w, *patches([seqs[i] for i in pick]))
         for j, i in enumerate(pick):
-            out[i] = p[j, : n[j]]
+            out[i] = p[j, : len(seqs[i])]
     return out
 
 
@@ -242,6 +256,12 @@ def training_set(rows: list[tuple[str, str]], common: dict[str, set[str]], per_c
                 by[LANGS.index(lang)].append(block)
     seqs: list[bytes] = []
     labels: list[int] = []
+    known = [s for k in range(NONE) for s in by[k]]
+    for _ in range(per_class // 6 if known else 0):
+        raw = _exchanged(known[int(rng.integers(len(known)))], rng).encode("utf-8", "surrogatepass")
+        at = int(rng.integers(max(1, len(raw) - 60))) if len(raw) > 160 else 0
+        seqs.append(raw[at : at + 192])
+        labels.append(NONE)
     for label, found in by.items():
         if not found:
             continue
@@ -263,45 +283,80 @@ def training_set(rows: list[tuple[str, str]], common: dict[str, set[str]], per_c
     return seqs, labels
 
 
+def _exchanged(s: str, rng: np.random.Generator) -> str:
+    """Text of no language: vowels exchanged for vowels, other letters for others of their script."""
+    table: dict[int, str] = {}
+    for kind in ("aeiou", "bcdfghjklmnpqrstvwxyz", "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ"):
+        to = [kind[i] for i in rng.permutation(len(kind))]
+        table |= dict(zip(map(ord, kind), to, strict=True)) | dict(zip(map(ord, kind.upper()), map(str.upper, to), strict=True))
+    return s.translate(table)
+
+
 def _garbled(s: str, rng: np.random.Generator) -> str:
     forms = garbled_forms(s)
     return forms[int(rng.integers(len(forms)))][0] if forms else s
 
 
+_FITTED: dict[str, dict[str, np.ndarray]] = {}
+
+
 def fit(spark: SparkSession, pages: DataFrame, common_words: DataFrame, rows: int = SAMPLE_ROWS) -> dict[str, np.ndarray]:
+    """Weights for a sample; they are kept in the shared folder under its digest, and fitted where they aren't there."""
     common: dict[str, set[str]] = {}
-    for r in common_words.where("lang is not null and word is not null").select("lang", "word").limit(10_000).collect():
+    for r in common_words.where("lang is not null and word is not null").select("lang", "word").distinct().collect():
         common.setdefault(r["lang"], set()).add(r["word"].lower())
     seqs, labels = training_set(training_rows(spark, pages, rows), common)
-    return train(seqs, labels)
+    key = hashlib.blake2b(digest_size=12)
+    for s, y in zip(seqs, labels, strict=True):
+        key.update(len(s).to_bytes(4, "big") + s + bytes([y]))
+    name = key.hexdigest()
+    if name not in _FITTED:
+        path = f"{shared_dir(spark)}/pagewright-language-{name}"
+        try:
+            held = {r["k"]: np.frombuffer(r["raw"], np.float32).reshape(r["shape"]).copy() for r in spark.read.schema(_WEIGHTS).parquet(path).collect()}
+        except AnalysisException:
+            held = {}
+        if held.keys() != new_weights().keys():
+            held = train(seqs, labels)
+            spark.createDataFrame([(k, list(v.shape), v.astype(np.float32).tobytes()) for k, v in held.items()], _WEIGHTS).coalesce(1).write.mode("overwrite").parquet(path)
+        _FITTED[name] = held
+    return _FITTED[name]
+
+
+_WEIGHTS = "k string, shape array<int>, raw binary"
 
 
 def classify(w: dict[str, np.ndarray], texts: list[str | None]) -> list[tuple[str | None, float, list[dict]]]:
-    """(language, confidence, paragraphs) of each text; a paragraph has its language, confidence, and the
-    languages of its full sentences with their number."""
+    """(language, confidence, paragraphs) of each text.  A paragraph has its language, confidence, the languages of
+    its full sentences with their number, and its segments: adjacent sentences of one language, as offsets in the
+    paragraph's text (consistent form, lines joined by a blank), with a confidence."""
     seqs: list[bytes] = []
-    starts: list[int] = []  # of paragraphs, then of full sentences, in patches over all sequences
+    starts: list[int] = []  # of paragraphs, then of sentences, in bytes over all sequences
     ends: list[int] = []
     owner: list[int] = []  # paragraph of each sentence
     begin: list[int] = []
     finish: list[int] = []
+    full: list[bool] = []
+    spans: list[tuple[int, int]] = []  # of sentences, in characters of the paragraph
     plan: list[int] = []  # paragraphs of each text
     at = 0
     for t in texts:
         n = 0
         for block in blocks(canonical(t)) if t else []:
-            raw, here = block.encode("utf-8", "surrogatepass"), 0
+            raw, here, char = block.encode("utf-8", "surrogatepass"), 0, 0
             plain = len(raw) == len(block)
             for s, whole in sentences(block):
                 size = len(s) if plain else len(s.encode("utf-8", "surrogatepass"))
-                if whole:
-                    owner.append(len(starts))
-                    begin.append(at + here // PATCH)
-                    finish.append(at + max(here // PATCH + 1, (here + size) // PATCH))
+                owner.append(len(starts))
+                begin.append(at + here)
+                finish.append(at + here + size)
+                full.append(whole)
+                spans.append((char, char + len(s)))
                 here += size
+                char += len(s)
             seqs += [raw[i : i + WINDOW] for i in range(0, len(raw), WINDOW)]
             starts.append(at)
-            at += -(-len(raw) // PATCH)
+            at += len(raw)
             ends.append(at)
             n += 1
         plan.append(n)
@@ -313,14 +368,23 @@ def classify(w: dict[str, np.ndarray], texts: list[str | None]) -> list[tuple[st
     means = pooled / (np.array(ends) - np.array(starts))[:, None]
     best = means.argmax(1)
     found: list[dict[str, int]] = [{} for _ in starts]
+    parts: list[list[dict]] = [[] for _ in starts]
     if owner:
         each = (sums[finish] - sums[begin]) / (np.array(finish) - np.array(begin))[:, None]
         each = (each + PARAGRAPH_WEIGHT * means[owner]) / (1 + PARAGRAPH_WEIGHT)  # neighbours speak the same, mostly
-        which = each.argmax(1)
-        sure = (which != NONE) & (each.max(1) >= LEAST_SHARE)
-        for k in np.flatnonzero(sure).tolist():
-            lang = LANGS[which[k]]
-            found[owner[k]][lang] = found[owner[k]].get(lang, 0) + 1
+        which, top = each.argmax(1).tolist(), each.max(1).tolist()
+        for k, p in enumerate(owner):
+            lang = LANGS[which[k]] if which[k] != NONE and top[k] >= LEAST_SHARE else None
+            if full[k] and lang:
+                found[p][lang] = found[p].get(lang, 0) + 1
+            a, b = spans[k]
+            last = parts[p][-1] if parts[p] else None
+            if last and last["lang"] == lang:
+                size = last["end"] - last["start"]
+                last["confidence"] = (last["confidence"] * size + top[k] * (b - a)) / (size + b - a)
+                last["end"] = b
+            else:
+                parts[p].append({"start": a, "end": b, "lang": lang, "confidence": top[k]})
     out: list[tuple[str | None, float, list[dict]]] = []
     at = 0
     for n in plan:
@@ -328,9 +392,9 @@ def classify(w: dict[str, np.ndarray], texts: list[str | None]) -> list[tuple[st
             out.append((None, 0.0, []))
             continue
         whole = pooled[at : at + n].sum(0)
-        paragraphs = [{"paragraph": i, "lang": LANGS[best[k]] if best[k] != NONE else None, "confidence": float(means[k, best[k]]), "sentences": found[k]} for i, k in enumerate(range(at, at + n))]
-        top = int(whole[:NONE].argmax())  # a text of lists alone still gets the nearest language, with little confidence
-        out.append((LANGS[top], float(whole[top] / whole.sum()), paragraphs))
+        paragraphs = [{"paragraph": i, "lang": LANGS[best[k]] if best[k] != NONE else None, "confidence": float(means[k, best[k]]), "sentences": found[k], "segments": parts[k]} for i, k in enumerate(range(at, at + n))]
+        top = int(whole.argmax())
+        out.append((LANGS[top] if top != NONE else OTHER, float(whole[top] / whole.sum()), paragraphs))
         at += n
     return out
 
@@ -353,7 +417,7 @@ def labelled(df: DataFrame, w: dict[str, np.ndarray], id_col: str = "result_id")
         }
 
     src = df.select(F.col(id_col).cast("bigint").alias(id_col), named(F.col("lang_label")).alias("named"), "text")
-    return arrow_map(src, run, f"{id_col} bigint, named array<string>, lang string, confidence double, paragraphs array<struct<paragraph:int,lang:string,confidence:double,sentences:map<string,int>>>")
+    return arrow_map(src, run, f"{id_col} bigint, named array<string>, lang string, confidence double, paragraphs array<struct<paragraph:int,lang:string,confidence:double,sentences:map<string,int>,segments:array<struct<start:int,end:int,lang:string,confidence:double>>>>")
 
 
 def wrongly_labelled(df: DataFrame, w: dict[str, np.ndarray], least_sentences: int = 2) -> DataFrame:

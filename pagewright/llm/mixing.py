@@ -4,7 +4,7 @@ The tokens of each source, its documents in a pseudorandom order, are packed int
 A mix is made of output shards of SHARD_SLOTS slots.  Each shard draws how many of its slots each source
 gets from a multinomial over the target shares; a source's slots are numbered over all shards and mapped by
 a keyed permutation to block indexes, so that in every pass over a source each block comes once; then
-slots and blocks are joined by (source, index).
+slots and blocks, which hold the token ids, are joined by (source, index).
 
 The size of a mix is the largest for which every source stays within max_repeats passes with a margin of
 five standard deviations of the draw, or a given number of tokens; slots beyond a source's passes stay
@@ -15,8 +15,8 @@ source with a third of all rows is spread like the others.  Only one row per sou
 driver.  Joins are on (source, block).
 
 Defined results: documents with null source, null or empty text bring no tokens.  Targets with a null or
-non-positive weight, or of a source without tokens, are left out and the others scaled up.  A null
-max_repeats counts as 1.  A mix without any source with tokens is empty.
+non-positive weight are no targets; a source without tokens is left out of the draw, the others scaled up, and the
+report says so.  A null max_repeats counts as 1.  A mix without any source with tokens is empty.
 """
 
 from __future__ import annotations
@@ -48,19 +48,20 @@ def prefix_sums(df: DataFrame, keys: list[str], bucket: Column, order: list[Colu
 
 
 def packed(documents: DataFrame, targets: DataFrame, path: str | None = None) -> DataFrame:
-    """(source, block, doc_id, first, last): the pieces of documents, as token positions [first, last), in
-    the blocks of each wanted source."""
+    """(source, block, doc_id, first, last, ids): the pieces of documents, as token positions [first, last) with
+    their ids, in the blocks of each wanted source.  Only sizes go through the prefix sums; ids are joined by row."""
     wanted = targets.where("source is not null and target_weight > 0").select("source").distinct()
-    sized = tokens.counted(documents.where("source is not null and text is not null").select("doc_id", "source", "text"), path)
-    sized = cut(sized.where("n_tokens > 0").join(wanted, "source", "left_semi"), "sizes")
+    sized = tokens.sized(documents.where("source is not null and text is not null").join(wanted, "source", "left_semi").select("doc_id", "source", "text"), path)
+    sized = cut(sized.where("n_tokens > 0").withColumn("row", F.monotonically_increasing_id()), "sizes")
     buckets = max(1, -(-sized.count() // ROWS_A_BUCKET))
-    mark = F.xxhash64("doc_id")
-    placed = prefix_sums(sized, ["source"], F.pmod(F.hash("doc_id"), F.lit(buckets)), [mark, F.col("doc_id")], "n_tokens", "start")
+    mark = F.xxhash64("doc_id", "row")
+    placed = prefix_sums(sized.drop("ids"), ["source"], F.pmod(F.hash("row"), F.lit(buckets)), [mark, F.col("row")], "n_tokens", "start")
     blocks = F.sequence((F.col("start") / BLOCK_TOKENS).cast("bigint"), ((F.col("start") + F.col("n_tokens") - 1) / BLOCK_TOKENS).cast("bigint"))
-    pieces = placed.select("source", "doc_id", "start", "n_tokens", F.explode(blocks).alias("block"))
+    whole = placed.select("row", "start").join(sized.select("row", "source", "doc_id", "n_tokens", "ids"), "row")
+    pieces = whole.select("source", "doc_id", "start", "n_tokens", "ids", F.explode(blocks).alias("block"))
     first = F.greatest(F.col("block") * BLOCK_TOKENS - F.col("start"), F.lit(0))
     last = F.least((F.col("block") + 1) * BLOCK_TOKENS - F.col("start"), F.col("n_tokens"))
-    return pieces.select("source", "block", "doc_id", first.alias("first"), last.alias("last"))
+    return pieces.select("source", "block", "doc_id", first.alias("first"), last.alias("last"), F.slice("ids", (first + 1).cast("int"), (last - first).cast("int")).alias("ids"))
 
 
 def plan(pieces: DataFrame, targets: DataFrame, total_tokens: int | None = None) -> list[dict]:
@@ -112,7 +113,8 @@ def permuted(index: np.ndarray, size: int, key: int) -> np.ndarray:
 
 
 def slots(rows: list[dict], documents: DataFrame, seed: int = 11) -> DataFrame:
-    """(mix_name, shard, source, slot, pass, block): every slot of every mix with its block."""
+    """(mix_name, shard, source, slot, turn, block): every slot of every mix with its block, -1 where the source has
+    used up its passes."""
     spark = documents.sparkSession
     by: dict[str, list[dict]] = {}
     for x in rows:
@@ -154,35 +156,45 @@ def slots(rows: list[dict], documents: DataFrame, seed: int = 11) -> DataFrame:
         return {"mix_name": mixes.tolist(), "shard": shard, "source": sources.tolist(), "slot": at.tolist(), "turn": turn.tolist(), "block": block.tolist()}
 
     out = arrow_map(flat.select("mix_name", "source", "slot", "shard"), choose, "mix_name string, shard bigint, source string, slot bigint, turn bigint, block bigint")
-    return out.where("block >= 0")
+    return out
 
 
-def planned(documents: DataFrame, targets: DataFrame, path: str | None = None, total_tokens: int | None = None) -> tuple[DataFrame, list[dict]]:
-    """The mix, and the plan it was drawn by."""
+def planned(documents: DataFrame, targets: DataFrame, path: str | None = None, total_tokens: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The mix, and one row (mix_name, source, share, missed_slots) for each source that takes part."""
     pieces = cut(packed(documents, targets, path), "pieces")
     rows = plan(pieces, targets, total_tokens)
-    mix = slots(rows, documents).join(pieces, ["source", "block"])
-    return mix.select("mix_name", "shard", "source", "slot", "turn", "block", "doc_id", "first", "last"), rows
+    drawn = cut(slots(rows, documents), "slots")
+    mix = drawn.where("block >= 0").join(pieces, ["source", "block"])
+    part = documents.sparkSession.createDataFrame([(x["mix_name"], x["source"], float(x["share"])) for x in rows], "mix_name string, source string, share double")
+    missed = drawn.where("block < 0").groupBy("mix_name", "source").agg(F.count(F.lit(1)).alias("missed_slots"))
+    return mix.select("mix_name", "shard", "source", "slot", "turn", "block", "doc_id", "first", "last", "ids"), part.join(missed, ["mix_name", "source"], "left").fillna(0, ["missed_slots"])
 
 
 def mixed(documents: DataFrame, targets: DataFrame, path: str | None = None, total_tokens: int | None = None) -> DataFrame:
-    """(mix_name, shard, source, slot, turn, block, doc_id, first, last): the tokens [first, last) of doc_id
+    """(mix_name, shard, source, slot, turn, block, doc_id, first, last, ids): the tokens [first, last) of doc_id
     fill part of a slot of a shard."""
     return planned(documents, targets, path, total_tokens)[0]
 
 
-def shares(mix: DataFrame, targets: DataFrame, rows: list[dict] | None = None) -> DataFrame:
-    """(mix_name, source, target_share, actual_share, tokens, most_uses): what each mix is made of.
-    target_share is among the sources that have tokens.  With the rows of the plan, a source that drew no
-    slot is reported with 0; without them only what the mix holds is known."""
+def wanted_shares(targets: DataFrame, sources: DataFrame) -> DataFrame:
+    """(mix_name, source, target_share, reachable_share) of every target: its share of the weights of its mix, and of
+    those of the sources that stand in `sources`, null for others."""
+    t = targets.where("mix_name is not null and source is not null and target_weight > 0").groupBy("mix_name", "source").agg(F.sum("target_weight").alias("weight"))
+    t = t.join(sources.select("source", F.lit(True).alias("there")), "source", "left")
+    whole, there = W.partitionBy("mix_name"), F.when(F.col("there"), F.col("weight"))
+    return t.select("mix_name", "source", (F.col("weight") / F.sum("weight").over(whole)).alias("target_share"), (there / F.sum(there).over(whole)).alias("reachable_share"))
+
+
+def shares(mix: DataFrame, targets: DataFrame, part: DataFrame | None = None) -> DataFrame:
+    """(mix_name, source, target_share, reachable_share, actual_share, tokens, most_uses, missed_tokens, note): what
+    each mix is made of, a row for every target.  Without `part`, of planned(), the sources of the mix are those that
+    take part.  missed_tokens: what a mix of a given size wanted beyond the source's passes."""
     uses = mix.groupBy("mix_name", "source", "doc_id", "first").agg(F.count(F.lit(1)).alias("uses"), F.sum(F.col("last") - F.col("first")).alias("n"))
     got = uses.groupBy("mix_name", "source").agg(F.sum("n").alias("tokens"), F.max("uses").alias("most_uses"))
-    if rows is None:
-        t = targets.where("target_weight > 0").groupBy("mix_name", "source").agg(F.sum("target_weight").alias("weight"))
-        both = t.join(got, ["mix_name", "source"])
-    else:
-        t = mix.sparkSession.createDataFrame([(x["mix_name"], x["source"], float(x["weight"])) for x in rows], "mix_name string, source string, weight double")
-        both = t.join(got, ["mix_name", "source"], "left").fillna(0, ["tokens", "most_uses"])
+    missed = (got if part is None else part).select("mix_name", "source", (F.lit(0) if part is None else F.col("missed_slots") * BLOCK_TOKENS).cast("bigint").alias("missed_tokens"))
+    t = wanted_shares(targets, missed.select("source").distinct())
+    both = t.join(got, ["mix_name", "source"], "left").join(missed, ["mix_name", "source"], "left").fillna(0, ["tokens", "most_uses", "missed_tokens"])
     whole = W.partitionBy("mix_name")
     actual = F.coalesce(F.try_divide("tokens", F.sum("tokens").over(whole)), F.lit(0.0))
-    return both.select("mix_name", "source", (F.col("weight") / F.sum("weight").over(whole)).alias("target_share"), actual.alias("actual_share"), "tokens", "most_uses")
+    note = F.when(F.col("reachable_share").isNull(), "no tokens").when(F.col("tokens") == 0, "no slot drawn").when(F.col("missed_tokens") > 0, "used up")
+    return both.select("mix_name", "source", "target_share", "reachable_share", actual.alias("actual_share"), "tokens", "most_uses", "missed_tokens", note.alias("note"))

@@ -21,7 +21,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut, word_filter
+from .common import among, arrow_map, cut, word_filter
 
 # Encodings and chains.  A chain is what the text was written in, then what it was read as.
 WESTERN = ("cp1252", "mac_roman", "cp437", "cp850")
@@ -32,7 +32,8 @@ TWICE = (("cp1252", "cp1252"), ("latin-1", "latin-1"), ("cp1252", "latin-1"), ("
 _EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _MASK = str.maketrans("123456789", "000000000")
 DEBRIS = "�{3,}"
-MAX_WORD = 80  # a longer string without blanks is no word
+LONG_WORD = 80  # of longer strings no form with a single character lost is made: these grow with the square
+WORDS_A_TASK, MOST_TASKS = 2_000, 10_000
 
 _CYR = re.compile("[Ѐ-ӿ]")
 _NON_ASCII = re.compile("[^\x00-\x7f]")
@@ -46,7 +47,7 @@ def word_key(token: str) -> str:
 def words_of(text: str) -> list[str]:
     """Keys of the tokens with a character outside ASCII; only blank, tab and line feed part tokens, as other
     blanks may be garbled bytes."""
-    return [k for t in text.replace("\n", " ").replace("\t", " ").split(" ") if not t.isascii() and 0 < len(k := word_key(t)) <= MAX_WORD]
+    return [k for t in text.replace("\n", " ").replace("\t", " ").split(" ") if not t.isascii() and (k := word_key(t))]
 
 
 def _bytes_as(encoding: str) -> list[str]:
@@ -95,7 +96,7 @@ def garbled_forms(word: str) -> list[tuple[str, str, bool]]:
         if "�" in (form := own.decode("utf-8", "replace")):  # else the word is garbled text being repaired
             add(form, f"{e}>utf-8", True)
     add(raw.decode("ascii", "replace"), "utf-8>ascii", True)
-    for m in _NON_ASCII.finditer(word):
+    for m in _NON_ASCII.finditer(word) if len(word) <= LONG_WORD else ():
         add(word[: m.start()] + "�" + word[m.end() :], "lost", True)
     return [(form, chain, directed) for form, (chain, directed) in out.items()]
 
@@ -134,7 +135,9 @@ def originals(counts: DataFrame) -> DataFrame:
 
     # a word that shows signs of garbling itself, or mixes scripts, is no original
     clean = counts.where(~F.col("word").rlike("[�\u0080-\u009f]|[A-Za-zÀ-ɏ][Ѐ-ӿ]|[Ѐ-ӿ][A-Za-zÀ-ɏ]"))
-    made = arrow_map(clean.select("word", "n"), forms, "garbled string, original string, n_original bigint, chain string, directed boolean")
+    # some 35 forms a word: tasks by the words, not by their bytes
+    spread = clean.select("word", "n").repartition(min(MOST_TASKS, 1 + counts.count() // WORDS_A_TASK))
+    made = arrow_map(spread, forms, "garbled string, original string, n_original bigint, chain string, directed boolean")
     met = made.join(counts.select(F.col("word").alias("garbled"), F.col("n").alias("n_garbled")), "garbled")
     lost = F.col("garbled").contains("�")
     # verified: a form that could also be a word in its own right must be much rarer than its original
@@ -196,7 +199,10 @@ def undone(token: str, chain: str) -> str | None:
 def restored_texts(texts: DataFrame) -> DataFrame:
     """(tab, row_id, restored_text, n_words) of the affected rows."""
     hits = affected_words(texts).groupBy("tab", "row_id").agg(F.collect_list(F.struct("garbled", "original", "chain")).alias("words"))
-    joined = texts.dropDuplicates(["tab", "row_id"]).join(hits, ["tab", "row_id"]).select("tab", "row_id", "text", "words")
+    hits = cut(hits, "hits")
+    # only texts that may be affected are shuffled
+    some = texts.where(among(hits.select("tab", "row_id"))("tab", "row_id"))
+    joined = some.join(hits, ["tab", "row_id"]).dropDuplicates(["tab", "row_id"]).select("tab", "row_id", "text", "words")
 
     def put(batch):
         tabs, ids, texts_, words = (batch.column(i).to_pylist() for i in range(4))

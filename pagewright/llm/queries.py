@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import canonical, language, mixing, mojibake, ocr, oracle, quality, residue, tokens
-from .common import cut, table
+from .common import cut, once, table
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return canonical.equal_looking_pairs(table(spark, d, "page_results"))
 
 
+def p1_classes(spark: SparkSession, d: str) -> DataFrame:
+    return canonical.reading_classes(table(spark, d, "page_results"))
+
+
 def p1_texts(spark: SparkSession, d: str) -> DataFrame:
     return canonical.canonical_texts(table(spark, d, "page_results"))
 
@@ -28,8 +32,8 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_labels(spark: SparkSession, d: str) -> DataFrame:
-    rows = language.labelled(table(spark, d, "page_results"), _language_weights(spark, d))
-    return rows.drop("named").dropDuplicates(["result_id"])
+    rows = language.labelled(once(table(spark, d, "page_results"), "result_id"), _language_weights(spark, d))
+    return rows.drop("named")
 
 
 def _page_texts(spark: SparkSession, d: str) -> DataFrame:
@@ -72,8 +76,14 @@ def p7_mixed(spark: SparkSession, d: str) -> DataFrame:
 
 def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     targets = table(spark, d, "mix_targets")
-    mix, rows = mixing.planned(table(spark, d, "documents"), targets)
-    return mixing.shares(cut(mix, "mixed"), targets, rows)
+    mix, part = mixing.planned(table(spark, d, "documents"), targets)
+    return mixing.shares(cut(mix.drop("ids"), "mixed"), targets, part)
+
+
+def p7_targets(spark: SparkSession, d: str) -> DataFrame:
+    """What each source should contribute, of all targets and of those whose source has any text."""
+    sources = table(spark, d, "documents").where("source is not null and text <> ''").select("source").distinct()
+    return mixing.wanted_shares(table(spark, d, "mix_targets"), sources)
 
 
 def _judged(spark: SparkSession, d: str) -> DataFrame:

@@ -149,16 +149,16 @@ def encoded(df: DataFrame, path: str | None = None, id_col: str = "doc_id", text
     return arrow_map(df.select(F.col(id_col).cast("bigint").alias(id_col), F.col(text_col).cast("string").alias("t")), run, f"{id_col} bigint, ids array<int>")
 
 
-def counted(df: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ("source",)) -> DataFrame:
-    """(doc_id, kept columns, n_tokens) of each row."""
+def sized(df: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ("source",)) -> DataFrame:
+    """(doc_id, kept columns, ids, n_tokens) of each row."""
     encoder = _encoder(df, path)
     names = [id_col, *keep]
 
     def run(batch):
         e = encoder()
-        cols = {k: batch.column(i).to_pylist() for i, k in enumerate(names)}
-        return cols | {"n_tokens": [len(e(t)) for t in batch.column(len(names)).to_pylist()]}
+        ids = [e(t) for t in batch.column(len(names)).to_pylist()]
+        return {k: batch.column(i).to_pylist() for i, k in enumerate(names)} | {"ids": ids, "n_tokens": [len(x) for x in ids]}
 
     types = dict(df.dtypes)
-    schema = f"{id_col} bigint, " + "".join(f"{k} {types[k]}, " for k in keep) + "n_tokens bigint"
+    schema = f"{id_col} bigint, " + "".join(f"{k} {types[k]}, " for k in keep) + "ids array<int>, n_tokens bigint"
     return arrow_map(df.select(F.col(id_col).cast("bigint").alias(id_col), *keep, F.col(text_col).cast("string").alias("t")), run, schema)

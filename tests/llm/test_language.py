@@ -51,9 +51,34 @@ def test_paragraphs_of_several_languages(weights):
     assert lang == "deu" and 0 < confidence <= 1
     assert [p["lang"] for p in paragraphs] == ["deu", "eng", "rus"]
     assert [p["sentences"] for p in paragraphs] == [{"deu": 4}, {"eng": 2}, {"rus": 2}]
+    assert [[x["lang"] for x in p["segments"]] for p in paragraphs] == [["deu"], ["eng"], ["rus"]]
+    assert all(p["segments"][0]["start"] == 0 and p["segments"][-1]["end"] == len(x) and 0.5 < p["segments"][0]["confidence"] <= 1 for p, x in zip(paragraphs, (f"{DEU} {DEU}", ENG, RUS), strict=True))
     assert rest[0] == rest[1] == rest[2] == (None, 0.0, [])
 
 
+def test_segments_within_a_paragraph(weights):
+    ((_, _, (p,)),) = L.classify(weights, [f"{DEU} {DEU} {ENG} {ENG}"])
+    assert [x["lang"] for x in p["segments"]] == ["deu", "eng"] and abs(p["segments"][0]["end"] - len(f"{DEU} {DEU}")) <= 1
+
+
+def test_every_position_has_a_label(weights):
+    (p,) = L.probabilities(weights, [DEU.encode()])
+    assert p.shape == (len(DEU.encode()), L.NONE + 1) and abs(p.sum(1) - 1).max() < 1e-4
+
+
+def test_other_languages_and_lists(weights):
+    texts = ["Haftung ........ 12\nVergütung ..... 14\nKosten ..... 20\nAnlagen ..... 31", "27.04.19 1871,36 A41-405 98 264,11 B14-300 12 7,50 C20-111", "Zaglu wenkirp motrav ulfen disk harpow, tulgem oprav zindek. Wobtel kurpan sifgor mulde tarpik, zonfek wilgra pumtok."]
+    assert [L.classify(weights, [t])[0][0] for t in texts] == [L.OTHER] * 3
+
+
+def test_weights_are_kept_by_their_sample(spark, sf, weights):
+    pages, common = spark.read.parquet(f"{sf}/page_results.parquet"), spark.read.parquet(f"{sf}/common_words.parquet")
+    assert L.fit(spark, pages, common) is weights
+    L._FITTED.clear()
+    again = L.fit(spark, pages, common)  # from the shared folder
+    assert again is not weights and all((again[k] == weights[k]).all() for k in weights)
+
+
 def test_garbled_text_has_the_language_of_its_original(weights):
     garbled = RUS.encode().decode("latin-1")
     assert L.classify(weights, [garbled])[0][0] == "rus"

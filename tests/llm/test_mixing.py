@@ -45,11 +45,13 @@ def test_shares_and_caps(tables):
     docs, targets = tables
     mix = X.mixed(docs, targets).cache()
     got = {(r["mix_name"], r["source"]): r for r in X.shares(mix, targets).collect()}
-    assert {k[0] for k in got} == {"even", "tilt"}
+    assert {k[0] for k in got} == {"even", "tilt", "none"}
+    absent = got.pop(("none", "absent")), got.pop(("tilt", "absent"))
+    assert all(r["actual_share"] == 0 and r["tokens"] == 0 and r["reachable_share"] is None and r["note"] == "no tokens" for r in absent) and absent[1]["target_share"] == pytest.approx(5 / 45)
     caps = {("even", "big"): 2, ("even", "small"): 3, ("tilt", "big"): 1, ("tilt", "small"): 2}
     for k, r in got.items():
         assert r["most_uses"] <= caps[k]
-        assert abs(r["actual_share"] - r["target_share"]) < 0.12
+        assert abs(r["actual_share"] - r["reachable_share"]) < 0.12 and r["note"] is None
     slots = mix.select("mix_name", "shard", "source", "slot").distinct().count()
     assert slots == mix.select("mix_name", "source", "turn", "block").distinct().count()
     assert sorted(map(tuple, mix.collect())) == sorted(map(tuple, X.mixed(docs, targets).collect()))  # the same every time
@@ -60,9 +62,27 @@ def test_sources_that_drew_no_slot_are_reported(spark, tables):
     targets = spark.createDataFrame([("tiny", "big", 1e6, 1), ("tiny", "small", 1.0, 1), ("tiny", "absent", 1.0, 1)], "mix_name string, source string, target_weight double, max_repeats int")
     mix, rows = X.planned(docs, targets, total_tokens=10 * X.BLOCK_TOKENS)
     got = {r["source"]: r for r in X.shares(mix, targets, rows).collect()}
-    assert set(got) == {"big", "small"}
-    assert got["small"]["target_share"] == pytest.approx(1 / (1e6 + 1)) and got["small"]["actual_share"] == 0 and got["small"]["tokens"] == 0 == got["small"]["most_uses"]
-    assert got["big"]["target_share"] == pytest.approx(1e6 / (1e6 + 1)) and got["big"]["actual_share"] == 1
+    assert set(got) == {"big", "small", "absent"} and got["absent"]["note"] == "no tokens"
+    assert got["small"]["reachable_share"] == pytest.approx(1 / (1e6 + 1)) and got["small"]["actual_share"] == 0 and got["small"]["tokens"] == 0 == got["small"]["most_uses"] and got["small"]["note"] == "no slot drawn"
+    assert got["big"]["reachable_share"] == pytest.approx(1e6 / (1e6 + 1)) and got["big"]["actual_share"] == 1
+
+
+def test_slots_beyond_the_passes_are_reported(spark, tables):
+    docs, _ = tables
+    targets = spark.createDataFrame([("much", "big", 1.0, 1), ("much", "small", 1.0, 1)], "mix_name string, source string, target_weight double, max_repeats int")
+    mix, part = X.planned(docs, targets, total_tokens=10**9)
+    got = {r["source"]: r for r in X.shares(mix, targets, part).collect()}
+    drawn = sum(r["tokens"] + r["missed_tokens"] for r in got.values())
+    assert got["small"]["note"] == "used up" and got["small"]["missed_tokens"] > 0 and got["small"]["most_uses"] == 1
+    assert abs(got["small"]["tokens"] + got["small"]["missed_tokens"] - drawn / 2) < 0.1 * drawn
+
+
+def test_blocks_hold_the_ids(tables):
+    docs, targets = tables
+    e = T.Encoder(T.read_ranks(T.vocabulary_path()))
+    whole = {r["doc_id"]: e(r["text"]) for r in docs.collect() if r["text"]}
+    rows = X.mixed(docs, targets).collect()
+    assert rows and all(r["ids"] == whole[r["doc_id"]][r["first"] : r["last"]] for r in rows)
 
 
 def test_empty(tables):
