@@ -128,12 +128,12 @@ def forward(w: dict[str, np.ndarray], idx: np.ndarray, n: np.ndarray, keep: bool
             h = h + step
             states[t, :, d * HIDDEN : (d + 1) * HIDDEN] = h
     logits = (states @ w["W"] + w["b"]).reshape(steps, batch, PATCH, NONE + 1)
-    logits -= logits.max(-1, keepdims=True)
     if keep:
+        logits -= logits.max(-1, keepdims=True)
         logits -= np.log(np.exp(logits).sum(-1, keepdims=True))
-    else:
-        np.exp(logits, out=logits)
-        logits /= logits.sum(-1, keepdims=True)
+    else:  # states lie within (-1, 1), so no logit overflows
+        flat = np.exp(logits, out=logits).reshape(-1, NONE + 1)
+        flat /= (flat @ np.ones(NONE + 1, np.float32))[:, None]
     out = logits.transpose(1, 0, 2, 3).reshape(batch, steps * PATCH, NONE + 1)
     return (out, states, saved, mask) if keep else out
 
@@ -326,16 +326,15 @@ def fit(spark: SparkSession, pages: DataFrame, common_words: DataFrame, rows: in
 _WEIGHTS = "k string, shape array<int>, raw binary"
 
 
-def classify(w: dict[str, np.ndarray], texts: list[str | None]) -> list[tuple[str | None, float, list[dict]]]:
+def classify(w: dict[str, np.ndarray], texts: list[str | None], segments: bool = True) -> list[tuple[str | None, float, list[dict]]]:
     """(language, confidence, paragraphs) of each text.  A paragraph has its language, confidence, the languages of
     its full sentences with their number, and its segments: adjacent sentences of one language, as offsets in the
-    paragraph's text (consistent form, lines joined by a blank), with a confidence."""
+    paragraph's text (consistent form, lines joined by a blank), with a confidence (none where not asked for)."""
     seqs: list[bytes] = []
     starts: list[int] = []  # of paragraphs, then of sentences, in bytes over all sequences
     ends: list[int] = []
     owner: list[int] = []  # paragraph of each sentence
     begin: list[int] = []
-    finish: list[int] = []
     full: list[bool] = []
     spans: list[tuple[int, int]] = []  # of sentences, in characters of the paragraph
     plan: list[int] = []  # paragraphs of each text
@@ -349,7 +348,6 @@ def classify(w: dict[str, np.ndarray], texts: list[str | None]) -> list[tuple[st
                 size = len(s) if plain else len(s.encode("utf-8", "surrogatepass"))
                 owner.append(len(starts))
                 begin.append(at + here)
-                finish.append(at + here + size)
                 full.append(whole)
                 spans.append((char, char + len(s)))
                 here += size
@@ -362,29 +360,30 @@ def classify(w: dict[str, np.ndarray], texts: list[str | None]) -> list[tuple[st
         plan.append(n)
     if not starts:
         return [(None, 0.0, []) for _ in texts]
-    sums = np.zeros((at + 1, NONE + 1))
-    np.cumsum(np.concatenate(probabilities(w, seqs)), axis=0, dtype=np.float64, out=sums[1:])
-    pooled = sums[ends] - sums[starts]
+    # sentences tile their paragraphs, and paragraphs all bytes
+    bysentence = np.add.reduceat(np.concatenate(probabilities(w, seqs)), begin, axis=0).astype(np.float64)
+    pooled = np.add.reduceat(bysentence, np.searchsorted(begin, starts), axis=0)
     means = pooled / (np.array(ends) - np.array(starts))[:, None]
     best = means.argmax(1)
     found: list[dict[str, int]] = [{} for _ in starts]
     parts: list[list[dict]] = [[] for _ in starts]
-    if owner:
-        each = (sums[finish] - sums[begin]) / (np.array(finish) - np.array(begin))[:, None]
-        each = (each + PARAGRAPH_WEIGHT * means[owner]) / (1 + PARAGRAPH_WEIGHT)  # neighbours speak the same, mostly
-        which, top = each.argmax(1).tolist(), each.max(1).tolist()
-        for k, p in enumerate(owner):
-            lang = LANGS[which[k]] if which[k] != NONE and top[k] >= LEAST_SHARE else None
-            if full[k] and lang:
-                found[p][lang] = found[p].get(lang, 0) + 1
-            a, b = spans[k]
-            last = parts[p][-1] if parts[p] else None
-            if last and last["lang"] == lang:
-                size = last["end"] - last["start"]
-                last["confidence"] = (last["confidence"] * size + top[k] * (b - a)) / (size + b - a)
-                last["end"] = b
-            else:
-                parts[p].append({"start": a, "end": b, "lang": lang, "confidence": top[k]})
+    each = bysentence / (np.append(begin[1:], at) - begin)[:, None]
+    each = (each + PARAGRAPH_WEIGHT * means[owner]) / (1 + PARAGRAPH_WEIGHT)  # neighbours speak the same, mostly
+    which, top = each.argmax(1), each.max(1)
+    sure = (which != NONE) & (top >= LEAST_SHARE)
+    for k in np.flatnonzero(sure & np.array(full)).tolist():
+        lang, of = LANGS[which[k]], found[owner[k]]
+        of[lang] = of.get(lang, 0) + 1
+    for k, p in enumerate(owner if segments else ()):
+        lang = LANGS[which[k]] if sure[k] else None
+        a, b = spans[k]
+        last = parts[p][-1] if parts[p] else None
+        if last and last["lang"] == lang:
+            size = last["end"] - last["start"]
+            last["confidence"] = float(last["confidence"] * size + top[k] * (b - a)) / (size + b - a)
+            last["end"] = b
+        else:
+            parts[p].append({"start": a, "end": b, "lang": lang, "confidence": float(top[k])})
     out: list[tuple[str | None, float, list[dict]]] = []
     at = 0
     for n in plan:
@@ -399,7 +398,7 @@ def classify(w: dict[str, np.ndarray], texts: list[str | None]) -> list[tuple[st
     return out
 
 
-def labelled(df: DataFrame, w: dict[str, np.ndarray], id_col: str = "result_id") -> DataFrame:
+def labelled(df: DataFrame, w: dict[str, np.ndarray], id_col: str = "result_id", segments: bool = True) -> DataFrame:
     """(id, named, lang, confidence, paragraphs) of each row, deliveries counted once by the caller."""
     spark = df.sparkSession
     ship(spark)
@@ -407,7 +406,7 @@ def labelled(df: DataFrame, w: dict[str, np.ndarray], id_col: str = "result_id")
 
     def run(batch):
         ids, names, texts = (batch.column(i).to_pylist() for i in range(3))
-        got = [g for part in portions(texts, PORTION) for g in classify(shared.value, texts[part])]
+        got = [g for part in portions(texts, PORTION) for g in classify(shared.value, texts[part], segments)]
         return {
             id_col: ids,
             "named": names,
@@ -422,5 +421,5 @@ def labelled(df: DataFrame, w: dict[str, np.ndarray], id_col: str = "result_id")
 
 def wrongly_labelled(df: DataFrame, w: dict[str, np.ndarray], least_sentences: int = 2) -> DataFrame:
     """(result_id, lang): a paragraph holds least_sentences full sentences in a language the label doesn't name."""
-    rows = labelled(df, w).select("result_id", "named", F.explode("paragraphs").alias("p")).select("result_id", "named", F.explode("p.sentences").alias("lang", "n"))
+    rows = labelled(df, w, segments=False).select("result_id", "named", F.explode("paragraphs").alias("p")).select("result_id", "named", F.explode("p.sentences").alias("lang", "n"))
     return rows.where((F.col("n") >= least_sentences) & ~F.array_contains("named", F.col("lang"))).select("result_id", "lang").distinct()
