@@ -86,17 +86,13 @@ def p7_targets(spark: SparkSession, d: str) -> DataFrame:
     return mixing.wanted_shares(table(spark, d, "mix_targets"), sources)
 
 
-def _judged(spark: SparkSession, d: str) -> DataFrame:
-    return residue.judged(table(spark, d, "documents"))
-
-
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    return _judged(spark, d).where("is_case").select("doc_id").distinct()
+    return residue.judged(table(spark, d, "documents")).where("is_case").select("doc_id").distinct()
 
 
 def p8_kept(spark: SparkSession, d: str) -> DataFrame:
-    cases = _judged(spark, d).where("is_case").select("doc_id")
-    return table(spark, d, "documents").join(cases, "doc_id", "left_anti").select("doc_id", "text", "source")
+    rows = residue.judged(table(spark, d, "documents"), keep=("text", "source"))
+    return rows.where("not is_case").select("doc_id", "text", "source")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

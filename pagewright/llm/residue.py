@@ -206,18 +206,22 @@ def _counted(k: int, texts: list[str]) -> dict[str, np.ndarray]:
     cols: dict[str, list] = {c: [] for c in _GRAM}
     for o in range(len(ORDERS)):
         b = _bins(hs[o][own], o)
-        n = np.bincount(b, minlength=1 << BITS[o])
-        at = np.flatnonzero(n)
-        one = np.zeros(1 << BITS[o], np.int64)
-        one[b] = own  # an example of each
-        one = one[at]
-        context = hs[o][one] - (codes[one].astype(np.uint64) + np.uint64(1)) * _FACTORS[0]
+        if len(b) < 1 << BITS[o] >> 2:
+            at, one, n = np.unique(b, return_index=True, return_counts=True)
+            one = own[one]  # an example of each
+        else:
+            n = np.bincount(b, minlength=1 << BITS[o])
+            at = np.flatnonzero(n)
+            n = n[at]
+            one = np.zeros(1 << BITS[o], np.int64)
+            one[b] = own
+            one = one[at]
         cols["o"].append(np.full(len(at), o, np.int32))
         cols["bin"].append(at.astype(np.int32))
-        cols["context"].append((context >> np.uint64(33)).astype(np.int32))
+        cols["context"].append(_context(hs[o][one], hs[0][one]).astype(np.int32))
         cols["shorter"].append((_bins(hs[o - 1][one], o - 1) if o else np.zeros(len(at))).astype(np.int32))
         cols["k"].append(np.full(len(at), k, np.int32))
-        cols["n"].append(n[at].astype(np.int64))
+        cols["n"].append(n.astype(np.int64))
     return {c: np.concatenate(x) for c, x in cols.items()}
 
 
@@ -227,13 +231,14 @@ class Models:
     takes the value of the shorter one, for all classes alike and unscaled.  Single characters are no evidence: all
     classes share their frequencies."""
 
-    def __init__(self, tables: list[np.ndarray]) -> None:
+    def __init__(self, tables: list[np.ndarray], checks: list[np.ndarray]) -> None:
         self.tables = tables  # four half floats as one number, 0 where no class has the n-gram
+        self.checks = checks  # bits of the context, which tell the n-gram from others of its bin
 
     @classmethod
     def of(cls, o: np.ndarray, bins: np.ndarray, context: np.ndarray, shorter: np.ndarray, n: np.ndarray) -> Models:
         """n: [classes, rows]."""
-        tables, lower = [], np.zeros((1, 4))
+        tables, checks, lower = [], [], np.zeros((1, 4))
         for i, bits in enumerate(BITS):
             mine = np.flatnonzero(o == i)
             at, few = bins[mine], n[:, mine].astype(np.float64)
@@ -255,30 +260,45 @@ class Models:
             table = np.zeros((1 << bits, 4), np.float16)
             table[at] = np.log(np.clip(p.T, LEAST_P, 0.999))
             tables.append(table.view(np.uint64).ravel())
-        return cls(tables)
+            checks.append(np.zeros(1 << bits, np.uint16))
+            checks[-1][at] = context[mine] & 0xFFFF
+        return cls(tables, checks)
 
-    def packed(self) -> list[tuple[np.ndarray, np.ndarray]]:
+    def packed(self) -> list[tuple[np.ndarray, ...]]:
         """The places taken: a broadcast of these is as small as what was learned."""
-        return [((i := np.flatnonzero(t)).astype(np.int32), t[i]) for t in self.tables]
+        return [((i := np.flatnonzero(t)).astype(np.int32), t[i], c[i]) for t, c in zip(self.tables, self.checks, strict=True)]
 
     @classmethod
-    def unpacked(cls, packed: list[tuple[np.ndarray, np.ndarray]]) -> Models:
-        tables = [np.zeros(1 << bits, np.uint64) for bits in BITS]
-        for t, (i, values) in zip(tables, packed, strict=True):
+    def unpacked(cls, packed: list[tuple[np.ndarray, ...]]) -> Models:
+        tables, checks = ([np.zeros(1 << bits, kind) for bits in BITS] for kind in (np.uint64, np.uint16))
+        for t, c, (i, values, own) in zip(tables, checks, packed, strict=True):
             t[i] = values
-        return cls(tables)
+            c[i] = own
+        return cls(tables, checks)
 
-    def log_probs(self, codes: np.ndarray, orders: int = len(ORDERS)) -> np.ndarray:
+    def log_probs(self, codes: np.ndarray, orders: int = len(ORDERS), hs: list[np.ndarray] | None = None) -> np.ndarray:
         """[classes, characters]: of the longest n-gram, among the first orders, that any class has; 0 in the padding."""
-        hs = _hashes(codes)
-        out = self.tables[orders - 1][_bins(hs[orders - 1], orders - 1)]
+        hs = hs or _hashes(codes)
+        out = self._found(orders - 1, hs[orders - 1], hs[0])
         for o in range(orders - 2, -1, -1):
             open_ = np.flatnonzero(out == 0)
-            out[open_] = self.tables[o][_bins(hs[o][open_], o)]
+            out[open_] = self._found(o, hs[o][open_], hs[0][open_])
         out[codes == _MARK] = 0
         return np.ascontiguousarray(out.view(np.float16).reshape(-1, 4).T).astype(np.float32)
 
 
+    def _found(self, o: int, h: np.ndarray, last: np.ndarray) -> np.ndarray:
+        at = _bins(h, o)
+        out = self.tables[o][at]
+        out *= self.checks[o][at] == _context(h, last).astype(np.uint16)
+        return out
+
+
+def _context(h: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hash, of 31 bits, of an n-gram without its last character."""
+    return (h - last) >> np.uint64(33)
+
+
 # ---------------------------------------------------------------------------------- labels of segments
 
 
@@ -336,18 +356,21 @@ def _fills(s: str) -> bool:
 def company(docs: list[list[str]]) -> Iterator[tuple[str, int, float, int]]:
     """(segment, 1 where it stands with others, share of the others' characters near the seeds of notices, bits
     of the hashes of the others) of each text."""
-    near = near_notices([s for d in docs for s in d])
-    at = 0
-    for d in docs:
-        own = near[at : at + len(d)]
-        at += len(d)
-        sizes = {s: (n := len(s) * (len(s) >= COMPANION), n * bool(v >= NEAR), 1 << (zlib.crc32(s.encode("utf-8", "surrogatepass")) & 63) if n else 0) for s, v in zip(d, own, strict=True)}
-        whole, told = (sum(x[i] for x in sizes.values()) for i in (0, 1))
-        for s, (n, t, own_bit) in sizes.items():
-            others = 0
-            for x in sizes.values():
-                others |= x[2]
-            yield s, int(whole > n), (told - t) / (whole - n) if whole > n else 0.0, others & ~own_bit
+    docs = [list(dict.fromkeys(d)) for d in docs if d]
+    parts = [s for d in docs for s in d]
+    if not parts:
+        return
+    count = np.fromiter(map(len, docs), np.int64, len(docs))
+    first = np.cumsum(count) - count
+    size = np.fromiter(map(len, parts), np.int64, len(parts))
+    size[size < COMPANION] = 0
+    told = size * (near_notices(parts) >= NEAR)
+    bit = np.uint64(1) << np.fromiter((zlib.crc32(s.encode("utf-8", "surrogatepass")) & 63 for s in parts), np.uint64, len(parts))
+    bit[size == 0] = 0
+    others = np.repeat(np.add.reduceat(size, first), count) - size
+    near = np.repeat(np.add.reduceat(told, first), count) - told
+    bits = np.repeat(np.bitwise_or.reduceat(bit, first), count) & ~bit
+    yield from zip(parts, (others > 0).astype(np.int64).tolist(), (near / np.maximum(others, 1)).tolist(), bits.tolist(), strict=True)
 
 
 def first_labels(parts: list[str], others: np.ndarray, told: np.ndarray, kinds: np.ndarray) -> np.ndarray:
@@ -369,7 +392,8 @@ def first_labels(parts: list[str], others: np.ndarray, told: np.ndarray, kinds:
 def next_labels(models: Models, parts: list[str], others: np.ndarray, told: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, list[str]]:
     """Classes of segments by the models, and the segments without the slots found in them."""
     codes, start, size = _joined(parts)
-    lp = models.log_probs(codes)
+    hs = _hashes(codes)
+    lp = models.log_probs(codes, hs=hs)
     total = np.concatenate([np.zeros((4, 1)), np.cumsum(lp, axis=1, dtype=np.float64)], axis=1)
     score = (total[:, start + size] - total[:, start])[:3]
     share = told / np.maximum(others, 1)
@@ -381,7 +405,7 @@ def next_labels(models: Models, parts: list[str], others: np.ndarray, told: np.n
     label[(others > 0) & (share >= ANCHORED) & (label != FILLER)] = NOTICE
     label[_vouched(others, told, kinds) & (label != FILLER)] = NATURAL  # such as a review that mentions one
     rest = list(parts)
-    for i, a, b in zip(*_slot_windows(models.log_probs(codes, 2), start, size, MAYBE_SLOT_NATS), strict=True):
+    for i, a, b in zip(*_slot_windows(models.log_probs(codes, 2, hs), start, size, MAYBE_SLOT_NATS), strict=True):
         rest[i] = rest[i][:a] + chr(_MARK) * (b - a) + rest[i][b:] if len(rest[i]) == len(parts[i]) else rest[i]
     return label, rest
 
@@ -403,7 +427,9 @@ def _summed(cols: list[dict[str, np.ndarray]]) -> Models:
     """Models of counted n-grams in memory."""
     x = {c: np.concatenate([y[c] for y in cols]) for c in _GRAM}
     key = x["o"].astype(np.int64) << 32 | x["bin"]
-    keys, first, of = np.unique(key, return_index=True, return_inverse=True)
+    order = np.lexsort((-x["n"], key))  # what is most frequent in a bin stands for it
+    x = {c: v[order] for c, v in x.items()}
+    keys, first, of = np.unique(key[order], return_index=True, return_inverse=True)
     n = np.stack([np.bincount(of, x["n"] * (x["k"] == k), minlength=len(keys)) for k in range(4)])
     return Models.of(*(x[c][first] for c in ("o", "bin", "context", "shorter")), n)
 
@@ -464,7 +490,7 @@ def fitted(documents: DataFrame) -> Models:
         grams = arrow_stream(types, _learning(shared), "o int, bin int, context int, shorter int, k int, n bigint")
         grams = grams.unionByName(spark.createDataFrame(pa.table(_merged(_seed_counts()))))
         sums = [F.sum(F.when(F.col("k") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(4)]
-        whole = grams.groupBy("o", "bin").agg(F.min(F.struct("context", "shorter")).alias("of"), *sums)
+        whole = grams.groupBy("o", "bin").agg(F.max(F.struct("n", "context", "shorter")).alias("of"), *sums)
         # at most one row for each bin of the tables
         t = whole.select("o", "bin", "of.context", "of.shorter", *[f"n{k}" for k in range(4)]).toArrow()
         cols = [t.column(i).to_numpy() for i in range(8)]
@@ -519,7 +545,8 @@ def judge(models: Models, texts: list[str | None]) -> list[dict]:
     if not full:
         return out
     codes, start, size = _joined([clean[i] for i in full])
-    lp = models.log_probs(codes)
+    hs = _hashes(codes)
+    lp = models.log_probs(codes, hs=hs)
     end = start + size
     # what a review quotes says nothing for filler and notices
     for j in np.unique(np.searchsorted(start, np.flatnonzero(_OPENING[np.minimum(codes, 0x2FFF)]), "right") - 1).tolist():
@@ -533,7 +560,7 @@ def judge(models: Models, texts: list[str | None]) -> list[dict]:
     filler = _windows(lp, sums, FILLER, (NATURAL, NOTICE))
     notice = _windows(lp, sums, NOTICE, (NATURAL, FILLER))
     spans = {k: [] for k in range(len(full))}
-    for i, a, b in zip(*_slot_windows(models.log_probs(codes, 2), start, size), strict=True):
+    for i, a, b in zip(*_slot_windows(models.log_probs(codes, 2, hs), start, size), strict=True):
         spans[i].append((a, b))
     # mentions in quotes are no filler
     for j in np.unique(np.searchsorted(start, np.flatnonzero(filler), "right") - 1).tolist():
@@ -608,8 +635,9 @@ def _windows(lp: np.ndarray, sums: np.ndarray, k: int, others: tuple[int, ...])
     return out
 
 
-def judged(documents: DataFrame, models: Models | None = None) -> DataFrame:
-    """(doc_id, is_case, filler_run, filler_coverage, notice_coverage, slots) of each document."""
+def judged(documents: DataFrame, models: Models | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, is_case, filler_run, filler_coverage, notice_coverage, slots) of each document, and the columns of
+    `keep`, which pass through: nothing is joined back."""
     spark: SparkSession = documents.sparkSession
     ship(spark)
     models = models or fitted(documents)
@@ -628,7 +656,9 @@ def judged(documents: DataFrame, models: Models | None = None) -> DataFrame:
             "filler_coverage": [g["filler_coverage"] for g in got],
             "notice_coverage": [g["notice_coverage"] for g in got],
             "slots": [g["slots"] for g in got],
-        }
+        } | {f"kept_{i}": batch.column(2 + i).to_pylist() for i in range(len(keep))}
 
-    src = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return arrow_map(src, run, "doc_id bigint, is_case boolean, filler_run int, filler_coverage double, notice_coverage double, slots array<string>")
+    src = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *[F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)])
+    types = "".join(f", kept_{i} {documents.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
+    out = arrow_map(src, run, "doc_id bigint, is_case boolean, filler_run int, filler_coverage double, notice_coverage double, slots array<string>" + types)
+    return out.withColumnsRenamed({f"kept_{i}": c for i, c in enumerate(keep)})
