@@ -37,7 +37,7 @@ from .canonical import canonical
 from .common import arrow_map, arrow_stream, cut, portions, ship
 
 ORDERS = (1, 2, 4, 6)
-BITS = (12, 15, 18, 20)  # of the table of each order
+BITS = (12, 18, 19, 20)  # of the table of each order
 LEAST_P = 1e-4  # so that one strange character decides nothing
 PAD = 40  # characters of no class between texts that are read together: twice WINDOW, so that windows never meet
 DISCOUNT = 2  # natural segments that may hold an n-gram by chance
@@ -56,7 +56,7 @@ WINDOW = 20  # characters of a likelihood-ratio window
 FILLER_RUN = 22  # characters of filler that take up room
 LEAST_RUN = 12  # characters of filler that make a short text
 NOTICE_COVERAGE = 0.6
-SLOT_NATS = 6.0  # summed over a slot
+SLOT_NATS = 5.5  # summed over a slot
 MAYBE_SLOT_NATS = 4.0  # summed over what natural prose isn't learned from
 PRIOR = 16.0  # nats in favour of natural prose when segments are labelled
 VOUCHED = 8  # different companions that make a segment natural beyond chance
@@ -330,7 +330,7 @@ def _names(n: int = 60, seed: int = 5) -> list[str]:
     return [str(rng.integers(10)) if i % 12 == 0 else "_ "[i % 2].join(word() for _ in range(rng.integers(1, 4))) for i in range(n)]
 
 
-NAMED = tuple([" ".join(f % n for n in _names()) for f in SLOT_FORMS] + [" ".join(f"{w} {b}{m} {w}" for w in "aeionrst" for m in (",", ":", "", ".", "!")) for b in BARE_SLOTS])
+NAMED = tuple([" ".join(f % n for n in _names()) for f in SLOT_FORMS] + [f % n for f in SLOT_FORMS for n in _names(6)] + [" ".join(f"{w} {b}{m} {w}" for w in "aeionrst" for m in (",", ":", "", ".", "!")) for b in BARE_SLOTS])
 SEEDS = {FILLER: (*LATIN_SEEDS, *FILLER_SEEDS), NOTICE: NOTICE_SEEDS, SLOT: NAMED}
 
 
@@ -406,7 +406,9 @@ def next_labels(models: Models, parts: list[str], others: np.ndarray, told: np.n
     label[_vouched(others, told, kinds) & (label != FILLER)] = NATURAL  # such as a review that mentions one
     rest = list(parts)
     for i, a, b in zip(*_slot_windows(models.log_probs(codes, 2, hs), start, size, MAYBE_SLOT_NATS), strict=True):
-        rest[i] = rest[i][:a] + chr(_MARK) * (b - a) + rest[i][b:] if len(rest[i]) == len(parts[i]) else rest[i]
+        own = parts[i][a:b].strip()
+        if not own.isalpha() or len(set(own)) == 1 < len(own):  # else rare letters would soon be unknown to prose
+            rest[i] = rest[i][:a] + chr(_MARK) * (b - a) + rest[i][b:]
     return label, rest
 
 
