@@ -157,6 +157,7 @@ def oracle_sql() -> dict[str, str]:
         "preflight_context": _SCANNED
         + """, d AS (SELECT item_id, count(*) AS a, sum(CASE WHEN mode = 'ocr' THEN 1 ELSE 0 END) AS o, max(page) AS last, max(k) AS k, min(mode) AS lo, max(mode) AS hi FROM s GROUP BY item_id)
             SELECT i.item_id, i.file_name, i.page_count::BIGINT AS page_count, coalesce(o, 0)::BIGINT AS ocr_pages, CASE WHEN coalesce(k > 0 AND o >= k AND last < i.page_count, false) OR lo IS NULL OR lo <> hi THEN 'auto' ELSE lo END AS recommended_mode, coalesce(a, 0)::BIGINT AS n_pages FROM i LEFT JOIN d USING (item_id)""",
+        "fail_fast": f"SELECT true AS failed, 'Failed to slice PDF pages 1-' || (page_count + 1) || ': Page To cannot exceed the document page count (' || page_count || ')' AS message FROM ({_ITEMS}) WHERE page_count > 0 ORDER BY item_id LIMIT 1",
         "map_limit": "SELECT (row_number() OVER (ORDER BY mix_name) - 1)::BIGINT AS place, upper(mix_name) AS name FROM (SELECT DISTINCT mix_name FROM mix_targets WHERE mix_name IS NOT NULL)",
         "recognize_documents": f"""WITH i AS (SELECT *, {_PARTS} AS parts FROM ({_ITEMS}) WHERE page_count > 0),
             e AS (SELECT *, CASE WHEN page_selection = 'specific' THEN {_LIST} ELSE {_RANGE} END AS error FROM (SELECT * REPLACE (coalesce(page_from, 1) AS page_from, coalesce(page_to, 0) AS page_to, coalesce(page_selection, 'range') AS page_selection, coalesce(recognition_mode, 'auto') AS recognition_mode) FROM i)),

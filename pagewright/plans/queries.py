@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import pandas as pd
@@ -207,6 +208,20 @@ def preflight_context(spark: SparkSession, d: str) -> DataFrame:
     return r.select("item_id", "file_name", F.col("pageCount").cast("bigint").alias("page_count"), F.col("ocrPageCount").cast("bigint").alias("ocr_pages"), F.col("recommendedMode").alias("recommended_mode"), F.size("pages").cast("bigint").alias("n_pages"))
 
 
+def fail_fast(spark: SparkSession, d: str) -> DataFrame:
+    """What a strict run ends with when the first of all requests is wrong and the others are right."""
+    docs = _documents(spark, d)
+    first = items(spark, d).where("page_count > 0").agg(F.min("item_id")).first()[0]
+    beyond = (F.col("item_id") == first).cast("int")
+    wanted = docs.select("item_id", "file_name", F.col("content").alias("data"), F.lit(1.0).alias("page_from"), (F.col("page_count") + beyond).cast("double").alias("page_to"))
+    try:
+        slicing.slice_documents(wanted).write.format("noop").mode("overwrite").save()
+        said = None
+    except Exception as e:  # the run ends with the first error
+        said = re.search(r"Failed to slice PDF pages [^\n]*?\(\d+\)", str(e))[0]
+    return spark.createDataFrame([(said is not None, said)], "failed boolean, message string")
+
+
 def map_limit(spark: SparkSession, d: str) -> DataFrame:
     """The bounded map over the names of the mixes, a list of fixed length."""
     names = [r["mix_name"] for r in table(spark, d, "mix_targets").where("mix_name is not null").select("mix_name").distinct().orderBy("mix_name").collect()]
@@ -224,5 +239,5 @@ def recognize_documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    names = (word_count, char_classes, normalize_text, assemble_page_text, recommend_mode, rule_breakdown, rect_clip, union_area, matrix_fold, image_coverage, page_range, specific_pages, selected_pages, slice_validate, preflight_pages, preflight_document, route_auto, recognition_result, context_projection, render_dimensions, pdf_pages, pdf_slice, slice_binaries, preflight_context, map_limit, recognize_documents)
+    names = (word_count, char_classes, normalize_text, assemble_page_text, recommend_mode, rule_breakdown, rect_clip, union_area, matrix_fold, image_coverage, page_range, specific_pages, selected_pages, slice_validate, preflight_pages, preflight_document, route_auto, recognition_result, context_projection, render_dimensions, pdf_pages, pdf_slice, slice_binaries, fail_fast, preflight_context, map_limit, recognize_documents)
     return {f.__name__: f for f in names}

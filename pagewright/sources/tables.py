@@ -11,4 +11,4 @@ def read_table(spark: SparkSession, d: str, name: str) -> DataFrame:
     filters pass through to the scan either way."""
     df = spark.read.parquet(f"{d}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
