@@ -32,5 +32,5 @@ def oracle_sql() -> dict[str, str]:
             SELECT v.result_id, c.class_id, c.n_texts::BIGINT AS n_texts, (c.n - t.n)::BIGINT AS links FROM v JOIN c ON v.k = c.k JOIN t ON v.k = t.k AND v.text = t.text""",
         "p7_targets": """WITH t AS (SELECT mix_name, source, sum(target_weight) AS w FROM mix_targets WHERE mix_name IS NOT NULL AND source IS NOT NULL AND target_weight > 0 GROUP BY ALL),
             h AS (SELECT t.*, CASE WHEN source IN (SELECT source FROM documents WHERE source IS NOT NULL AND text <> '') THEN w END AS r FROM t)
-            SELECT mix_name, source, w / sum(w) OVER (PARTITION BY mix_name) AS target_share, r / sum(r) OVER (PARTITION BY mix_name) AS reachable_share FROM h""",
+            SELECT mix_name, source, round(w / sum(w) OVER (PARTITION BY mix_name), 12) AS target_share, round(r / sum(r) OVER (PARTITION BY mix_name), 12) AS reachable_share FROM h""",
     }

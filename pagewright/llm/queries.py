@@ -83,7 +83,8 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
 def p7_targets(spark: SparkSession, d: str) -> DataFrame:
     """What each source should contribute, of all targets and of those whose source has any text."""
     sources = table(spark, d, "documents").where("source is not null and text <> ''").select("source").distinct()
-    return mixing.wanted_shares(table(spark, d, "mix_targets"), sources)
+    shares = mixing.wanted_shares(table(spark, d, "mix_targets"), sources)
+    return shares.select("mix_name", "source", *[F.round(c, 12).alias(c) for c in ("target_share", "reachable_share")])  # sums of doubles differ by their order
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
